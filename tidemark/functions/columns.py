@@ -118,13 +118,23 @@ def c_to_f(c: str | Column) -> Column:
 TIE_SHIFT = 1e-9
 
 
+def round_half_up(c: str | Column, digits: int = 2) -> Column:
+    return F.round(as_column(c) + F.lit(TIE_SHIFT), digits)
+
+
 def fixed_sum(c: str | Column, scale: int = 2) -> Column:
     """Order-independent sum of a measure stored with ``scale`` decimals."""
     return F.sum(as_column(c).cast(T.DecimalType(18, scale)))
 
 
 def rounded_ratio(total: Column, count: Column, digits: int = 2) -> Column:
-    return F.round(total.cast("double") / count + F.lit(TIE_SHIFT), digits)
+    """Mean from a total and a count, rounded half up; NULL for no rows."""
+    return round_half_up(F.try_divide(total.cast("double"), count), digits)
+
+
+def exact_mean(c: str | Column, scale: int = 2) -> Column:
+    """Unrounded mean over an exact sum."""
+    return F.try_divide(fixed_sum(c, scale).cast("double"), F.count(as_column(c)))
 
 
 def rounded_mean(c: str | Column, digits: int = 2, scale: int | None = 2) -> Column:

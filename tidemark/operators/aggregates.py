@@ -108,7 +108,7 @@ def grouping_sets_summary(df: DataFrame, sets: Sequence[Sequence[str]], value: s
                           count_name: str = "row_count", labels: dict[str, str] | None = None) -> DataFrame:
     keys = list(dict.fromkeys(k for s in sets for k in s))
     finest = _finest(df, keys, value)
-    grouped = finest.groupingSets([[finest[k] for k in s] for s in sets], *[finest[k] for k in keys])
+    grouped = finest.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys])
     return _labelled(grouped, keys, mean_name, count_name, labels)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_column
+from tidemark.functions.columns import as_column, round_half_up
 from tidemark.operators.windows import latest_per_key
 
 
@@ -101,7 +101,7 @@ def compare_to_baseline(df: DataFrame, key: str, base: str, ts: str, value: str,
     )
     others = df.where(F.col(key) != base)
     joined = others.join(baseline, others[ts] == baseline["__ts"]).drop("__ts")
-    return joined.withColumn(delta_name, F.round(F.col(value) - F.col(base_name), 2))
+    return joined.withColumn(delta_name, round_half_up(F.col(value) - F.col(base_name)))
 
 
 def missing_members(df: DataFrame, column: str, expected: DataFrame) -> DataFrame:

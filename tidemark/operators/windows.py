@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_column, day_of, rounded_mean, rounded_ratio
+from tidemark.functions.columns import as_column, day_of, exact_mean, round_half_up, rounded_mean, rounded_ratio
 from tidemark.operators.groups import PART, before_part, group_sizes, join_back, split_by_range
 from tidemark.session import max_group_rows
 
@@ -118,7 +118,7 @@ def running_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n
     measure = F.col(value).cast(f"decimal(18,{scale})")
     summed = running(df, keys, order, {"__sum": ("sum", measure), "__cnt": ("count", F.col(value))})
     return summed.withColumn(
-        name, F.when(F.col("__cnt") > 0, rounded_ratio(F.col("__sum"), F.col("__cnt"), digits))
+        name, rounded_ratio(F.col("__sum"), F.col("__cnt"), digits)
     ).drop("__sum", "__cnt")
 
 
@@ -170,7 +170,7 @@ def moving_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n:
         frame = spec.rowsBetween(-(n - 1), 0)
         count = F.count(value).over(frame)
         total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
-        return {name: F.when(count > 0, rounded_ratio(total, count, digits))}
+        return {name: rounded_ratio(total, count, digits)}
 
     return framed(df, keys, order, n - 1, build)
 
@@ -199,8 +199,7 @@ def deviation_from_group(df: DataFrame, keys: Sequence[str], value: str, mean_na
                          scale: int = 2) -> DataFrame:
     """Every row with its group's mean, and how far the row lies from it."""
     measure = F.col(value)
-    total, count = F.sum(measure.cast(f"decimal(18,{scale})")), F.count(measure)
-    stats = {mean_name: total.cast("double") / count}
+    stats = {mean_name: exact_mean(measure, scale)}
     if stddev_name:
         stats[stddev_name] = F.stddev_samp(measure)
     return group_stat(df.where(measure.isNotNull()), keys, stats).withColumn(
@@ -258,7 +257,7 @@ def period_over_period(df: DataFrame, keys: Sequence[str], period: str, value: s
                        name: str = "change", digits: int = 2) -> DataFrame:
     """Change of a per-period value since the key's previous period."""
     previous = F.lag(value).over(Window.partitionBy(*keys).orderBy(period))
-    return df.withColumn(name, F.round(F.col(value) - previous, digits))
+    return df.withColumn(name, round_half_up(F.col(value) - previous, digits))
 
 
 def rolling_periods(df: DataFrame, keys: Sequence[str], day: str, value: str, n: int, name: str,
@@ -272,7 +271,7 @@ def rolling_periods(df: DataFrame, keys: Sequence[str], day: str, value: str, n:
         raise ValueError(f"unknown mode {mode!r}")
     count = F.count(value).over(frame)
     total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
-    return df.withColumn(name, F.when(count > 0, rounded_ratio(total, count, digits)))
+    return df.withColumn(name, rounded_ratio(total, count, digits))
 
 
 def trend_report(df: DataFrame, keys: Sequence[str], period: str, value: str,
@@ -284,5 +283,5 @@ def trend_report(df: DataFrame, keys: Sequence[str], period: str, value: str,
     return df.withColumns({
         rank_name: F.rank().over(by_key.orderBy(F.col(value).desc_nulls_last())).cast("long"),
         peak_name: F.max(value).over(in_time.rowsBetween(Window.unboundedPreceding, 0)),
-        change_name: F.round(F.col(value) - F.lag(value).over(in_time), 2),
+        change_name: round_half_up(F.col(value) - F.lag(value).over(in_time)),
     })
