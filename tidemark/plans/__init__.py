@@ -1,8 +1,9 @@
 """Every registered query, by family."""
 
-from tidemark.plans import grouped, matched, modelled, ordered, scalars
+from tidemark.plans import checked, grouped, landed, matched, modelled, ordered, reported, scalars, streamed
 
-FAMILIES = [m.FAMILY for m in (modelled, ordered, grouped, matched, scalars)]
+FAMILIES = [m.FAMILY for m in (
+    modelled, ordered, grouped, matched, scalars, checked, landed, reported, streamed)]
 
 
 def all_queries():

@@ -140,10 +140,10 @@ def casts_and_parsing(spark, sf_dir):
 
 
 @query("unit_conversion", """SELECT event_id, round(value * 9.0::DOUBLE / 5.0::DOUBLE + 32, 2) AS fahrenheit,
-  abs(round(value - 50, 1)) AS distance FROM events WHERE event_id % 2 = 0 OR value > 0""")
+  round(abs(value - 50) + 1e-9, 1) AS distance FROM events WHERE event_id % 2 = 0 OR value > 0""")
 def unit_conversion(spark, sf_dir):
     return table(spark, sf_dir, "events").where("event_id % 2 = 0 or value > 0").select(
-        "event_id", C.c_to_f("value").alias("fahrenheit"), F.abs(F.round(F.col("value") - 50, 1)).alias("distance"))
+        "event_id", C.c_to_f("value").alias("fahrenheit"), C.round_half_up(F.abs(F.col("value") - 50), 1).alias("distance"))
 
 
 @query("text_functions", r"""SELECT c_custkey, md5(upper(trim(c_name))) AS name_hash,
