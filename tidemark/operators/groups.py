@@ -17,6 +17,9 @@ from tidemark.session import max_group_rows, scratch_path
 
 PART = "__part"
 
+# Parts of one range shuffle; more would cost the driver more than they save.
+MAX_PARTS = 20_000
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back.
@@ -40,17 +43,22 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return row["largest"] or 0, row["total"] or 0
 
 
-def split_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame | None:
+def split_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                   fits: bool = False) -> DataFrame | None:
     """None while every group fits a task, else the rows cut into ordered parts.
 
     The result carries the part number in ``__part``; within a group the parts
-    follow ``order``, and rows that tie on group and order share a part.
+    follow ``order``, and rows that tie on group and order share a part. With
+    ``fits`` the caller vouches for the group size, say one row per key and day,
+    and the pass that measures it is saved.
     """
+    if fits:
+        return None
     limit = max_group_rows(df.sparkSession)
     largest, total = group_sizes(df, keys)
     if largest <= limit:
         return None
-    parts = 2 * total // limit + 1
+    parts = min(2 * total // limit + 1, MAX_PARTS)
     cut = df.repartitionByRange(parts, *keys, *order).withColumn(PART, F.spark_partition_id())
     return written(cut, "parts")
 

@@ -45,7 +45,7 @@ def summary_line(fields: dict[str, str]) -> Column:
 
 
 def render_block(lines: DataFrame, group: Sequence[str], order: Sequence[str], line: str, header: str,
-                 max_tokens: int = MAX_TOKENS, name: str = "block") -> DataFrame:
+                 max_tokens: int = MAX_TOKENS, name: str = "block", fits: bool = False) -> DataFrame:
     """Each group's lines under a header as one text, cut at ``max_tokens``.
 
     Lines that start beyond the cut cannot appear, so they are left out before
@@ -57,7 +57,7 @@ def render_block(lines: DataFrame, group: Sequence[str], order: Sequence[str], l
         # a line takes at least its newline, so no later line can start before the cut
         lines = lines.orderBy(*order).limit(limit)
     # the header counts in front of every line, each with its newline
-    ends = running(lines, group, [F.col(c) for c in order], {"__end": ("sum", F.length(line) + 1)})
+    ends = running(lines, group, [F.col(c) for c in order], {"__end": ("sum", F.length(line) + 1)}, fits=fits or not group)
     starts = F.col("__end") - F.length(line) + F.lit(len(header))
     gathered = ends.where(starts < limit).groupBy(*group).agg(
         F.array_sort(F.collect_list(F.struct(*order, F.col(line).alias("__line")))).alias("__rows")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_column, day_of, exact_mean, round_half_up, rounded_mean, rounded_ratio
-from tidemark.operators.groups import PART, before_part, group_sizes, join_back, split_by_range
+from tidemark.operators.groups import PART, before_part, group_sizes, join_back, split_by_range, written
 from tidemark.session import max_group_rows
 
 Order = Sequence[str | Column]
@@ -49,18 +49,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Order,
 # --- numbering and running values --------------------------------------------
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number") -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Order, name: str = "row_number",
+                fits: bool = False) -> DataFrame:
     """1, 2, 3, ... within each key."""
-    stitched = _stitched_numbers(df, keys, order, name)
+    stitched = _stitched_numbers(df, keys, order, name, fits)
     if stitched is not None:
         return stitched
     numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(name, numbered.cast("long"))
 
 
-def _stitched_numbers(df: DataFrame, keys: Sequence[str], order: Order, name: str) -> DataFrame | None:
+def _stitched_numbers(df: DataFrame, keys: Sequence[str], order: Order, name: str,
+                      fits: bool) -> DataFrame | None:
     """Row numbers put together from parts, or None when no group needs it."""
-    parts = split_by_range(df, keys, order)
+    parts = split_by_range(df, keys, order, fits)
     if parts is None:
         return None
     offsets = (
@@ -87,13 +89,13 @@ _APPLY = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Order,
-            values: dict[str, tuple[str, str | Column]]) -> DataFrame:
+            values: dict[str, tuple[str, str | Column]], fits: bool = False) -> DataFrame:
     """Running values from the first row of the key to the current one.
 
     ``values`` maps an output name to a function (``sum``, ``count``, ``max``,
     ``min``) and its input.
     """
-    parts = split_by_range(df, keys, order)
+    parts = split_by_range(df, keys, order, fits)
     if parts is None:
         spec = _rows_to_here(keys, order)
         return df.withColumns({n: _APPLY[f](as_column(c)).over(spec) for n, (f, c) in values.items()})
@@ -114,16 +116,16 @@ def running(df: DataFrame, keys: Sequence[str], order: Order,
 
 
 def running_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, name: str,
-                 digits: int = 2, scale: int = 2) -> DataFrame:
+                 digits: int = 2, scale: int = 2, fits: bool = False) -> DataFrame:
     measure = F.col(value).cast(f"decimal(18,{scale})")
-    summed = running(df, keys, order, {"__sum": ("sum", measure), "__cnt": ("count", F.col(value))})
+    summed = running(df, keys, order, {"__sum": ("sum", measure), "__cnt": ("count", F.col(value))}, fits)
     return summed.withColumn(
         name, rounded_ratio(F.col("__sum"), F.col("__cnt"), digits)
     ).drop("__sum", "__cnt")
 
 
 def framed(df: DataFrame, keys: Sequence[str], order: Order, before: int,
-           build: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
+           build: Callable[[WindowSpec], dict[str, Column]], fits: bool = False) -> DataFrame:
     """Columns from windows that look at most ``before`` rows back.
 
     A key too large for a task is cut by exact row position into equal chunks;
@@ -131,7 +133,7 @@ def framed(df: DataFrame, keys: Sequence[str], order: Order, before: int,
     are seen by the window and then left out.
     """
     limit = max(max_group_rows(df.sparkSession), before + 1)
-    numbered = _stitched_numbers(df, keys, order, "__pos")
+    numbered = _stitched_numbers(df, keys, order, "__pos", fits)
     if numbered is None:
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
     position = F.col("__pos") - 1
@@ -152,18 +154,19 @@ def framed(df: DataFrame, keys: Sequence[str], order: Order, before: int,
 
 
 def delta_prev(df: DataFrame, keys: Sequence[str], order: Order, value: str,
-               prev_name: str = "previous", delta_name: str = "change", n: int = 1) -> DataFrame:
+               prev_name: str = "previous", delta_name: str = "change", n: int = 1,
+               fits: bool = False) -> DataFrame:
     """The value n rows earlier and the change since then."""
 
     def build(spec: WindowSpec) -> dict[str, Column]:
         previous = F.lag(value, n).over(spec)
         return {prev_name: previous, delta_name: F.col(value) - previous}
 
-    return framed(df, keys, order, n, build)
+    return framed(df, keys, order, n, build, fits)
 
 
 def moving_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n: int, name: str,
-                digits: int = 2, scale: int = 2) -> DataFrame:
+                digits: int = 2, scale: int = 2, fits: bool = False) -> DataFrame:
     """Mean of the current row and the n-1 rows before it."""
 
     def build(spec: WindowSpec) -> dict[str, Column]:
@@ -172,7 +175,7 @@ def moving_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n:
         total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
         return {name: rounded_ratio(total, count, digits)}
 
-    return framed(df, keys, order, n - 1, build)
+    return framed(df, keys, order, n - 1, build, fits)
 
 
 # --- group statistics on every row -------------------------------------------
@@ -211,7 +214,7 @@ def deviation_from_group(df: DataFrame, keys: Sequence[str], value: str, mean_na
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], by: str, ascending: bool = False,
-                rank_name: str | None = "rank", dense_name: str | None = None) -> DataFrame:
+                rank_name: str | None = "rank", dense_name: str | None = None, fits: bool = False) -> DataFrame:
     """Rank and dense rank by one column within each group, NULLs last.
 
     Ranks depend only on how many rows hold each distinct value, so a group too
@@ -220,7 +223,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], by: str, ascending: bool = F
     """
     order = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
     wanted = [n for n in (rank_name, dense_name) if n]
-    if group_sizes(df, keys)[0] <= max_group_rows(df.sparkSession):
+    if fits or group_sizes(df, keys)[0] <= max_group_rows(df.sparkSession):
         spec = Window.partitionBy(*keys).orderBy(order)
         ranks = {}
         if rank_name:
@@ -240,8 +243,12 @@ def rank_within(df: DataFrame, keys: Sequence[str], by: str, ascending: bool = F
 
 def rank_groups(df: DataFrame, keys: Sequence[str], value: Column, value_name: str,
                 rank_name: str = "rank") -> DataFrame:
-    """Groups densely ranked by an aggregate, highest first."""
-    totals = df.groupBy(*keys).agg(value.alias(value_name))
+    """Groups densely ranked by an aggregate, highest first.
+
+    The aggregate is stored before its size is checked, so that its input is
+    read once.
+    """
+    totals = written(df.groupBy(*keys).agg(value.alias(value_name)), "totals")
     return rank_within(totals, [], value_name, rank_name=None, dense_name=rank_name)
 
 

@@ -70,37 +70,30 @@ FIELDS = {"temperature_2m": ("value", "double"), "weather_code": ("code", "int")
 
 
 def _payloads(spark, sf_dir):
-    """One JSON payload per order from its lines, some of them unusable.
-
-    An order has few lines, so a payload stays small however large the table.
-    """
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm").alias("t"), F.col("l_quantity").alias("v"),
-        F.col("l_linenumber").alias("c")))).alias("r"))
-    kind = F.col("l_orderkey") % 10
-    times, values, codes = F.col("r")["t"], F.col("r")["v"], F.col("r")["c"]
-    full = F.struct(times.alias("time"), values.alias("temperature_2m"), codes.alias("weather_code"))
-    short = F.struct(times.alias("time"), F.slice(values, 1, 1).alias("temperature_2m"), codes.alias("weather_code"))
-    hourly = F.when((kind == 2) & (F.size("r") > 1), short).otherwise(full)
+    """One JSON payload of three hourly readings per order, some of them unusable."""
+    times = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda h: F.date_format(
+        F.expr("o_orderdate") + F.make_dt_interval(hours=h), "yyyy-MM-dd'T'HH:mm"))
+    values = F.array("o_totalprice", F.lit(None).cast("double"), F.col("o_totalprice") * 2)
+    codes = F.array(*[(F.col("o_custkey") + i).cast("int") for i in range(3)])
+    kind = F.col("o_orderkey") % 10
+    given = F.when(kind == 2, F.slice(values, 1, 1)).otherwise(values)
+    hourly = F.struct(times.alias("time"), given.alias("temperature_2m"), codes.alias("weather_code"))
     body = F.when(kind == 0, '{"hourly": {}}').when(kind == 1, '{"hourly": {"time"').otherwise(
-        F.to_json(F.struct(hourly.alias("hourly"))))
-    return lines.select("l_orderkey", F.lit("order").alias("entity"), body.alias("payload"))
+        F.to_json(F.struct(hourly.alias("hourly")), {"ignoreNullFields": "false"}))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", body.alias("payload"))
 
 
-_KINDS = """kinds AS (SELECT l_orderkey, l_orderkey % 10 AS kind, count(*) AS n FROM lineitem GROUP BY ALL)"""
-
-
-@query("flatten_payloads", f"""WITH {_KINDS}
-SELECT l_orderkey, 'order' AS entity, l_shipdate AS recorded_at, l_quantity AS value, l_linenumber AS code
-FROM lineitem JOIN kinds USING (l_orderkey) WHERE kind > 2 OR kind = 2 AND n = 1""")
+@query("flatten_payloads", """SELECT o_orderkey, o_orderpriority, o_orderdate + h * INTERVAL 1 HOUR AS recorded_at,
+  CASE h WHEN 0 THEN o_totalprice WHEN 2 THEN o_totalprice * 2 END AS value, CAST(o_custkey + h AS INTEGER) AS code
+FROM orders CROSS JOIN (VALUES (0), (1), (2)) AS v(h) WHERE o_orderkey % 10 > 2""")
 def flatten_payloads(spark, sf_dir):
     ok, _ = payloads.ingest_payloads(_payloads(spark, sf_dir), "payload", FIELDS)
     return ok
 
 
-@query("rejected_payloads", f"""WITH {_KINDS}
-SELECT l_orderkey, 'order' AS entity, CASE WHEN kind = 2 THEN 'array lengths differ' ELSE 'no hourly data' END AS reason
-FROM kinds WHERE kind < 2 OR kind = 2 AND n > 1""")
+@query("rejected_payloads", """SELECT o_orderkey, o_orderpriority,
+  CASE WHEN o_orderkey % 10 = 2 THEN 'array lengths differ' ELSE 'no hourly data' END AS reason
+FROM orders WHERE o_orderkey % 10 < 3""")
 def rejected_payloads(spark, sf_dir):
     _, rejects = payloads.ingest_payloads(_payloads(spark, sf_dir), "payload", FIELDS)
     return rejects.drop("payload")

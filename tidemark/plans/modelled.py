@@ -9,6 +9,7 @@ from tidemark.operators import modeling as M
 from tidemark.operators import mutations as U
 from tidemark.operators import vault as V
 from tidemark.operators.aggregates import daily_summary
+from tidemark.operators.groups import written
 from tidemark.plans.bindings import (
     LOCATED, READINGS, SITE_FACTS, SITE_HISTORY, located, mean_sql, newest_first, readings, site_history,
     site_readings, sites, table,
@@ -215,8 +216,8 @@ def scd2_snapshot(spark, sf_dir):
         "is_current": F.lit(True)})
     history = schema
     for source, at in ((first, "2024-01-01"), (second, "2024-01-02"), (second, "2024-01-03")):
-        history = U.scd2_snapshot(history, source, ["c_custkey"], ["c_mktsegment", "c_nationkey"], at,
-                                  close_missing=True)
+        history = written(U.scd2_snapshot(history, source, ["c_custkey"], ["c_mktsegment", "c_nationkey"], at,
+                                          close_missing=True), "history")
     return history
 
 
@@ -377,7 +378,7 @@ SELECT md5(upper(trim(sensor))) AS sensor_hk, min(sensor) AS sensor_nk, {_STAMPE
 def vault_hub_names(spark, sf_dir):
     """Loaded twice; spellings that hash alike are one key."""
     rows = _spelt(spark, sf_dir)
-    return _sensor_hub(spark, rows, _sensor_hub(spark, rows), SECOND_LOAD)
+    return _sensor_hub(spark, rows, written(_sensor_hub(spark, rows), "hub"), SECOND_LOAD)
 
 
 @query("vault_hub_dates", f"""WITH {_SPELT}, days AS (SELECT DISTINCT CAST(slot AS DATE) AS full_date FROM spelt)
@@ -387,14 +388,15 @@ SELECT md5(strftime(full_date, '%Y-%m-%d')) AS date_hk, full_date,
 def vault_hub_dates(spark, sf_dir):
     """A first load of ten days and a second of all: known days keep their load date."""
     rows = _spelt(spark, sf_dir)
-    return _date_hub(spark, rows, _date_hub(spark, rows.where("slot < timestamp_ntz'2024-01-11'")), SECOND_LOAD)
+    first = written(_date_hub(spark, rows.where("slot < timestamp_ntz'2024-01-11'")), "hub")
+    return _date_hub(spark, rows, first, SECOND_LOAD)
 
 
 @query("vault_link", f"""WITH {_SPELT}
 SELECT DISTINCT {_HASHES}, slot, {_STAMPED} FROM spelt""")
 def vault_link(spark, sf_dir):
     rows = _spelt(spark, sf_dir)
-    return _link(spark, rows, _link(spark, rows), SECOND_LOAD)
+    return _link(spark, rows, written(_link(spark, rows), "link"), SECOND_LOAD)
 
 
 _LATEST = """SELECT reading_hk, value, code FROM (SELECT *, row_number() OVER (
@@ -412,8 +414,8 @@ WHERE o.reading_hk IS NULL OR n.value <> o.value OR n.code <> o.code""")
 def vault_satellite_changes(spark, sf_dir):
     """Changed attributes end the old version; loading the same rows again adds nothing."""
     rows = _spelt(spark, sf_dir)
-    satellite = _satellite(spark, rows.where("event_id % 3 != 0"))
-    satellite = _satellite(spark, rows, satellite, SECOND_LOAD)
+    satellite = written(_satellite(spark, rows.where("event_id % 3 != 0")), "satellite")
+    satellite = written(_satellite(spark, rows, satellite, SECOND_LOAD), "satellite")
     return _satellite(spark, rows, satellite, "2024-02-03 00:00:00")
 
 

@@ -66,8 +66,9 @@ SELECT sensor, slot, value, rank() OVER (PARTITION BY slot ORDER BY value DESC)
   dense_rank() OVER (PARTITION BY slot ORDER BY value DESC) AS value_dense_rank
 FROM hourly""")
 def rank_within_hour(spark, sf_dir):
+    """An hour has one row per sensor here."""
     rows = hourly(spark, sf_dir).select("sensor", "slot", "value")
-    return W.rank_within(rows, ["slot"], "value", rank_name="value_rank", dense_name="value_dense_rank")
+    return W.rank_within(rows, ["slot"], "value", rank_name="value_rank", dense_name="value_dense_rank", fits=True)
 
 
 @query("rank_codes_with_ties", f"""WITH {READINGS}
@@ -119,8 +120,9 @@ def rank_sites_overall(spark, sf_dir):
 SELECT sensor, slot, value, lag(value) OVER w AS previous_value, round(value - lag(value) OVER w + 1e-9, 2) AS change
 FROM hourly WINDOW w AS (PARTITION BY sensor ORDER BY slot)""")
 def delta_to_previous(spark, sf_dir):
+    """A sensor has one row per hour here, so its series fits a task."""
     rows = hourly(spark, sf_dir).select("sensor", "slot", "value")
-    with_delta = W.delta_prev(rows, ["sensor"], ["slot"], "value", "previous_value", "change")
+    with_delta = W.delta_prev(rows, ["sensor"], ["slot"], "value", "previous_value", "change", fits=True)
     return with_delta.withColumn("change", round_half_up("change"))
 
 
@@ -189,7 +191,8 @@ SELECT sensor, day, max(daily_mean) OVER (PARTITION BY sensor ORDER BY day
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_max
 FROM daily""")
 def running_max_of_days(spark, sf_dir):
-    rows = W.running(_daily(spark, sf_dir), ["sensor"], ["day"], {"running_max": ("max", "daily_mean")})
+    rows = W.running(_daily(spark, sf_dir), ["sensor"], ["day"], {"running_max": ("max", "daily_mean")},
+                     fits=True)
     return rows.select("sensor", "day", "running_max")
 
 
@@ -237,7 +240,10 @@ SELECT full_date, strftime(full_date, '%a') AS day_of_week, site_name, sensor, m
   rank() OVER (PARTITION BY full_date ORDER BY mean_value DESC) AS daily_rank
 FROM site_days JOIN site_history USING (site_nk) WHERE is_current""")
 def daily_rank_of_sites(spark, sf_dir):
-    """Summary first, then the dimensions, then the rank within the day."""
+    """Summary first, then the dimensions, then the rank within the day.
+
+    A day holds one row per site and sensor by then.
+    """
     rows = located(spark, sf_dir)
     daily = rows.groupBy("site_nk", day_of("ts").alias("day"), "sensor").agg(
         rounded_mean("value").alias("mean_value"), F.max("value").alias("max_value"),
@@ -246,7 +252,7 @@ def daily_rank_of_sites(spark, sf_dir):
     calendar = build_dim_date(days_covered(rows, "ts")).select("full_date", "day_of_week")
     star = join_dim(join_current(daily, site_history(spark, sf_dir), {"site_nk": "site_nk"}), calendar,
                     {"day": "full_date"})
-    ranked = W.rank_within(star, ["day"], "mean_value", rank_name="daily_rank")
+    ranked = W.rank_within(star, ["day"], "mean_value", rank_name="daily_rank", fits=True)
     return ranked.select(F.col("day").alias("full_date"), "day_of_week", "site_name", "sensor", "mean_value",
                          "max_value", "n_readings", "daily_rank")
 

@@ -60,8 +60,9 @@ def render_block(spark, sf_dir):
 SELECT site_name, substring('{HEADER[:-1]}' || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY reading_date), 1, 400) AS block
 FROM lines GROUP BY site_name""")
 def render_blocks_capped(spark, sf_dir):
-    """A block per member, cut at a hundred tokens."""
-    return R.render_block(_lines(serving_mart(spark, sf_dir)), ["site_name"], ["reading_date"], "line", HEADER, 100)
+    """A block per member, cut at a hundred tokens; a member has a line per day."""
+    return R.render_block(_lines(serving_mart(spark, sf_dir)), ["site_name"], ["reading_date"], "line", HEADER, 100,
+                          fits=True)
 
 
 @query("cap_tokens", """SELECT doc_id, CAST(floor(length(text) / 4) AS BIGINT) AS est_tokens, md5(CASE WHEN floor(length(text) / 4) > 500
