@@ -30,7 +30,9 @@ def load_hub(hub: DataFrame, source: DataFrame, hash_key: Column, natural: Colum
 
     Spellings that hash alike become one row; of them the lowest is kept.
     """
-    rows = source.groupBy(hash_key.alias(key)).agg(F.min(natural).alias(name)).where(F.col(key).isNotNull())
+    # the distinct spellings first: hashed per task, where a minimum of text would sort every row
+    spellings = source.select(hash_key.alias(key), natural.alias(name)).where(F.col(key).isNotNull()).distinct()
+    rows = spellings.groupBy(key).agg(F.min(name).alias(name))
     return hub.unionByName(_stamped(rows_absent(rows, hub, {key: key}), load_date, record_source))
 
 

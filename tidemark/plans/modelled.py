@@ -336,7 +336,7 @@ def _spelt(spark, sf_dir):
 
 
 def _empty(spark, schema):
-    return spark.createDataFrame([], schema)
+    return inline(spark, [], schema)
 
 
 _STAMPS = "load_date timestamp_ntz, record_source string"

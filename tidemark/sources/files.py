@@ -41,18 +41,27 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None =
 
 
 def inline(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A literal relation; its size is fixed in the code."""
-    return spark.createDataFrame(list(rows), T.StructType.fromDDL(schema))
+    """A literal relation.
+
+    Built from literal columns, so that Spark knows how small it is and
+    broadcasts it without shuffling the other side of a join.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, row, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def load_seed(spark: SparkSession, name: str) -> DataFrame:
     """A bundled seed as a literal relation, so that executors need no file."""
-    schema = T.StructType.fromDDL(SEED_SCHEMAS[name])
-    parse = {T.DoubleType(): float, T.IntegerType(): int}
+    names = T.StructType.fromDDL(SEED_SCHEMAS[name]).fieldNames()
     with resources.files("tidemark.sources").joinpath("seeds", f"{name}.csv").open() as f:
-        lines = csv.DictReader(f)
-        rows = [tuple(parse.get(c.dataType, str)(r[c.name]) for c in schema.fields) for r in lines]
-    return spark.createDataFrame(rows, schema)
+        rows = [tuple(line[c] for c in names) for line in csv.DictReader(f)]
+    return inline(spark, rows, SEED_SCHEMAS[name])
 
 
 def date_spine(spark: SparkSession, start: str, n: int, name: str = "day") -> DataFrame:
