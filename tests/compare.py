@@ -1,6 +1,6 @@
 """Run registered queries on Spark and their SQL on DuckDB, and compare all rows.
 
-``python -m tests.compare [name ...]`` prints one line per query.
+``python -m tests.compare [--sf 0.1] [name ...]`` prints one line per query.
 """
 
 from __future__ import annotations
@@ -92,4 +92,7 @@ def main(names: list[str], sf_dir: str = "/root/testdata/sf0.01") -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(1 if main(sys.argv[1:]) else 0)
+    directory = "/root/testdata/sf0.01"
+    if sys.argv[1:2] == ["--sf"]:
+        directory, sys.argv[1:3] = f"/root/testdata/sf{sys.argv[2]}", []
+    sys.exit(1 if main(sys.argv[1:], directory) else 0)

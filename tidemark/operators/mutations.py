@@ -144,7 +144,7 @@ def incremental_merge(spark: SparkSession, path: str, source: DataFrame, key: Se
     staged_days = source.withColumn(day, day_of(ts))
     if full_refresh or not table_exists(spark, path):
         fresh = latest_per_key(staged_days, key, order)
-        fresh.repartition(day, *key).write.mode("overwrite").partitionBy(day).parquet(path)
+        few_files(fresh, [day]).write.mode("overwrite").partitionBy(day).parquet(path)
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
     batch = latest_per_key(rows_above_watermark(target, staged_days, ts, lookback), key, order)
@@ -152,20 +152,27 @@ def incremental_merge(spark: SparkSession, path: str, source: DataFrame, key: Se
     # a handful of days, as literals, so that the scan skips all other partitions
     days = [row[0] for row in batch.select(day).distinct().collect()]
     same_days = target.where(F.col(day).isin(days))
-    replace_partitions(merged(same_days, batch.select(*target.columns), key), path, [day], key)
+    replace_partitions(merged(same_days, batch.select(*target.columns), key), path, [day])
     return spark.read.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], spread: Sequence[str] = ()) -> None:
+def few_files(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows gathered by partition value for writing, a large partition over several tasks.
+
+    Without this every task would write a file into every partition.
+    """
+    return df.hint("rebalance", *[F.col(p) for p in partitions])
+
+
+def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Replace only the partitions the frame has rows for.
 
     The frame may read the path it replaces, so it is staged in the shared
-    folder first. Rows are shuffled on the partition and ``spread`` columns: a
-    heavy partition is written by many tasks.
+    folder first; until the replacement is complete the staged rows remain.
     """
     staged = written(df, "staged-partitions")
     (
-        staged.repartition(*partitions, *spread)
+        few_files(staged, partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
@@ -199,7 +206,7 @@ def refresh_summary(path: str, summary: DataFrame, refreshed_at: str | None = No
         ]
         marked.select(*columns).write.mode("append").partitionBy(day).parquet(path)
     if mode == "append":
-        stamped.write.mode("append").partitionBy(day).parquet(path)
+        few_files(stamped, [day]).write.mode("append").partitionBy(day).parquet(path)
     elif mode == "replace":
         replace_partitions(stamped, path, [day])
     else:

@@ -85,11 +85,12 @@ def cap_tokens(df: DataFrame, column: str, max_tokens: int = MAX_TOKENS, estimat
 
 def strip_fences(text: str | Column) -> Column:
     """The text between the first and the last brace, code fences removed."""
-    bare = F.regexp_replace(as_column(text), r"^\s+|\s+$", "")
+    blanks = F.lit(" \t\n\r\f\v")
+    bare = F.trim(as_column(text), blanks)
     bare = F.regexp_replace(bare, r"^```(?:json)?\s*", "")
     bare = F.regexp_replace(bare, r"\s*```$", "")
     braces = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
-    return F.when(braces != "", braces).otherwise(F.regexp_replace(bare, r"^\s+|\s+$", ""))
+    return F.when(braces != "", braces).otherwise(F.trim(bare, blanks))
 
 
 def _shape(value: Column) -> Column:
@@ -125,9 +126,10 @@ def parse_reports(df: DataFrame, column: str) -> DataFrame:
         "cities": list_at("$.cities"),
         "alerts": list_at("$.alerts"),
     })
-    missing = F.when(
+    parsed = parsed.withColumn("__missing", F.when(
         F.col("__ok"), F.array_sort(F.array_except(F.array(*[F.lit(k) for k in REPORT_KEYS]), _keys(doc)))
-    ).otherwise(F.array().cast("array<string>"))
+    ).otherwise(F.array().cast("array<string>")))
+    missing = F.col("__missing")
     listed = F.concat(F.lit("Missing top-level keys: ['"), F.array_join(missing, "', '"), F.lit("']"))
 
     def member_problems(member: Column, i: Column) -> Column:
@@ -146,7 +148,8 @@ def parse_reports(df: DataFrame, column: str) -> DataFrame:
         ),
         F.when(F.col("alerts").isNull(), F.array(F.lit("'alerts' is not a list"))).otherwise(none),
     )
-    return parsed.withColumn("problems", problems).withColumn("is_valid", F.size("problems") == 0).drop("__doc", "__ok")
+    return parsed.withColumn("problems", problems).withColumn("is_valid", F.size("problems") == 0).drop(
+        "__doc", "__ok", "__missing")
 
 
 def render_reports(parsed: DataFrame, name: str = "report", title: str = REPORT_TITLE) -> DataFrame:

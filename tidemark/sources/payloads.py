@@ -27,10 +27,11 @@ def ingest_payloads(df: DataFrame, json_col: str, fields: dict[str, tuple[str, s
     parsed = df.withColumn("__p", F.from_json(json_col, payload_schema(types)))
     hourly = F.col("__p")["hourly"]
     parsed = parsed.withColumn("__reason", _reject_reason(hourly, list(fields)))
-    rejects = parsed.where(F.col("__reason").isNotNull()).select(*df.columns, F.col("__reason").alias("reason"))
-    ok = flatten_hourly(parsed.where(F.col("__reason").isNull()), hourly, fields, ts_name).drop(
-        json_col, "__p", "__reason"
-    )
+    # chosen by exploding an array or NULL: a filter would be pushed below the
+    # parse and repeat it for every condition
+    reason = F.col("__reason")
+    rejects = parsed.select(*df.columns, F.explode(F.when(reason.isNotNull(), F.array(reason))).alias("reason"))
+    ok = flatten_hourly(parsed, hourly, fields, ts_name, reason.isNull()).drop(json_col, "__p", "__reason")
     return ok, rejects
 
 
@@ -47,10 +48,13 @@ def _reject_reason(hourly: Column, names: list[str]) -> Column:
 
 
 def flatten_hourly(df: DataFrame, hourly: Column, fields: dict[str, tuple[str, str]],
-                   ts_name: str = "recorded_at") -> DataFrame:
-    """One row per position of the arrays, beside the payload's own columns."""
+                   ts_name: str = "recorded_at", only: Column | None = None) -> DataFrame:
+    """One row per position of the arrays, beside the payload's own columns.
+
+    Payloads that fail ``only`` give no rows.
+    """
     zipped = F.arrays_zip(hourly["time"].alias("time"), *[hourly[name].alias(name) for name in fields])
-    rows = df.withColumn("__r", F.explode(zipped))
+    rows = df.withColumn("__r", F.explode(zipped if only is None else F.when(only, zipped)))
     return rows.withColumns({
         ts_name: F.try_to_timestamp(F.col("__r")["time"], F.lit(TIME_PATTERN)).cast("timestamp_ntz"),
         **{out: F.col("__r")[name] for name, (out, _) in fields.items()},

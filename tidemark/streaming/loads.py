@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import date_key, fixed_sum, rounded_ratio
-from tidemark.operators.mutations import replace_partitions, table_exists
+from tidemark.operators.mutations import few_files, replace_partitions, table_exists
 from tidemark.operators.windows import latest_per_key
 
 
@@ -135,10 +135,10 @@ def stream_keep_latest(changes: DataFrame, keys: Sequence[str], order: Sequence[
             days = [row[0] for row in fresh.select("load_day").distinct().collect()]
             stored = spark.read.parquet(out).where(F.col("load_day").isin(days))
             both = stored.unionByName(fresh)
-            replace_partitions(latest_per_key(both, keys, order), out, ["load_day"], keys)
+            replace_partitions(latest_per_key(both, keys, order), out, ["load_day"])
             fresh.unpersist()
         else:
-            fresh.repartition("load_day", *keys).write.partitionBy("load_day").parquet(out)
+            few_files(fresh, ["load_day"]).write.partitionBy("load_day").parquet(out)
 
     writer = changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return run_available(writer)
