@@ -111,12 +111,17 @@ def scd2_snapshot(history: DataFrame, source: DataFrame, key: Sequence[str], che
 # --- incremental loads -------------------------------------------------------------
 
 
-def rows_above_watermark(target: DataFrame, source: DataFrame, ts: str, lookback: str | None = None) -> DataFrame:
+def rows_above_watermark(target: DataFrame, source: DataFrame, ts: str, lookback: str | None = None,
+                         day: str | None = None) -> DataFrame:
     """Source rows later than the target's highest timestamp.
 
     ``lookback`` (an interval such as ``'2 hours'``) lowers the watermark so that
-    late rows still enter. An empty target lets everything in.
+    late rows still enter. An empty target lets everything in. When the target
+    is partitioned by ``day``, only its last day is searched.
     """
+    if day is not None:
+        last_day = target.agg(F.max(day)).first()[0]
+        target = target.where(F.col(day) == last_day)
     highest = target.agg(F.max(ts).cast("string")).first()[0]
     if highest is None:
         return source
@@ -147,7 +152,7 @@ def incremental_merge(spark: SparkSession, path: str, source: DataFrame, key: Se
         few_files(fresh, [day]).write.mode("overwrite").partitionBy(day).parquet(path)
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
-    batch = latest_per_key(rows_above_watermark(target, staged_days, ts, lookback), key, order)
+    batch = latest_per_key(rows_above_watermark(target, staged_days, ts, lookback, day), key, order)
     batch = written(batch, "merge-batch")
     # a handful of days, as literals, so that the scan skips all other partitions
     days = [row[0] for row in batch.select(day).distinct().collect()]

@@ -1,16 +1,22 @@
-"""Insert-only history tables: hubs of keys, links between them, satellites of attributes."""
+"""Insert-only history tables: hubs of keys, links between them, satellites of attributes.
+
+``new_*`` gives just the rows to append to a stored table; ``load_*`` gives the
+table with them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import DATE_FORMAT, SECOND_FORMAT, hash_of, normalised
 from tidemark.operators.joins import rows_absent
 from tidemark.operators.windows import latest_per_key
 
+BOOKKEEPING = ("load_date", "record_source", "load_end_date")
+
 
 def name_hash(name: str | Column) -> Column:
     return hash_of(normalised(name))
@@ -24,78 +30,95 @@ def reading_hash(name: str | Column, ts: str | Column) -> Column:
     return hash_of(normalised(name), F.date_format(ts, SECOND_FORMAT))
 
 
-def load_hub(hub: DataFrame, source: DataFrame, hash_key: Column, natural: Column, *, key: str, name: str,
-             load_date: str, record_source: str) -> DataFrame:
-    """The hub with the source's new business keys.
+# --- hubs and links --------------------------------------------------------------
+
+
+def new_hub_rows(hub: DataFrame, source: DataFrame, hash_key: Column, natural: Column, *, key: str, name: str,
+                 load_date: str, record_source: str) -> DataFrame:
+    """The source's business keys that the hub lacks.
 
     Spellings that hash alike become one row; of them the lowest is kept.
     """
     # the distinct spellings first: hashed per task, where a minimum of text would sort every row
     spellings = source.select(hash_key.alias(key), natural.alias(name)).where(F.col(key).isNotNull()).distinct()
     rows = spellings.groupBy(key).agg(F.min(name).alias(name))
-    return hub.unionByName(_stamped(rows_absent(rows, hub, {key: key}), load_date, record_source))
+    return _stamped(rows_absent(rows, hub, {key: key}), load_date, record_source)
+
 
+def load_hub(hub: DataFrame, source: DataFrame, hash_key: Column, natural: Column, **how) -> DataFrame:
+    return hub.unionByName(new_hub_rows(hub, source, hash_key, natural, **how))
 
-def load_link(link: DataFrame, source: DataFrame, hashes: dict[str, Column], carried: Sequence[str], *,
-              load_date: str, record_source: str) -> DataFrame:
-    """The link with the source's new relationships; the first hash is its key."""
+
+def new_link_rows(link: DataFrame, source: DataFrame, hashes: dict[str, Column], carried: Sequence[str], *,
+                  load_date: str, record_source: str) -> DataFrame:
+    """The source's relationships that the link lacks; the first hash is its key."""
     key = next(iter(hashes))
     rows = source.select(*[h.alias(n) for n, h in hashes.items()], *carried)
     rows = rows.where(F.col(key).isNotNull()).dropDuplicates([key])
-    return link.unionByName(_stamped(rows_absent(rows, link, {key: key}), load_date, record_source))
+    return _stamped(rows_absent(rows, link, {key: key}), load_date, record_source)
+
+
+def load_link(link: DataFrame, source: DataFrame, hashes: dict[str, Column], carried: Sequence[str],
+              **how) -> DataFrame:
+    return link.unionByName(new_link_rows(link, source, hashes, carried, **how))
+
 
+# --- satellites ------------------------------------------------------------------
 
-def load_satellite(satellite: DataFrame, source: DataFrame, hash_key: Column, *, key: str,
-                   attributes: Sequence[str], order: Sequence[str | Column], required: str | None,
-                   load_date: str, record_source: str, mode: str = "changed") -> DataFrame:
-    """The satellite with the source's attributes.
+
+def new_satellite_rows(satellite: DataFrame, source: DataFrame, hash_key: Column, *, key: str,
+                       attributes: Sequence[str], order: Sequence[str | Column], required: str | None,
+                       load_date: str, record_source: str, mode: str = "changed") -> DataFrame:
+    """The rows a load adds, all open-ended.
 
     ``mode='append'`` adds every source row on every load. ``mode='changed'``
-    keeps the source's first row by ``order`` per key, adds it only when its
-    attributes differ from the current version, and ends that version.
+    takes the source's first row by ``order`` per key, and that only when its
+    attributes differ from the key's newest stored version.
     """
     rows = source if required is None else source.where(F.col(required).isNotNull())
     keyed = rows.withColumn(key, hash_key)
     if mode == "append":
-        fresh = _stamped(keyed.select(key, *attributes), load_date, record_source)
-        return satellite.unionByName(fresh.withColumn("load_end_date", _open_end()))
-    if mode != "changed":
+        fresh = keyed.select(key, *attributes)
+    elif mode == "changed":
+        latest = latest_per_key(keyed, [key], order).select(key, *attributes)
+        newest = latest_per_key(satellite, [key], [F.col("load_date").desc()])
+        known = newest.select(F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in attributes])
+        same = F.lit(True)
+        for a in attributes:
+            same = same & F.col(a).eqNullSafe(F.col(f"__{a}"))
+        fresh = latest.join(known, (latest[key] == known["__key"]) & same, "left_anti")
+    else:
         raise ValueError(f"unknown mode {mode!r}")
-    latest = latest_per_key(keyed, [key], order).select(key, *attributes)
-    current = satellite.where(F.col("load_end_date").isNull())
-    differs = F.lit(False)
-    known = current.select(F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in attributes])
-    for a in attributes:
-        differs = differs | ~F.col(a).eqNullSafe(F.col(f"__{a}"))
-    fresh = (
-        latest.join(known, latest[key] == known["__key"], "left")
-        .where(F.col("__key").isNull() | differs)
-        .select(key, *attributes)
-    )
-    replaced = fresh.select(F.col(key).alias("__new"))
-    ended = satellite.join(
-        replaced, (satellite[key] == replaced["__new"]) & satellite["load_end_date"].isNull(), "left"
-    ).withColumn(
-        "load_end_date",
-        F.when(F.col("__new").isNotNull(), F.lit(load_date).cast("timestamp_ntz")).otherwise(F.col("load_end_date")),
-    ).drop("__new")
-    return ended.unionByName(_stamped(fresh, load_date, record_source).withColumn("load_end_date", _open_end()))
+    return _stamped(fresh, load_date, record_source).withColumn("load_end_date", F.lit(None).cast("timestamp_ntz"))
+
+
+def end_dated(satellite: DataFrame, key: str) -> DataFrame:
+    """Every version ended by the load of the next one.
+
+    Derived on reading, so that a load only ever appends. A key has one version
+    per load that changed it.
+    """
+    following = F.lead("load_date").over(Window.partitionBy(key).orderBy("load_date"))
+    return satellite.withColumn("load_end_date", following)
+
+
+def load_satellite(satellite: DataFrame, source: DataFrame, hash_key: Column, *, key: str, mode: str = "changed",
+                   **how) -> DataFrame:
+    """The satellite after a load; with ``mode='changed'`` replaced versions are ended."""
+    fresh = new_satellite_rows(satellite, source, hash_key, key=key, mode=mode, **how)
+    loaded = satellite.unionByName(fresh)
+    return end_dated(loaded, key) if mode == "changed" else loaded
 
 
 def vault_view(link: DataFrame, hubs: Sequence[tuple[DataFrame, str]], satellite: DataFrame, key: str) -> DataFrame:
     """Links with their hubs and current satellite rows."""
-    bookkeeping = ("load_date", "record_source", "load_end_date")
-    view = link.drop(*bookkeeping)
+    view = link.drop(*BOOKKEEPING)
     for hub, hub_key in hubs:
-        view = view.join(hub.drop(*bookkeeping), hub_key)
-    current = satellite.where(F.col("load_end_date").isNull()).drop(*bookkeeping)
+        view = view.join(hub.drop(*BOOKKEEPING), hub_key)
+    current = satellite.where(F.col("load_end_date").isNull()).drop(*BOOKKEEPING)
     return view.join(current, key)
 
 
-def _open_end() -> Column:
-    return F.lit(None).cast("timestamp_ntz")
-
-
 def _stamped(rows: DataFrame, load_date: str, record_source: str) -> DataFrame:
     return rows.withColumns({
         "load_date": F.lit(load_date).cast("timestamp_ntz"),

@@ -163,7 +163,9 @@ def publish_checked_mart(spark, sf_dir):
         publish(mart.where("site_name != 'ASIA'"), checks, name, shared_dir(spark))
     except Q.ChecksFailed:
         pass
-    return spark.table(name).select("site_name", "reading_date", "reading_cnt")
+    published = spark.table(name).select("site_name", "reading_date", "reading_cnt")
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    return published
 
 
 @query("summarise_failures", """WITH e AS (SELECT event_id, event_type, value, event_id % 4 AS s FROM events),
