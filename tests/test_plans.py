@@ -56,7 +56,7 @@ def test_sorted_limit_is_a_top_k(spark):
 def test_subtotals_expand_after_the_first_aggregate(spark):
     text = plan(spark, "rollup_sites")
     # printed top down: the expansion stands above the first pair of aggregates
-    assert text.index("Expand") < text.rindex("HashAggregate", 0, text.index("Scan parquet"))
+    assert text.count("HashAggregate", text.index("Expand"), text.index("Scan parquet")) >= 2
 
 
 def test_fused_row_checks_share_a_scan(spark):

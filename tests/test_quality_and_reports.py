@@ -153,6 +153,13 @@ def test_block_is_cut_at_the_cap(frame):
         assert block == whole[:80]
 
 
+@pytest.mark.parametrize("length, kept", [(80, 80), (83, 83), (84, 80), (85, 80)])
+def test_block_is_cut_only_a_whole_token_over_the_cap(frame, length, kept):
+    lines = frame([(1, "x" * 40), (2, "y" * (length - 46))], "i int, line string")
+    block = R.render_block(lines, [], ["i"], "line", "head", 20).first()["block"]
+    assert len(block) == kept
+
+
 def test_empty_block_has_a_message(frame):
     empty = frame([], "i int, line string")
     assert R.render_block(empty, [], ["i"], "line", "head").first()["block"] == R.EMPTY_BLOCK

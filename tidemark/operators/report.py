@@ -46,28 +46,28 @@ def summary_line(fields: dict[str, str]) -> Column:
 
 def render_block(lines: DataFrame, group: Sequence[str], order: Sequence[str], line: str, header: str,
                  max_tokens: int = MAX_TOKENS, name: str = "block", fits: bool = False) -> DataFrame:
-    """Each group's lines under a header as one text, cut at ``max_tokens``.
+    """Each group's lines under a header as one text, cut at the token cap.
 
     Lines that start beyond the cut cannot appear, so they are left out before
     the rest is gathered: what a task gathers is bounded by the cut, however
     many lines the group has.
     """
-    limit = max_tokens * CHARS_PER_TOKEN
+    # a text is cut when it is a whole token longer than the cap: enough is
+    # gathered to see that
+    reach = (max_tokens + 1) * CHARS_PER_TOKEN + 1
     if not group:
-        # a line takes at least its newline, so no later line can start before the cut
-        lines = lines.orderBy(*order).limit(limit)
+        # a line takes at least its newline, so no later line can start within reach
+        lines = lines.orderBy(*order).limit(reach)
     # the header counts in front of every line, each with its newline
     ends = running(lines, group, [F.col(c) for c in order], {"__end": ("sum", F.length(line) + 1)}, fits=fits or not group)
     starts = F.col("__end") - F.length(line) + F.lit(len(header))
-    gathered = ends.where(starts < limit).groupBy(*group).agg(
+    gathered = ends.where(starts < reach).groupBy(*group).agg(
         F.array_sort(F.collect_list(F.struct(*order, F.col(line).alias("__line")))).alias("__rows")
     )
     text = F.concat_ws("\n", F.lit(header), F.transform("__rows", lambda r: r["__line"]))
-    cut = F.substring(text, 1, limit).alias(name)
-    if group:
-        return gathered.select(*group, cut)
     # an empty mart gives the standing message
-    return gathered.select(F.when(F.size("__rows") == 0, EMPTY_BLOCK).otherwise(cut).alias(name))
+    whole = gathered.withColumn(name, F.when(F.size("__rows") == 0, EMPTY_BLOCK).otherwise(text))
+    return cap_tokens(whole, name, max_tokens, "__est").select(*group, name)
 
 
 def cap_tokens(df: DataFrame, column: str, max_tokens: int = MAX_TOKENS, estimate_name: str = "est_tokens") -> DataFrame:

@@ -10,7 +10,7 @@ from tidemark.operators.joins import missing_members
 from tidemark.plans.bindings import READINGS, readings, sites, table
 from tidemark.plans.modelled import serving_mart
 from tidemark.plans.registry import Family
-from tidemark.session import scratch_path, shared_dir
+from tidemark.session import scratch_path, shared_dir, unique_name
 from tidemark.sources.sinks import publish
 
 FAMILY = Family()
@@ -145,7 +145,7 @@ SELECT r_name AS site_name, CAST(slot AS DATE) AS reading_date, count(*) AS read
 FROM s JOIN region ON site = r_regionkey GROUP BY ALL""")
 def publish_checked_mart(spark, sf_dir):
     """A mart that passes is published; a second version that fails leaves readers on the first."""
-    name = "mart_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("mart")
     mart = serving_mart(spark, sf_dir)
     members = sites(spark, sf_dir).select("site_name")
 

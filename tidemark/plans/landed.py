@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.bindings import READINGS, readings, table
 from tidemark.plans.registry import Family
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, unique_name
 from tidemark.sources import files, payloads, sinks
 
 FAMILY = Family()
@@ -136,14 +136,14 @@ def append_checked(spark, sf_dir):
 
 @query("materialised_view", """SELECT event_type, count(*) AS n FROM events GROUP BY ALL""")
 def materialised_view(spark, sf_dir):
-    name = "v_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("event_counts")
     counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return sinks.materialize(counts, "view", name)
 
 
 @query("materialised_table", """SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL""")
 def materialised_table(spark, sf_dir):
-    name = "t_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    name = unique_name("daily_counts")
     counts = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n"))
     stored = sinks.materialize(counts, "table", name)

@@ -175,15 +175,17 @@ def rolling_seven_rows(spark, sf_dir):
     return rows.select("sensor", "day", "daily_mean", "rolling_mean")
 
 
-@query("rolling_seven_days", f"""WITH {READINGS}, {_DAILY.replace('value IS NOT NULL', 'dayofmonth(ts) % 4 <> 0')}
-SELECT sensor, day, daily_mean, {_WEEK} AS rolling_mean
-FROM daily WINDOW w AS (PARTITION BY sensor ORDER BY day
+@query("rolling_seven_days", f"""WITH {READINGS}, daily AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, {exact_sql('value')} AS exact_mean FROM readings GROUP BY ALL)
+SELECT user_id, day, {_WEEK} AS rolling_mean
+FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY day
   RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""")
 def rolling_seven_days(spark, sf_dir):
-    """Calendar days instead of rows, on a series with missing days."""
-    days = _daily(spark, sf_dir).where(F.dayofmonth("day") % 4 != 0)
-    rows = W.rolling_periods(days, ["sensor"], "day", "exact_mean", 7, "rolling_mean", mode="days", scale=6)
-    return rows.select("sensor", "day", "daily_mean", "rolling_mean")
+    """Calendar days instead of rows: users have days without readings."""
+    days = readings(spark, sf_dir).groupBy("user_id", day_of("ts").alias("day")).agg(
+        exact_mean("value").alias("exact_mean"))
+    rows = W.rolling_periods(days, ["user_id"], "day", "exact_mean", 7, "rolling_mean", mode="days", scale=6)
+    return rows.select("user_id", "day", "rolling_mean")
 
 
 @query("running_max_of_days", f"""WITH {READINGS}, {_DAILY}

@@ -58,7 +58,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/{unique_name(name)}"
+
+
+def unique_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex}"
 
 
 def max_group_rows(spark: SparkSession) -> int:

@@ -60,7 +60,8 @@ def load_seed(spark: SparkSession, name: str) -> DataFrame:
     """A bundled seed as a literal relation, so that executors need no file."""
     names = T.StructType.fromDDL(SEED_SCHEMAS[name]).fieldNames()
     with resources.files("tidemark.sources").joinpath("seeds", f"{name}.csv").open() as f:
-        rows = [tuple(line[c] for c in names) for line in csv.DictReader(f)]
+        lines = csv.DictReader(line for line in f if not line.startswith("#"))
+        rows = [tuple(line[c] for c in names) for line in lines]
     return inline(spark, rows, SEED_SCHEMAS[name])
 
 

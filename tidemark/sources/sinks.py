@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import as_of_or_now
 from tidemark.operators.quality import Check, gate, run_checks
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, unique_name
 
 
 def stamp_load(df: DataFrame, run: str, loaded_at: str | None, required: str, upper: bool = True) -> DataFrame:
@@ -92,7 +92,7 @@ def publish(df: DataFrame, checks: Callable[[DataFrame], Sequence[Check]], table
     ``table`` keep the former files until the move, and after a failure.
     """
     spark: SparkSession = df.sparkSession
-    path = f"{root.rstrip('/')}/{table}-{scratch_path(spark, 'v').rsplit('-', 1)[1]}"
+    path = f"{root.rstrip('/')}/{unique_name(table)}"
     df.write.parquet(path)
     candidate = spark.read.schema(df.schema).parquet(path)
     results = run_checks(candidate, checks(candidate))
