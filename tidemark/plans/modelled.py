@@ -243,7 +243,7 @@ def incremental_merge(spark, sf_dir):
 
 
 @query("incremental_lookback", f"""WITH early AS ({_FACT.format(where="ts < TIMESTAMP '2024-01-16' AND minute(ts) < 30")}),
-late AS ({_FACT.format(where="ts >= TIMESTAMP '2024-01-15 20:00:00'")})
+late AS ({_FACT.format(where="date_trunc('hour', ts) > (SELECT max(recorded_at) FROM early) - INTERVAL 4 HOUR")})
 SELECT * FROM late UNION ALL SELECT * FROM early WHERE reading_sk NOT IN (SELECT reading_sk FROM late)""")
 def incremental_lookback(spark, sf_dir):
     """Late rows within four hours of the watermark enter, older ones do not."""
