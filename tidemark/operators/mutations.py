@@ -156,6 +156,8 @@ def incremental_merge(spark: SparkSession, path: str, source: DataFrame, key: Se
     batch = written(batch, "merge-batch")
     # a handful of days, as literals, so that the scan skips all other partitions
     days = [row[0] for row in batch.select(day).distinct().collect()]
+    if not days:
+        return target
     same_days = target.where(F.col(day).isin(days))
     replace_partitions(merged(same_days, batch.select(*target.columns), key), path, [day])
     return spark.read.parquet(path)

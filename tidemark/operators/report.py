@@ -84,22 +84,20 @@ def cap_tokens(df: DataFrame, column: str, max_tokens: int = MAX_TOKENS, estimat
 
 
 def strip_fences(text: str | Column) -> Column:
-    """The text between the first and the last brace, code fences removed."""
-    blanks = F.lit(" \t\n\r\f\v")
-    bare = F.trim(as_column(text), blanks)
-    bare = F.regexp_replace(bare, r"^```(?:json)?\s*", "")
-    bare = F.regexp_replace(bare, r"\s*```$", "")
-    braces = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
-    return F.when(braces != "", braces).otherwise(F.trim(bare, blanks))
-
+    """The text from the first brace to the last, or without code fences when it has no braces.
 
-def _shape(value: Column) -> Column:
-    """Leading word of a variant's type: OBJECT, ARRAY, STRING, ..."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
+    Fences lie outside the braces, so cutting at the braces drops them too.
+    """
+    text = as_column(text)
+    blanks = F.lit(" \t\n\r\f\v")
+    bare = F.regexp_replace(F.trim(text, blanks), r"^```(?:json)?\s*", "")
+    bare = F.trim(F.regexp_replace(bare, r"\s*```$", ""), blanks)
+    return F.coalesce(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")), bare)
 
 
-def _keys(value: Column) -> Column:
-    return F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+def _members(value: Column) -> Column:
+    """An object's entries, NULL for any other variant."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
 def parse_reports(df: DataFrame, column: str) -> DataFrame:
@@ -109,47 +107,43 @@ def parse_reports(df: DataFrame, column: str) -> DataFrame:
     not a list), ``alerts``, ``problems`` and ``is_valid``. Text that is not a
     JSON object gives the fallback record, never a failed task.
     """
-    doc = F.col("__doc")
-    is_object = F.coalesce(_shape(doc) == "OBJECT", F.lit(False))
-    parsed = df.withColumn("__doc", F.try_parse_json(strip_fences(column))).withColumn("__ok", is_object)
-    empty = F.lit("[]")
+    doc, is_object = F.col("__doc"), F.col("__entries").isNotNull()
+    parsed = df.withColumn("__doc", F.try_parse_json(strip_fences(column))).withColumn("__entries", _members(doc))
+    none = F.array().cast("array<string>")
 
     def list_at(path: str) -> Column:
-        return F.when(F.col("__ok"), F.try_variant_get(doc, path, "array<variant>")).otherwise(
-            F.try_variant_get(F.parse_json(empty), "$", "array<variant>")
-        )
+        empty = F.array().cast("array<variant>")
+        return F.when(is_object, F.try_variant_get(doc, path, "array<variant>")).otherwise(empty)
+
+    def lacking(keys: Sequence[str], entries: Column) -> Column:
+        return F.array_except(F.array(*[F.lit(k) for k in keys]), F.map_keys(entries))
 
     parsed = parsed.withColumns({
-        "parse_failed": ~F.col("__ok"),
-        "overview": F.when(F.col("__ok"), F.try_variant_get(doc, "$.overview", "string"))
+        "parse_failed": ~is_object,
+        "overview": F.when(is_object, F.try_variant_get(doc, "$.overview", "string"))
         .when(doc.isNull(), UNPARSED_OVERVIEW).otherwise(MISSHAPEN_OVERVIEW),
         "cities": list_at("$.cities"),
         "alerts": list_at("$.alerts"),
+        "__missing": F.when(is_object, F.array_sort(lacking(REPORT_KEYS, F.col("__entries")))).otherwise(none),
     })
-    parsed = parsed.withColumn("__missing", F.when(
-        F.col("__ok"), F.array_sort(F.array_except(F.array(*[F.lit(k) for k in REPORT_KEYS]), _keys(doc)))
-    ).otherwise(F.array().cast("array<string>")))
     missing = F.col("__missing")
     listed = F.concat(F.lit("Missing top-level keys: ['"), F.array_join(missing, "', '"), F.lit("']"))
 
-    def member_problems(member: Column, i: Column) -> Column:
+    def member_problems(entries: Column, i: Column) -> Column:
         place = F.concat(F.lit("cities["), i.cast("string"), F.lit("]"))
-        absent = F.array_except(F.array(*[F.lit(k) for k in MEMBER_KEYS]), _keys(member))
-        return F.when(
-            F.coalesce(_shape(member) == "OBJECT", F.lit(False)),
-            F.transform(absent, lambda k: F.concat(place, F.lit(" missing '"), k, F.lit("'"))),
-        ).otherwise(F.array(F.concat(place, F.lit(" is not an object"))))
+        return F.when(entries.isNull(), F.array(F.concat(place, F.lit(" is not an object")))).otherwise(
+            F.transform(lacking(MEMBER_KEYS, entries), lambda k: F.concat(place, F.lit(" missing '"), k, F.lit("'")))
+        )
 
-    none = F.array().cast("array<string>")
     problems = F.concat(
         F.when(F.size(missing) > 0, F.array(listed)).otherwise(none),
         F.when(F.col("cities").isNull(), F.array(F.lit("'cities' is not a list"))).otherwise(
-            F.flatten(F.transform("cities", member_problems))
+            F.flatten(F.transform(F.transform("cities", _members), member_problems))
         ),
         F.when(F.col("alerts").isNull(), F.array(F.lit("'alerts' is not a list"))).otherwise(none),
     )
     return parsed.withColumn("problems", problems).withColumn("is_valid", F.size("problems") == 0).drop(
-        "__doc", "__ok", "__missing")
+        "__doc", "__entries", "__missing")
 
 
 def render_reports(parsed: DataFrame, name: str = "report", title: str = REPORT_TITLE) -> DataFrame:
