@@ -58,6 +58,15 @@ def test_history_opens_and_closes_versions(frame):
         (2, None, d(1), d(2), False), (2, "z", d(2), None, True)], key=repr)
 
 
+def test_several_changes_of_a_key_in_one_batch(frame, dim):
+    history = U.scd2_snapshot(frame([], HISTORY), frame([(1, "x", 1), (1, "y", 2)], "k int, state string, seq int"),
+                              ["k"], ["state"], "2024-01-01", order=newest())
+    assert rows(history, "k", "state") == [(1, "y")]
+    source = frame([(1, "p", 1), (1, "q", 2), (9, "r", 1), (9, "s", 2)], "k int, state string, seq int")
+    result = U.upsert(dim, source, ["k"], ["state"], ["state"], order=newest())
+    assert [r for r in rows(result, "k", "state") if r[0] in (1, 9)] == [(1, "q"), (9, "s")]
+
+
 FACT = "k string, ts timestamp_ntz, value double, seq int"
 def newest():
     return [F.col("seq").desc()]

@@ -102,3 +102,21 @@ def test_keep_latest_equals_batch_whatever_the_order(spark, feed, frame):
         L.stream_keep_latest(feed.stream(), ["city", "load_day"], order, day_of("ts"), out, checkpoint)
     batch = latest_per_key(frame(data, SCHEMA).withColumn("load_day", day_of("ts")), ["city", "load_day"], order)
     assert rows(spark.read.parquet(out), "city", "load_day", "id") == rows(batch, "city", "load_day", "id")
+
+
+@pytest.fixture(params=["UTC", "Asia/Kolkata", "America/New_York"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_days_and_slots_are_those_of_the_reading(spark, zone, feed):
+    feed([(1, "a", t(0, 10), 1.0), (2, "a", t(23, 50), 3.0), (3, "a", t(0, 5, 2), 8.0), (4, "a", t(9, 0, 2), 8.0)])
+    out = scratch_path(spark, "summary")
+    L.stream_daily_summary(feed.stream(), ["city"], "ts", "value", "1 day", out, scratch_path(spark, "offsets"))
+    days = rows(L.latest_batches(spark, out, ["city", "summary_date"]), "summary_date", "daily_mean")
+    assert days == [(t(0).date(), 2.0), (t(0, 0, 2).date(), 8.0)]
+    out = scratch_path(spark, "first")
+    L.stream_keep_first(feed.stream(), ["city"], "ts", ["ts", "id"], ["id"], "1 hour", out, scratch_path(spark, "offsets"))
+    assert rows(spark.read.parquet(out), "slot", "id") == [(t(0), 1), (t(23), 2), (t(0, 0, 2), 3)]

@@ -30,13 +30,16 @@ def _touched(target: DataFrame, source: DataFrame, on: Sequence[str], only: Colu
 
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[str], changed: Sequence[str],
            set_cols: Sequence[str], only: Column | None = None, insert: bool = True,
-           insert_defaults: dict[str, Column] | None = None, null_safe: bool = False) -> DataFrame:
+           insert_defaults: dict[str, Column] | None = None, null_safe: bool = False,
+           order: Sequence[str | Column] | None = None) -> DataFrame:
     """Update matched rows when a ``changed`` column differs, insert unmatched ones.
 
-    ``source`` holds one row per key. ``only`` limits which target rows can
-    match. A plain comparison with a NULL is not a change; ``null_safe`` makes
-    it one.
+    ``source`` holds one row per key, or several of which the first by
+    ``order`` counts. ``only`` limits which target rows can match. A plain
+    comparison with a NULL is not a change; ``null_safe`` makes it one.
     """
+    if order is not None:
+        source = latest_per_key(source, on, order)
     differs = F.lit(False)
     for c in changed:
         s = F.col(f"__s_{c}")
@@ -76,12 +79,17 @@ def soft_delete(target: DataFrame, keep: DataFrame, key: str, as_of: str | None
 
 
 def scd2_snapshot(history: DataFrame, source: DataFrame, key: Sequence[str], check_cols: Sequence[str],
-                  as_of: str, close_missing: bool = False) -> DataFrame:
-    """History after one snapshot of ``source`` (one row per key) at ``as_of``.
+                  as_of: str, close_missing: bool = False,
+                  order: Sequence[str | Column] | None = None) -> DataFrame:
+    """History after one snapshot of ``source`` at ``as_of``.
 
+    ``source`` holds one row per key, or several of which the first by
+    ``order`` is the snapshot.
     ``history`` has the source's columns plus ``valid_from``, ``valid_to`` and
     ``is_current``. Running the same source again changes nothing.
     """
+    if order is not None:
+        source = latest_per_key(source, key, order)
     instant = F.lit(as_of).cast("timestamp_ntz")
     closed, current = history.where(~F.col("is_current")), history.where("is_current")
     joined = _touched(current, source.select(*key, *check_cols), key, None)

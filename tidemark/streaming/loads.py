@@ -47,8 +47,17 @@ def stream_fact_load(changes: DataFrame, dim: DataFrame, natural: dict[str, str]
 
 
 def event_time(ts: str) -> Column:
-    """A watermark needs an instant; a zone-less timestamp is read in the session zone."""
-    return F.col(ts).cast("timestamp")
+    """The instant whose UTC clock shows the zone-less timestamp.
+
+    A watermark needs an instant, and windows align to UTC days and hours: this
+    way they align to the timestamp's own, whatever the session zone.
+    """
+    return F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
+
+
+def clock_time(at: Column) -> Column:
+    """Back from such an instant to the zone-less timestamp."""
+    return F.to_utc_timestamp(at, F.current_timezone()).cast("timestamp_ntz")
 
 
 def stream_daily_summary(changes: DataFrame, keys: Sequence[str], ts: str, value: str, delay: str,
@@ -65,7 +74,7 @@ def stream_daily_summary(changes: DataFrame, keys: Sequence[str], ts: str, value
         .agg(fixed_sum(value).alias("__sum"), F.count(value).alias("__cnt"), F.count(F.lit(1)).alias("row_count"))
         .select(
             *keys,
-            F.to_date(F.col("__w")["start"]).alias("summary_date"),
+            F.to_date(clock_time(F.col("__w")["start"])).alias("summary_date"),
             rounded_ratio(F.col("__sum"), F.col("__cnt")).alias("daily_mean"),
             "row_count",
         )
@@ -97,7 +106,7 @@ def stream_keep_first(changes: DataFrame, keys: Sequence[str], ts: str, order: S
     first = at.groupBy(*keys, F.window("__at", slot).alias("__w")).agg(
         F.min_by(F.struct(*payload), F.struct(*order)).alias("__row")
     )
-    rows = first.select(*keys, F.col("__w")["start"].cast("timestamp_ntz").alias("slot"), "__row.*")
+    rows = first.select(*keys, clock_time(F.col("__w")["start"]).alias("slot"), "__row.*")
     writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     return run_available(writer.outputMode("append"))
 
