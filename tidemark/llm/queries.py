@@ -64,7 +64,7 @@ places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM doc_
 found AS (
   SELECT r, k, p.size, item FROM (SELECT r, k, size, list_aggregate(w[k:k + size - 1], 'string_agg', ' ') AS win FROM places) p
   JOIN windows v ON v.win = p.win AND v.size = p.size),
-hits AS (SELECT r, count(DISTINCT at) AS n FROM (SELECT r, unnest(range(k, k + size)) AS at FROM found) GROUP BY r),
+hits AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(k, k + size)) AS place FROM found) GROUP BY r),
 items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS named FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(named, '')) AS items_sha256,
