@@ -42,6 +42,7 @@ RESULT = f"array<{SAMPLE}>"
 
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 19
+_PART_CHUNKS = 20_000  # chunks whose descents run side by side
 
 
 @dataclass
@@ -119,6 +120,14 @@ class Vocabulary:
         return begins, np.where(begins, values[slot], -1)
 
 
+class Numbers(dict):
+    """Consecutive numbers for the distinct chunks of a batch, given at first sight."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        return number
+
+
 class Lattices:
     """Lattices of distinct chunks: one node per character, arcs grouped by the node they leave.
 
@@ -133,152 +142,201 @@ class Lattices:
         self.start = ends - lengths
         n = len(codes)
         left = np.repeat(ends, lengths) - np.arange(n)  # characters to the end of the chunk
-        source, size, piece = [], [], []
-        alive, key = np.arange(n), np.zeros(n, np.uint64)
-        single = np.zeros(n, bool)
-        width = 0
+        levels = []  # per length of a piece: the nodes it leaves, and its index (-1: the character's bytes)
+        alive, key, width = np.arange(n), np.zeros(n, np.uint64), 0
         while len(alive):
             key = key * _STEP + codes[alive + width] + np.uint64(1)
             width += 1
             begins, index = vocabulary.find(key)
-            whole = index >= 0
-            source.append(alive[whole])
-            piece.append(index[whole])
-            size.append(np.full(int(whole.sum()), width))
-            if width == 1:
-                single[alive[whole]] = True
+            whole = (index >= 0) | (width == 1)
+            levels.append((alive[whole], index[whole]))
             further = begins & (left[alive] > width)
             alive, key = alive[further], key[further]
-        source, piece, size = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (source, piece, size))
-        bare = np.flatnonzero(~single)
-        n_bytes = 1 + (codes[bare] > 0x7F) + (codes[bare] > 0x7FF) + (codes[bare] > 0xFFFF)
-        bare_ids = np.where(n_bytes == 1, vocabulary.bytes_[np.minimum(codes[bare], 127).astype(np.int64)],
-                            -1 - codes[bare].astype(np.int64))
-        ids = np.concatenate([vocabulary.ids[piece].astype(np.int64), bare_ids])
-        score = np.concatenate([vocabulary.scores[piece], vocabulary.byte_score * n_bytes])
-        source, size = np.concatenate([source, bare]), np.concatenate([size, np.ones(len(bare), np.int64)])
-        order = np.argsort(left[source] * (n + 1) + source)  # by distance from the end, then by node
-        source, size, score, self.ids = source[order], size[order], score[order], ids[order]
-        self.target = np.where(size == left[source], -1, source + size)
-        first_of_run = np.flatnonzero(np.diff(source, prepend=-1))
-        self.first, self.count = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.first[source[first_of_run]] = first_of_run
-        self.count[source[first_of_run]] = np.diff(np.append(first_of_run, len(source)))
+        # arcs lie by distance from the end, then by node, then by length
+        order = np.argsort(left.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else left, kind="stable")
+        self.count = np.zeros(n, np.int64)
+        for source, _ in levels:
+            self.count[source] += 1
+        self.first = np.empty(n, np.int64)
+        self.first[order] = np.cumsum(self.count[order]) - self.count[order]
+        total = int(self.count.sum())
+        source_of, self.ids, self.target = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total, np.int64)
+        score = np.empty(total)
+        filled = self.first.copy()
+        for width, (source, index) in enumerate(levels, 1):
+            at = filled[source]
+            filled[source] += 1
+            source_of[at], score[at], self.ids[at] = source, vocabulary.scores[index], vocabulary.ids[index]
+            self.target[at] = np.where(left[source] == width, -1, source + width)
+            if width == 1 and (index < 0).any():
+                bare, cell = source[index < 0], at[index < 0]
+                code = codes[bare].astype(np.int64)
+                n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+                self.ids[cell] = np.where(n_bytes == 1, vocabulary.bytes_[np.minimum(code, 127)], -1 - code)
+                score[cell] = vocabulary.byte_score * n_bytes
         # log-sums of all paths from a node to the end of its chunk, nearest nodes first
         sums = np.zeros(n + 1)  # the last stands for the end
-        total = score.copy()
-        levels = np.flatnonzero(np.diff(left[source], prepend=0, append=0))
-        for a, b in zip(levels[:-1], levels[1:]):
-            total[a:b] += sums[self.target[a:b]]
-            sums[n] = 0.0
-            runs = first_of_run[np.searchsorted(first_of_run, a):np.searchsorted(first_of_run, b)]
-            top = np.maximum.reduceat(total, runs) if b == len(total) else np.maximum.reduceat(total[:b], runs)
-            spread = np.exp(total[a:b] - np.repeat(top, np.diff(np.append(runs, b))))
-            sums[source[runs]] = top + np.log(np.add.reduceat(spread, runs - a))
-        self.log_p = total - sums[source]
+        by_level = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
+        for a, b in zip(by_level[:-1], by_level[1:]):
+            nodes = order[a:b]
+            runs = self.first[nodes]
+            low, high = int(runs[0]), int(runs[-1] + self.count[nodes[-1]])
+            score[low:high] += sums[self.target[low:high]]
+            top = np.maximum.reduceat(score[low:high], runs - low)
+            spread = np.exp(score[low:high] - np.repeat(top, self.count[nodes]))
+            sums[nodes] = top + np.log(np.add.reduceat(spread, runs - low))
+        self.log_p = score - sums[source_of]
         self.race = np.exp(-self.log_p)
 
 
 @dataclass
 class Path:
-    """A segmentation: per visited node its chunk, arc, and the log-probability before it; whole log-probability."""
+    """A segmentation: per visited node its chunk's place, its arc and the log-probability before it."""
 
-    chunk: np.ndarray
+    place: np.ndarray
     arc: np.ndarray
     before: np.ndarray
     log_prob: float
     perturbed: float
 
 
-class TextSampler:
-    """Perturbed best-first search over the segmentations of one text."""
-
-    def __init__(self, lattices: Lattices, chunks: np.ndarray, rng: np.random.Generator):
-        self.lattices, self.chunks, self.rng = lattices, chunks, rng
-
-    def complete(self, prefix_chunk: np.ndarray, prefix_arc: np.ndarray, prefix_before: np.ndarray, at: float,
-                 next_chunk: int, node: int, perturbed: float, wanted: int) -> tuple[Path, list[tuple]]:
-        """Follow inherited maxima from a node to a segmentation.
-
-        Each arc draws an exponential time; the arc with the least time over
-        probability inherits the maximum. A sibling's perturbed score is
-        ``-log(exp(-perturbed) + x)`` with x the lead it lost by, over the
-        probability of the prefix; only the ``wanted`` best can ever be popped.
-        """
-        lat = self.lattices
-        chunk = np.arange(next_chunk, len(self.chunks))
-        nodes = lat.start[self.chunks[next_chunk:]]
-        if node >= 0:  # the rest of a chunk already begun
-            chunk, nodes = np.concatenate([[next_chunk - 1], chunk]), np.concatenate([[node], nodes])
-        seen_chunk, seen_arc, rival_chunk, rival_step, rival_arc, rival_lead = [], [], [], [], [], []
-        step = 0
-        while len(nodes):
-            count = lat.count[nodes]
-            offset = np.cumsum(count) - count
-            arcs = np.repeat(lat.first[nodes] - offset, count) + np.arange(int(offset[-1] + count[-1]))
-            times = self.rng.standard_exponential(len(arcs)) * lat.race[arcs]
-            best = np.minimum.reduceat(times, offset)
-            lead = times - np.repeat(best, count)
-            winner = np.flatnonzero(lead == 0)
-            if len(winner) > len(nodes):  # a tie, of which the first arc counts
-                owner = np.repeat(np.arange(len(nodes)), count)[winner]
-                winner = winner[np.unique(owner, return_index=True)[1]]
-            chosen = arcs[winner]
-            seen_chunk.append(chunk)
-            seen_arc.append(chosen)
-            lost = np.ones(len(arcs), bool)
-            lost[winner] = False
-            lost = np.flatnonzero(lost)
-            rival_chunk.append(np.repeat(chunk, count)[lost])
-            rival_step.append(np.full(len(lost), step))
-            rival_arc.append(arcs[lost])
-            rival_lead.append(lead[lost])
-            target = lat.target[chosen]
-            going = target >= 0
-            nodes, chunk, step = target[going], chunk[going], step + 1
-        if not seen_arc:
-            return Path(prefix_chunk, prefix_arc, prefix_before, at, perturbed), []
-        all_chunk, all_arc = np.concatenate(seen_chunk), np.concatenate(seen_arc)
-        all_step = np.repeat(np.arange(step), [len(c) for c in seen_chunk])
-        order = np.argsort(all_chunk * step + all_step)
-        all_chunk, all_arc, all_step = all_chunk[order], all_arc[order], all_step[order]
-        gained = np.cumsum(lat.log_p[all_arc])
-        before = at + gained - lat.log_p[all_arc]
-        path = Path(np.concatenate([prefix_chunk, all_chunk]), np.concatenate([prefix_arc, all_arc]),
-                    np.concatenate([prefix_before, before]), at + float(gained[-1]), perturbed)
-        rival_chunk, rival_step = np.concatenate(rival_chunk), np.concatenate(rival_step)
-        rival_arc, rival_lead = np.concatenate(rival_arc), np.concatenate(rival_lead)
-        visit = np.searchsorted(all_chunk * step + all_step, rival_chunk * step + rival_step)
-        worth = before[visit] - np.log(np.maximum(rival_lead, 1e-300))  # of a sibling; x is exp(-worth)
-        if len(worth) > wanted:
-            kept = np.argpartition(-worth, wanted - 1)[:wanted]
-        else:
-            kept = np.arange(len(worth))
-        rivals = []
-        for k in kept:
-            score = -float(np.logaddexp(-perturbed, -worth[k]))
-            rivals.append((-score, len(prefix_arc) + int(visit[k]), int(rival_arc[k])))
-        return path, rivals
-
-    def sample(self, k: int) -> tuple[list[Path], float]:
-        """The ``k`` best segmentations by perturbed score (all, if there are fewer), and the next best score."""
-        none, nothing = np.zeros(0, np.int64), np.zeros(0)
-        root = -float(np.log(self.rng.standard_exponential()))
-        path, rivals = self.complete(none, none, nothing, 0.0, 0, -1, root, k)
-        found, queue = [path], [(score, 0, at, arc) for score, at, arc in rivals]
-        heapq.heapify(queue)
-        while queue and len(found) < k:
-            score, parent, at, arc = heapq.heappop(queue)
-            old = found[parent]
-            chunk = int(old.chunk[at])
-            reached = float(old.before[at]) + float(self.lattices.log_p[arc])
-            path, rivals = self.complete(
-                np.append(old.chunk[:at], chunk), np.append(old.arc[:at], arc), np.append(old.before[:at], old.before[at]),
-                reached, chunk + 1, int(self.lattices.target[arc]), -score, k)
-            found.append(path)
-            for entry in rivals:
-                heapq.heappush(queue, (entry[0], len(found) - 1, entry[1], entry[2]))
-        return found, -queue[0][0] if queue else -np.inf
+@dataclass
+class Search:
+    """Where a descent starts: a text's chunks, the first chunk not begun, a node inside the one before (or -1)."""
+
+    chunks: np.ndarray
+    key: int
+    prefix: Path | None
+    next_place: int
+    node: int
+    log_prob: float
+    perturbed: float
+
+
+def exponential_times(base: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Exponential variates of counters: the ``number``-th of each base, whatever the order of the calls."""
+    x = base + number.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return -np.log(((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+
+
+def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Path, list[tuple[float, int, int]]]]:
+    """Follow inherited maxima from every search's node to a segmentation; its siblings worth keeping.
+
+    Each arc draws an exponential time; the arc with the least time over
+    probability inherits the maximum. A sibling's perturbed score is
+    ``-log(exp(-perturbed) + x)`` with x the lead it lost by, over the
+    probability of the prefix; only the ``wanted`` best of a descent can ever be
+    popped. Siblings are (score, number of the visited node, arc).
+    """
+    inside = np.array([s.node >= 0 for s in searches])
+    begin = np.array([s.next_place for s in searches]) - inside
+    size = np.array([len(s.chunks) for s in searches]) - begin
+    item = np.repeat(np.arange(len(searches)), size)
+    lane_at = np.cumsum(size) - size
+    place = np.arange(len(item)) - np.repeat(lane_at - begin, size)
+    start = lat.start[np.concatenate([s.chunks[b:] for s, b in zip(searches, begin)])] if len(item) else np.zeros(0, np.int64)
+    start[lane_at[inside]] = [s.node for s in searches if s.node >= 0]
+    keys = np.array([s.key for s in searches], np.uint64)
+    base = keys[item] + place.astype(np.uint64) * _MIX
+    lane, nodes, steps = np.arange(len(item)), start, []
+    while len(nodes):
+        count = lat.count[nodes]
+        offset = np.cumsum(count) - count
+        number = np.arange(int(offset[-1] + count[-1])) - np.repeat(offset, count)
+        arcs = np.repeat(lat.first[nodes], count) + number
+        times = exponential_times(np.repeat(base[lane] + np.uint64(len(steps)) * _STEP, count), number) * lat.race[arcs]
+        best = np.minimum.reduceat(times, offset)
+        winner = np.flatnonzero(times == np.repeat(best, count))
+        if len(winner) > len(nodes):  # a tie, of which the first arc counts
+            winner = winner[np.unique(np.repeat(np.arange(len(nodes)), count)[winner], return_index=True)[1]]
+        times[winner] = np.inf
+        chosen = arcs[winner]
+        steps.append((lane, nodes, chosen, np.minimum.reduceat(times, offset) - best))
+        target = lat.target[chosen]
+        going = target >= 0
+        nodes, lane = target[going], lane[going]
+    visits = np.zeros(len(item), np.int64)
+    for at, *_ in steps:
+        visits[at] += 1
+    first_visit = np.cumsum(visits) - visits
+    total = int(visits.sum())
+    arc, node, lead, step_of = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total), np.empty(total, np.int64)
+    for number, (at, nodes, chosen, behind) in enumerate(steps):
+        cell = first_visit[at] + number
+        arc[cell], node[cell], lead[cell], step_of[cell] = chosen, nodes, behind, number
+    lane = np.repeat(np.arange(len(item)), visits)
+    gained = lat.log_p[arc]
+    reached = np.cumsum(gained)
+    of_item = np.append(first_visit, total)[np.append(lane_at, len(item))]
+    done = np.concatenate([[0.0], reached])
+    before = reached - gained + np.repeat(np.array([s.log_prob for s in searches]) - done[of_item[:-1]], np.diff(of_item))
+    with np.errstate(divide="ignore"):
+        worth = before - np.log(np.maximum(lead, 1e-300))
+    picked, results = [], []
+    for n, search in enumerate(searches):
+        a, b = int(of_item[n]), int(of_item[n + 1])
+        near = np.argpartition(-worth[a:b], wanted - 1)[:wanted] + a if b - a > wanted else np.arange(a, b)
+        picked.append(near)
+        own = [place[lane[a:b]], arc[a:b], before[a:b]]
+        if search.prefix is not None:
+            own = [np.concatenate(x) for x in zip((search.prefix.place, search.prefix.arc, search.prefix.before), own)]
+        results.append((Path(*own, search.log_prob + float(done[b] - done[a]), search.perturbed), []))
+    # the arcs of the nodes that hold the best siblings, drawn again from their counters
+    near = np.concatenate(picked) if picked else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(searches)), [len(p) for p in picked])
+    count = lat.count[node[near]]
+    offset = np.cumsum(count) - count
+    number = np.arange(int(count.sum())) - np.repeat(offset, count)
+    arcs, visit = np.repeat(lat.first[node[near]], count) + number, np.repeat(near, count)
+    drawn = base[lane[visit]] + step_of[visit].astype(np.uint64) * _STEP
+    times = exponential_times(drawn, number) * lat.race[arcs]
+    least = np.repeat(np.minimum.reduceat(times, offset), count) if len(near) else times
+    rival = np.flatnonzero(arcs != arc[visit])
+    value = before[visit[rival]] - np.log(np.maximum(times[rival] - least[rival], 1e-300))
+    who = np.repeat(owner, count)[rival]
+    score = -np.logaddexp(-np.array([s.perturbed for s in searches])[who], -value)
+    for n, points, at, one in zip(who.tolist(), score.tolist(), visit[rival].tolist(), arcs[rival].tolist()):
+        held = 0 if searches[n].prefix is None else len(searches[n].prefix.arc)
+        results[n][1].append((points, held + at - int(of_item[n]), one))
+    for _, siblings in results:
+        siblings.sort(reverse=True)
+        del siblings[wanted:]
+    return results
+
+
+def sample_paths(chunks: list[np.ndarray], keys: list[int], lat: Lattices, k: int) -> list[tuple[list[Path], float]]:
+    """Per text the ``k`` best segmentations by perturbed score (all, if there are fewer), and the next best score.
+
+    All texts go side by side: one descent each from the root, then one from
+    the best node of each queue, and so on.
+    """
+    roots = -np.log(exponential_times(np.array(keys, np.uint64), np.zeros(len(keys), np.int64)))
+    searches = [Search(c, key ^ 0x5851F42D4C957F2D, None, 0, -1, 0.0, float(root)) for c, key, root in zip(chunks, keys, roots)]
+    found: list[list[Path]] = [[] for _ in chunks]
+    queues: list[list] = [[] for _ in chunks]
+    live = list(range(len(chunks)))
+    for turn in range(1, k + 1):
+        for n, (path, siblings) in zip(live, descend(searches, lat, k)):
+            found[n].append(path)
+            for score, at, arc in siblings:
+                heapq.heappush(queues[n], (-score, len(found[n]) - 1, at, arc))
+        live = [n for n in live if queues[n]] if turn < k else []
+        searches = []
+        for n in live:
+            score, parent, at, arc = heapq.heappop(queues[n])
+            old = found[n][parent]
+            place = int(old.place[at])
+            prefix = Path(old.place[:at + 1], np.append(old.arc[:at], arc), old.before[:at + 1], 0.0, 0.0)
+            searches.append(Search(chunks[n], (keys[n] + turn * 0x9FB21C651E98DF25) & 0xFFFFFFFFFFFFFFFF, prefix, place + 1,
+                                   int(lat.target[arc]), float(old.before[at]) + float(lat.log_p[arc]), -score))
+        if not live:
+            break
+    return [(paths, -queue[0][0] if queue else -np.inf) for paths, queue in zip(found, queues)]
 
 
 def path_ids(path: Path, lattices: Lattices, vocabulary: Vocabulary) -> np.ndarray:
@@ -304,21 +362,24 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
 
 def sample_batch(texts: list[str], keys: list, vocabulary: Vocabulary, k: int, seed: int) -> list[list[tuple]]:
     """Per text its samples as (ids, log_prob, perturbed, log_inclusion), best perturbed score first."""
-    index: dict[str, int] = {}
-    numbered = []
-    for text in texts:
-        chunks = CHUNK.findall(" " + text) if text else []
-        numbered.append(np.array([index.setdefault(c, len(index)) for c in chunks], np.int64))
-    lattices = Lattices(list(index), vocabulary) if index else None
-    results = []
-    for text, chunks, key in zip(texts, numbered, keys):
-        if not len(chunks):
-            results.append([(np.zeros(0, np.int32), 0.0, 0.0, 0.0)])
-            continue
-        rng = np.random.Generator(np.random.SFC64(xxhash.xxh64_intdigest(str(key), seed)))
-        paths, threshold = TextSampler(lattices, chunks, rng).sample(k)
-        results.append([(path_ids(p, lattices, vocabulary), p.log_prob, p.perturbed, log_inclusion(p.log_prob, threshold))
-                        for p in paths])
+    numbers = Numbers()
+    numbered = [np.fromiter(map(numbers.__getitem__, CHUNK.findall(" " + t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+    results: list[list[tuple]] = [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
+    if not numbers:
+        return results
+    lattices = Lattices(list(numbers), vocabulary)
+    part: list[int] = []
+    held = 0
+    for n, chunks in enumerate(numbered):
+        if len(chunks):
+            part.append(n)
+            held += len(chunks)
+        if part and (held >= _PART_CHUNKS or n + 1 == len(texts)):
+            seeds = [xxhash.xxh64_intdigest(str(keys[i]), seed) for i in part]
+            for i, (paths, threshold) in zip(part, sample_paths([numbered[i] for i in part], seeds, lattices, k)):
+                results[i] = [(path_ids(p, lattices, vocabulary), p.log_prob, p.perturbed, log_inclusion(p.log_prob, threshold))
+                              for p in paths]
+            part, held = [], 0
     return results
 
 
