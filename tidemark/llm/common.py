@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-BATCH_ROWS = 500
+BATCH_ROWS = 800
 BATCH_BYTES = 32 << 20
 # The largest id: where a null id stands when ids are ordered.
 LAST_ID = (1 << 63) - 1

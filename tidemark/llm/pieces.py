@@ -17,7 +17,6 @@ text draw their paths side by side.
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -33,7 +32,6 @@ from tidemark.llm.common import bound_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CHUNK = re.compile(r"\n+| *[^ \n]+| +")
 SAMPLES = 2
 SHARPNESS = 1.0
 SEED = 17
@@ -42,7 +40,7 @@ RESULT = f"array<{SAMPLE}>"
 
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 19
-_PART_CHUNKS = 20_000  # chunks whose descents run side by side
+_PART_CHUNKS = 80_000  # chunks whose descents run side by side
 
 
 @dataclass
@@ -120,12 +118,28 @@ class Vocabulary:
         return begins, np.where(begins, values[slot], -1)
 
 
-class Numbers(dict):
-    """Consecutive numbers for the distinct chunks of a batch, given at first sight."""
+def distinct_chunks(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Per text the numbers of its chunks (a space stands before every text); characters and lengths of the distinct chunks.
 
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = number = len(self)
-        return number
+    A chunk is a run of newlines, or spaces and the run of other characters
+    after them. Chunks are told apart by 64-bit polynomial hashes.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    codes = np.frombuffer("".join(" " + t for t in texts).encode("utf-32-le"), np.uint32)
+    first = np.zeros(len(codes), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    kind = np.where(codes == 32, 1, np.where(codes == 10, 2, 0)).astype(np.int8)
+    first[1:] |= (kind[1:] != kind[:-1]) & ~((kind[1:] == 0) & (kind[:-1] == 1))
+    start = np.flatnonzero(first)
+    length = np.diff(np.append(start, len(codes)))
+    powers = np.cumprod(np.full(int(length.max()) + 1, _STEP, np.uint64))
+    within = np.arange(len(codes)) - np.repeat(start, length)
+    key = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * powers[within], start) * _MIX
+    _, at, number = np.unique(key, return_index=True, return_inverse=True)
+    chosen, size = start[at], length[at]
+    picked = np.arange(int(size.sum())) + np.repeat(chosen - np.cumsum(size) + size, size)
+    of_text = np.searchsorted(start, np.cumsum(sizes))
+    return np.split(number, of_text[:-1]), codes[picked].astype(np.uint64), size
 
 
 class Lattices:
@@ -135,9 +149,7 @@ class Lattices:
     piece, or -1 - code point for a character written as several bytes.
     """
 
-    def __init__(self, chunks: list[str], vocabulary: Vocabulary):
-        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    def __init__(self, codes: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary):
         ends = np.cumsum(lengths)
         self.start = ends - lengths
         n = len(codes)
@@ -154,19 +166,18 @@ class Lattices:
             alive, key = alive[further], key[further]
         # arcs lie by distance from the end, then by node, then by length
         order = np.argsort(left.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else left, kind="stable")
-        self.count = np.zeros(n, np.int64)
+        self.count = np.zeros(n, np.int32)
         for source, _ in levels:
             self.count[source] += 1
         self.first = np.empty(n, np.int64)
         self.first[order] = np.cumsum(self.count[order]) - self.count[order]
         total = int(self.count.sum())
-        source_of, self.ids, self.target = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total, np.int64)
-        score = np.empty(total)
+        self.ids, self.target, score = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total)
         filled = self.first.copy()
         for width, (source, index) in enumerate(levels, 1):
             at = filled[source]
             filled[source] += 1
-            source_of[at], score[at], self.ids[at] = source, vocabulary.scores[index], vocabulary.ids[index]
+            score[at], self.ids[at] = vocabulary.scores[index], vocabulary.ids[index]
             self.target[at] = np.where(left[source] == width, -1, source + width)
             if width == 1 and (index < 0).any():
                 bare, cell = source[index < 0], at[index < 0]
@@ -183,10 +194,12 @@ class Lattices:
             low, high = int(runs[0]), int(runs[-1] + self.count[nodes[-1]])
             score[low:high] += sums[self.target[low:high]]
             top = np.maximum.reduceat(score[low:high], runs - low)
-            spread = np.exp(score[low:high] - np.repeat(top, self.count[nodes]))
-            sums[nodes] = top + np.log(np.add.reduceat(spread, runs - low))
-        self.log_p = score - sums[source_of]
-        self.race = np.exp(-self.log_p)
+            below = score[low:high] - np.repeat(top, self.count[nodes])
+            share = np.log(np.add.reduceat(np.exp(below), runs - low))
+            sums[nodes] = top + share
+            score[low:high] = below - np.repeat(share, self.count[nodes])
+        self.log_p = score
+        self.race = np.exp(-score.astype(np.float32))
 
 
 @dataclass
@@ -215,13 +228,25 @@ class Search:
 
 def exponential_times(base: np.ndarray, number: np.ndarray) -> np.ndarray:
     """Exponential variates of counters: the ``number``-th of each base, whatever the order of the calls."""
-    x = base + number.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+    x = base + number.astype(np.uint32) * np.uint32(0x9E3779B9)
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    uniform = x.astype(np.float32)
+    uniform += np.float32(0.5)
+    uniform *= np.float32(2.0**-32)
+    np.log(uniform, out=uniform)
+    return np.negative(uniform, out=uniform)
+
+
+def counter_base(key: np.ndarray, place: np.ndarray, step: int | np.ndarray) -> np.ndarray:
+    """Counter bases of nodes: from the text's key, the chunk's place and the step within the chunk."""
+    x = key + place.astype(np.uint64) * _MIX + np.asarray(step, np.uint64) * np.uint64(0xD1342543DE82EF95)
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return -np.log(((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+    return (x >> np.uint64(32)).astype(np.uint32)
 
 
 def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Path, list[tuple[float, int, int]]]]:
@@ -241,22 +266,23 @@ def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Pa
     place = np.arange(len(item)) - np.repeat(lane_at - begin, size)
     start = lat.start[np.concatenate([s.chunks[b:] for s, b in zip(searches, begin)])] if len(item) else np.zeros(0, np.int64)
     start[lane_at[inside]] = [s.node for s in searches if s.node >= 0]
-    keys = np.array([s.key for s in searches], np.uint64)
-    base = keys[item] + place.astype(np.uint64) * _MIX
+    key = np.array([s.key for s in searches], np.uint64)[item]
     lane, nodes, steps = np.arange(len(item)), start, []
     while len(nodes):
         count = lat.count[nodes]
         offset = np.cumsum(count) - count
-        number = np.arange(int(offset[-1] + count[-1])) - np.repeat(offset, count)
-        arcs = np.repeat(lat.first[nodes], count) + number
-        times = exponential_times(np.repeat(base[lane] + np.uint64(len(steps)) * _STEP, count), number) * lat.race[arcs]
+        line = np.arange(int(offset[-1] + count[-1]))
+        arcs = np.repeat(lat.first[nodes] - offset, count) + line
+        base = counter_base(key[lane], place[lane], len(steps)) - offset.astype(np.uint32) * np.uint32(0x9E3779B9)
+        times = exponential_times(np.repeat(base, count), line)
+        times *= lat.race[arcs]
         best = np.minimum.reduceat(times, offset)
         winner = np.flatnonzero(times == np.repeat(best, count))
         if len(winner) > len(nodes):  # a tie, of which the first arc counts
             winner = winner[np.unique(np.repeat(np.arange(len(nodes)), count)[winner], return_index=True)[1]]
         times[winner] = np.inf
         chosen = arcs[winner]
-        steps.append((lane, nodes, chosen, np.minimum.reduceat(times, offset) - best))
+        steps.append((lane, nodes, chosen, np.minimum.reduceat(times, offset) - best))  # behind the winner
         target = lat.target[chosen]
         going = target >= 0
         nodes, lane = target[going], lane[going]
@@ -293,8 +319,8 @@ def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Pa
     offset = np.cumsum(count) - count
     number = np.arange(int(count.sum())) - np.repeat(offset, count)
     arcs, visit = np.repeat(lat.first[node[near]], count) + number, np.repeat(near, count)
-    drawn = base[lane[visit]] + step_of[visit].astype(np.uint64) * _STEP
-    times = exponential_times(drawn, number) * lat.race[arcs]
+    at = lane[visit]
+    times = exponential_times(counter_base(key[at], place[at], step_of[visit]), number) * lat.race[arcs]
     least = np.repeat(np.minimum.reduceat(times, offset), count) if len(near) else times
     rival = np.flatnonzero(arcs != arc[visit])
     value = before[visit[rival]] - np.log(np.maximum(times[rival] - least[rival], 1e-300))
@@ -315,7 +341,7 @@ def sample_paths(chunks: list[np.ndarray], keys: list[int], lat: Lattices, k: in
     All texts go side by side: one descent each from the root, then one from
     the best node of each queue, and so on.
     """
-    roots = -np.log(exponential_times(np.array(keys, np.uint64), np.zeros(len(keys), np.int64)))
+    roots = -np.log(exponential_times((np.array(keys, np.uint64) >> np.uint64(32)).astype(np.uint32), np.zeros(len(keys), np.int64)))
     searches = [Search(c, key ^ 0x5851F42D4C957F2D, None, 0, -1, 0.0, float(root)) for c, key, root in zip(chunks, keys, roots)]
     found: list[list[Path]] = [[] for _ in chunks]
     queues: list[list] = [[] for _ in chunks]
@@ -362,16 +388,15 @@ def log_inclusion(log_prob: float, threshold: float) -> float:
 
 def sample_batch(texts: list[str], keys: list, vocabulary: Vocabulary, k: int, seed: int) -> list[list[tuple]]:
     """Per text its samples as (ids, log_prob, perturbed, log_inclusion), best perturbed score first."""
-    numbers = Numbers()
-    numbered = [np.fromiter(map(numbers.__getitem__, CHUNK.findall(" " + t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
     results: list[list[tuple]] = [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
-    if not numbers:
+    if not any(texts):
         return results
-    lattices = Lattices(list(numbers), vocabulary)
+    numbered, codes, lengths = distinct_chunks(texts)
+    lattices = Lattices(codes, lengths, vocabulary)
     part: list[int] = []
     held = 0
     for n, chunks in enumerate(numbered):
-        if len(chunks):
+        if texts[n]:
             part.append(n)
             held += len(chunks)
         if part and (held >= _PART_CHUNKS or n + 1 == len(texts)):
