@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-BATCH_ROWS = 800
+BATCH_ROWS = 400
 BATCH_BYTES = 32 << 20
 # The largest id: where a null id stands when ids are ordered.
 LAST_ID = (1 << 63) - 1
@@ -70,6 +70,15 @@ def training_sample(
     return held.join(F.broadcast(picked), "id").dropDuplicates(["id"]).select("id", "text", "label")
 
 
+def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The values of an integer list column as arrays, without Python objects for the numbers."""
+    made = []
+    for chunk in column.chunks:
+        offsets, values = chunk.offsets.to_numpy(), chunk.values.to_numpy()
+        made += [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    return made
+
+
 def _mixed(value: int) -> int:
     """A fixed scrambling of an id, so that the order does not follow the ids."""
     return (value * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF

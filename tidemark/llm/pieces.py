@@ -40,7 +40,7 @@ RESULT = f"array<{SAMPLE}>"
 
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 19
-_PART_CHUNKS = 80_000  # chunks whose descents run side by side
+_PART_CHUNKS = 40_000  # chunks whose descents run side by side
 
 
 @dataclass

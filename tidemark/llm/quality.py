@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, fit_platt, sigmoid, strings, training_sample
+from tidemark.llm.common import bound_batches, fit_platt, fold, lists, sigmoid, strings, training_sample
 
 TRIGRAM_SLOTS = 1 << 16
 SHAPES = 9
@@ -134,10 +134,11 @@ def fit_quality(
     """
     bound_batches(docs.sparkSession)
     sample = training_sample(docs, labels, "quality", *LEFT_OUT, max_rows, max_bytes)
-    taken = sorted(sample.select("id", "label", indicator_column(F.col("text")).alias("slots")).collect(),
-                   key=lambda r: zlib.crc32(str(r["id"]).encode()))
-    rows = [np.array(r["slots"], np.int64) for r in taken]
-    positive = np.array([r["label"] == 1 for r in taken], bool)
+    taken = sample.select("id", "label", indicator_column(F.col("text")).alias("slots")).toArrow()
+    order = sorted(range(taken.num_rows), key=lambda n: zlib.crc32(str(taken["id"][n].as_py()).encode()))
+    slots = lists(taken["slots"])
+    rows = [slots[n] for n in order]
+    positive = taken["label"].to_numpy()[order] == 1
     held = np.arange(len(rows)) % 5 == 4
     if len(set(positive[~held].tolist())) < 2:
         share = (positive.sum() + 1) / (len(positive) + 2)
@@ -176,8 +177,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, **fit) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    from tidemark.llm.common import fold
-
     return fold(doc_id, LEFT_OUT[0]) == LEFT_OUT[1]
 
 

@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, fit_platt, fold, sigmoid, strings, training_sample
+from tidemark.llm.common import bound_batches, fit_platt, fold, lists, sigmoid, strings, training_sample
 
 SLOTS = 1 << 20
 LEFT_OUT = (5, 0)  # rows whose CRC32 fold modulo 5 is 0 are never learnt from
 TRAINING_ROWS = 6_000
 TRAINING_BYTES = 32 << 20
-MIN_EVIDENCE = 25.0  # a slot keeps weight 0 unless its likelihood ratio statistic over documents reaches this
+MIN_EVIDENCE = 16.0  # a slot keeps weight 0 unless its likelihood ratio statistic over documents reaches this
 THRESHOLD = 0.5
 ENDS = b".!?\n\r"
 RESULT = "score double, sentences array<struct<start: int, end: int, score: double>>"
@@ -140,7 +140,7 @@ def telling_slots(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray)
 
 
 def train_bags(
-    bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, epochs: int = 8, rate: float = 0.25,
+    bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, epochs: int = 10, rate: float = 0.25,
     decay: float = 1e-3, batch: int = 64, seed: int = 11,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by adaptive gradient descent on the document log loss of the noisy-or.
@@ -198,7 +198,7 @@ def bag_column(text: Column) -> Column:
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS, max_bytes: int = TRAINING_BYTES, epochs: int = 8
+    docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS, max_bytes: int = TRAINING_BYTES, epochs: int = 10
 ) -> ToxicityModel:
     """Learn from labelled rows whose fold is not left out, at most ``max_rows`` and ``max_bytes`` of text.
 
@@ -207,10 +207,11 @@ def fit_toxicity(
     """
     bound_batches(docs.sparkSession)
     sample = training_sample(docs, labels, "toxic", *LEFT_OUT, max_rows, max_bytes)
-    taken = sorted(sample.select("id", "label", "text", bag_column(F.col("text")).alias("bag")).drop("text").collect(),
-                   key=lambda r: zlib.crc32(str(r["id"]).encode()))
-    bags = [(np.array(r["bag"]["slots"], np.int64), np.array(r["bag"]["sentence"], np.int64)) for r in taken]
-    toxic = np.array([r["label"] == 1 for r in taken], bool)
+    taken = sample.select("id", "label", bag_column(F.col("text")).alias("bag")).select("id", "label", "bag.*").toArrow()
+    order = sorted(range(taken.num_rows), key=lambda n: zlib.crc32(str(taken["id"][n].as_py()).encode()))
+    slots, sentences = lists(taken["slots"]), lists(taken["sentence"])
+    bags = [(slots[n], sentences[n]) for n in order]
+    toxic = taken["label"].to_numpy()[order] == 1
     held = np.arange(len(bags)) % 5 == 4
     if len(set(toxic[~held].tolist())) < 2:
         share = (toxic.sum() + 1) / (len(toxic) + 2)
