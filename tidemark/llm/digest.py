@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, stored
+from tidemark.llm.common import bound_batches
 
 BUCKETS = 256
 # steps of the length code: one step is a factor of 1.1
@@ -107,11 +107,25 @@ def _next_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
 
 
-def order_limits(docs: DataFrame, buckets: int) -> list[int]:
+def order_limits(docs: DataFrame, buckets: int) -> np.ndarray:
     """Ascending ids that cut ``docs`` into about equal ranges; at most ``buckets - 1``."""
+    if buckets < 2:
+        return np.zeros(0, np.int64)
     shares = [k / buckets for k in range(1, buckets)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 1000) if shares else F.array().alias("x")).first()[0]
-    return sorted(set(found or []))
+    found = docs.agg(F.percentile_approx("doc_id", shares, 20 * buckets)).first()[0]
+    return np.array(sorted(set(found or [])), np.int64)
+
+
+def range_of(doc_id: Column, limits: np.ndarray) -> Column:
+    """The number of the range an id lies in; a null id lies in the first."""
+
+    @F.arrow_udf("int")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = batch.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+            yield pa.array(np.searchsorted(limits, ids, side="right").astype(np.int32))
+
+    return of(doc_id)
 
 
 def compare_with_edited(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
@@ -130,28 +144,24 @@ def compare_with_edited(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFr
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    # the id of a null id sorts before all others; ids are 64-bit integers
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     if not total[1]:
         return spark.createDataFrame([], RESULT)
-    limits = order_limits(rows, max(1, math.ceil((total[0] or 0) / bucket_bytes)))
-    bounds = F.array(*[F.lit(x).cast("bigint") for x in limits]) if limits else F.array().cast("array<bigint>")
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda x: x <= F.col("doc_id"))), F.lit(0))
-    placed = rows.select(bucket.alias("bucket"), "doc_id", "text")
-    # the first row of each range, as ids alone; ties are settled by the text's order after the shuffle
-    heads = placed.groupBy("bucket").agg(
-        F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id"), F.xxhash64("text").alias("mark"),
-                       F.md5(F.col("text").cast("binary")).alias("sum"))).alias("head")).collect()
-    heads.sort(key=lambda r: r["bucket"])  # one per range: their number is bounded by the limits
-    lenders = [(h["bucket"], heads[k - 1]["bucket"]) for k, h in enumerate(heads)]
-    to = F.lit(None).cast("int")
-    for (own, lend), head in zip(lenders, heads):
-        is_head = (F.col("bucket") == own) & F.col("doc_id").eqNullSafe(F.lit(head["head"]["doc_id"]).cast("bigint"))
-        is_head &= F.xxhash64("text") == head["head"]["mark"]
-        is_head &= F.md5(F.col("text").cast("binary")) == head["head"]["sum"]
-        to = F.when(is_head, F.lit(lend)).otherwise(to)
-    lent = placed.select(to.alias("bucket"), F.lit(True).alias("borrowed"), "doc_id", "text").where("bucket IS NOT NULL")
+    ranges = max(math.ceil((total[0] or 0) / bucket_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    limits = order_limits(rows, min(ranges, total[1]))
+    placed = rows.select(range_of(F.col("doc_id"), limits).alias("bucket"), "doc_id", "text")
+    marks = [F.xxhash64("text").alias("mark"), F.md5(F.col("text").cast("binary")).alias("sum")]
+    # the first row of each range, as id and hashes: one row per range, so their number is bounded by the limits
+    known = F.col("doc_id").isNotNull().alias("known")
+    heads = placed.groupBy("bucket").agg(F.min(F.struct(known, "doc_id", *marks)).alias("head")).collect()
+    heads.sort(key=lambda r: r["bucket"])
+    lenders = spark.createDataFrame(
+        [(h["bucket"], heads[k - 1]["bucket"], h["head"]["doc_id"], h["head"]["mark"], h["head"]["sum"]) for k, h in enumerate(heads)],
+        "own int, lend int, head_id bigint, head_mark bigint, head_sum string")
+    is_head = (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
+    is_head &= (F.xxhash64("text") == F.col("head_mark")) & (F.md5(F.col("text").cast("binary")) == F.col("head_sum"))
+    lent = placed.join(F.broadcast(lenders), is_head).select(F.col("lend").alias("bucket"), F.lit(True).alias("borrowed"), "doc_id", "text")
     both = placed.select("bucket", F.lit(False).alias("borrowed"), "doc_id", "text").unionByName(lent)
     ordered = both.repartition("bucket").sortWithinPartitions(
         "bucket", "borrowed", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.md5(F.col("text").cast("binary")))
