@@ -290,13 +290,13 @@ def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     """
     members = stored(near_duplicates(docs, budget=budget), "members")
     least = members.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keepers = least.groupBy("doc_id", "component_id").agg(
-        F.min("fp").alias("keeper_fp"), F.count(F.lit(1)).alias("copies"), F.countDistinct("fp").alias("kinds"))
-    # two components may share an id only where texts of one id differ
-    keepers = stored(keepers.select(F.col("doc_id").alias("keeper_id"), "keeper_fp", "copies"), "keepers")
+    keepers = least.groupBy("doc_id", "component_id").agg(F.min("fp").alias("keeper_fp"))
+    # two components share an id only where texts of one id differ
+    keepers = stored(keepers.select(F.col("doc_id").alias("keeper_id"), "keeper_fp"), "keepers")
     shared_ids = stored(
         members.groupBy("doc_id").count().where(F.col("count") > 1).select(F.col("doc_id").alias("shared_id")), "shared_ids")
-    plain = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["keeper_id"]), "left_semi")
+    # one plan at every size: a broadcast of the keepers would stop at some size, and the keepers grow with the input
+    plain = docs.join(keepers.hint("merge"), docs["doc_id"].eqNullSafe(keepers["keeper_id"]), "left_semi")
     if shared_ids.isEmpty():
         return plain
     alone = plain.join(shared_ids, plain["doc_id"].eqNullSafe(shared_ids["shared_id"]), "left_anti")
