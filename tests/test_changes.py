@@ -169,3 +169,28 @@ def test_satellite_append_mode_repeats(frame):
 def test_hash_of_a_null_part_is_null(frame):
     df = frame([(None, t(1))], "name string, ts timestamp_ntz")
     assert df.select(V.reading_hash("name", "ts")).first()[0] is None
+
+
+def test_snapshot_carries_columns_and_matches_null_keys(spark):
+    history = spark.createDataFrame(
+        [(1, "a", "x", None, None, True), (None, "n", "y", None, None, True), (3, "old", "z", None, None, None)],
+        "k int, state string, note string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    source = spark.createDataFrame([(1, "b", "x2"), (None, "n", "y2"), (4, "d", "w")], "k int, state string, note string")
+    after = U.scd2_snapshot(history, source, ["k"], ["state"], "2024-01-01 00:00:00")
+    got = sorted(((r["k"], r["state"], r["note"], r["is_current"]) for r in after.collect()), key=repr)
+    assert got == sorted([(1, "a", "x", False), (1, "b", "x2", True), (None, "n", "y", True), (3, "old", "z", None),
+                          (4, "d", "w", True)], key=repr)
+    again = U.scd2_snapshot(after, source, ["k"], ["state"], "2024-01-02 00:00:00")
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, after.collect()))
+
+
+def test_repeated_source_keys_are_refused(spark):
+    twice = spark.createDataFrame([(1, "b"), (1, "c"), (None, "d"), (None, "e")], "k int, state string")
+    with pytest.raises(ValueError):
+        U.upsert(twice.limit(1), twice, ["k"], ["state"], ["state"])
+
+
+def test_a_null_in_the_keep_list_closes_nothing(spark):
+    dim = spark.createDataFrame([(1, None, True), (2, None, True)], "k int, valid_to timestamp_ntz, is_current boolean")
+    keep = spark.createDataFrame([(1,), (None,)], "k int")
+    assert U.soft_delete(dim, keep, "k", "2024-01-01 00:00:00").where("is_current").count() == 2

@@ -87,3 +87,21 @@ def test_empty_input(spark, frame, small_groups):
     empty = frame([], "key string, ts timestamp_ntz, id int, value double")
     assert W.number_rows(empty, ["key"], BY_TIME).count() == 0
     assert W.running_mean(empty, ["key"], BY_TIME, "value", "m").count() == 0
+
+
+def test_a_tied_order_value_is_split(spark):
+    from tidemark.operators.groups import PART, split_by_range
+
+    rows = spark.range(4000).select(F.lit("a").alias("key"), F.lit(1).alias("at"), "id")
+    spark.conf.set("spark.tidemark.maxGroupRows", "200")
+    try:
+        largest = split_by_range(rows, ["key"], ["at"]).groupBy(PART).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.tidemark.maxGroupRows")
+    assert largest <= 400
+
+
+def test_running_sums_of_doubles_are_refused(spark):
+    rows = spark.range(3).select(F.lit("a").alias("key"), "id", F.lit(0.1).alias("v"))
+    with pytest.raises(TypeError):
+        W.running(rows, ["key"], ["id"], {"s": ("sum", "v")})

@@ -71,4 +71,6 @@ def test_literals_are_broadcast(spark):
 
 
 def test_all_checks_have_sql():
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    from tidemark.plans import all_oracles, all_queries
+
+    assert set(all_queries()) == set(all_oracles())

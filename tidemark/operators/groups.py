@@ -17,9 +17,6 @@ from tidemark.session import max_group_rows, scratch_path
 
 PART = "__part"
 
-# Parts of one range shuffle; more would cost the driver more than they save.
-MAX_PARTS = 20_000
-
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back.
@@ -48,8 +45,9 @@ def split_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     """None while every group fits a task, else the rows cut into ordered parts.
 
     The result carries the part number in ``__part``; within a group the parts
-    follow ``order``, and rows that tie on group and order share a part. With
-    ``fits`` the caller vouches for the group size, say one row per key and day,
+    follow ``order``. Rows that tie on group and order are told apart by a hash
+    of the row, so one order value cannot fill a part; only equal rows stay
+    together. With ``fits`` the caller vouches for the group size, say one row per key and day,
     and the pass that measures it is saved.
     """
     if fits:
@@ -58,8 +56,9 @@ def split_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     largest, total = group_sizes(df, keys)
     if largest <= limit:
         return None
-    parts = min(2 * total // limit + 1, MAX_PARTS)
-    cut = df.repartitionByRange(parts, *keys, *order).withColumn(PART, F.spark_partition_id())
+    parts = 2 * total // limit + 1
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    cut = df.repartitionByRange(parts, *keys, *order, tie).withColumn(PART, F.spark_partition_id())
     return written(cut, "parts")
 
 

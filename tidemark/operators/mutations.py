@@ -29,6 +29,17 @@ def _touched(target: DataFrame, source: DataFrame, on: Sequence[str], only: Colu
     return target.join(right, condition, "left")
 
 
+def one_per_key(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``source``, or an error if a key without NULL occurs more than once."""
+    known = F.lit(True)
+    for k in key:
+        known = known & F.col(k).isNotNull()
+    twice = source.where(known).groupBy(*key).count().where(F.col("count") > 1)
+    if not twice.isEmpty():
+        raise ValueError(f"several source rows share a key of {list(key)}; pass an order to choose one")
+    return source
+
+
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[str], changed: Sequence[str],
            set_cols: Sequence[str], only: Column | None = None, insert: bool = True,
            insert_defaults: dict[str, Column] | None = None, null_safe: bool = False,
@@ -36,11 +47,11 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[str], changed: Seq
     """Update matched rows when a ``changed`` column differs, insert unmatched ones.
 
     ``source`` holds one row per key, or several of which the first by
-    ``order`` counts. ``only`` limits which target rows can match. A plain
+    ``order`` counts; without ``order`` a repeated key is an error, as in MERGE.
+    ``only`` limits which target rows can match. A plain
     comparison with a NULL is not a change; ``null_safe`` makes it one.
     """
-    if order is not None:
-        source = latest_per_key(source, on, order)
+    source = latest_per_key(source, on, order) if order is not None else one_per_key(source, on)
     differs = F.lit(False)
     for c in changed:
         s = F.col(f"__s_{c}")
@@ -68,8 +79,11 @@ def soft_delete(target: DataFrame, keep: DataFrame, key: str, as_of: str | None
                 flag: str = "is_current", end: str = "valid_to") -> DataFrame:
     """Close current rows whose key is not in ``keep`` (its first column).
 
-    As with SQL's NOT IN, a row with a NULL key is left alone.
+    As with SQL's NOT IN, a row with a NULL key is left alone, and a NULL in the
+    keep list closes nothing.
     """
+    if not keep.where(F.col(keep.columns[0]).isNull()).isEmpty():
+        return target
     kept = keep.select(F.col(keep.columns[0]).alias("__keep")).distinct().withColumn("__kept", F.lit(True))
     joined = target.join(kept, F.col(key) == F.col("__keep"), "left")
     gone = F.col(flag) & F.col(key).isNotNull() & F.col("__kept").isNull()
@@ -85,36 +99,43 @@ def scd2_snapshot(history: DataFrame, source: DataFrame, key: Sequence[str], che
     """History after one snapshot of ``source`` at ``as_of``.
 
     ``source`` holds one row per key, or several of which the first by
-    ``order`` is the snapshot.
+    ``order`` is the snapshot; without ``order`` a repeated key is an error.
     ``history`` has the source's columns plus ``valid_from``, ``valid_to`` and
-    ``is_current``. Running the same source again changes nothing.
+    ``is_current``; columns that are not checked are carried along, and a NULL
+    ``is_current`` is a closed version. NULL keys match each other. Running the
+    same source again changes nothing.
     """
-    if order is not None:
-        source = latest_per_key(source, key, order)
+    source = latest_per_key(source, key, order) if order is not None else one_per_key(source, key)
     instant = F.lit(as_of).cast("timestamp_ntz")
-    closed, current = history.where(~F.col("is_current")), history.where("is_current")
-    joined = _touched(current, source.select(*key, *check_cols), key, None)
-    found = F.col("__in_source").isNotNull()
+    is_open = F.coalesce(F.col("is_current"), F.lit(False))
+    closed = history.where(~is_open)
+    current = history.where(is_open).withColumn("__in_history", F.lit(True))
+    incoming = source.withColumnsRenamed({c: f"__s_{c}" for c in source.columns}).withColumn("__in_source", F.lit(True))
+    condition = F.lit(True)
+    for k in key:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__s_{k}"))
+    joined = current.join(incoming, condition, "full")
+    held, found = F.col("__in_history").isNotNull(), F.col("__in_source").isNotNull()
     differs = F.lit(False)
     for c in check_cols:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"__s_{c}"))
     ends = (found & differs) | (~found & F.lit(close_missing))
-    kept = joined.withColumns({
-        "valid_to": F.when(ends, instant).otherwise(F.col("valid_to")),
-        "is_current": ~ends,
-    }).select(*history.columns)
-    # source rows that open a version: new keys, and keys whose attributes changed
-    opened = source.select(*key, *check_cols)
-    same = current.withColumnsRenamed({c: f"__c_{c}" for c in current.columns})
-    condition = F.lit(True)
-    for c in [*key, *check_cols]:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
-    opened = opened.join(same, condition, "left_anti").withColumns({
-        "valid_from": instant,
-        "valid_to": F.lit(None).cast("timestamp_ntz"),
-        "is_current": F.lit(True),
-    })
-    return closed.unionByName(kept).unionByName(opened.select(*history.columns))
+    marks = {"valid_from": (F.col("valid_from"), instant),
+             "valid_to": (F.when(ends, instant).otherwise(F.col("valid_to")), F.lit(None).cast("timestamp_ntz")),
+             "is_current": (~ends, F.lit(True))}
+
+    def version(opened: bool) -> Column:
+        return F.struct(*[
+            (marks[c][opened] if c in marks
+             else F.col(f"__s_{c}") if opened and c in source.columns
+             else F.lit(None) if opened
+             else F.col(c)).cast(history.schema[c].dataType).alias(c)
+            for c in history.columns
+        ])
+
+    # the version held, ended or not, and the version a new or changed key opens
+    versions = F.array(F.when(held, version(False)), F.when(found & (~held | differs), version(True)))
+    return closed.unionByName(joined.select(F.explode(F.array_compact(versions)).alias("v")).select("v.*"))
 
 
 # --- incremental loads -------------------------------------------------------------
@@ -197,10 +218,13 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is stored at ``path``; anything but its absence is an error."""
     try:
         return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def refresh_summary(path: str, summary: DataFrame, refreshed_at: str | None = None, mode: str = "append",

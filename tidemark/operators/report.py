@@ -48,18 +48,16 @@ def render_block(lines: DataFrame, group: Sequence[str], order: Sequence[str], l
                  max_tokens: int = MAX_TOKENS, name: str = "block", fits: bool = False) -> DataFrame:
     """Each group's lines under a header as one text, cut at the token cap.
 
-    Lines that start beyond the cut cannot appear, so they are left out before
-    the rest is gathered: what a task gathers is bounded by the cut, however
-    many lines the group has.
+    NULL lines are no lines. Lines that start beyond the cut cannot appear, so
+    they are left out before the rest is gathered: what a task gathers is
+    bounded by the cut, however many lines the group has.
     """
     # a text is cut when it is a whole token longer than the cap: enough is
     # gathered to see that
     reach = (max_tokens + 1) * CHARS_PER_TOKEN + 1
-    if not group:
-        # a line takes at least its newline, so no later line can start within reach
-        lines = lines.orderBy(*order).limit(reach)
+    lines = lines.where(F.col(line).isNotNull())
     # the header counts in front of every line, each with its newline
-    ends = running(lines, group, [F.col(c) for c in order], {"__end": ("sum", F.length(line) + 1)}, fits=fits or not group)
+    ends = running(lines, group, [F.col(c) for c in order], {"__end": ("sum", F.length(line) + 1)}, fits=fits)
     starts = F.col("__end") - F.length(line) + F.lit(len(header))
     gathered = ends.where(starts < reach).groupBy(*group).agg(
         F.array_sort(F.collect_list(F.struct(*order, F.col(line).alias("__line")))).alias("__rows")

@@ -111,11 +111,11 @@ def load_satellite(satellite: DataFrame, source: DataFrame, hash_key: Column, *,
 
 
 def vault_view(link: DataFrame, hubs: Sequence[tuple[DataFrame, str]], satellite: DataFrame, key: str) -> DataFrame:
-    """Links with their hubs and current satellite rows."""
+    """Links with their hubs and current satellite rows, the newest of each key."""
     view = link.drop(*BOOKKEEPING)
     for hub, hub_key in hubs:
         view = view.join(hub.drop(*BOOKKEEPING), hub_key)
-    current = satellite.where(F.col("load_end_date").isNull()).drop(*BOOKKEEPING)
+    current = end_dated(satellite, key).where(F.col("load_end_date").isNull()).drop(*BOOKKEEPING)
     return view.join(current, key)
 
 

@@ -93,8 +93,12 @@ def running(df: DataFrame, keys: Sequence[str], order: Order,
     """Running values from the first row of the key to the current one.
 
     ``values`` maps an output name to a function (``sum``, ``count``, ``max``,
-    ``min``) and its input.
+    ``min``) and its input. Sums of doubles depend on the order of addition, so
+    they are refused: cast to a decimal first.
     """
+    inexact = [n for n, (f, c) in values.items() if f == "sum" and df.select(as_column(c)).dtypes[0][1] in ("double", "float")]
+    if inexact:
+        raise TypeError(f"running sums of doubles are not repeatable; cast the inputs of {inexact} to a decimal")
     parts = split_by_range(df, keys, order, fits)
     if parts is None:
         spec = _rows_to_here(keys, order)

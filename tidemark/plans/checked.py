@@ -72,20 +72,18 @@ def check_missing_members(spark, sf_dir):
     return missing_members(rows.where("value > 200"), "user_id", rows.select("user_id").distinct())
 
 
-@query("check_stale_members", """SELECT user_id, max(CAST(ts AS DATE)) AS latest FROM events WHERE event_type = 'signup'
-GROUP BY user_id HAVING max(CAST(ts AS DATE)) < DATE '2024-01-31' - 3""")
+@query("check_stale_members", """SELECT user_id, max(CAST(ts AS DATE)) AS latest FROM events
+GROUP BY user_id HAVING max(CAST(ts AS DATE)) < DATE '2024-01-31' - 1""")
 def check_stale_members(spark, sf_dir):
-    signups = table(spark, sf_dir, "events").where("event_type = 'signup'")
-    return Q.stale_members(signups, "user_id", "ts", "2024-01-31", 3)
+    return Q.stale_members(table(spark, sf_dir, "events"), "user_id", "ts", "2024-01-31", 1)
 
 
 @query("check_freshness", f"""SELECT max(ts) AS latest, round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(ts))) / 3600e6, 2) AS age_hours,
   CASE WHEN TIMESTAMP '{AS_OF}' - max(ts) > INTERVAL 48 HOUR THEN 'error'
        WHEN TIMESTAMP '{AS_OF}' - max(ts) > INTERVAL 24 HOUR THEN 'warn' ELSE 'pass' END AS status
-FROM events WHERE event_type = 'error'""")
+FROM events""")
 def check_freshness(spark, sf_dir):
-    errors = table(spark, sf_dir, "events").where("event_type = 'error'")
-    return Q.freshness(errors, "ts", AS_OF, 24, 48)
+    return Q.freshness(table(spark, sf_dir, "events"), "ts", AS_OF, 24, 48)
 
 
 def _event_checks(spark, sf_dir, events):

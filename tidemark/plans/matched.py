@@ -32,11 +32,9 @@ def codes(spark):
 
 
 @query("join_fact_to_dimension", """SELECT o_orderkey, c_name, c_mktsegment, n_name, o_totalprice
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-WHERE o_totalprice > 300000""")
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def join_fact_to_dimension(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 300000")
-    star = J.star_join(orders, [
+    star = J.star_join(table(spark, sf_dir, "orders"), [
         (table(spark, sf_dir, "customer"), {"o_custkey": "c_custkey"}),
         (table(spark, sf_dir, "nation"), {"c_nationkey": "n_nationkey"}),
     ])
@@ -90,10 +88,9 @@ def join_on_time_bucket(spark, sf_dir):
   {mean_sql('l_extendedprice')} AS mean_price, count(*) AS n_lines
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY ALL""")
+JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
 def star_revenue(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_shipdate >= timestamp_ntz'1998-01-01'")
-    star = J.star_join(lines, [
+    star = J.star_join(table(spark, sf_dir, "lineitem"), [
         (table(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}),
         (table(spark, sf_dir, "part"), {"l_partkey": "p_partkey"}),
         (table(spark, sf_dir, "supplier"), {"l_suppkey": "s_suppkey"}),

@@ -105,13 +105,13 @@ def assign_keys(spark, sf_dir):
     return M.assign_keys(new, existing, ["c_name"], "customer_sk")
 
 
-@query("insert_missing", f"""WITH {READINGS}, {CODES}, seen AS (SELECT DISTINCT code AS code_value FROM readings WHERE sensor = 'error')
+@query("insert_missing", f"""WITH {READINGS}, {CODES}, seen AS (SELECT DISTINCT code AS code_value FROM readings)
 SELECT code_value, description FROM codes UNION ALL
 SELECT code_value, NULL FROM seen WHERE code_value NOT IN (SELECT code_value FROM codes)""")
 def insert_missing(spark, sf_dir):
     """The seeded codes and, once each, the observed codes the seed lacks."""
     dim = load_seed(spark, "weather_codes").select("code_value", "description")
-    seen = readings(spark, sf_dir).where("sensor = 'error'").select(F.col("code").alias("code_value")).distinct()
+    seen = readings(spark, sf_dir).select(F.col("code").alias("code_value")).distinct()
     once = M.insert_missing(dim, seen, ["code_value"])
     return M.insert_missing(once, seen, ["code_value"])
 

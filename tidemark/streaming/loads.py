@@ -142,7 +142,10 @@ def stream_keep_latest(changes: DataFrame, keys: Sequence[str], order: Sequence[
         if table_exists(spark, out):
             fresh.persist()
             days = [row[0] for row in fresh.select("load_day").distinct().collect()]
-            stored = spark.read.parquet(out).where(F.col("load_day").isin(days))
+            touched = F.col("load_day").isin([d for d in days if d is not None])
+            if None in days:  # rows without a time share a partition
+                touched = F.coalesce(touched, F.lit(False)) | F.col("load_day").isNull()
+            stored = spark.read.parquet(out).where(touched)
             both = stored.unionByName(fresh)
             replace_partitions(latest_per_key(both, keys, order), out, ["load_day"])
             fresh.unpersist()
