@@ -161,5 +161,6 @@ def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
     wanted = target_ids.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    models = fit_models(texts.join(wanted, "id", "left").select("text", "target"))
+    # one plan at every size: the target ids grow with the input, so no size of theirs is worth a broadcast
+    models = fit_models(texts.join(wanted.hint("merge"), "id", "left").select("text", "target"))
     return docs.select("doc_id", cross_entropy_difference(F.col("text"), models).alias("s")).select("doc_id", "s.*")
