@@ -61,11 +61,11 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 np.add.at(counts[row], WORDS + pair, 1)
     blocks = counts.reshape(2, -1, BLOCK)
     used = np.flatnonzero(blocks[0].any(axis=1))
+    width = "<i4" if counts.max() < 1 << 31 else "<i8"
     for k in range(0, len(used), 256):
         part = used[k:k + 256]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part), *(pa.array([blocks[row, b].astype("<i4" if blocks.max() < 1 << 31 else "<i8").tobytes() for b in part],
-                                        pa.binary()) for row in (0, 1))], names=["block", "background", "target"])
+            [pa.array(part), *(pa.array([blocks[row, b].astype(width).tobytes() for b in part], pa.binary()) for row in (0, 1))], names=["block", "background", "target"])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
