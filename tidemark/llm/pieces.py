@@ -482,6 +482,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, k: i
     vocabulary = vocabulary or Vocabulary.load()
     sampled = docs.select("doc_id", "text", sample_segmentations(F.col("text"), F.col("doc_id"), vocabulary, k, seed).alias("samples"))
     checked = sampled.select("doc_id", "samples", decodes_to(F.col("samples.ids"), F.col("text"), vocabulary).alias("fits"))
-    one = checked.select("doc_id", F.posexplode("samples").alias("at", "sample"), "fits")
+    # no text is without a sample; the outer form spares Spark's filter on the array, which would draw all samples twice
+    one = checked.select("doc_id", F.posexplode_outer("samples").alias("at", "sample"), "fits")
     return one.select("doc_id", (F.col("at") + 1).alias("sample"), "sample.ids", "sample.log_prob", "sample.perturbed",
                       "sample.log_inclusion", F.element_at("fits", F.col("at") + 1).alias("round_trip"))
