@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches
+from tidemark.llm.common import bound_batches, strings
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 SAMPLES = 2
 SHARPNESS = 1.0
 SEED = 17
-SAMPLE = "struct<ids: array<int>, log_prob: double, perturbed: double, log_inclusion: double>"
+SAMPLE = "struct<ids: array<int>, log_prob: double, perturbed: double, log_inclusion: double, round_trip: boolean>"
 RESULT = f"array<{SAMPLE}>"
 
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -417,8 +417,8 @@ def sample_segmentations(text: str | Column, key: str | Column, vocabulary: Voca
                          seed: int = SEED) -> Column:
     """Array column of up to ``k`` distinct segmentations of the whole text, drawn without replacement.
 
-    Each has its piece ids, log-probability, perturbed score and log inclusion
-    score, best perturbed score first. Draws depend on ``key``, the text and
+    Each has its piece ids, log-probability, perturbed score, log inclusion
+    score and whether its ids decode to the text, best perturbed score first. Draws depend on ``key``, the text and
     ``seed`` alone, so repeated rows get equal samples. A null or empty text has
     one segmentation, without pieces; a null key counts as the word None.
     """
@@ -426,18 +426,22 @@ def sample_segmentations(text: str | Column, key: str | Column, vocabulary: Voca
     @F.arrow_udf(RESULT)
     def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, keys in batches:
-            yield samples_array(sample_batch([t or "" for t in texts.to_pylist()], keys.to_pylist(), vocabulary, k, seed))
+            whole = strings(texts)
+            yield samples_array(sample_batch(whole, keys.to_pylist(), vocabulary, k, seed), whole, vocabulary.pieces)
 
     return of(text, key)
 
 
-def samples_array(rows: list[list[tuple]]) -> pa.Array:
+def samples_array(rows: list[list[tuple]], texts: list[str], pieces: list[bytes]) -> pa.Array:
+    """The samples of every text as ``SAMPLE`` structs, each decoded and held against its text."""
+    fits = [decode(sample[0].tolist(), pieces) == text for text, row in zip(texts, rows) for sample in row]
     flat = [sample for row in rows for sample in row]
     ids = np.concatenate([s[0] for s in flat]) if flat else np.zeros(0, np.int32)
     offsets = np.concatenate([[0], np.cumsum([len(s[0]) for s in flat])]).astype(np.int32)
     parts = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
     parts += [pa.array(np.array([s[n] for s in flat], np.float64)) for n in (1, 2, 3)]
-    inner = pa.StructArray.from_arrays(parts, names=["ids", "log_prob", "perturbed", "log_inclusion"])
+    parts.append(pa.array(fits, pa.bool_()))
+    inner = pa.StructArray.from_arrays(parts, names=["ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)), inner)
 
 
@@ -453,24 +457,6 @@ def decoded(ids: str | Column, vocabulary: Vocabulary) -> Column:
     return of(ids)
 
 
-def decodes_to(ids: Column, text: Column, vocabulary: Vocabulary) -> Column:
-    """Per sample of an ``array<array<int>>`` column whether it decodes to the text (null text: the empty one)."""
-    pieces = vocabulary.pieces
-
-    @F.arrow_udf("array<boolean>")
-    def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for lists, texts in batches:
-            made = []
-            offsets, inner = lists.offsets.to_numpy(), lists.values
-            starts, values = inner.offsets.to_numpy(), inner.values.to_numpy()
-            for n, text in enumerate(texts.to_pylist()):
-                made.append([decode(values[starts[s]:starts[s + 1]].tolist(), pieces) == (text or "")
-                             for s in range(offsets[n], offsets[n + 1])])
-            yield pa.array(made, pa.list_(pa.bool_()))
-
-    return of(ids, text)
-
-
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, k: int = SAMPLES, seed: int = SEED) -> DataFrame:
     """One row per document and sample: ``doc_id, sample, ids, log_prob, perturbed, log_inclusion, round_trip``.
 
@@ -480,9 +466,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, k: i
     """
     bound_batches(docs.sparkSession)
     vocabulary = vocabulary or Vocabulary.load()
-    sampled = docs.select("doc_id", "text", sample_segmentations(F.col("text"), F.col("doc_id"), vocabulary, k, seed).alias("samples"))
-    checked = sampled.select("doc_id", "samples", decodes_to(F.col("samples.ids"), F.col("text"), vocabulary).alias("fits"))
+    sampled = docs.select("doc_id", sample_segmentations(F.col("text"), F.col("doc_id"), vocabulary, k, seed).alias("samples"))
     # no text is without a sample; the outer form spares Spark's filter on the array, which would draw all samples twice
-    one = checked.select("doc_id", F.posexplode_outer("samples").alias("at", "sample"), "fits")
+    one = sampled.select("doc_id", F.posexplode_outer("samples").alias("at", "sample"))
     return one.select("doc_id", (F.col("at") + 1).alias("sample"), "sample.ids", "sample.log_prob", "sample.perturbed",
-                      "sample.log_inclusion", F.element_at("fits", F.col("at") + 1).alias("round_trip"))
+                      "sample.log_inclusion", "sample.round_trip")
