@@ -114,6 +114,24 @@ def test_gap_report_marks_missing_slots(frame):
     assert [k for k, s in found.items() if s == "OK"] and found[("a", 2)] == "MISSING" and found[(None, 2)] == "OK"
 
 
+@pytest.mark.parametrize("step, start, seen, marked", [
+    ("2 hours", "2024-01-01 00:00:00", datetime(2024, 1, 1, 1, 5), datetime(2024, 1, 1, 0)),
+    ("15 minutes", "2024-01-01 00:00:00", datetime(2024, 1, 1, 1, 5), datetime(2024, 1, 1, 1)),
+    ("2 days", "2024-01-01", datetime(2024, 1, 2, 7), date(2024, 1, 1)),
+    ("1 hour", "2024-01-01 00:20:00", datetime(2024, 1, 1, 1, 5), datetime(2024, 1, 1, 0, 20)),
+])
+def test_gap_report_gives_readings_to_the_slot_they_fall_into(frame, step, start, seen, marked):
+    before = datetime(2023, 12, 31, 23, 59, 59, 500_000)  # belongs to no slot
+    df = frame([("a", seen), ("b", before), ("b", None)], "key string, ts timestamp_ntz")
+    report = M.gap_report(df, "key", "ts", start, "2024-01-03", step).where("status = 'OK'")
+    assert rows(report, "key", "slot") == [("a", marked)]
+
+
+def test_gap_report_refuses_steps_of_no_fixed_length(frame):
+    with pytest.raises(ValueError):
+        M.gap_report(frame([("a", at(1))], "key string, ts timestamp_ntz"), "key", "ts", "2024-01-01", "2024-03-01", "1 month")
+
+
 def test_baseline_never_multiplies_rows(frame):
     df = frame([("base", at(1), 1.0, 1), ("base", at(1), 2.0, 2), ("x", at(1), 5.0, 3), ("y", at(2), 5.0, 4)],
                "key string, ts timestamp_ntz, value double, id int")

@@ -97,17 +97,30 @@ def serving_mart(fact: DataFrame, second: DataFrame, dim: DataFrame, *, key: str
     return daily.withColumn(label_name, bucket(graded, AIR_QUALITY_CUTS, AIR_QUALITY_DEFAULT))
 
 
+_UNIT_SECONDS = {"week": 604_800, "day": 86_400, "hour": 3_600, "minute": 60, "second": 1}
+
+
 def gap_report(df: DataFrame, key: str, ts: str, start: str, end: str, step: str = "1 day",
                slot_name: str = "slot", status_name: str = "status") -> DataFrame:
     """Every expected slot of every key, marked OK or MISSING.
 
-    The slots of a key are generated from its own row and matched by equality,
-    so the calendar is never crossed with a table.
+    Slots begin at ``start`` and every ``step`` after it, up to ``end``; a
+    reading belongs to the last slot at or before its time. Steps are whole
+    numbers of weeks, days, hours, minutes or seconds; with steps in days slots
+    are dates. The slots of a key are generated from its own row and matched by
+    equality, so the calendar is never crossed with a table.
     """
-    slot_type = "date" if step.endswith(("day", "days")) else "timestamp_ntz"
-    unit = "day" if slot_type == "date" else step.split()[-1].rstrip("s")
-    floor = F.to_date(ts) if slot_type == "date" else F.date_trunc(unit, ts).cast(slot_type)
-    present = df.select(F.col(key).alias("__key"), floor.alias("__slot")).distinct()
+    count, unit = step.split()
+    seconds = int(count) * _UNIT_SECONDS.get(unit.lower().rstrip("s"), 0)
+    if seconds <= 0:
+        raise ValueError(f"a step is a positive number of weeks, days, hours, minutes or seconds, not {step!r}")
+    slot_type = "date" if unit.lower().startswith("day") else "timestamp_ntz"
+    at, first, last = F.col(ts).cast("timestamp_ntz"), F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    behind = (at - first).cast("interval second").cast("bigint")
+    number = F.floor(behind / F.lit(seconds))
+    slot = (first + F.make_dt_interval(secs=(number * seconds).cast("decimal(18,6)"))).cast(slot_type)
+    within = (at >= first) & (at < last + F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)")))
+    present = df.where(within).select(F.col(key).alias("__key"), slot.alias("__slot")).distinct()
     slots = F.expr(f"sequence(cast('{start}' as {slot_type}), cast('{end}' as {slot_type}), interval {step})")
     expected = df.select(key).distinct().select(key, F.explode(slots).alias(slot_name))
     match = expected[key].eqNullSafe(present["__key"]) & (expected[slot_name] == present["__slot"])

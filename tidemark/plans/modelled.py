@@ -137,6 +137,29 @@ def gap_report_days(spark, sf_dir):
     return M.gap_report(held, "user_id", "ts", "2024-01-01", "2024-02-04")
 
 
+def _step_sql(start: str, end: str, step: str, seconds: int) -> str:
+    return _SLOTS.format(
+        slot="d", where=f"WHERE ts >= TIMESTAMP '{start}'",
+        floor=f"TIMESTAMP '{start}' + INTERVAL {seconds} SECOND * (date_diff('microsecond', TIMESTAMP '{start}', ts) // {seconds * 1_000_000})",
+        spine=f"SELECT unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL {step}))")
+
+
+@query("gap_report_two_hours", _step_sql("2024-01-01 00:30:00", "2024-01-30 22:30:00", "2 HOUR", 7200))
+def gap_report_two_hours(spark, sf_dir):
+    return M.gap_report(readings(spark, sf_dir), "sensor", "ts", "2024-01-01 00:30:00", "2024-01-30 22:30:00", "2 hours")
+
+
+@query("gap_report_quarter_hours", _step_sql("2024-01-01 00:00:00", "2024-01-30 23:45:00", "15 MINUTE", 900))
+def gap_report_quarter_hours(spark, sf_dir):
+    return M.gap_report(readings(spark, sf_dir), "sensor", "ts", "2024-01-01 00:00:00", "2024-01-30 23:45:00", "15 minutes")
+
+
+@query("gap_report_two_days", f"""SELECT CAST(slot AS DATE) AS slot, sensor, status
+FROM ({_step_sql("2024-01-02 00:00:00", "2024-02-05 00:00:00", "2 DAY", 172_800)})""")
+def gap_report_two_days(spark, sf_dir):
+    return M.gap_report(readings(spark, sf_dir), "sensor", "ts", "2024-01-02", "2024-02-05", "2 days")
+
+
 # --- changes to stored tables -----------------------------------------------------------
 
 
