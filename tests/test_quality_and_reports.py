@@ -92,14 +92,15 @@ def test_bad_payloads_are_set_aside(frame):
                        "weather_code": [0, 95]}}
     uneven = {"hourly": {"time": ["2024-01-01T05:00"], "temperature_2m": [], "weather_code": [1]}}
     absent = {"hourly": {"time": ["2024-01-01T05:00"], "weather_code": [1]}}
-    df = frame([("a", json.dumps(good)), ("b", '{"hourly": {}}'), ("c", "{cut"), ("d", json.dumps(uneven)),
+    timeless = {"hourly": {"time": ["2024-01-01T05:00", "soon"], "temperature_2m": [1.0, 2.0], "weather_code": [1, 2]}}
+    df = frame([("g", json.dumps(timeless)), ("a", json.dumps(good)), ("b", '{"hourly": {}}'), ("c", "{cut"), ("d", json.dumps(uneven)),
                 ("e", json.dumps(absent)), ("f", None)], "city string, body string")
     ok, rejects = payloads.ingest_payloads(df, "body", FIELDS)
     assert rows(ok, "city", "recorded_at", "temperature_c", "code") == sorted([
         ("a", datetime(2024, 1, 1, 5), 1.5, 0), ("a", datetime(2024, 1, 1, 6), None, 95)], key=repr)
     assert rows(rejects, "city", "reason") == [
         ("b", "no hourly data"), ("c", "no hourly data"), ("d", "array lengths differ"), ("e", "array lengths differ"),
-        ("f", "no hourly data")]
+        ("f", "no hourly data"), ("g", "bad time")]
 
 
 def test_append_refuses_other_schemas(spark, frame):

@@ -99,6 +99,19 @@ def rejected_payloads(spark, sf_dir):
     return rejects.drop("payload")
 
 
+@query("rejected_times", """SELECT o_orderkey, 'bad time' AS reason FROM orders WHERE o_orderkey % 7 = 0""")
+def rejected_times(spark, sf_dir):
+    """Payloads of which one time is no time are set aside whole."""
+    shown = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm")
+    second = F.when(F.col("o_orderkey") % 7 == 0, "late").otherwise(shown)
+    value = F.col("o_totalprice")
+    hourly = F.struct(F.array(shown, second).alias("time"), F.array(value, value).alias("temperature_2m"),
+                      F.array("o_custkey", "o_custkey").alias("weather_code"))
+    bodies = table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(hourly.alias("hourly"))).alias("payload"))
+    _, rejects = payloads.ingest_payloads(bodies, "payload", FIELDS)
+    return rejects.drop("payload")
+
+
 @query("query_text_scan", """SELECT n_name, count(*) AS n_customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""")
 def query_text_scan(spark, sf_dir):
     return files.run_sql(

@@ -20,8 +20,8 @@ def ingest_payloads(df: DataFrame, json_col: str, fields: dict[str, tuple[str, s
     """Reading rows, and the payloads that could not be used with a reason.
 
     ``fields`` maps an array's name to the output name and type. A payload
-    without readings, or whose arrays differ in length, is set aside whole; the
-    others are not held up.
+    without readings, whose arrays differ in length or with a time that is not
+    one, is set aside whole; the others are not held up.
     """
     types = {name: kind for name, (_, kind) in fields.items()}
     parsed = df.withColumn("__p", F.from_json(json_col, payload_schema(types)))
@@ -40,13 +40,19 @@ def _reject_reason(hourly: Column, names: list[str]) -> Column:
     uneven = F.lit(False)
     for name in names:
         uneven = uneven | F.coalesce(F.size(hourly[name]) != times, F.lit(True))
+    bad_time = F.exists(hourly["time"], lambda t: _reading_time(t).isNull())
     return (
         F.when(hourly.isNull() | hourly["time"].isNull(), "no hourly data")
         .when(times == 0, "no hourly data")
         .when(uneven, "array lengths differ")
+        .when(bad_time, "bad time")
     )
 
 
+def _reading_time(text: Column) -> Column:
+    return F.try_to_timestamp(text, F.lit(TIME_PATTERN)).cast("timestamp_ntz")
+
+
 def flatten_hourly(df: DataFrame, hourly: Column, fields: dict[str, tuple[str, str]],
                    ts_name: str = "recorded_at", only: Column | None = None) -> DataFrame:
     """One row per position of the arrays, beside the payload's own columns.
@@ -56,6 +62,6 @@ def flatten_hourly(df: DataFrame, hourly: Column, fields: dict[str, tuple[str, s
     zipped = F.arrays_zip(hourly["time"].alias("time"), *[hourly[name].alias(name) for name in fields])
     rows = df.withColumn("__r", F.explode(zipped if only is None else F.when(only, zipped)))
     return rows.withColumns({
-        ts_name: F.try_to_timestamp(F.col("__r")["time"], F.lit(TIME_PATTERN)).cast("timestamp_ntz"),
+        ts_name: _reading_time(F.col("__r")["time"]),
         **{out: F.col("__r")[name] for name, (out, _) in fields.items()},
     }).drop("__r")
