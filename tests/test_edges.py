@@ -114,6 +114,17 @@ def test_gap_report_marks_missing_slots(frame):
     assert [k for k, s in found.items() if s == "OK"] and found[("a", 2)] == "MISSING" and found[(None, 2)] == "OK"
 
 
+def test_means_take_doubles_as_they_are(frame):
+    day = at(1)
+    fine = frame([("a", day, 0.004), ("a", day, 0.004), ("a", day, 0.013), ("a", day, None), ("b", day, 1e17)],
+                 "key string, ts timestamp_ntz, value double")
+    assert rows(A.daily_summary(fine, ["key"], "ts", {"m": "value"}), "key", "m") == [("a", 0.01), ("b", 1e17)]
+    assert rows(A.rollup_summary(fine, ["key"], "value").where("key IS NOT NULL"), "key", "mean") == [("a", 0.01), ("b", 1e17)]
+    odd = frame([("a", day, float("nan")), ("a", day, 1.0)], "key string, ts timestamp_ntz, value double")
+    assert str(A.daily_summary(odd, ["key"], "ts", {"m": "value"}).first()["m"]) == "nan"
+    assert str(A.cube_summary(odd, ["key"], "value").first()["mean"]) == "nan"
+
+
 @pytest.mark.parametrize("step, start, seen, marked", [
     ("2 hours", "2024-01-01 00:00:00", datetime(2024, 1, 1, 1, 5), datetime(2024, 1, 1, 0)),
     ("15 minutes", "2024-01-01 00:00:00", datetime(2024, 1, 1, 1, 5), datetime(2024, 1, 1, 1)),

@@ -122,8 +122,10 @@ def round_half_up(c: str | Column, digits: int = 2) -> Column:
     return F.round(as_column(c) + F.lit(TIE_SHIFT), digits)
 
 
-def fixed_sum(c: str | Column, scale: int = 2) -> Column:
-    """Order-independent sum of a measure stored with ``scale`` decimals."""
+def fixed_sum(c: str | Column, scale: int | None = 2) -> Column:
+    """Order-independent sum of a measure stored with ``scale`` decimals; the plain sum of doubles for ``None``."""
+    if scale is None:
+        return F.sum(as_column(c).cast("double"))
     return F.sum(as_column(c).cast(T.DecimalType(18, scale)))
 
 

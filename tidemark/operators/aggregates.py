@@ -1,4 +1,9 @@
-"""Grouped summaries. Everything combines map-side before its shuffle."""
+"""Grouped summaries. Everything combines map-side before its shuffle.
+
+Means average doubles as they are. Callers whose measure is stored with a known
+number of decimals pass it as ``scale``; the sum is then exact, whatever the
+order of the rows.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +17,9 @@ from tidemark.functions.columns import day_of, fixed_sum, rounded_mean, rounded_
 
 def daily_summary(df: DataFrame, keys: Sequence[str], ts: str, means: dict[str, str],
                   maxima: dict[str, str] | None = None, minima: dict[str, str] | None = None,
-                  day_name: str = "day", count_name: str = "row_count") -> DataFrame:
+                  day_name: str = "day", count_name: str = "row_count", scale: int | None = None) -> DataFrame:
     """Means, extremes and a row count per key and day."""
-    aggs = [rounded_mean(c).alias(n) for n, c in means.items()]
+    aggs = [rounded_mean(c, scale=scale).alias(n) for n, c in means.items()]
     aggs += [F.max(c).alias(n) for n, c in (maxima or {}).items()]
     aggs += [F.min(c).alias(n) for n, c in (minima or {}).items()]
     return df.groupBy(*keys, day_of(ts).alias(day_name)).agg(*aggs, F.count(F.lit(1)).alias(count_name))
@@ -47,7 +52,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return report
 
 
-def profile(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+def profile(df: DataFrame, numeric: Sequence[str], scale: int | None = None) -> DataFrame:
     """One row per column: type, NULLs and, for numeric columns, spread; a single pass."""
     types = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("__rows")]
@@ -55,7 +60,7 @@ def profile(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
         aggs.append(F.count(c).alias(f"n_{c}"))
     for c in numeric:
         aggs += [F.min(c).cast("double").alias(f"min_{c}"), F.max(c).cast("double").alias(f"max_{c}"),
-                 rounded_mean(c).alias(f"mean_{c}"), F.round(F.stddev_samp(c), 4).alias(f"std_{c}")]
+                 rounded_mean(c, scale=scale).alias(f"mean_{c}"), F.round(F.stddev_samp(c), 4).alias(f"std_{c}")]
     row = df.agg(*aggs)
     missing = F.lit(None).cast("double")
     entries = [
@@ -75,13 +80,13 @@ def profile(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 # --- subtotals -------------------------------------------------------------------
 
 
-def _finest(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _finest(df: DataFrame, keys: Sequence[str], value: str, scale: int | None) -> DataFrame:
     """Sums and counts at the finest grain.
 
     The grouping sets then expand these few rows instead of every input row.
     """
     return df.groupBy(*keys).agg(
-        fixed_sum(value).alias("__sum"), F.count(value).alias("__cnt"), F.count(F.lit(1)).alias("__rows")
+        fixed_sum(value, scale).alias("__sum"), F.count(value).alias("__cnt"), F.count(F.lit(1)).alias("__rows")
     )
 
 
@@ -93,21 +98,24 @@ def _totals(mean_name: str, count_name: str) -> list[Column]:
 
 
 def rollup_summary(df: DataFrame, keys: Sequence[str], value: str, mean_name: str = "mean",
-                   count_name: str = "row_count", labels: dict[str, str] | None = None) -> DataFrame:
-    finest = _finest(df, keys, value)
+                   count_name: str = "row_count", labels: dict[str, str] | None = None,
+                   scale: int | None = None) -> DataFrame:
+    finest = _finest(df, keys, value, scale)
     return _labelled(finest.rollup(*keys), keys, mean_name, count_name, labels)
 
 
 def cube_summary(df: DataFrame, keys: Sequence[str], value: str, mean_name: str = "mean",
-                 count_name: str = "row_count", labels: dict[str, str] | None = None) -> DataFrame:
-    finest = _finest(df, keys, value)
+                 count_name: str = "row_count", labels: dict[str, str] | None = None,
+                   scale: int | None = None) -> DataFrame:
+    finest = _finest(df, keys, value, scale)
     return _labelled(finest.cube(*keys), keys, mean_name, count_name, labels)
 
 
 def grouping_sets_summary(df: DataFrame, sets: Sequence[Sequence[str]], value: str, mean_name: str = "mean",
-                          count_name: str = "row_count", labels: dict[str, str] | None = None) -> DataFrame:
+                          count_name: str = "row_count", labels: dict[str, str] | None = None,
+                          scale: int | None = None) -> DataFrame:
     keys = list(dict.fromkeys(k for s in sets for k in s))
-    finest = _finest(df, keys, value)
+    finest = _finest(df, keys, value, scale)
     grouped = finest.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys])
     return _labelled(grouped, keys, mean_name, count_name, labels)
 

@@ -78,20 +78,21 @@ def insert_missing(target: DataFrame, source: DataFrame, on: Sequence[str], null
 
 def serving_mart(fact: DataFrame, second: DataFrame, dim: DataFrame, *, key: str, name: str, ts: str,
                  reading_key: str, means: dict[str, str], peak: str, second_means: dict[str, str],
-                 graded: str, count_name: str, label_name: str) -> DataFrame:
+                 graded: str, count_name: str, label_name: str, scale: int | None = None) -> DataFrame:
     """One wide row per member and day from two hourly facts.
 
     Driven from the first fact: a member that only the second one has does not
     appear, and a day without second readings falls into the default label.
+    ``scale`` is the number of decimals of the averaged measures, if it is known.
     """
     readings = join_dim(fact, dim.select(key, name), {key: key})
     right = second.select(key, F.col(ts).alias("__ts2"), *second_means.values())
     matched = join_on_time_bucket(readings, right, [key], ts, "__ts2", how="left")
     daily = matched.groupBy(name, day_of(ts).alias("reading_date")).agg(
-        *[rounded_mean(c).alias(n) for n, c in means.items()],
+        *[rounded_mean(c, scale=scale).alias(n) for n, c in means.items()],
         F.max(peak).alias(f"max_{peak}"),
         F.min(peak).alias(f"min_{peak}"),
-        *[rounded_mean(c).alias(n) for n, c in second_means.items()],
+        *[rounded_mean(c, scale=scale).alias(n) for n, c in second_means.items()],
         F.countDistinct(reading_key).alias(count_name),
     )
     return daily.withColumn(label_name, bucket(graded, AIR_QUALITY_CUTS, AIR_QUALITY_DEFAULT))
@@ -115,7 +116,8 @@ def gap_report(df: DataFrame, key: str, ts: str, start: str, end: str, step: str
     if seconds <= 0:
         raise ValueError(f"a step is a positive number of weeks, days, hours, minutes or seconds, not {step!r}")
     slot_type = "date" if unit.lower().startswith("day") else "timestamp_ntz"
-    at, first, last = F.col(ts).cast("timestamp_ntz"), F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    at = F.col(ts).cast("timestamp_ntz")
+    first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     behind = (at - first).cast("interval second").cast("bigint")
     number = F.floor(behind / F.lit(seconds))
     slot = (first + F.make_dt_interval(secs=(number * seconds).cast("decimal(18,6)"))).cast(slot_type)

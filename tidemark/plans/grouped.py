@@ -33,7 +33,7 @@ SELECT sensor, CAST(slot AS DATE) AS reading_date, {mean_sql('value')} AS mean_v
 def daily_summary(spark, sf_dir):
     return A.daily_summary(
         hourly(spark, sf_dir), ["sensor"], "slot", {"mean_value": "value", "mean_code": "code"},
-        {"max_value": "value"}, {"min_value": "value"}, "reading_date", "reading_cnt")
+        {"max_value": "value"}, {"min_value": "value"}, "reading_date", "reading_cnt", scale=2)
 
 
 @query("mean_of_any_scale", """SELECT l_returnflag, l_linestatus, round(avg(l_quantity), 4) AS mean_quantity,
@@ -123,7 +123,24 @@ SELECT country, site_name, reading_date, {mean_sql('value')} AS mean_value, coun
 FROM base GROUP BY ROLLUP (country, site_name, reading_date)""")
 def rollup_sites(spark, sf_dir):
     return A.rollup_summary(_base(spark, sf_dir), ["country", "site_name", "reading_date"], "value", "mean_value",
-                            "n_readings")
+                            "n_readings", scale=2)
+
+
+@query("rollup_of_sevenths", f"""WITH {_BASE}
+SELECT country, site_name, round(avg(value / 7), 2) AS mean_value, count(*) AS n_readings
+FROM base GROUP BY ROLLUP (country, site_name)""")
+def rollup_of_sevenths(spark, sf_dir):
+    """Means of a measure with no fixed number of decimals."""
+    base = _base(spark, sf_dir).withColumn("seventh", F.col("value") / 7)
+    return A.rollup_summary(base, ["country", "site_name"], "seventh", "mean_value", "n_readings")
+
+
+@query("daily_summary_of_sevenths", f"""WITH {HOURLY}
+SELECT sensor, CAST(slot AS DATE) AS reading_date, round(avg(value / 7), 2) AS mean_value, count(*) AS reading_cnt
+FROM hourly GROUP BY ALL""")
+def daily_summary_of_sevenths(spark, sf_dir):
+    rows = hourly(spark, sf_dir).withColumn("seventh", F.col("value") / 7)
+    return A.daily_summary(rows, ["sensor"], "slot", {"mean_value": "seventh"}, day_name="reading_date", count_name="reading_cnt")
 
 
 @query("rollup_labelled", f"""WITH {_BASE}
@@ -131,7 +148,7 @@ SELECT country, {_LABELLED}, {mean_sql('value')} AS mean_value, count(*) AS n_re
 FROM base GROUP BY ROLLUP (country, base.site_name, base.reading_date)""")
 def rollup_labelled(spark, sf_dir):
     return A.rollup_summary(_base(spark, sf_dir), ["country", "site_name", "reading_date"], "value", "mean_value",
-                            "n_readings", LABELS)
+                            "n_readings", LABELS, scale=2)
 
 
 @query("rollup_with_null_key", f"""WITH {READINGS}, base AS (
@@ -141,7 +158,7 @@ SELECT CASE WHEN GROUPING(sensor) = 1 THEN 'ALL' ELSE sensor END AS sensor, {mea
 def rollup_with_null_key(spark, sf_dir):
     """A real NULL in the key stays apart from the subtotal."""
     base = readings(spark, sf_dir).select(F.when(F.col("code") % 7 != 0, F.col("sensor")).alias("sensor"), "value")
-    return A.rollup_summary(base, ["sensor"], "value", "mean_value", "n_readings", {"sensor": "ALL"})
+    return A.rollup_summary(base, ["sensor"], "value", "mean_value", "n_readings", {"sensor": "ALL"}, scale=2)
 
 
 @query("cube_sites", f"""WITH {_BASE}
@@ -149,7 +166,7 @@ SELECT {_LABELLED}, {mean_sql('value')} AS mean_value, count(*) AS n_readings
 FROM base GROUP BY CUBE (base.site_name, base.reading_date)""")
 def cube_sites(spark, sf_dir):
     return A.cube_summary(_base(spark, sf_dir), ["site_name", "reading_date"], "value", "mean_value", "n_readings",
-                          LABELS)
+                          LABELS, scale=2)
 
 
 @query("grouping_sets_sites", f"""WITH {_BASE}
@@ -157,7 +174,7 @@ SELECT {_LABELLED}, {mean_sql('value')} AS mean_value, count(*) AS n_readings
 FROM base GROUP BY GROUPING SETS ((base.site_name), (base.reading_date), ())""")
 def grouping_sets_sites(spark, sf_dir):
     return A.grouping_sets_summary(_base(spark, sf_dir), [["site_name"], ["reading_date"], []], "value",
-                                   "mean_value", "n_readings", LABELS)
+                                   "mean_value", "n_readings", LABELS, scale=2)
 
 
 @query("distinct_members", f"""WITH {LOCATED}
@@ -208,7 +225,7 @@ def _profile_sql(columns: dict[str, str], numeric: set[str]) -> str:
     {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
      "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}, {"o_custkey", "o_totalprice"}))
 def profile_orders(spark, sf_dir):
-    return A.profile(table(spark, sf_dir, "orders"), ["o_custkey", "o_totalprice"])
+    return A.profile(table(spark, sf_dir, "orders"), ["o_custkey", "o_totalprice"], scale=2)
 
 
 @query("drill_across_daily", f"""WITH {SITE_FACTS}, daily AS (

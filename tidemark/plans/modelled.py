@@ -45,7 +45,7 @@ def serving_mart(spark, sf_dir):
         first, second, sites(spark, sf_dir), key="site", name="site_name", ts="recorded_at",
         reading_key="reading_sk", means={"avg_value": "value", "avg_code": "code"}, peak="value",
         second_means={"avg_second": "second_value", "avg_second_code": "second_code"}, graded="avg_second",
-        count_name="reading_cnt", label_name="category")
+        count_name="reading_cnt", label_name="category", scale=2)
 
 
 # --- dimensions and facts ---------------------------------------------------------------
@@ -304,7 +304,7 @@ def replace_partitions(spark, sf_dir):
 def _summary(spark, sf_dir):
     rows = readings(spark, sf_dir)
     return daily_summary(rows, ["sensor"], "ts", {"mean_value": "value"}, day_name="summary_date",
-                         count_name="reading_count")
+                         count_name="reading_count", scale=2)
 
 
 _SUMMARY = f"""SELECT sensor, CAST(ts AS DATE) AS summary_date, {mean_sql('value')} AS mean_value,

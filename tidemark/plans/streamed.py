@@ -41,7 +41,7 @@ def stream_fact_load(spark, sf_dir):
 def stream_daily_summary(spark, sf_dir):
     out = scratch_path(spark, "summary")
     L.stream_daily_summary(_changes(spark, sf_dir), ["event_type"], "ts", "value", "1 hour", out,
-                           scratch_path(spark, "offsets"))
+                           scratch_path(spark, "offsets"), scale=2)
     return L.latest_batches(spark, out, ["event_type", "summary_date"])
 
 

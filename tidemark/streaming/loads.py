@@ -61,17 +61,20 @@ def clock_time(at: Column) -> Column:
 
 
 def stream_daily_summary(changes: DataFrame, keys: Sequence[str], ts: str, value: str, delay: str,
-                         out: str, checkpoint: str) -> StreamingQuery:
+                         out: str, checkpoint: str, scale: int | None = None) -> StreamingQuery:
     """Daily mean and count per key, refreshed as readings arrive.
 
-    Every batch stores the days it changed under its batch number; a batch that
+    ``scale`` is the number of decimals of the measure, if it is known; its sum
+    is then exact. Every batch stores the days it changed under its batch number; a batch that
     runs again after a failure replaces its own rows.
     """
     daily = (
         changes.withColumn("__at", event_time(ts))
         .withWatermark("__at", delay)
         .groupBy(*keys, F.window("__at", "1 day").alias("__w"))
-        .agg(fixed_sum(value).alias("__sum"), F.count(value).alias("__cnt"), F.count(F.lit(1)).alias("row_count"))
+        .agg(
+            fixed_sum(value, scale).alias("__sum"), F.count(value).alias("__cnt"), F.count(F.lit(1)).alias("row_count")
+        )
         .select(
             *keys,
             F.to_date(clock_time(F.col("__w")["start"])).alias("summary_date"),
