@@ -114,6 +114,14 @@ def test_gap_report_marks_missing_slots(frame):
     assert [k for k, s in found.items() if s == "OK"] and found[("a", 2)] == "MISSING" and found[(None, 2)] == "OK"
 
 
+def test_profile_gives_quartiles_where_asked(frame):
+    df = frame([(i, "x") for i in range(1, 101)] + [(None, None)], "a int, b string")
+    found = {r["column_name"]: r for r in A.profile(df, ["a"], quartiles=True).collect()}
+    assert [found["a"][f"q{q}_value"] for q in (25, 50, 75)] == [25.0, 50.0, 75.0]
+    assert found["b"]["q50_value"] is None
+    assert "q25_value" not in A.profile(df, ["a"]).columns
+
+
 def test_means_take_doubles_as_they_are(frame):
     day = at(1)
     fine = frame([("a", day, 0.004), ("a", day, 0.004), ("a", day, 0.013), ("a", day, None), ("b", day, 1e17)],

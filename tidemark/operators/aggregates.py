@@ -52,8 +52,16 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return report
 
 
-def profile(df: DataFrame, numeric: Sequence[str], scale: int | None = None) -> DataFrame:
-    """One row per column: type, NULLs and, for numeric columns, spread; a single pass."""
+QUARTILES = (25, 50, 75)
+
+
+def profile(df: DataFrame, numeric: Sequence[str], scale: int | None = None, quartiles: bool = False) -> DataFrame:
+    """One row per column: type, NULLs and, for numeric columns, spread; a single pass.
+
+    ``quartiles`` adds ``q25_value``, ``q50_value`` and ``q75_value``: values of
+    the column whose rank is right to one part in 10,000.
+    """
+    spread = ["min", "max", "mean", "std"] + [f"q{q}" for q in QUARTILES if quartiles]
     types = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in df.columns:
@@ -61,6 +69,7 @@ def profile(df: DataFrame, numeric: Sequence[str], scale: int | None = None) ->
     for c in numeric:
         aggs += [F.min(c).cast("double").alias(f"min_{c}"), F.max(c).cast("double").alias(f"max_{c}"),
                  rounded_mean(c, scale=scale).alias(f"mean_{c}"), F.round(F.stddev_samp(c), 4).alias(f"std_{c}")]
+        aggs += [F.percentile_approx(c, q / 100).cast("double").alias(f"q{q}_{c}") for q in QUARTILES if quartiles]
     row = df.agg(*aggs)
     missing = F.lit(None).cast("double")
     entries = [
@@ -70,7 +79,7 @@ def profile(df: DataFrame, numeric: Sequence[str], scale: int | None = None) ->
             F.col("__rows").alias("row_count"),
             (F.col("__rows") - F.col(f"n_{c}")).alias("null_count"),
             *[(F.col(f"{s}_{c}") if c in numeric else missing).alias(f"{s}_value")
-              for s in ("min", "max", "mean", "std")],
+              for s in spread],
         )
         for c in df.columns
     ]
