@@ -22,13 +22,32 @@ def test_range_limits_are_inclusive_and_nulls_depend_on_the_condition(frame):
 def test_null_passes_accepted_values_and_unique(frame):
     df = frame([("a",), (None,), (None,)], "v string")
     results = {r["check"]: r for r in Q.run_checks(df, [
-        Q.accepted_values("v", ["a"]), Q.not_null("v"), Q.unique(df, "v"), Q.row_count_between(4, None),
+        Q.accepted_values("v", ["a"]), Q.not_null("v"), Q.unique("v"), Q.row_count_between(4, None),
         Q.row_count_between(None, 3).warn_only()]).collect()}
     assert results["accepted_values_v"]["status"] == "pass"
     assert results["not_null_v"]["failures"] == 2 and results["not_null_v"]["status"] == "fail"
     assert results["unique_v"]["status"] == "pass"
 
 
+def test_group_checks_count_nulls_ties_and_missing_members(frame):
+    df = frame([(1, "a"), (1, "a"), (None, "a"), (2, None), (3, "b"), (3, None)], "k int, v string")
+    to, wanted = frame([(1,)], "id int"), frame([("a",), ("z",), (None,)], "m string")
+    checks = [Q.unique("k"), Q.unique_combination(["k", "v"]), Q.relationships("k", to, "id"),
+              Q.missing_members("v", wanted)]
+    failures = {r["check"]: r["failures"] for r in Q.run_checks(df, checks).collect()}
+    assert failures == {"unique_k": 2, "unique_combination_k_v": 1, "relationships_k": 3, "missing_members_v": 1}
+    none = {r["check"]: r["failures"] for r in Q.run_checks(df.limit(0), checks).collect()}
+    assert none == {"unique_k": 0, "unique_combination_k_v": 0, "relationships_k": 0, "missing_members_v": 2}
+
+
+def test_two_checks_of_one_name_are_refused(frame):
+    df = frame([(1.0,)], "v double")
+    with pytest.raises(ValueError, match="between_v_0_1"):
+        Q.run_checks(df, [Q.between("v", 0, 1), Q.between("v", 0, 1, F.lit(True))])
+    named = Q.between("v", 0, 1, F.lit(True), "between_v_all")
+    assert Q.run_checks(df, [Q.between("v", 0, 1), named]).count() == 2
+
+
 def test_severity_decides_between_warning_and_failure(frame):
     df = frame([(-1,)], "v int")
     bad = Q.singular("negative", df.where("v < 0"))
@@ -60,6 +79,21 @@ def test_orphans_leave_nulls_alone(frame):
     assert rows(Q.orphans(df, "k", to, "id")) == [(2,)]
 
 
+def test_a_stale_source_is_not_built(spark, frame):
+    df = frame([(1, datetime(2024, 1, 10))], "v int, ts timestamp_ntz")
+    checks = lambda _df: [Q.not_null("v")]
+    results = sinks.publish_fresh(df, [Q.is_fresh("ts", "2024-01-11", 6, 48)], lambda d: d.select("v"), checks,
+                                  "fresh_v", shared_dir(spark))
+    assert rows(results, "check", "status") == [("freshness_ts_error", "pass"), ("not_null_v", "pass")]
+
+    def never(_df):
+        raise AssertionError("built from a stale source")
+
+    with pytest.raises(Q.ChecksFailed, match="freshness_ts_error"):
+        sinks.publish_fresh(df, [Q.is_fresh("ts", "2024-01-20", 6, 48)], never, checks, "fresh_v", shared_dir(spark))
+    assert rows(spark.table("fresh_v")) == [(1,)]
+
+
 def test_publish_keeps_readers_on_the_last_good_version(spark, frame):
     checks = lambda df: [Q.not_null("v")]
     sinks.publish(frame([(1,)], "v int"), checks, "published_v", shared_dir(spark))

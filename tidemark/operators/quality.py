@@ -1,29 +1,38 @@
 """Data-quality checks.
 
-A check finds failing rows; none means it passes. Checks on single rows of a
-table share one aggregate pass, checks on groups or other tables run beside it.
+A check finds failing rows; none means it passes. Checks on single rows, the
+row count or the newest time of a table share one aggregate pass. Checks on
+groups share one grouping where the keys of one lie within those of another.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import blank_to_null
-from tidemark.operators.joins import missing_members as absent_members
 
 
 @dataclass(frozen=True)
 class Check:
-    """A named check: a row condition, a condition on the row count, or failing rows."""
+    """A named check, of one kind.
+
+    A row condition; bounds of the row count; a test of the newest value of a
+    column; failures counted from the table's groups by ``keys`` or finer ones,
+    each with its ``n_rows``; or a frame of failing rows.
+    """
 
     name: str
     severity: str = "error"
     row_fails: Column | None = None
     count_fails: tuple[int | None, int | None] | None = None
+    newest_fails: tuple[str, Callable[[Column], Column]] | None = None
+    keys: tuple[str, ...] = ()
+    group_failures: Callable[[DataFrame], DataFrame] | None = None
     failing: DataFrame | None = None
 
     def warn_only(self) -> "Check":
@@ -51,16 +60,23 @@ def stale_members(df: DataFrame, key: str, ts: str, as_of: str, days: int, name:
     return df.groupBy(key).agg(F.max(F.to_date(ts)).alias(name)).where(F.col(name) < limit)
 
 
+def age_hours(at: Column, as_of: str) -> Column:
+    return (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(at.cast("timestamp"))) / F.lit(3600e6)
+
+
+def age_status(at: Column, as_of: str, warn_hours: int, error_hours: int) -> Column:
+    """Whether a newest time passes, warns or fails; none at all fails."""
+    age = age_hours(at, as_of)
+    return F.when(at.isNull() | (age > error_hours), "error").when(age > warn_hours, "warn").otherwise("pass")
+
+
 def freshness(df: DataFrame, column: str, as_of: str, warn_hours: int, error_hours: int) -> DataFrame:
     """Age of the newest row and whether it passes, warns or fails; no rows fail."""
     latest = df.agg(F.max(column).alias("latest"))
-    age = (
-        F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(F.col("latest").cast("timestamp"))
-    ) / F.lit(3600e6)
-    return latest.withColumn("age_hours", F.round(age, 2)).withColumn(
-        "status",
-        F.when(F.col("latest").isNull() | (age > error_hours), "error").when(age > warn_hours, "warn").otherwise("pass"),
-    )
+    return latest.withColumns({
+        "age_hours": F.round(age_hours(F.col("latest"), as_of), 2),
+        "status": age_status(F.col("latest"), as_of, warn_hours, error_hours),
+    })
 
 
 def out_of_range(column: str, low: float, high: float, row_condition: Column | None = None) -> Column:
@@ -80,74 +96,139 @@ def accepted_values(column: str, values: Sequence) -> Check:
     return Check(f"accepted_values_{column}", row_fails=~F.col(column).isin(*values))
 
 
-def between(column: str, low: float, high: float, row_condition: Column | None = None) -> Check:
-    return Check(f"between_{column}", row_fails=out_of_range(column, low, high, row_condition))
+def between(column: str, low: float, high: float, row_condition: Column | None = None,
+            name: str | None = None) -> Check:
+    """Values within the bounds; name checks with the same bounds and other row conditions apart."""
+    return Check(name or f"between_{column}_{low}_{high}", row_fails=out_of_range(column, low, high, row_condition))
 
 
 def row_count_between(low: int | None, high: int | None) -> Check:
-    return Check("row_count_between", count_fails=(low, high))
+    return Check(f"row_count_between_{low}_{high}", count_fails=(low, high))
+
+
+def no_row(name: str, condition: Column) -> Check:
+    """No row meets the condition."""
+    return Check(name, row_fails=condition)
 
 
 def singular(name: str, failing: DataFrame) -> Check:
     return Check(name, failing=failing)
 
 
-def unique(df: DataFrame, column: str) -> Check:
-    return Check(f"unique_{column}", failing=duplicates(df, [column]))
+def unique(column: str) -> Check:
+    return _distinct(f"unique_{column}", [column])
+
+
+def unique_combination(columns: Sequence[str]) -> Check:
+    return _distinct(f"unique_combination_{'_'.join(columns)}", columns)
+
 
+def _distinct(name: str, columns: Sequence[str]) -> Check:
+    """Fails per repeated value, a NULL left out for one column."""
+    counts = F.col("n_rows") > 1
+    if len(columns) == 1:
+        counts = counts & F.col(columns[0]).isNotNull()
 
-def unique_combination(df: DataFrame, columns: Sequence[str]) -> Check:
-    return Check(f"unique_combination_{'_'.join(columns)}", failing=duplicates(df, columns))
+    def failures(groups: DataFrame) -> DataFrame:
+        if set(groups.columns) != {*columns, "n_rows"}:
+            groups = groups.groupBy(*columns).agg(F.sum("n_rows").alias("n_rows"))
+        return groups.agg(F.count_if(counts).alias("failures"))
 
+    return Check(name, keys=tuple(columns), group_failures=failures)
 
-def relationships(df: DataFrame, column: str, to: DataFrame, field: str) -> Check:
-    return Check(f"relationships_{column}", failing=orphans(df, column, to, field))
 
+def relationships(column: str, to: DataFrame, field: str) -> Check:
+    """Fails per row whose non-NULL reference has no match."""
+    known = to.select(F.col(field).alias("__known")).distinct().withColumn("__found", F.lit(True))
 
-def missing_members(df: DataFrame, column: str, expected: DataFrame) -> Check:
-    return Check(f"missing_members_{column}", failing=absent_members(df, column, expected))
+    def failures(groups: DataFrame) -> DataFrame:
+        # an outer join, and NULLs left out last: an anti join or a filter would reach below the groups, so that
+        # every row were joined and other checks could not share them
+        matched = groups.join(known, F.col(column) == F.col("__known"), "left")
+        lost = F.col(column).isNotNull() & F.col("__found").isNull()
+        return matched.agg(F.coalesce(F.sum(F.when(lost, F.col("n_rows"))), F.lit(0)).cast("long").alias("failures"))
 
+    return Check(f"relationships_{column}", keys=(column,), group_failures=failures)
 
-def is_fresh(df: DataFrame, column: str, as_of: str, warn_hours: int, error_hours: int,
-             severity: str = "error") -> Check:
+
+def missing_members(column: str, expected: DataFrame) -> Check:
+    """Fails per distinct member of ``expected`` (its first column) without a row."""
+    wanted = expected.select(F.col(expected.columns[0]).alias("__expected")).distinct().where(
+        F.col("__expected").isNotNull())
+
+    def failures(groups: DataFrame) -> DataFrame:
+        # both conditions keep the groups as the other checks read them
+        seen = groups.where(F.col("n_rows") > 0)
+        absent = wanted.join(seen, F.col("__expected").eqNullSafe(F.col(column)), "left_anti")
+        return absent.agg(F.count(F.lit(1)).alias("failures"))
+
+    return Check(f"missing_members_{column}", keys=(column,), group_failures=failures)
+
+
+def is_fresh(column: str, as_of: str, warn_hours: int, error_hours: int, severity: str = "error") -> Check:
     """Fails as an error past ``error_hours``, or as a warning past ``warn_hours``."""
     level = ["error"] if severity == "error" else ["warn", "error"]
-    aged = freshness(df, column, as_of, warn_hours, error_hours).where(F.col("status").isin(level))
-    return Check(f"freshness_{column}_{severity}", severity=severity, failing=aged)
+    return Check(f"freshness_{column}_{severity}", severity=severity, newest_fails=(
+        column, lambda at: age_status(at, as_of, warn_hours, error_hours).isin(level)))
 
 
 # --- running -------------------------------------------------------------------------------
 
 
+def _measure(check: Check) -> Column | None:
+    """The aggregate of the whole table that a check needs, None for one on groups or other rows."""
+    if check.row_fails is not None:
+        return F.count_if(F.coalesce(check.row_fails, F.lit(False)))
+    if check.count_fails is not None:
+        return F.count(F.lit(1))
+    if check.newest_fails is not None:
+        return F.max(check.newest_fails[0])
+    return None
+
+
+def _failures(check: Check, measured: Column) -> Column:
+    if check.row_fails is not None:
+        return measured
+    if check.newest_fails is not None:
+        fails = check.newest_fails[1](measured)
+    else:
+        low, high = check.count_fails
+        fails = F.lit(False) if low is None else measured < low
+        fails = fails if high is None else fails | (measured > high)
+    return F.when(fails, 1).otherwise(0).cast("long")
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: ``check, severity, failures, status``."""
-    on_rows = [c for c in checks if c.failing is None]
-    results = None
-    if on_rows:
-        aggs = [F.count(F.lit(1)).alias("__rows")]
-        aggs += [
-            F.count_if(F.coalesce(c.row_fails, F.lit(False))).alias(f"__f{i}")
-            for i, c in enumerate(on_rows) if c.row_fails is not None
+    """One row per check: ``check, severity, failures, status``.
+
+    Reads the table once for all row, count and age checks and once per set of
+    keys that lies within no other; checks on the same groups use one shuffle.
+    Two checks of one name are refused.
+    """
+    names = [c.name for c in checks]
+    repeated = sorted({n for n in names if names.count(n) > 1})
+    if repeated:
+        raise ValueError(f"several checks are named {repeated}")
+    parts = []
+    measures = {f"__m{i}": m for i, c in enumerate(checks) if (m := _measure(c)) is not None}
+    if measures:
+        entries = [
+            F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"),
+                     _failures(c, F.col(f"__m{i}")).alias("failures"))
+            for i, c in enumerate(checks) if f"__m{i}" in measures
         ]
-        entries = []
-        for i, c in enumerate(on_rows):
-            if c.row_fails is not None:
-                failures = F.col(f"__f{i}")
-            else:
-                low, high = c.count_fails
-                short = F.col("__rows") < low if low is not None else F.lit(False)
-                over = F.col("__rows") > high if high is not None else F.lit(False)
-                failures = F.when(short | over, 1).otherwise(0).cast("long")
-            entries.append(F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"),
-                                    failures.alias("failures")))
-        results = df.agg(*aggs).select(F.inline(F.array(*entries)))
+        parts.append(df.agg(*[m.alias(n) for n, m in measures.items()]).select(F.inline(F.array(*entries))))
     for c in checks:
-        if c.failing is None:
+        if c.group_failures is not None:
+            # the most keys that hold this check's own; the shuffle of equal groups is planned once
+            keys = max((o.keys for o in checks if set(c.keys) <= set(o.keys)), key=lambda k: (len(k), k))
+            counted = c.group_failures(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")))
+        elif c.failing is not None:
+            counted = c.failing.agg(F.count(F.lit(1)).alias("failures"))
+        else:
             continue
-        row = c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"
-        )
-        results = row if results is None else results.unionByName(row)
+        parts.append(counted.select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"))
+    results = reduce(DataFrame.unionByName, parts)
     return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "warn", "warn").otherwise("fail")
     ))

@@ -11,7 +11,8 @@ from tidemark.plans.bindings import READINGS, readings, sites, table
 from tidemark.plans.modelled import serving_mart
 from tidemark.plans.registry import Family
 from tidemark.session import scratch_path, shared_dir, unique_name
-from tidemark.sources.sinks import publish
+from tidemark.sources.files import inline
+from tidemark.sources.sinks import publish, publish_fresh
 
 FAMILY = Family()
 query = FAMILY.query
@@ -86,8 +87,8 @@ def check_freshness(spark, sf_dir):
     return Q.freshness(table(spark, sf_dir, "events"), "ts", AS_OF, 24, 48)
 
 
-def _event_checks(spark, sf_dir, events):
-    singular = events.where("value > 250").select("event_id")
+def _event_checks(spark, sf_dir):
+    kinds = inline(spark, [("click",), ("view",), ("signup",), ("purchase",), ("refund",)], "kind string")
     return [
         Q.not_null("event_id"),
         Q.not_null("value"),
@@ -95,13 +96,13 @@ def _event_checks(spark, sf_dir, events):
         Q.between("value", 0, 400).warn_only(),
         Q.between("value", 0, 100, F.col("event_type") == "view"),
         Q.row_count_between(1, 1_000_000_000_000),
-        Q.unique(events, "event_id"),
-        Q.unique_combination(events, ["user_id", "event_type"]).warn_only(),
-        Q.relationships(events, "user_id", table(spark, sf_dir, "customer"), "c_custkey"),
-        Q.singular("no_extreme_value", singular),
-        Q.missing_members(events, "event_type", events.select("event_type").distinct()),
-        Q.is_fresh(events, "ts", AS_OF, 6, 48, "warn"),
-        Q.is_fresh(events, "ts", AS_OF, 6, 48),
+        Q.unique("event_id"),
+        Q.unique_combination(["user_id", "event_type"]).warn_only(),
+        Q.relationships("user_id", table(spark, sf_dir, "customer"), "c_custkey"),
+        Q.no_row("no_extreme_value", F.col("value") > 250),
+        Q.missing_members("event_type", kinds),
+        Q.is_fresh("ts", AS_OF, 6, 48, "warn"),
+        Q.is_fresh("ts", AS_OF, 6, 48),
     ]
 
 
@@ -110,16 +111,20 @@ _RESULTS = [
     ("not_null_value", "error", "(SELECT count(*) FROM events WHERE value IS NULL)"),
     ("accepted_values_event_type", "error",
      "(SELECT count(*) FROM events WHERE event_type NOT IN ('click', 'view', 'signup', 'purchase'))"),
-    ("between_value", "warn", "(SELECT count(*) FROM events WHERE NOT (value BETWEEN 0 AND 400))"),
-    ("between_value", "error", "(SELECT count(*) FROM events WHERE event_type = 'view' AND NOT (value BETWEEN 0 AND 100))"),
-    ("row_count_between", "error", "(SELECT CASE WHEN count(*) BETWEEN 1 AND 1000000000000 THEN 0 ELSE 1 END FROM events)"),
+    ("between_value_0_400", "warn", "(SELECT count(*) FROM events WHERE NOT (value BETWEEN 0 AND 400))"),
+    ("between_value_0_100", "error",
+     "(SELECT count(*) FROM events WHERE event_type = 'view' AND NOT (value BETWEEN 0 AND 100))"),
+    ("row_count_between_1_1000000000000", "error",
+     "(SELECT CASE WHEN count(*) BETWEEN 1 AND 1000000000000 THEN 0 ELSE 1 END FROM events)"),
     ("unique_event_id", "error", "(SELECT count(*) FROM (SELECT 1 FROM events GROUP BY event_id HAVING count(*) > 1))"),
     ("unique_combination_user_id_event_type", "warn",
      "(SELECT count(*) FROM (SELECT 1 FROM events GROUP BY user_id, event_type HAVING count(*) > 1))"),
     ("relationships_user_id", "error",
      "(SELECT count(*) FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer))"),
     ("no_extreme_value", "error", "(SELECT count(*) FROM events WHERE value > 250)"),
-    ("missing_members_event_type", "error", "0"),
+    ("missing_members_event_type", "error",
+     "(SELECT count(*) FROM (VALUES ('click'), ('view'), ('signup'), ('purchase'), ('refund')) k(kind)"
+     " WHERE kind NOT IN (SELECT event_type FROM events WHERE event_type IS NOT NULL))"),
     ("freshness_ts_warn", "warn",
      f"(SELECT CASE WHEN TIMESTAMP '{AS_OF}' - max(ts) > INTERVAL 6 HOUR THEN 1 ELSE 0 END FROM events)"),
     ("freshness_ts_error", "error",
@@ -133,8 +138,7 @@ _STATUS = "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn'
 
 @query("run_checks", f"SELECT *, {_STATUS} FROM ({_RESULT_ROWS})")
 def run_checks(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return Q.run_checks(events, _event_checks(spark, sf_dir, events))
+    return Q.run_checks(table(spark, sf_dir, "events"), _event_checks(spark, sf_dir))
 
 
 @query("publish_checked_mart", f"""WITH {READINGS}, s AS (SELECT DISTINCT CAST(user_id % 5 AS INTEGER) AS site, slot FROM readings
@@ -147,12 +151,12 @@ def publish_checked_mart(spark, sf_dir):
     mart = serving_mart(spark, sf_dir)
     members = sites(spark, sf_dir).select("site_name")
 
-    def checks(candidate):
+    def checks(_candidate):
         return [
             Q.not_null("site_name"), Q.not_null("reading_date"),
             Q.accepted_values("category", ["Good", "Moderate", "Unhealthy"]),
-            Q.unique_combination(candidate, ["site_name", "reading_date"]),
-            Q.missing_members(candidate, "site_name", members),
+            Q.unique_combination(["site_name", "reading_date"]),
+            Q.missing_members("site_name", members),
             Q.row_count_between(4, None),
         ]
 
@@ -166,6 +170,31 @@ def publish_checked_mart(spark, sf_dir):
     return published
 
 
+@query("publish_fresh_days", """SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS row_count, max(value) AS max_value
+FROM events GROUP BY ALL""")
+def publish_fresh_days(spark, sf_dir):
+    """Freshness, build, test, publish; a week later the feed is too old and readers keep what was published."""
+    name = unique_name("days")
+
+    def build(events):
+        return events.groupBy("event_type", F.to_date("ts").alias("day")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.max("value").alias("max_value"))
+
+    def checks(_candidate):
+        return [Q.not_null("event_type"), Q.unique_combination(["event_type", "day"]), Q.row_count_between(1, None)]
+
+    events = table(spark, sf_dir, "events")
+    publish_fresh(events, [Q.is_fresh("ts", AS_OF, 6, 48)], build, checks, name, shared_dir(spark))
+    try:
+        publish_fresh(events.where("event_type = 'view'"), [Q.is_fresh("ts", "2024-02-07 12:00:00", 6, 48)], build,
+                      checks, name, shared_dir(spark))
+    except Q.ChecksFailed:
+        pass
+    published = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    return published
+
+
 @query("summarise_failures", """WITH e AS (SELECT event_id, event_type, value, event_id % 4 AS s FROM events),
 r AS (SELECT 'model.' || event_type || '.' || event_id AS unique_id, CASE s WHEN 0 THEN 'error' WHEN 1 THEN 'fail' END AS status,
   CASE WHEN s = 0 THEN substring('Value ' || CAST(event_id AS VARCHAR) || repeat(' is out of range', 20), 1, 200) ELSE '' END AS message

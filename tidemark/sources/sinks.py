@@ -103,3 +103,14 @@ def publish(df: DataFrame, checks: Callable[[DataFrame], Sequence[Check]], table
     else:
         spark.catalog.createTable(table, path=path, source="parquet", schema=candidate.schema)
     return results
+
+
+def publish_fresh(source: DataFrame, freshness: Sequence[Check], build: Callable[[DataFrame], DataFrame],
+                  checks: Callable[[DataFrame], Sequence[Check]], table: str, root: str) -> DataFrame:
+    """Gate the source, build, then write, audit and publish; the results of both gates.
+
+    Nothing is built from a source that fails a ``freshness`` check.
+    """
+    aged = run_checks(source, freshness)
+    gate(aged)
+    return aged.unionByName(publish(build(source), checks, table, root))
