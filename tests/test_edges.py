@@ -172,6 +172,18 @@ def test_rolling_rows_and_days_differ_over_a_gap(frame):
     assert by_rows[1]["m"] == 2.0 and by_days[1]["m"] == 3.0
 
 
+def test_window_means_keep_all_decimals_by_default(frame):
+    df = frame([("a", date(2024, 1, d), v) for d, v in ((1, 0.004), (2, 0.004), (3, 0.013))],
+               "key string, day date, value double")
+    assert W.moving_mean(df, ["key"], ["day"], "value", 3, "m", 3).orderBy("day").collect()[2]["m"] == 0.007
+    assert W.rolling_periods(df, ["key"], "day", "value", 3, "m", digits=3).orderBy("day").collect()[2]["m"] == 0.007
+    assert abs(W.deviation_from_group(df, ["key"], "value").first()["group_mean"] - 0.007) < 1e-12
+    huge = frame([("a", date(2024, 1, 1), 1e17), ("a", date(2024, 1, 2), float("nan"))],
+                 "key string, day date, value double")
+    first, second = W.moving_mean(huge, ["key"], ["day"], "value", 2, "m").orderBy("day").collect()
+    assert first["m"] == 1e17 and second["m"] != second["m"]
+
+
 def test_nulls_sort_high(frame):
     df = frame([(1,), (None,), (2,)], "v int")
     assert [r[0] for r in sort_sql(df, "v").collect()] == [1, 2, None]

@@ -45,9 +45,10 @@ def both(spark, build):
     lambda df: W.running(df, ["key"], BY_TIME, {
         "s": ("sum", F.col("value").cast("decimal(18,2)")), "c": ("count", "value"), "hi": ("max", "value"),
         "lo": ("min", "value")}).withColumn("s", F.col("s").cast("double")),
-    lambda df: W.running_mean(df, ["key"], BY_TIME, "value", "m"),
+    lambda df: W.running_mean(df, ["key"], BY_TIME, "value", "m", scale=2),
     lambda df: W.moving_mean(df, ["key"], BY_TIME, "value", 3, "m"),
-    lambda df: W.moving_mean(df, ["key"], BY_TIME, "value", 20, "m"),
+    lambda df: W.moving_mean(df, ["key"], BY_TIME, "value", 20, "m", scale=2),
+    lambda df: W.moving_mean(df.withColumn("v", F.col("value") / 7), ["key"], BY_TIME, "v", 20, "m", 12),
     lambda df: W.delta_prev(df, ["key"], BY_TIME, "value"),
     lambda df: W.delta_prev(df, ["key"], BY_TIME, "value", n=5),
     lambda df: W.rank_within(df, ["key"], "value", dense_name="dense"),
@@ -86,7 +87,7 @@ def test_keys_continue_after_the_highest(spark, frame, small_groups):
 def test_empty_input(spark, frame, small_groups):
     empty = frame([], "key string, ts timestamp_ntz, id int, value double")
     assert W.number_rows(empty, ["key"], BY_TIME).count() == 0
-    assert W.running_mean(empty, ["key"], BY_TIME, "value", "m").count() == 0
+    assert W.running_mean(empty, ["key"], BY_TIME, "value", "m", scale=2).count() == 0
 
 
 def test_a_tied_order_value_is_split(spark):

@@ -122,7 +122,7 @@ def round_half_up(c: str | Column, digits: int = 2) -> Column:
     return F.round(as_column(c) + F.lit(TIE_SHIFT), digits)
 
 
-def fixed_sum(c: str | Column, scale: int | None = 2) -> Column:
+def fixed_sum(c: str | Column, scale: int | None = None) -> Column:
     """Order-independent sum of a measure stored with ``scale`` decimals; the plain sum of doubles for ``None``."""
     if scale is None:
         return F.sum(as_column(c).cast("double"))
@@ -134,17 +134,17 @@ def rounded_ratio(total: Column, count: Column, digits: int = 2) -> Column:
     return round_half_up(F.try_divide(total.cast("double"), count), digits)
 
 
-def exact_mean(c: str | Column, scale: int = 2) -> Column:
-    """Unrounded mean over an exact sum."""
+def exact_mean(c: str | Column, scale: int | None = None) -> Column:
+    """Unrounded mean, over an exact sum if the measure's ``scale`` is known."""
     return F.try_divide(fixed_sum(c, scale).cast("double"), F.count(as_column(c)))
 
 
-def rounded_mean(c: str | Column, digits: int = 2, scale: int | None = 2) -> Column:
+def rounded_mean(c: str | Column, digits: int = 2, scale: int | None = None) -> Column:
     """Mean rounded half up.
 
     With ``scale`` the measure is fixed-point with that many decimals and the
     sum is exact, so the result does not depend on how rows are spread over
-    tasks. ``scale=None`` averages arbitrary doubles.
+    tasks. Without it doubles are averaged as they are.
     """
     c = as_column(c)
     if scale is None:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_column, day_of, exact_mean, round_half_up, rounded_mean, rounded_ratio
+from tidemark.functions.columns import as_column, exact_mean, round_half_up, rounded_ratio
 from tidemark.operators.groups import PART, before_part, group_sizes, join_back, split_by_range, written
 from tidemark.session import max_group_rows
 
@@ -120,7 +120,12 @@ def running(df: DataFrame, keys: Sequence[str], order: Order,
 
 
 def running_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, name: str,
-                 digits: int = 2, scale: int = 2, fits: bool = False) -> DataFrame:
+                 digits: int = 2, *, scale: int, fits: bool = False) -> DataFrame:
+    """Mean from the first row of the key to the current one.
+
+    ``scale`` is the number of decimals that count: sums are exact decimals, so
+    they are the same however a key is split over tasks.
+    """
     measure = F.col(value).cast(f"decimal(18,{scale})")
     summed = running(df, keys, order, {"__sum": ("sum", measure), "__cnt": ("count", F.col(value))}, fits)
     return summed.withColumn(
@@ -128,6 +133,14 @@ def running_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n
     ).drop("__sum", "__cnt")
 
 
+def _frame_mean(value: str, frame: WindowSpec, digits: int, scale: int | None) -> Column:
+    """Rounded mean over a short frame, whose rows are added in order."""
+    if scale is None:
+        return F.round(F.avg(value).over(frame), digits)
+    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
+    return rounded_ratio(total, F.count(value).over(frame), digits)
+
+
 def framed(df: DataFrame, keys: Sequence[str], order: Order, before: int,
            build: Callable[[WindowSpec], dict[str, Column]], fits: bool = False) -> DataFrame:
     """Columns from windows that look at most ``before`` rows back.
@@ -170,14 +183,15 @@ def delta_prev(df: DataFrame, keys: Sequence[str], order: Order, value: str,
 
 
 def moving_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n: int, name: str,
-                digits: int = 2, scale: int = 2, fits: bool = False) -> DataFrame:
-    """Mean of the current row and the n-1 rows before it."""
+                digits: int = 2, scale: int | None = None, fits: bool = False) -> DataFrame:
+    """Mean of the current row and the n-1 rows before it.
+
+    ``scale`` is the number of decimals of the measure, if it is known; exact
+    ties are then rounded up.
+    """
 
     def build(spec: WindowSpec) -> dict[str, Column]:
-        frame = spec.rowsBetween(-(n - 1), 0)
-        count = F.count(value).over(frame)
-        total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
-        return {name: rounded_ratio(total, count, digits)}
+        return {name: _frame_mean(value, spec.rowsBetween(-(n - 1), 0), digits, scale)}
 
     return framed(df, keys, order, n - 1, build, fits)
 
@@ -203,8 +217,12 @@ def first_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 def deviation_from_group(df: DataFrame, keys: Sequence[str], value: str, mean_name: str = "group_mean",
                          delta_name: str = "deviation", stddev_name: str | None = None,
-                         scale: int = 2) -> DataFrame:
-    """Every row with its group's mean, and how far the row lies from it."""
+                         scale: int | None = None) -> DataFrame:
+    """Every row with its group's mean, and how far the row lies from it.
+
+    With ``scale``, the number of decimals of the measure, the mean is taken of
+    an exact sum.
+    """
     measure = F.col(value)
     stats = {mean_name: exact_mean(measure, scale)}
     if stddev_name:
@@ -259,11 +277,6 @@ def rank_groups(df: DataFrame, keys: Sequence[str], value: Column, value_name: s
 # --- per-day series: one row per key and day, so a key's series stays small ------
 
 
-def daily_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, day_name: str = "day",
-               name: str = "daily_mean") -> DataFrame:
-    return df.groupBy(*keys, day_of(ts).alias(day_name)).agg(rounded_mean(value).alias(name))
-
-
 def period_over_period(df: DataFrame, keys: Sequence[str], period: str, value: str,
                        name: str = "change", digits: int = 2) -> DataFrame:
     """Change of a per-period value since the key's previous period."""
@@ -272,17 +285,15 @@ def period_over_period(df: DataFrame, keys: Sequence[str], period: str, value: s
 
 
 def rolling_periods(df: DataFrame, keys: Sequence[str], day: str, value: str, n: int, name: str,
-                    mode: str = "rows", digits: int = 2, scale: int = 2) -> DataFrame:
-    """Mean over the last n periods: n rows, or n calendar days with ``mode='days'``."""
+                    mode: str = "rows", digits: int = 2, scale: int | None = None) -> DataFrame:
+    """Mean over the last n periods: n rows, or n calendar days with ``mode='days'``; ``scale`` as in ``moving_mean``."""
     if mode == "rows":
         frame = Window.partitionBy(*keys).orderBy(day).rowsBetween(-(n - 1), 0)
     elif mode == "days":
         frame = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-(n - 1), 0)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    count = F.count(value).over(frame)
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
-    return df.withColumn(name, rounded_ratio(total, count, digits))
+    return df.withColumn(name, _frame_mean(value, frame, digits, scale))
 
 
 def trend_report(df: DataFrame, keys: Sequence[str], period: str, value: str,

@@ -23,7 +23,7 @@ SELECT sensor, {mean_sql('value')} AS mean_value, {mean_sql('code')} AS mean_cod
   min(value) AS min_value, count(*) AS n_readings FROM readings GROUP BY sensor""")
 def sensor_means(spark, sf_dir):
     return readings(spark, sf_dir).groupBy("sensor").agg(
-        rounded_mean("value").alias("mean_value"), rounded_mean("code").alias("mean_code"),
+        rounded_mean("value", scale=2).alias("mean_value"), rounded_mean("code", scale=2).alias("mean_code"),
         F.max("value").alias("max_value"), F.min("value").alias("min_value"), F.count(F.lit(1)).alias("n_readings"))
 
 
@@ -49,7 +49,7 @@ FROM orders GROUP BY ALL""")
 def group_by_expression(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(
         F.year("o_orderdate").alias("order_year"), F.quarter("o_orderdate").alias("order_quarter")
-    ).agg(rounded_mean("o_totalprice").alias("mean_price"), F.count(F.lit(1)).alias("n_orders"))
+    ).agg(rounded_mean("o_totalprice", scale=2).alias("mean_price"), F.count(F.lit(1)).alias("n_orders"))
 
 
 @query("distinct_beside_aggregates", f"""WITH {READINGS}
@@ -58,7 +58,7 @@ SELECT sensor, CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS users, count(
 def distinct_beside_aggregates(spark, sf_dir):
     return readings(spark, sf_dir).groupBy("sensor", day_of("ts").alias("day")).agg(
         F.countDistinct("user_id").alias("users"), F.countDistinct("slot").alias("slots"),
-        rounded_mean("value").alias("mean_value"), F.count(F.lit(1)).alias("n_rows"))
+        rounded_mean("value", scale=2).alias("mean_value"), F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("global_totals", """SELECT count(*) AS n_rows, max(ts) AS last_ts, min(ts) AS first_ts FROM events""")
@@ -99,7 +99,7 @@ def site_correlation(spark, sf_dir):
         "site", F.col("recorded_at").alias("second_at"), F.col("value").alias("second_value"))
     daily = drill_across(
         first, second, ["site"], ("recorded_at", "second_at"), ["site_name", day_of("recorded_at").alias("day")],
-        [rounded_mean("value").alias("mean_first"), rounded_mean("second_value").alias("mean_second")])
+        [rounded_mean("value", scale=2).alias("mean_first"), rounded_mean("second_value", scale=2).alias("mean_second")])
     return A.group_corr(daily, ["site_name"], "mean_first", "mean_second").where("days > 1")
 
 
@@ -198,16 +198,16 @@ def count_rows_and_values(spark, sf_dir):
     rows = readings(spark, sf_dir).withColumn("value", F.when(F.col("code") >= 50, F.col("value")))
     return rows.groupBy("sensor").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"),
-        rounded_mean("value").alias("mean_value"))
+        rounded_mean("value", scale=2).alias("mean_value"))
 
 
 @query("mean_of_daily_means", f"""WITH {READINGS}, daily AS (
   SELECT sensor, CAST(ts AS DATE) AS day, {mean_sql('value')} AS m FROM readings GROUP BY ALL)
 SELECT sensor, count(*) AS days, {mean_sql('m')} AS mean_of_days, max(m) AS best_day FROM daily GROUP BY sensor""")
 def mean_of_daily_means(spark, sf_dir):
-    daily = readings(spark, sf_dir).groupBy("sensor", day_of("ts").alias("day")).agg(rounded_mean("value").alias("m"))
+    daily = readings(spark, sf_dir).groupBy("sensor", day_of("ts").alias("day")).agg(rounded_mean("value", scale=2).alias("m"))
     return daily.groupBy("sensor").agg(
-        F.count(F.lit(1)).alias("days"), rounded_mean("m").alias("mean_of_days"), F.max("m").alias("best_day"))
+        F.count(F.lit(1)).alias("days"), rounded_mean("m", scale=2).alias("mean_of_days"), F.max("m").alias("best_day"))
 
 
 def _profile_sql(columns: dict[str, str], numeric: set[str]) -> str:
@@ -242,8 +242,8 @@ def drill_across_daily(spark, sf_dir):
         "site", F.col("recorded_at").alias("at"), F.col("value").alias("v2"), F.col("code").alias("c2"))
     daily = drill_across(
         first, second, ["site"], ("recorded_at", "at"), ["site_name", day_of("recorded_at").alias("full_date")],
-        [rounded_mean("value").alias("mean_first"), rounded_mean("code").alias("mean_code"),
-         rounded_mean("v2").alias("mean_second"), rounded_mean("c2").alias("mean_second_code")])
+        [rounded_mean("value", scale=2).alias("mean_first"), rounded_mean("code", scale=2).alias("mean_code"),
+         rounded_mean("v2", scale=2).alias("mean_second"), rounded_mean("c2", scale=2).alias("mean_second_code")])
     return daily.withColumns({
         "day_of_week": short_day_name("full_date"),
         "category": bucket("mean_second", AIR_QUALITY_CUTS, AIR_QUALITY_DEFAULT),

@@ -98,7 +98,7 @@ def star_revenue(spark, sf_dir):
         (table(spark, sf_dir, "region"), {"n_regionkey": "r_regionkey"}),
     ])
     return star.groupBy("n_name", "r_name", "p_brand", F.year("o_orderdate").alias("order_year")).agg(
-        rounded_mean("l_extendedprice").alias("mean_price"), F.count(F.lit(1)).alias("n_lines"))
+        rounded_mean("l_extendedprice", scale=2).alias("mean_price"), F.count(F.lit(1)).alias("n_lines"))
 
 
 @query("compare_to_baseline", f"""WITH {HOURLY}

@@ -68,7 +68,7 @@ FROM hourly""")
 def rank_within_hour(spark, sf_dir):
     """An hour has one row per sensor here."""
     rows = hourly(spark, sf_dir).select("sensor", "slot", "value")
-    return W.rank_within(rows, ["slot"], "value", rank_name="value_rank", dense_name="value_dense_rank", fits=True)
+    return W.rank_within(rows, ["slot"], "value", rank_name="value_rank", dense_name="value_dense_rank")
 
 
 @query("rank_codes_with_ties", f"""WITH {READINGS}
@@ -89,8 +89,8 @@ _DAILY = f"""daily AS (
 
 def _daily(spark, sf_dir):
     return readings(spark, sf_dir).where("value is not null").groupBy("sensor", day_of("ts").alias("day")).agg(
-        rounded_mean("value").alias("daily_mean"), F.max("value").alias("max_value"),
-        F.min("value").alias("min_value"), exact_mean("value").alias("exact_mean"),
+        rounded_mean("value", scale=2).alias("daily_mean"), F.max("value").alias("max_value"),
+        F.min("value").alias("min_value"), exact_mean("value", scale=2).alias("exact_mean"),
     )
 
 
@@ -112,7 +112,7 @@ SELECT site_name, country, round(m + 1e-9, 2) AS mean_value, dense_rank() OVER (
   FROM located JOIN site_history USING (site_nk) WHERE is_current GROUP BY ALL)""")
 def rank_sites_overall(spark, sf_dir):
     joined = join_current(located(spark, sf_dir), site_history(spark, sf_dir), {"site_nk": "site_nk"})
-    ranked = W.rank_groups(joined, ["site_name", "country"], exact_mean("value"), "m", "site_rank")
+    ranked = W.rank_groups(joined, ["site_name", "country"], exact_mean("value", scale=2), "m", "site_rank")
     return ranked.select("site_name", "country", round_half_up("m").alias("mean_value"), "site_rank")
 
 
@@ -142,7 +142,7 @@ SELECT event_id, sensor, value,
   {mean_sql('value', ' OVER ' + _EARLIER.format('UNBOUNDED'))} AS running_mean FROM readings""")
 def running_mean(spark, sf_dir):
     rows = readings(spark, sf_dir).select("event_id", "sensor", "ts", "value")
-    return W.running_mean(rows, ["sensor"], BY_TIME, "value", "running_mean").drop("ts")
+    return W.running_mean(rows, ["sensor"], BY_TIME, "value", "running_mean", scale=2).drop("ts")
 
 
 @query("moving_mean", f"""WITH {READINGS}
@@ -150,7 +150,15 @@ SELECT event_id, sensor, value, {mean_sql('value', ' OVER ' + _EARLIER.format('2
 FROM readings""")
 def moving_mean(spark, sf_dir):
     rows = readings(spark, sf_dir).select("event_id", "sensor", "ts", "value")
-    return W.moving_mean(rows, ["sensor"], BY_TIME, "value", 3, "moving_mean").drop("ts")
+    return W.moving_mean(rows, ["sensor"], BY_TIME, "value", 3, "moving_mean", scale=2).drop("ts")
+
+
+@query("moving_mean_of_sevenths", f"""WITH {READINGS}
+SELECT event_id, round(avg(value / 7) OVER {_EARLIER.format('2')}, 6) AS moving_mean FROM readings""")
+def moving_mean_of_sevenths(spark, sf_dir):
+    """A measure without a fixed number of decimals."""
+    rows = readings(spark, sf_dir).select("event_id", "sensor", "ts", (F.col("value") / 7).alias("seventh"))
+    return W.moving_mean(rows, ["sensor"], BY_TIME, "seventh", 3, "moving_mean", 6).select("event_id", "moving_mean")
 
 
 @query("running_max", f"""WITH {READINGS}
@@ -183,7 +191,7 @@ FROM daily WINDOW w AS (PARTITION BY user_id ORDER BY day
 def rolling_seven_days(spark, sf_dir):
     """Calendar days instead of rows: users have days without readings."""
     days = readings(spark, sf_dir).groupBy("user_id", day_of("ts").alias("day")).agg(
-        exact_mean("value").alias("exact_mean"))
+        exact_mean("value", scale=2).alias("exact_mean"))
     rows = W.rolling_periods(days, ["user_id"], "day", "exact_mean", 7, "rolling_mean", mode="days", scale=6)
     return rows.select("user_id", "day", "rolling_mean")
 
@@ -248,7 +256,7 @@ def daily_rank_of_sites(spark, sf_dir):
     """
     rows = located(spark, sf_dir)
     daily = rows.groupBy("site_nk", day_of("ts").alias("day"), "sensor").agg(
-        rounded_mean("value").alias("mean_value"), F.max("value").alias("max_value"),
+        rounded_mean("value", scale=2).alias("mean_value"), F.max("value").alias("max_value"),
         F.count(F.lit(1)).alias("n_readings"),
     )
     calendar = build_dim_date(days_covered(rows, "ts")).select("full_date", "day_of_week")
@@ -278,7 +286,7 @@ WHERE abs(r.value - d.exact_mean) > 2 ORDER BY abs(r.value - d.exact_mean) DESC,
 def deviation_top(spark, sf_dir):
     """The twenty readings furthest from their sensor's daily mean."""
     rows = readings(spark, sf_dir).select("event_id", "sensor", "ts", "value", day_of("ts").alias("day"))
-    far = W.deviation_from_group(rows, ["sensor", "day"], "value").where(F.abs("deviation") > 2)
+    far = W.deviation_from_group(rows, ["sensor", "day"], "value", scale=2).where(F.abs("deviation") > 2)
     top = top_k_by(far, 20, F.abs("deviation"), "event_id")
     return top.select("event_id", "sensor", "ts", "value", round_half_up("group_mean").alias("daily_avg"),
                       round_half_up("deviation").alias("deviation"))
@@ -290,7 +298,7 @@ FROM readings r JOIN (SELECT sensor, slot, {exact_sql('value')} AS m, stddev_sam
   FROM readings GROUP BY ALL) d USING (sensor, slot) WHERE abs(r.value - d.m) > 2""")
 def deviation_all(spark, sf_dir):
     rows = readings(spark, sf_dir).select("event_id", "sensor", "slot", "value")
-    far = W.deviation_from_group(rows, ["sensor", "slot"], "value", stddev_name="s").where(F.abs("deviation") > 2)
+    far = W.deviation_from_group(rows, ["sensor", "slot"], "value", stddev_name="s", scale=2).where(F.abs("deviation") > 2)
     return far.select("event_id", round_half_up("group_mean").alias("hour_mean"),
                       F.round("s", 6).alias("hour_stddev"), round_half_up("deviation").alias("deviation"))
 

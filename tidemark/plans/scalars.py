@@ -64,7 +64,7 @@ _HOT_DAYS = f"""SELECT event_type, CAST(ts AS DATE) AS reading_date, {mean_sql('
 @query("filter_on_aggregate", f"SELECT * FROM ({_HOT_DAYS}) WHERE mean_value > 52")
 def filter_on_aggregate(spark, sf_dir):
     daily = table(spark, sf_dir, "events").where("value is not null").groupBy(
-        "event_type", C.day_of("ts").alias("reading_date")).agg(C.rounded_mean("value").alias("mean_value"))
+        "event_type", C.day_of("ts").alias("reading_date")).agg(C.rounded_mean("value", scale=2).alias("mean_value"))
     return daily.where("mean_value > 52")
 
 
