@@ -203,3 +203,21 @@ def test_empty_block_has_a_message(frame):
 def test_cap_leaves_short_text(frame):
     df = frame([("x" * 10,), ("y" * 100,)], "t string")
     assert rows(R.cap_tokens(df, "t", 5)) == sorted([("x" * 10, 2), ("y" * 20, 25)], key=repr)
+
+
+def test_numbers_keep_their_kind_and_the_last_repeated_key_counts(frame):
+    def report(temp):
+        return '{"overview": "a", "overview": "b", "cities": [{"city": "A", "avg_temp": %s}], "alerts": [1.0, true]}' % temp
+
+    written = ["30.0", "30", "18.50", "-0.5", "1e3", "NaN", "-Infinity", "12345678.0", "null"]
+    df = frame([(i, report(t)) for i, t in enumerate(written)], "id int, response string")
+    rendered = R.render_reports(R.parse_reports(df, "response"), title="T").orderBy("id").collect()
+    assert [r["report"].split("Avg ")[1].split(" | ")[0] for r in rendered] == [
+        "30.0C", "30C", "18.5C", "-0.5C", "1000.0C", "nanC", "-infC", "12345678.0C", "Not available"]
+    assert all(r["overview"] == "b" and "  ! 1.0\n  ! True" in r["report"] for r in rendered)
+
+
+def test_line_templates(frame):
+    df = frame([("a", 1.5), (None, None)], "name string, v double")
+    line = R.render_line("{{{name}}} is {v}%", {"name": "name", "v": F.col("v") * 2})
+    assert [r[0] for r in df.select(line.alias("l")).collect()] == ["{a} is 3.0%", "{nan} is nan%"]

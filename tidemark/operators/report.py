@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,14 +35,15 @@ def text_of(value: str | Column) -> Column:
     return F.coalesce(as_column(value).cast("string"), F.lit("nan"))
 
 
-def summary_line(fields: dict[str, str]) -> Column:
-    """``- name (date): Avg ...`` from the named columns."""
-    t = {k: text_of(c) for k, c in fields.items()}
-    return F.concat(
-        F.lit("- "), t["name"], F.lit(" ("), t["date"], F.lit("): Avg "), t["mean"], F.lit("C (max "), t["max"],
-        F.lit(", min "), t["min"], F.lit(") | Humidity "), t["humidity"], F.lit("% | PM2.5 "), t["pm25"],
-        F.lit(" ("), t["category"], F.lit(") | UV "), t["uv"],
-    )
+def render_line(template: str, fields: dict[str, str | Column]) -> Column:
+    """The template with each ``{name}`` replaced by the text of its field; braces are doubled to stand for themselves."""
+    pieces = []
+    for fixed, name, _, _ in Formatter().parse(template):
+        if fixed:
+            pieces.append(F.lit(fixed))
+        if name is not None:
+            pieces.append(text_of(fields[name]))
+    return F.concat(*pieces) if pieces else F.lit("")
 
 
 def render_block(lines: DataFrame, group: Sequence[str], order: Sequence[str], line: str, header: str,
@@ -103,10 +105,13 @@ def parse_reports(df: DataFrame, column: str) -> DataFrame:
 
     Adds ``parse_failed``, ``overview``, ``cities`` (array of variants, NULL if
     not a list), ``alerts``, ``problems`` and ``is_valid``. Text that is not a
-    JSON object gives the fallback record, never a failed task.
+    JSON object gives the fallback record, never a failed task. NaN and Infinity
+    are numbers. The last of repeated keys counts where the session sets
+    ``spark.sql.variant.allowDuplicateKeys``, as ``build_session`` does; elsewhere
+    such text cannot be parsed.
     """
     doc, is_object = F.col("__doc"), F.col("__entries").isNotNull()
-    parsed = df.withColumn("__doc", F.try_parse_json(strip_fences(column))).withColumn("__entries", _members(doc))
+    parsed = df.withColumn("__doc", F.from_json(strip_fences(column), "variant")).withColumn("__entries", _members(doc))
     none = F.array().cast("array<string>")
 
     def list_at(path: str) -> Column:
@@ -144,11 +149,27 @@ def parse_reports(df: DataFrame, column: str) -> DataFrame:
         "__doc", "__entries", "__missing")
 
 
+def variant_text(value: Column, path: str) -> Column:
+    """A field as text: numbers with a fraction or exponent keep a decimal point (30.0 is not 30), NULL if absent.
+
+    Numbers written with an exponent are printed as doubles are.
+    """
+    text = F.try_variant_get(value, path, "string")
+    kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+    whole_fraction = kind.startswith("DECIMAL") & ~F.contains(text, F.lit("."))
+    return (
+        F.when(whole_fraction, F.concat(text, F.lit(".0")))
+        .when(kind == "DOUBLE", F.replace(F.replace(text, F.lit("NaN"), F.lit("nan")), F.lit("Infinity"), F.lit("inf")))
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .otherwise(text)
+    )
+
+
 def render_reports(parsed: DataFrame, name: str = "report", title: str = REPORT_TITLE) -> DataFrame:
     """Parsed reports as text."""
 
     def field(member: Column, key: str) -> Column:
-        return F.try_variant_get(member, f"$.{key}", "string")
+        return variant_text(member, f"$.{key}")
 
     def member_lines(member: Column) -> Column:
         temp = F.coalesce(F.concat(field(member, "avg_temp"), F.lit("C")), F.lit(NOT_AVAILABLE))
@@ -162,7 +183,7 @@ def render_reports(parsed: DataFrame, name: str = "report", title: str = REPORT_
     none = F.array().cast("array<string>")
     members = F.coalesce(F.transform("cities", member_lines), none)
     alerts = F.coalesce(
-        F.transform("alerts", lambda a: F.concat(F.lit("  ! "), F.coalesce(F.try_variant_get(a, "$", "string"), F.lit("None")))),
+        F.transform("alerts", lambda a: F.concat(F.lit("  ! "), F.coalesce(variant_text(a, "$"), F.lit("None")))),
         none,
     )
     body = F.concat(

@@ -36,8 +36,12 @@ _LINE = """'- ' || site_name || ' (' || reading_date || '): Avg ' || coalesce(CA
   || ') | UV ' || coalesce(CAST(avg_second_code AS VARCHAR), 'nan')"""
 
 
+LINE = ("- {name} ({date}): Avg {mean}C (max {max}, min {min}) | Humidity {humidity}% | PM2.5 {pm25} ({category})"
+        " | UV {uv}")
+
+
 def _lines(mart):
-    return mart.select("site_name", "reading_date", R.summary_line({
+    return mart.select("site_name", "reading_date", R.render_line(LINE, {
         "name": "site_name", "date": "reading_date", "mean": "avg_value", "max": "max_value", "min": "min_value",
         "humidity": "avg_code", "pm25": "avg_second", "category": "category", "uv": "avg_second_code"}).alias("line"))
 
@@ -111,10 +115,9 @@ def parse_reports(spark, sf_dir):
     return parsed.select("event_id", "parse_failed", "overview", F.array_join("problems", "; ").alias("problems"), "is_valid")
 
 
-@query("render_reports", f"""WITH {_FORMS}, t AS (SELECT *, chr(10) AS n, regexp_replace(num, '\\.?0+$', '') AS temp FROM forms)
+@query("render_reports", f"""WITH {_FORMS}, t AS (SELECT *, chr(10) AS n, CAST(CAST(num AS DOUBLE) AS VARCHAR) AS temp FROM forms)
 SELECT event_id, '=== DAILY REPORT ===' || n || n ||
-  CASE WHEN form IN (0, 1, 2) THEN 'All steady.' || n || n || sensor || ': Avg ' ||
-      (CASE WHEN contains(num, '.') THEN temp ELSE num END) || 'C | PM2.5 ' ||
+  CASE WHEN form IN (0, 1, 2) THEN 'All steady.' || n || n || sensor || ': Avg ' || temp || 'C | PM2.5 ' ||
       CASE WHEN code % 2 = 0 THEN 'Not available' ELSE CAST(code AS VARCHAR) END || ' | Air quality: Good' || n || '  Steady.' || n ||
       CASE WHEN code > 50 THEN n || 'ALERTS:' || n || '  ! ' || sensor || ' is high' || n || '  ! check' ELSE '' END
     WHEN form = 4 THEN 'Report unavailable - unexpected response shape.' || n

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # of repeated keys in a JSON object the last counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
