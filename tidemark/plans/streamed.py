@@ -24,6 +24,21 @@ def _changes(spark, sf_dir):
     return feed.withColumn("site_nk", (F.col("user_id") % 25).cast("int"))
 
 
+# The feed of a month: its two halves, then a tenth of the first half arriving last.
+_MIDDLE = "2024-01-16"
+_LATE = f"(ts < TIMESTAMP '{_MIDDLE}' AND event_id % 10 = 0)"
+
+
+def _arrivals(spark, sf_dir):
+    """The events as a landing folder that fills in three steps; yields the feed after each."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    first_half, tenth = F.col("ts") < F.lit(_MIDDLE).cast("timestamp_ntz"), F.col("event_id") % 10 == 0
+    landing = scratch_path(spark, "landing")
+    for step in (first_half & ~tenth, ~first_half, first_half & tenth):
+        events.where(step).write.mode("append").parquet(landing)
+        yield L.landing_stream(spark, landing, events.schema)
+
+
 @query("stream_fact_load", f"""WITH {SITE_HISTORY}
 SELECT site_sk, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_sk, ts, event_id, value
 FROM events JOIN site_history ON user_id % 25 = site_nk WHERE is_current""")
@@ -78,3 +93,38 @@ def stream_keep_latest(spark, sf_dir):
             ["user_id", "event_type", "load_day"], [F.col("ts").desc(), F.col("event_id").desc()], day_of("ts"), out,
             scratch_path(spark, "offsets"))
     return spark.read.parquet(out).select("user_id", "event_type", "load_day", "event_id", "value")
+
+
+@query("stream_first_with_late_rows", f"""WITH seen AS (SELECT *, date_trunc('hour', ts) AS slot FROM events WHERE NOT {_LATE})
+SELECT event_type, slot, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, slot ORDER BY ts, event_id) AS rn FROM seen)
+WHERE rn = 1 AND slot + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 HOUR FROM seen)""")
+def stream_first_with_late_rows(spark, sf_dir):
+    """Rows behind the watermark come too late: their slots are closed and stored."""
+    out, checkpoint = scratch_path(spark, "first"), scratch_path(spark, "offsets")
+    for feed in _arrivals(spark, sf_dir):
+        L.stream_keep_first(feed, ["event_type"], "ts", ["ts", "event_id"], ["event_id", "value"], "2 hours", out,
+                            checkpoint)
+    return spark.read.parquet(out)
+
+
+@query("stream_summary_with_late_rows", f"""SELECT event_type, CAST(ts AS DATE) AS summary_date,
+  {mean_sql('value')} AS daily_mean, count(*) AS row_count FROM events WHERE NOT {_LATE} GROUP BY ALL""")
+def stream_summary_with_late_rows(spark, sf_dir):
+    """A summary kept up over three runs, without the rows that come too late."""
+    out, checkpoint = scratch_path(spark, "summary"), scratch_path(spark, "offsets")
+    for feed in _arrivals(spark, sf_dir):
+        L.stream_daily_summary(feed, ["event_type"], "ts", "value", "1 hour", out, checkpoint, scale=2)
+    return L.latest_batches(spark, out, ["event_type", "summary_date"])
+
+
+@query("stream_latest_with_late_rows", """SELECT user_id, event_type, load_day, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type, load_day ORDER BY ts DESC, event_id DESC) AS rn
+  FROM (SELECT *, CAST(ts AS DATE) AS load_day FROM events)) WHERE rn = 1""")
+def stream_latest_with_late_rows(spark, sf_dir):
+    """Keep-latest has no watermark: late rows still enter their days, by the same rule as all rows at once."""
+    out, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "offsets")
+    for feed in _arrivals(spark, sf_dir):
+        L.stream_keep_latest(feed, ["user_id", "event_type", "load_day"],
+                             [F.col("ts").desc(), F.col("event_id").desc()], day_of("ts"), out, checkpoint)
+    return spark.read.parquet(out).select("user_id", "event_type", "load_day", "event_id", "value")
