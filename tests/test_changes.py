@@ -1,6 +1,6 @@
 """Upserts, history, incremental loads and insert-only tables; repeated runs change nothing."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,3 +194,36 @@ def test_a_null_in_the_keep_list_closes_nothing(spark):
     dim = spark.createDataFrame([(1, None, True), (2, None, True)], "k int, valid_to timestamp_ntz, is_current boolean")
     keep = spark.createDataFrame([(1,), (None,)], "k int")
     assert U.soft_delete(dim, keep, "k", "2024-01-01 00:00:00").where("is_current").count() == 2
+
+
+def test_the_last_partition_is_found_without_opening_a_file(spark, frame):
+    path = scratch_path(spark, "days")
+    frame([(1, date(2024, 1, 9)), (2, date(2024, 1, 31)), (3, None)], "k int, load_day date").write.partitionBy(
+        "load_day").parquet(path)
+    stored = spark.read.parquet(path)
+    assert U.last_partition(stored, "load_day") == "2024-01-31"
+    assert U.last_partition(frame([(1, date(2024, 1, 9))], "k int, load_day date"), "load_day") is None
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_the_watermark_comes_from_the_last_day(spark, frame, stored):
+    target = frame([(t(3), date(2024, 1, 1)), (t(5, 2), date(2024, 1, 2)), (t(9), None)],
+                   "ts timestamp_ntz, load_day date")
+    if stored:
+        path = scratch_path(spark, "marked")
+        target.write.partitionBy("load_day").parquet(path)
+        target = spark.read.parquet(path)
+    source = frame([(t(4),), (t(5, 2),), (t(6, 2),)], "ts timestamp_ntz")
+    assert rows(U.rows_above_watermark(target, source, "ts", day="load_day")) == [(t(6, 2),)]
+
+
+def test_a_satellite_load_windows_only_its_own_keys(spark, frame):
+    path = scratch_path(spark, "satellite")
+    frame([("x", 1.0, t(1), "s")], f"hk string, value double, {STAMPS}").write.parquet(path)
+    satellite = spark.read.parquet(path)
+    fresh = V.new_satellite_rows(satellite, frame([("x", 2.0), ("y", 1.0)], "k string, value double"), F.col("k"),
+                                 key="hk", attributes=["value"], order=["value"], required=None,
+                                 load_date="2024-02-01", record_source="s")
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    assert rows(fresh, "hk", "value") == [("x", 2.0), ("y", 1.0)]

@@ -6,6 +6,7 @@ ones that take a path rewrite only the day partitions a batch touches.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -150,8 +151,8 @@ def rows_above_watermark(target: DataFrame, source: DataFrame, ts: str, lookback
     is partitioned by ``day``, only its last day is searched.
     """
     if day is not None:
-        last_day = target.agg(F.max(day)).first()[0]
-        target = target.where(F.col(day) == last_day)
+        last_day = last_partition(target, day) or target.agg(F.max(day).cast("string")).first()[0]
+        target = target.where(F.col(day) == F.lit(last_day).cast(target.schema[day].dataType))
     highest = target.agg(F.max(ts).cast("string")).first()[0]
     if highest is None:
         return source
@@ -161,6 +162,12 @@ def rows_above_watermark(target: DataFrame, source: DataFrame, ts: str, lookback
     return source.where(F.col(ts) > mark)
 
 
+def last_partition(table: DataFrame, day: str) -> str | None:
+    """The last date a stored table has a partition for, from its folder names; no file is opened."""
+    folder = re.compile(rf"/{re.escape(day)}=(\d{{4}}-\d\d-\d\d)/")
+    return max((found[1] for file in table.inputFiles() if (found := folder.search(file))), default=None)
+
+
 def merged(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """The target with the batch's rows replacing rows of the same key."""
     kept = rows_absent(target, batch, {k: k for k in key})

@@ -81,7 +81,9 @@ def new_satellite_rows(satellite: DataFrame, source: DataFrame, hash_key: Column
         fresh = keyed.select(key, *attributes)
     elif mode == "changed":
         latest = latest_per_key(keyed, [key], order).select(key, *attributes)
-        newest = latest_per_key(satellite, [key], [F.col("load_date").desc()])
+        # only the keys of this load are looked up: stored versions of others are neither shuffled nor sorted
+        touched = satellite.join(latest.select(key), key, "left_semi")
+        newest = latest_per_key(touched, [key], [F.col("load_date").desc()])
         known = newest.select(F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in attributes])
         same = F.lit(True)
         for a in attributes:
