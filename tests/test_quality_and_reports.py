@@ -221,3 +221,10 @@ def test_line_templates(frame):
     df = frame([("a", 1.5), (None, None)], "name string, v double")
     line = R.render_line("{{{name}}} is {v}%", {"name": "name", "v": F.col("v") * 2})
     assert [r[0] for r in df.select(line.alias("l")).collect()] == ["{a} is 3.0%", "{nan} is nan%"]
+
+
+def test_a_table_without_a_path_is_managed_by_the_warehouse(spark, frame):
+    stored = sinks.materialize(frame([(1,)], "v int"), "table", "kept_v")
+    assert rows(stored) == [(1,)]
+    assert not stored.inputFiles()[0].removeprefix("file:").startswith(shared_dir(spark).removeprefix("file:"))
+    spark.sql("DROP TABLE kept_v")

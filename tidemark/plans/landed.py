@@ -159,7 +159,7 @@ def materialised_table(spark, sf_dir):
     name = unique_name("daily_counts")
     counts = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("n"))
-    stored = sinks.materialize(counts, "table", name)
+    stored = sinks.materialize(counts, "table", name, scratch_path(spark, name))
     spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
     return stored
 

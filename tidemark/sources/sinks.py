@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import as_of_or_now
 from tidemark.operators.quality import Check, gate, run_checks
-from tidemark.session import scratch_path, unique_name
+from tidemark.session import unique_name
 
 
 def stamp_load(df: DataFrame, run: str, loaded_at: str | None, required: str, upper: bool = True) -> DataFrame:
@@ -35,12 +35,16 @@ def append_checked(df: DataFrame, path: str, schema: str | T.StructType) -> None
 
 
 def materialize(df: DataFrame, kind: str, name: str, path: str | None = None) -> DataFrame:
-    """A named view, computed on use, or a stored table, computed now."""
+    """A named view, computed on use, or a stored table, computed now.
+
+    A table lies at ``path``, or in the warehouse: it outlives the scratch folder.
+    """
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        df.write.mode("overwrite").option("path", path or scratch_path(spark, name)).saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     else:
         raise ValueError(f"unknown kind {kind!r}; incremental tables use incremental_merge")
     return spark.table(name)
