@@ -1,7 +1,9 @@
 """The operators on small tables with nulls, empty and long texts, repeated rows, clashing columns and no rows."""
 
 import hashlib
+import math
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +120,32 @@ def test_cross_entropy(docs, frame):
     assert abs(model.losses(word, pair, word * 0 - 1)[0] + __import__("math").log2(p)) < 1e-5
 
 
+def brute_losses(rows, targets):
+    words = [(t or "").encode().lower().split() for _, t in rows]
+    vocabulary, losses = len({w for ws in words for w in ws}), {}
+    for side, chosen in (("background", words), ("target", [w for (i, _), w in zip(rows, words) if i in targets])):
+        single, pairs = Counter(w for ws in chosen for w in ws), Counter(p for ws in chosen for p in zip(ws, ws[1:]))
+        total = single.total() + vocabulary
+        p = {w: (single[w] + 1) / total for ws in words for w in ws}
+        losses[side] = [sum(-math.log2(p[w] if u is None else (pairs[u, w] + 4 * p[w]) / (single[u] + 4)) for u, w in zip([None, *ws], ws))
+                        / max(1, len(ws)) for ws in words]
+    return [(i, len(w), t, b) for (i, _), w, t, b in zip(rows, words, losses["target"], losses["background"])]
+
+
+def test_cross_entropy_counts_every_word_and_pair(frame):
+    # more words than 2^18, long ones alike at both ends, a pair in every text, several blocks and ranges
+    texts = [(k, f"the end abcdefgh{k % 7}middle{k % 3}abcdefgh " + " ".join(f"w{k * 700 + j}" for j in range(700))) for k in range(400)]
+    texts += [(None, "The end"), (5, None), (3, "the END w1 w2"), (3, "the END w1 w2"), (9, "w1"), (10, "É é x")]
+    got = crossentropy.score_documents(frame(texts, "doc_id bigint, text string"), frame([(k,) for k in (3, 3, 17, 200, 9999)], "doc_id bigint"),
+                                       block_bytes=1 << 17, range_tokens=1 << 11)
+    wanted = brute_losses(texts, {3, 17, 200})
+    rows = sorted(map(tuple, got.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    wanted.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert len(rows) == len(wanted)
+    for row, (ident, n, target, background) in zip(rows, wanted):
+        assert row[:2] == (ident, n) and row[2:] == pytest.approx((target, background, target - background), abs=1e-9)
+
+
 def test_urls(frame):
     pages = frame([(1, "http://A.Example.NET/en/x?q#f"), (2, "https://b.example.net/fr/"), (3, "x://a.example.com/de/1"),
                    (4, "http://c.org/fr/a"), (5, None), (6, "no scheme"), (7, "http://net"), (8, "http://bnet/x"), (8, "http://bnet/x"),

@@ -1,10 +1,17 @@
 """LM scoring by cross-entropy difference of two matched bigram models.
 
-A target and a background model share one vocabulary, a fixed number of hashed
-word slots, and one smoothing. Their counts are taken from all documents: the
+A target and a background model share one vocabulary, the words of all
+documents, and one smoothing. Their counts are taken from all documents: the
 background from every one, the target from those marked as target. A document
 is scored by the mean over its words of the target's loss less the background's;
 the lower, the closer to the target.
+
+Counts are those of the exact words and word pairs, known by 64-bit hashes, and
+are never in one place. Documents are cut into blocks, which number their own
+words. Each block asks once for each of its distinct words and pairs, with its
+own counts; the requests are dealt by ranges of the hashes, each range adds
+them up and answers every block with the sums. A frequent pair is thus one
+request per block, however many documents have it.
 """
 
 from __future__ import annotations
@@ -14,153 +21,234 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, strings
+from tidemark.llm.common import bound_batches, stored, strings
 
-WORDS = 1 << 18  # slots of the shared vocabulary
-PAIRS = 1 << 20  # slots of word pairs
-CELLS = WORDS + PAIRS
-BLOCK = 1 << 10
+WORDS = 1 << 18  # vocabulary of a model that is given none
+PAIRS = 1 << 20
+BLOCK_BYTES = 8 << 20  # text of a block
+RANGE_TOKENS = 1 << 21  # words of all documents per range of hashes, about
+MIN_BITS = 6
 PRIOR = 4.0  # words' weight of the unigram estimate in a pair's
+HEAD = -1  # place of a block's word hashes among its documents
 RESULT = "n_tokens bigint, target_loss double, background_loss double, score double"
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
-_LOWER = bytes(32 if c in b"\t\n\v\f\r " else c + 32 if 65 <= c <= 90 else c for c in range(256))
+REQUEST = "kind int, part bigint, block bigint, hashes binary, background binary, target binary"
+ANSWER = "kind int, part bigint, block bigint, background binary, target binary, n_kinds bigint, n_background bigint, n_target bigint"
+
+
+def numbered(text: str, known: dict[bytes, int]) -> np.ndarray:
+    """The words of the lower-cased text as numbers; new words get the next ones in ``known``."""
+    return np.array([known.setdefault(word, len(known)) for word in text.encode().lower().split()], np.int32)
+
+
+def pair_numbers(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of neighbours (as two arrays of words), per word the number of its pair, and the word before it.
+
+    The first word of a text has -1 before it, and its pair is the number after the last.
+    """
+    previous = np.concatenate([[-1], word[:-1]]).astype(np.int64)[:len(word)]
+    previous[first] = -1
+    inner = previous >= 0
+    pairs, number = np.unique(previous[inner] << 32 | word[inner], return_inverse=True)
+    pair = np.full(len(word), len(pairs), np.int64)
+    pair[inner] = number
+    return pairs >> 32, pairs & 0xFFFFFFFF, pair, previous
 
 
 def slots(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Per word of the lower-cased text its vocabulary slot and the slot of its pair with the word before."""
-    raw = text.encode().translate(_LOWER)
-    padded = np.frombuffer(b" " + raw + b" " * 9, np.uint8)
-    inside = padded[:len(raw) + 2] != 32
-    starts, ends = np.flatnonzero(~inside[:-1] & inside[1:]) + 1, np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
-    if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # a word is known by its first and last eight bytes and its length
-    eight = np.ndarray((len(raw) + 3,), "<u8", padded, strides=(1,))
-    length = ends - starts
-    mask = _MASKS[np.minimum(length, 8)]
-    key = (eight[starts] & mask) * _MIX ^ (eight[np.maximum(ends - 8, starts)] & mask) + length.astype(np.uint64)
-    word = (key * _MIX >> np.uint64(46)).astype(np.int64)
-    previous = np.concatenate([[0], word[:-1] + 1]).astype(np.uint64)  # 0 stands before the first word
-    pair = ((previous * np.uint64(0xC2B2AE3D27D4EB4F) + word.astype(np.uint64)) * _MIX >> np.uint64(44)).astype(np.int64)
-    return word, pair
-
-
-def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a partition, as blocks of cells: (block, counts of the background, counts of the target)."""
-    counts = np.zeros((2, CELLS), np.int64)
-    for batch in batches:
-        target = batch.column(1).to_pylist()
-        for text, marked in zip(strings(batch.column(0)), target):
-            word, pair = slots(text)
-            for row in (0, 1) if marked else (0,):
-                np.add.at(counts[row], word, 1)
-                np.add.at(counts[row], WORDS + pair, 1)
-    blocks = counts.reshape(2, -1, BLOCK)
-    used = np.flatnonzero(blocks[0].any(axis=1))
-    width = "<i4" if counts.max() < 1 << 31 else "<i8"
-    for k in range(0, len(used), 256):
-        part = used[k:k + 256]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part), *(pa.array([blocks[row, b].astype(width).tobytes() for b in part], pa.binary()) for row in (0, 1))], names=["block", "background", "target"])
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the blocks of a partition, which hold all counts of a block; memory is that of its blocks."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, *packed in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            total = sums.setdefault(block, np.zeros((2, BLOCK), np.int64))
-            for row in (0, 1):
-                total[row] += np.frombuffer(packed[row], "<i4" if len(packed[row]) == 4 * BLOCK else "<i8")
-    if sums:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums)), *(pa.array([s[row].tobytes() for s in sums.values()], pa.binary()) for row in (0, 1))],
-            names=["block", "background", "target"])
+    """Per word of one text its number and the number of its pair with the word before."""
+    word = numbered(text, {})
+    return word, pair_numbers(word, np.zeros(min(1, len(word)), np.int64))[2]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit numbers byte plane by byte plane, so that the planes of zeros compress away."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _encoder(block_bytes: int):
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of a partition's documents: a row per document with its words' numbers, and one with the words' hashes."""
+        names = ["block", "place", "doc_id", "n_tokens", "words"]
+        task, made = TaskContext.get().partitionId(), 0
+        known: dict[bytes, int] = {}
+        place = size = 0
+        for batch in batches:
+            texts, at = strings(batch.column(1)), 0
+            while at < len(texts):
+                start, encoded = at, []
+                while at < len(texts) and size < block_bytes:
+                    encoded.append(numbered(texts[at], known))
+                    size += len(texts[at]) + 1
+                    at += 1
+                n = len(encoded)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, task << 32 | made)), pa.array(np.arange(place, place + n, dtype=np.int32)),
+                    batch.column(0).slice(start, n), pa.array([len(e) for e in encoded], pa.int64()),
+                    pa.array([e.tobytes() for e in encoded], pa.binary())], names=names)
+                place += n
+                if size >= block_bytes:
+                    yield _head(task << 32 | made, known, batch.column(0).type, names)
+                    known, place, size, made = {}, 0, 0, made + 1
+        if place:
+            yield _head(task << 32 | made, known, batch.column(0).type, names)
+
+    return encoded
+
+
+def _head(block: int, known: dict[bytes, int], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+    return pa.RecordBatch.from_arrays([
+        pa.array([block], pa.int64()), pa.array([HEAD], pa.int32()), pa.nulls(1, kind), pa.array([0], pa.int64()),
+        pa.array([hashes.tobytes()], pa.binary())], names=names)
+
+
+class _Block:
+    """The documents of a block in order, their words and pairs by number, and the hashes of both."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("place")
+        words = rows.column("words").to_pylist()
+        self.ids, self.places = rows.column("doc_id").slice(1), rows.column("place").to_numpy()[1:]
+        self.sizes = rows.column("n_tokens").to_numpy()[1:]
+        self.word = np.frombuffer(b"".join(words[1:]), "<i4")
+        first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        left, right, self.pair, self.previous = pair_numbers(self.word, first)
+        of_word = np.frombuffer(words[0], "<u8")
+        of_pair = _mix(of_word[left] * np.uint64(0xC2B2AE3D27D4EB4F) + _mix(of_word[right]))
+        self.hashes = (of_word, of_pair)
+
+
+def _requests_of(bits: int):
+    def requests(rows: pa.Table, marks: pa.Table) -> pa.Table:
+        made: list[tuple] = []
+        if rows.num_rows:
+            block = _Block(rows)
+            number = rows.column("block")[0].as_py()
+            marked = np.repeat(np.isin(block.places, marks.column("at").to_numpy()), block.sizes)
+            for kind, of in enumerate((block.word, block.pair)):
+                hashes = block.hashes[kind]
+                order = np.argsort(hashes)
+                # pairs have one number more, that of first words
+                both = [np.bincount(x, minlength=len(hashes) + 1)[:len(hashes)][order] for x in (of, of[marked])]
+                hashes = hashes[order]
+                part = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                edges = np.searchsorted(part, np.arange((1 << bits) + 1))
+                for p in np.unique(part).tolist():
+                    a, b = edges[p], edges[p + 1]
+                    steps = np.diff(hashes[a:b], prepend=np.uint64(0))
+                    made.append((kind, p, number, _packed(steps), _packed(both[0][a:b]), _packed(both[1][a:b])))
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        columns = list(zip(*made)) or [()] * 6
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in REQUEST.split(", ")])
+
+    return requests
+
+
+def _answers(asked: pa.Table) -> pa.Table:
+    """The sums of one range of hashes, for each block in the order it asked, and the number of distinct ones and of all."""
+    hashes = [np.cumsum(_unpacked(raw), dtype=np.uint64) for raw in asked.column("hashes").to_pylist()]
+    distinct, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    edges = np.cumsum([len(h) for h in hashes])[:-1]
+    sums = []
+    for name in ("background", "target"):
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, number, np.concatenate([_unpacked(raw) for raw in asked.column(name).to_pylist()]).astype(np.int64))
+        sums.append(total)
+    told = [[_packed(s[part]) for part in np.split(number, edges)] + [None] for s in sums]
+    n, kind, part = len(hashes), asked.column("kind")[0].as_py(), asked.column("part")[0].as_py()
+    none = [None] * n
+    return pa.table({
+        "kind": pa.array([kind] * (n + 1), pa.int32()), "part": pa.array([part] * (n + 1), pa.int64()),
+        "block": pa.array(asked.column("block").to_pylist() + [None], pa.int64()),
+        "background": pa.array(told[0], pa.binary()), "target": pa.array(told[1], pa.binary()),
+        "n_kinds": pa.array(none + [len(distinct)], pa.int64()),
+        "n_background": pa.array(none + [int(sums[0].sum())], pa.int64()), "n_target": pa.array(none + [int(sums[1].sum())], pa.int64())})
 
 
 @dataclass
 class BigramModel:
-    """Counts of word and pair slots (fixed numbers) and the sum of the words."""
+    """Counts of numbered words and pairs, the sum of all words, and the size of the vocabulary."""
 
     words: np.ndarray
     pairs: np.ndarray
     total: float
+    vocabulary: float = WORDS
 
     def losses(self, word: np.ndarray, pair: np.ndarray, previous: np.ndarray) -> np.ndarray:
         """Bits per word; a pair's estimate is drawn towards the word's own, smoothed over the vocabulary."""
-        single = (self.words[word] + 1.0) / (self.total + WORDS)
+        single = (self.words[word] + 1.0) / (self.total + self.vocabulary)
         seen = np.where(previous >= 0, self.words[previous], 0.0)
         # the first word of a text has no history but its place
         return np.where(previous >= 0, -np.log2((self.pairs[pair] + PRIOR * single) / (seen + PRIOR)), -np.log2(single))
 
 
-@dataclass
-class MatchedModels:
-    target: BigramModel
-    background: BigramModel
-
-    def token_losses(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Per word the target's and the background's loss in bits."""
-        word, pair = slots(text)
-        previous = np.concatenate([[-1], word[:-1]]) if len(word) else word
-        return self.target.losses(word, pair, previous), self.background.losses(word, pair, previous)
-
-
-def fit_models(marked: DataFrame) -> MatchedModels:
-    """Both models from ``text`` and ``target`` (boolean) of all rows.
-
-    Partitions send sums per block of cells through one shuffle; the driver
-    gets ``2 * CELLS`` sums, whatever the input's size.
-    """
-    bound_batches(marked.sparkSession)
-    schema = "block bigint, background binary, target binary"
-    partial = marked.select("text", F.coalesce("target", F.lit(False))).mapInArrow(_partial_counts, schema)
-    found = partial.repartition("block").mapInArrow(_summed, schema).toArrow()
-    counts = np.zeros((2, CELLS // BLOCK, BLOCK), np.int64)
-    for block, background, target in zip(*(found[k].to_pylist() for k in ("block", "background", "target"))):
-        counts[0, block], counts[1, block] = np.frombuffer(background, "<i8"), np.frombuffer(target, "<i8")
-    flat = counts.reshape(2, CELLS)
-    made = [BigramModel(c[:WORDS].astype(np.float32), c[WORDS:].astype(np.float32), float(c[:WORDS].sum())) for c in flat]
-    return MatchedModels(made[1], made[0])
-
-
-def cross_entropy_difference(text: str | Column, models: MatchedModels) -> Column:
-    """Struct column ``n_tokens, target_loss, background_loss, score`` (means in bits per word) of whole texts.
-
-    Null counts as empty; a text without words has 0 in every field.
-    """
-
-    @F.arrow_udf("struct<" + RESULT.replace(" bigint", ": bigint").replace(" double", ": double") + ">")
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            rows = []
-            for text in strings(batch):
-                target, background = models.token_losses(text)
-                rows.append((len(target), float(target.mean()), float(background.mean()), float((target - background).mean()))
-                            if len(target) else (0, 0.0, 0.0, 0.0))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            yield pa.StructArray.from_arrays(
-                [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.float64()) for c in columns[1:])],
-                names=["n_tokens", "target_loss", "background_loss", "score"])
-
-    return of(text)
-
-
-def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_tokens, target_loss, background_loss, score``.
+def _scores_of(vocabulary: int, totals: dict[str, int]):
+    def scores(rows: pa.Table, told: pa.Table) -> pa.Table:
+        block = _Block(rows)
+        told = told.sort_by("part")
+        kind = told.column("kind").to_numpy()
+        losses = {}
+        for name, total in totals.items():
+            raw = told.column(name).to_pylist()
+            counts = []
+            for k, hashes in enumerate(block.hashes):
+                own = [_unpacked(raw[at]) for at in np.flatnonzero(kind == k).tolist()]
+                mine = np.zeros(len(hashes) + 1)
+                mine[np.argsort(hashes)] = np.concatenate(own) if own else 0
+                counts.append(mine)
+            model = BigramModel(counts[0], counts[1], float(total), float(vocabulary))
+            losses[name] = model.losses(block.word, block.pair, block.previous)
+        text = np.repeat(np.arange(len(block.sizes)), block.sizes)
+        sizes = np.maximum(block.sizes, 1)
+        means = [np.bincount(text, x, minlength=len(sizes)) / sizes
+                 for x in (losses["target"], losses["background"], losses["target"] - losses["background"])]
+        return pa.Table.from_arrays([block.ids, pa.array(block.sizes), *map(pa.array, means)],
+                                    names=["doc_id", *[f.split()[0] for f in RESULT.split(", ")]])
+
+    return scores
+
+
+def score_documents(docs: DataFrame, target_ids: DataFrame, block_bytes: int = BLOCK_BYTES, range_tokens: int = RANGE_TOKENS) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_tokens, target_loss, background_loss, score`` (means in bits per word).
 
     ``target_ids`` has the ``doc_id`` of target documents; repeated and null
     ones do not matter. Repeated rows are counted and scored each; further
-    columns are ignored. Without target documents the target model is uniform;
+    columns are ignored. A null text counts as empty; a text without words has
+    0 in every field. Without target documents the target model is uniform;
     no rows give no rows.
+
+    The words' numbers and the answers are written tables that grow with the
+    input; the driver gets three sums.
     """
     bound_batches(docs.sparkSession)
-    wanted = target_ids.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    ident = docs.schema["doc_id"].dataType.simpleString()
+    rows = stored(docs.select("doc_id", "text").mapInArrow(
+        _encoder(block_bytes), f"block bigint, place int, doc_id {ident}, n_tokens bigint, words binary"), "blocks")
+    bits, n = MIN_BITS, rows.agg(F.sum("n_tokens")).first()[0] or 0
+    while n >> bits > range_tokens:
+        bits += 1
+    wanted = target_ids.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct()
     # one plan at every size: the target ids grow with the input, so no size of theirs is worth a broadcast
-    models = fit_models(texts.join(wanted.hint("merge"), "id", "left").select("text", "target"))
-    return docs.select("doc_id", cross_entropy_difference(F.col("text"), models).alias("s")).select("doc_id", "s.*")
+    placed = rows.where(F.col("place") != HEAD).select(F.col("block").alias("of"), F.col("place").alias("at"), F.col("doc_id").alias("id"))
+    marks = placed.join(wanted.hint("merge"), "id", "left_semi")
+    asked = rows.groupBy("block").cogroup(marks.groupBy("of")).applyInArrow(_requests_of(bits), REQUEST)
+    answers = stored(asked.groupBy("kind", "part").applyInArrow(_answers, ANSWER), "answers")
+    sums = answers.where("block IS NULL AND kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_kinds", "n_background", "n_target")]).first()
+    told = answers.where("block IS NOT NULL").select("block", "kind", "part", "background", "target")
+    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        _scores_of(sums[0], {"background": sums[1], "target": sums[2]}), f"doc_id {ident}, {RESULT}")
