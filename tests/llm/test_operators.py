@@ -68,6 +68,14 @@ def test_keep_one(docs):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(wanted, key=repr)
 
 
+def test_keep_one_of_components_that_share_an_id(frame):
+    other, third = "quite other words stand here and say nothing at all", "a third text is unlike the two before it in each of its words"
+    rows = [(None, BASE), (None, other), (None, other), (7, BASE[:60]), (7, third), (7, third), (8, third)]
+    kept = simhash.keep_one(frame(rows, "doc_id bigint, text string"))
+    assert len({brute_fingerprint(t) for _, t in rows}) == 4
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted({(None, BASE), (None, other), (7, BASE[:60]), (7, third)}, key=repr)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
 def test_simhash_on_the_test_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]

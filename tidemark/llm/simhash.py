@@ -259,6 +259,20 @@ def components(links: DataFrame) -> DataFrame:
     return roots
 
 
+def _rooted(docs: DataFrame, doc_id: str, text: str, budget: int, leaf_rows: int) -> DataFrame:
+    """Per document ``doc_id, fp, root, component_id``; the root is a fingerprint, another for each component."""
+    bound_batches(docs.sparkSession)
+    marked = stored(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), fingerprint(F.col(text)).alias("fp")),
+                    "fingerprints")
+    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprint_classes")
+    roots = components(fingerprint_links(classes.select("fp"), budget, leaf_rows))
+    rooted = classes.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = MAX_BITS,
                     leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Per document its id, fingerprint (``fp``, signed) and ``component_id``, the smallest id of its component.
@@ -269,16 +283,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     every id of the component is. Repeated rows each keep their row; further
     columns are ignored. An empty input gives no rows.
     """
-    bound_batches(docs.sparkSession)
-    marked = stored(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), fingerprint(F.col(text)).alias("fp")),
-                    "fingerprints")
-    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprint_classes")
-    roots = components(fingerprint_links(classes.select("fp"), budget, leaf_rows))
-    rooted = classes.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _rooted(docs, doc_id, text, budget, leaf_rows).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
@@ -288,10 +293,10 @@ def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     id, so only ids and fingerprints are grouped, never texts, except for rows
     that share an id.
     """
-    members = stored(near_duplicates(docs, budget=budget), "members")
+    members = stored(_rooted(docs, "doc_id", "text", budget, LEAF_ROWS), "members")
     least = members.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keepers = least.groupBy("doc_id", "component_id").agg(F.min("fp").alias("keeper_fp"))
-    # two components share an id only where texts of one id differ
+    # a component is known by its root: several share a smallest id where texts of one id differ, or ids are null
+    keepers = least.groupBy("root", "doc_id").agg(F.min("fp").alias("keeper_fp"))
     keepers = stored(keepers.select(F.col("doc_id").alias("keeper_id"), "keeper_fp"), "keepers")
     shared_ids = stored(
         members.groupBy("doc_id").count().where(F.col("count") > 1).select(F.col("doc_id").alias("shared_id")), "shared_ids")
