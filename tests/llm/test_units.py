@@ -94,6 +94,18 @@ def test_main_text():
     assert html.main_text("<div><h2>A title</h2><p>" + "word " * 80 + "</p></div><footer>f</footer>").startswith("A title\nword")
 
 
+def test_main_text_of_several_regions():
+    long, short = "word " * 60 + "end", "few " * 30 + "end"
+    body = "<nav><a href=x>Home</a></nav>{}<footer>Foot</footer>".format
+    assert html.main_text(body(f"<article><p>{long}</article><article><p>{short}</article>")) == f"{long}\n{short}"
+    assert html.main_text(body(f"<main><h1>Title</h1><p>Intro.<article><p>{long}</article></main>")) == f"Title\nIntro.\n{long}"
+    assert html.main_text(body(f"<article><p>{short}<article><p>{long}</article><p>Last.</article>")) == f"{short}\n{long}\nLast."
+    # comments and teasers are left out, unless there is nothing heavier
+    marked = f"<article><p>{long}<article class='comment'><p>{short}</article></article><article class='post-teaser'><p>{short}</article>"
+    assert html.main_text(body(marked)) == long
+    assert html.main_text(body(f"<article class='post no-sidebar'><p>{long}<article>Inner</article></article>")) == f"{long}\nInner"
+
+
 def test_digest():
     assert digest.digest("same text " * 9) == digest.digest("same text " * 9)
     a, b = digest.digest("the quick brown fox " * 20), digest.digest("0123456789 " * 50)

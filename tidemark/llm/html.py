@@ -2,8 +2,9 @@
 
 Parser events are cut into lines, one per block of the page. Each line has the
 ratio of its characters to its tags; ratios are smoothed with a Gaussian and
-lines above a threshold form clusters. The region with the most clustered text
-is the content; its lines outside menus, adverts, forms and the like are kept.
+lines above a threshold form clusters. The regions (article, main) with
+clustered text are the content, with those around and in them; their lines
+outside menus, adverts, forms and the like are kept.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ MARKS = frozenset(
     "notice notices notification alert sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs footer comment "
     "comments commentlist disqus reply replies reader-comments share sharing social related recommended newsletter subscribe "
     "subscription signup login popup modal overlay widget toolbar pagination pager skip".split())
+TEASERS = frozenset("teaser teasers".split())  # the same, of an article beside others
 HEADS = frozenset("header masthead topbar head".split())
 SPLIT = re.compile(r"[\s_-]+")
 # an element that ends when a like one begins
@@ -72,6 +74,7 @@ class Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[Element] = []
         self.lines: list[Line] = []
+        self.regions: dict[int, tuple[int, bool]] = {}  # the region around, and whether marked as comment, teaser or the like
         self.pieces: list[str] = []
         self.tags = self.linked = self.links = self.made = 0
 
@@ -94,6 +97,8 @@ class Events(HTMLParser):
         self.made += 1
         above = self.stack[-1] if self.stack else None
         region = self.made if tag in ("article", "main") else above.region if above else 0
+        if region == self.made:
+            self.regions[region] = (above.region if above else 0, bool(self.words(attrs) & (MARKS | TEASERS)))
         inherits = above is not None and above.chrome
         chrome = inherits or self.is_chrome(tag, attrs, region)
         # chrome inside a line is left out of it
@@ -154,6 +159,11 @@ class Events(HTMLParser):
             self.tags = 0
         self.pieces, self.linked = [], 0
 
+    @staticmethod
+    def words(attrs: list[tuple[str, str | None]]) -> set[str]:
+        """The words of class and id."""
+        return {word for name, value in attrs if name in ("class", "id") and value for word in SPLIT.split(value.lower())}
+
     @staticmethod
     def is_chrome(tag: str, attrs: list[tuple[str, str | None]], region: int) -> bool:
         if tag in CHROME or tag == "header" and not region:
@@ -179,8 +189,26 @@ def smoothed(ratios: np.ndarray, radius: int = RADIUS, sigma: float = SIGMA) ->
     return sums[:len(ratios)] / sums[len(ratios) + 2 * radius:]
 
 
-def content_lines(lines: list[Line]) -> list[Line]:
-    """The lines of the content region, in page order."""
+def content_regions(weight: dict[int, int], regions: dict[int, tuple[int, bool]]) -> set[int]:
+    """The regions with clustered text and all around or in them, but of marked ones only the heaviest of the page."""
+    heaviest = max(weight, key=lambda r: (weight[r], -r))
+    # regions are numbered in page order, so the one around comes first
+    barred: dict[int, bool] = {0: False}
+    inside: dict[int, bool] = {0: False}
+    for region, (above, marked) in sorted(regions.items()):
+        barred[region] = region != heaviest and (marked or barred[above])
+        inside[region] = not barred[region] and (region in weight or inside[above])
+    kept = {region for region, chosen in inside.items() if chosen}
+    for region in sorted(kept):
+        above = regions[region][0]
+        while above and above not in kept:
+            kept.add(above)
+            above = regions[above][0]
+    return kept
+
+
+def content_lines(lines: list[Line], regions: dict[int, tuple[int, bool]]) -> list[Line]:
+    """The lines of the content regions, in page order."""
     own = [line for line in lines if not line.chrome]
     if not own:
         return []
@@ -193,8 +221,8 @@ def content_lines(lines: list[Line]) -> list[Line]:
             weight[line.region] = weight.get(line.region, 0) + len(line.text) - line.linked
     named = {region: w for region, w in weight.items() if region}
     if named:
-        region = max(named, key=lambda r: (named[r], -r))
-        return [line for line in own if line.region == region]
+        content = content_regions(named, regions)
+        return [line for line in own if line.region in content]
     # without article or main: clustered lines, and their neighbours in the same container that are not link lists
     parents = {line.parent for line, chosen in zip(lines, dense) if chosen and not line.chrome}
     return [line for line, chosen in zip(lines, dense) if not line.chrome and (
@@ -206,7 +234,7 @@ def main_text(html: str) -> str:
     events = Events()
     events.feed(html)
     events.close()
-    return "\n".join(line.text for line in content_lines(events.lines))
+    return "\n".join(line.text for line in content_lines(events.lines, events.regions))
 
 
 def extract(html: str | Column) -> Column:
