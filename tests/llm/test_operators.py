@@ -167,6 +167,49 @@ def test_urls(frame):
     assert verdicts == {"example.net/en/": "allow", "net/": "block", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+def brute_ratios(decided, texts):
+    """Ratios by counts kept per context in dictionaries."""
+    def symbols(text):
+        return [96] * 5 + [c - 32 if 32 <= c < 127 else 95 for c in text.encode()] + [96]
+
+    counts = {"allow": {}, "block": {}}
+    for text, verdict in decided:
+        row = symbols(text)
+        for at in range(5, len(row)):
+            for order in range(6):
+                counts[verdict].setdefault(tuple(row[at - order:at]), Counter())[row[at]] += 1
+    found = []
+    for text in texts:
+        row, apart = symbols(text), 0.0
+        for at in range(5, len(row)):
+            for side, sign in (("allow", 1), ("block", -1)):
+                p = 1 / 97
+                for order in range(6):
+                    seen = counts[side].get(tuple(row[at - order:at]))
+                    if seen:
+                        p = (seen[row[at]] + len(seen) * p) / (seen.total() + len(seen))
+                apart += sign * math.log(p)
+        found.append(apart / (len(row) - 5))
+    return found
+
+
+def test_url_ratios_count_exact_contexts(frame):
+    # far more than 8,192 contexts of five symbols
+    def name(k):
+        return hashlib.md5(str(k).encode()).hexdigest()
+
+    hosts = [f"{name(k)[:9]}.example.net/en/{name(-k)}" for k in range(250)] + [f"{name(k)}.example.com/de/{name(k)[:20]}" for k in range(250, 500)]
+    free = [f"{name(k)}.test/{name(k)[:7]}" for k in range(0, 500, 50)] + ["é", "", "", hosts[0].replace("net/en", "test/en")]
+    pages = frame([(k, f"http://{u}") for k, u in enumerate(hosts + free)], "page_id bigint, url string")
+    got = {r["page_id"]: r for r in urls.judge_urls(pages).collect()}
+    assert len(got) == len(hosts + free)
+    decided = [(r["host"] + r["path"], r["verdict"]) for r in got.values() if r["rule"]]
+    assert len(decided) == 500 and len({u[k:k + 5] for u, _ in decided for k in range(len(u))}) > urls.SYMBOLS * 100
+    order = sorted(got)
+    wanted = brute_ratios(decided, [got[k]["host"] + got[k]["path"] for k in order])
+    assert [got[k]["ratio"] for k in order] == pytest.approx(wanted, abs=1e-9)
+
+
 def test_contaminated(docs, frame):
     bench = frame([(1, BASE[:80]), (2, None), (None, "one two"), (3, "one, TWO!")], "item_id bigint, text string")
     rows = {(r["doc_id"]): r for r in decontaminate.contaminated_documents(docs, bench).collect()}

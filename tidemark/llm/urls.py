@@ -5,28 +5,29 @@ variable-order Markov models over bytes, smoothed by interpolating every order
 with the next shorter context (Witten-Bell). What no rule fits is judged by
 the difference of its two log-likelihoods per byte, against a threshold
 calibrated on rule-decided URLs left out of the models.
+
+A cell is a symbol after its exact context, written as one integer. Cells are
+counted, smoothed and looked up by Spark in tables that grow with the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, strings
+from tidemark.llm.common import bound_batches, stored, strings
 
 # (host, path, verdict)
 RULES = (
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
 )
 ORDERS = 6  # contexts of 0 to 5 bytes
-CONTEXTS = 1 << 13  # context slots per order; longer contexts are hashed to them
 SYMBOLS = 97  # printable ASCII, one for all other bytes, one for the end
-CELLS = ORDERS * CONTEXTS * SYMBOLS  # bound of a model's size
+BASE = SYMBOLS + 1  # a cell's digits are its symbols, counted from 1, so that its length is known too
 CALIBRATION = 5  # one host in so many calibrates
 BINS = 400
 SPAN = 4.0  # differences are counted in bins from -SPAN to SPAN
@@ -54,8 +55,8 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     return name, verdict
 
 
-def cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all symbols of all texts (each with an end symbol): context slots and cells per order, and the text's number."""
+def cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For all symbols of all texts (each with an end symbol): the cells of each order, and the text's number."""
     raw = [t.encode() for t in texts]
     lengths = np.fromiter(map(len, raw), np.int64, len(raw))
     codes = np.frombuffer(b"".join(r + b"\0" for r in raw), np.uint8).astype(np.int64)
@@ -64,102 +65,86 @@ def cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     symbols[ends] = 96
     text = np.repeat(np.arange(len(raw)), lengths + 1)
     position = np.arange(len(codes)) - np.repeat(ends - lengths, lengths + 1)
-    contexts = np.zeros((ORDERS, len(codes)), np.int64)
-    mixed = np.zeros(len(codes), np.uint64)
+    found = np.zeros((ORDERS, len(codes)), np.int64)
+    found[0] = symbols + 1
     for order in range(1, ORDERS):
         before = np.concatenate([np.zeros(order, np.int64), symbols[:-order]])[:len(codes)]
         # before the first byte stands the end symbol
         before = np.where(position >= order, before, 96)
-        mixed = mixed * np.uint64(0x100000001B3) + before.astype(np.uint64) + np.uint64(1)
-        hashed = (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(51)).astype(np.int64)
-        contexts[order] = before if order == 1 else hashed
-    offset = (np.arange(ORDERS) * CONTEXTS)[:, None]
-    contexts += offset
-    return contexts, contexts * SYMBOLS + symbols, text
-
-
-@dataclass
-class MarkovModel:
-    """Counts of one class: symbols per context slot, their sums and numbers of kinds. At most ``CELLS`` counts."""
-
-    counts: np.ndarray
-
-    def __post_init__(self) -> None:
-        table = self.counts.reshape(-1, SYMBOLS)
-        self.total = table.sum(axis=1)
-        self.kinds = (table > 0).sum(axis=1)
-
-    def log_likelihoods(self, contexts: np.ndarray, cell: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-        p = np.full(cell.shape[1], 1.0 / SYMBOLS)
-        for order in range(ORDERS):
-            total, kinds = self.total[contexts[order]], self.kinds[contexts[order]]
-            weight = total + kinds
-            p = np.where(weight > 0, (self.counts[cell[order]] + kinds * p) / np.maximum(weight, 1), p)
-        return np.bincount(text, np.log(p), minlength=n)
-
-
-@dataclass
-class UrlModel:
-    """Markov models of accepted and rejected URLs and the calibrated threshold."""
-
-    accepted: MarkovModel
-    rejected: MarkovModel
-    threshold: float = 0.0
-
-    def ratios(self, texts: list[str]) -> np.ndarray:
-        """Log-likelihood difference per symbol; positive speaks for acceptance."""
-        if not texts:
-            return np.zeros(0)
-        contexts, cell, text = cells(texts)
-        apart = (self.accepted.log_likelihoods(contexts, cell, text, len(texts))
-                 - self.rejected.log_likelihoods(contexts, cell, text, len(texts)))
-        return apart / np.bincount(text, minlength=len(texts))
+        found[order] = found[order - 1] + (before + 1) * BASE ** order
+    return found, text
 
 
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a partition's cells for (held back, accepted) as ``group, cell, n``: at most the cells of four groups."""
-    counts: dict[int, np.ndarray] = {}
+    """Counts of a batch's cells as ``grp, cell, n``."""
     for batch in batches:
         texts, group = strings(batch.column(0)), np.array(batch.column(1).to_pylist(), np.int64)
         if not texts:
             continue
-        _, cell, text = cells(texts)
+        cell, text = cells(texts)
         for g in np.unique(group).tolist():
-            mine = np.bincount(cell[:, group[text] == g].ravel(), minlength=CELLS)
-            counts[g] = counts.get(g, 0) + mine
-    for g, total in counts.items():
-        used = np.flatnonzero(total)
+            used, n = np.unique(cell[:, group[text] == g], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), g)), pa.array(used), pa.array(n)], names=["grp", "cell", "n"])
+
+
+def _longest_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row ``key, cell, size`` for each symbol of each text: its cell of the highest order, and the text's length."""
+    for batch in batches:
+        keys, texts = batch.column(0).to_numpy(), strings(batch.column(1))
+        if not texts:
+            continue
+        cell, text = cells(texts)
+        size = np.bincount(text, minlength=len(texts))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(used), g)), pa.array(used), pa.array(total[used])], names=["grp", "cell", "n"])
+            [pa.array(keys[text]), pa.array(cell[-1]), pa.array(size[text])], names=["key", "cell", "size"])
 
 
-def fit_urls(decided: DataFrame) -> UrlModel:
-    """Models and threshold from ``host, path, verdict`` of rule-decided URLs, all of them.
+# how the counts of (held back, accepted), as numbers 0 to 3, make up the models
+MODELS = {"accepted": (1, 3), "rejected": (0, 2), "accepted_part": (1,), "rejected_part": (0,)}
 
-    Counts are added up by Spark and reach the driver as at most ``4 * CELLS``
-    rows. The threshold is the one with the best mean of the two classes'
-    shares decided rightly among hosts held back; the nearest to 0 of equal
-    ones. Without both classes it is 0 and the difference is 0 for every URL.
+
+def cell_probabilities(texts: DataFrame) -> DataFrame:
+    """Per longest cell of any text its probability in each of ``MODELS``, from ``text, grp``; other groups are not counted.
+
+    Every order is smoothed by the next shorter one: a join of the cells of
+    one order with those of the order before, whose contexts lack the oldest
+    symbol.
     """
-    bound_batches(decided.sparkSession)
-    held = (F.crc32(F.col("host").cast("binary")) % CALIBRATION == 0).cast("bigint")
-    grouped = decided.select(F.concat("host", "path").alias("text"),
-                             (2 * held + (F.col("verdict") == "allow").cast("bigint")).alias("grp"))
-    counted = grouped.mapInArrow(_count_cells, "grp bigint, cell bigint, n bigint").groupBy("grp", "cell").agg(F.sum("n").alias("n"))
-    tables = np.zeros((4, CELLS), np.float32)
-    found = counted.toArrow()
-    tables[found["grp"].to_numpy(), found["cell"].to_numpy()] = found["n"].to_numpy()
-    if not (tables[0] + tables[2]).any() or not (tables[1] + tables[3]).any():
-        empty = MarkovModel(np.zeros(CELLS, np.float32))
-        return UrlModel(empty, empty)
-    partial = UrlModel(MarkovModel(tables[1]), MarkovModel(tables[0]))
-    full = UrlModel(MarkovModel(tables[1] + tables[3]), MarkovModel(tables[0] + tables[2]))
-    tuned = grouped.where("grp >= 2")
-    bins = tuned.select("grp", ratio("text", partial).alias("r")).groupBy(
-        "grp", F.least(F.greatest(F.floor((F.col("r") + SPAN) * (BINS / (2 * SPAN))), F.lit(0)), F.lit(BINS - 1)).alias("bin")
-    ).count().collect()
-    full.threshold = best_threshold([(r["grp"] == 3, int(r["bin"]), r["count"]) for r in bins])
-    return full
+    partial = texts.mapInArrow(_count_cells, "grp bigint, cell bigint, n bigint")
+    counts = [F.sum(F.when(F.col("grp").isin(*groups), F.col("n")).otherwise(0)).alias(name) for name, groups in MODELS.items()]
+    counted = stored(partial.groupBy("cell").agg(*counts), "url_cells")
+    context = F.expr(f"cell div {BASE}")
+    sums = counted.groupBy(context.alias("context")).agg(
+        *[F.sum(m).alias(f"{m}_total") for m in MODELS], *[F.count(F.when(F.col(m) > 0, 1)).alias(f"{m}_kinds") for m in MODELS])
+    placed = stored(counted.withColumn("context", context).join(sums, "context"), "url_contexts")
+    shorter = None
+    for order in range(ORDERS):
+        level = placed.where((F.col("cell") >= BASE ** order) & (F.col("cell") < BASE ** (order + 1)))
+        if shorter is None:
+            before = {m: F.lit(1.0 / SYMBOLS) for m in MODELS}
+        else:
+            level = level.withColumn("tail", F.col("cell") % BASE ** order).join(shorter, "tail")
+            before = {m: F.col(f"{m}_p") for m in MODELS}
+        made = []
+        for m in MODELS:
+            weight = F.col(f"{m}_total") + F.col(f"{m}_kinds")
+            p = (F.col(m) + F.col(f"{m}_kinds") * before[m]) / weight
+            made.append(F.when(weight > 0, p).otherwise(before[m]).alias(f"{m}_p"))
+        shorter = stored(level.select(F.col("cell").alias("tail"), *made), f"url_order_{order}")
+    return shorter.withColumnRenamed("tail", "cell")
+
+
+def text_ratios(texts: DataFrame) -> DataFrame:
+    """Per distinct ``key`` (a hash of ``text``) the log-likelihood difference per symbol: ``ratio``, and ``ratio_part`` by the parts.
+
+    Positive speaks for acceptance. ``grp`` is as in ``MODELS``, or -1.
+    """
+    apart = [(F.log(F.col(f"accepted{x}_p")) - F.log(F.col(f"rejected{x}_p"))).alias(f"apart{x}") for x in ("", "_part")]
+    by_cell = cell_probabilities(texts.select("text", "grp")).select("cell", *apart)
+    once = texts.groupBy("key").agg(F.min("text").alias("text")).mapInArrow(_longest_cells, "key bigint, cell bigint, size bigint")
+    # a frequent cell is met by many texts: the join splits it
+    return once.join(by_cell.hint("merge"), "cell").groupBy("key").agg(
+        *[(F.sum(f"apart{x}") / F.first("size")).alias(f"ratio{x}") for x in ("", "_part")])
 
 
 def best_threshold(bins: list[tuple[bool, int, int]]) -> float:
@@ -177,24 +162,6 @@ def best_threshold(bins: list[tuple[bool, int, int]]) -> float:
     return float(edges[best[np.argmin(np.abs(edges[best]))]])
 
 
-def ratio(text: str | Column, model: UrlModel) -> Column:
-    """The length-normalised log-likelihood difference of a text column; null counts as empty."""
-    packed = [(np.flatnonzero(m.counts).astype(np.int32), m.counts[m.counts > 0]) for m in (model.accepted, model.rejected)]
-
-    @F.arrow_udf("double")
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        models = []
-        for used, values in packed:
-            counts = np.zeros(CELLS, np.float32)
-            counts[used] = values
-            models.append(MarkovModel(counts))
-        local = UrlModel(*models)
-        for batch in batches:
-            yield pa.array(local.ratios(strings(batch)), pa.float64())
-
-    return of(text)
-
-
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """Per row of ``pages``: ``page_id, host, path, rule, ratio, verdict``.
 
@@ -208,7 +175,19 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, says = matching_rule(F.col("host"), F.col("path"), rules)
     ruled = split.select("page_id", "host", "path", rule.alias("rule"), says.alias("says"))
-    model = fit_urls(ruled.where("says IS NOT NULL").select("host", "path", F.col("says").alias("verdict")))
-    judged = ruled.withColumn("ratio", ratio(F.concat("host", "path"), model))
-    own = F.when(F.col("ratio") >= model.threshold, "allow").otherwise("block")
+    held = (F.crc32(F.col("host").cast("binary")) % CALIBRATION == 0).cast("bigint")
+    text = F.concat("host", "path")
+    grouped = ruled.select(
+        "*", F.xxhash64(text).alias("key"), text.alias("text"),
+        F.when(F.col("says").isNull(), -1).otherwise(2 * held + (F.col("says") == "allow").cast("bigint")).cast("bigint").alias("grp"))
+    sides = grouped.where("grp >= 0").select((F.col("grp") % 2).alias("side")).distinct().count()
+    if sides < 2:
+        judged, threshold = grouped.withColumn("ratio", F.lit(0.0)), 0.0
+    else:
+        judged = stored(grouped.join(text_ratios(grouped.select("key", "text", "grp")).hint("merge"), "key").drop("text"), "url_ratios")
+        # the threshold is tried on the hosts held back, by the models without them
+        place = F.floor((F.col("ratio_part") + SPAN) * (BINS / (2 * SPAN)))
+        bins = judged.where("grp >= 2").groupBy("grp", F.least(F.greatest(place, F.lit(0)), F.lit(BINS - 1)).alias("bin")).count().collect()
+        threshold = best_threshold([(r["grp"] == 3, int(r["bin"]), r["count"]) for r in bins])
+    own = F.when(F.col("ratio") >= threshold, "allow").otherwise("block")
     return judged.select("page_id", "host", "path", "rule", "ratio", F.coalesce("says", own).alias("verdict"))
