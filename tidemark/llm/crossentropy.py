@@ -71,13 +71,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """64-bit numbers byte plane by byte plane, so that the planes of zeros compress away."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def _packed(values: np.ndarray, kind: str = "<u8") -> bytes:
+    """Numbers byte plane by byte plane, compressed; the planes of zeros take no room."""
+    planes = values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+def _unpacked(raw: bytes, kind: str = "<u8") -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def _encoder(block_bytes: int):
@@ -99,7 +102,7 @@ def _encoder(block_bytes: int):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, task << 32 | made)), pa.array(np.arange(place, place + n, dtype=np.int32)),
                     batch.column(0).slice(start, n), pa.array([len(e) for e in encoded], pa.int64()),
-                    pa.array([e.tobytes() for e in encoded], pa.binary())], names=names)
+                    pa.array([_packed(e, "<i4") if len(e) else b"" for e in encoded], pa.binary())], names=names)
                 place += n
                 if size >= block_bytes:
                     yield _head(task << 32 | made, known, batch.column(0).type, names)
@@ -125,7 +128,7 @@ class _Block:
         words = rows.column("words").to_pylist()
         self.ids, self.places = rows.column("doc_id").slice(1), rows.column("place").to_numpy()[1:]
         self.sizes = rows.column("n_tokens").to_numpy()[1:]
-        self.word = np.frombuffer(b"".join(words[1:]), "<i4")
+        self.word = np.concatenate([np.zeros(0, np.int32), *[_unpacked(w, "<i4") for w in words[1:] if w]])
         first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
         left, right, self.pair, self.previous = pair_numbers(self.word, first)
         of_word = np.frombuffer(words[0], "<u8")
