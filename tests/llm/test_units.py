@@ -155,6 +155,12 @@ def test_segmentation_round_trip(text):
     assert [s[0].tolist() for s in alone[0]] == [s[0].tolist() for s in beside[1]]
 
 
+def test_segmentation_of_a_long_unbroken_text():
+    v, text = pieces.Vocabulary.load(), "x" * 20_000
+    ids = [tuple(i.tolist()) for i, *_ in pieces.sample_batch([text], [7], v, 2, 1)[0]]
+    assert len(set(ids)) == 2 and all(pieces.decode(list(i), v.pieces) == text for i in ids)
+
+
 def test_language_models_prefer_their_text():
     word, pair = crossentropy.slots("One two ONE two")
     assert word[0] == word[2] and pair[1] == pair[3] and len(word) == 4
