@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, crossentropy, decontaminate, digest, html, pieces, quality, simhash, toxicity, urls
+from tidemark.llm import chat, crossentropy, decontaminate, digest, html, pieces, quality, runs, simhash, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,12 +111,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, a tenth of them with planted repeats: their number, the highest power, digests of runs and rest."""
+    found = runs.find_runs(runs.with_planted_repeats(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", runs.longest_power("runs"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def all_queries():
     import corpus_pipeline
 
     made = {f.__name__: f for f in (
         op1_cross_entropy_difference, op2_sample_segmentations, op3_quality, op4_url_filter, op5_decontaminate,
-        op6_quartile_digest, op7_chat_format, op8_main_text, op9_toxicity, op10_simhash)}
+        op6_quartile_digest, op7_chat_format, op8_main_text, op9_toxicity, op10_simhash, op12_periodic_runs)}
     return {**made, "pipeline": corpus_pipeline.run}
 
 
