@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, crossentropy, decontaminate, digest, html, pieces, quality, runs, simhash, toxicity, urls
+from tidemark.llm import chat, crossentropy, decontaminate, digest, html, pieces, quality, runs, simhash, toxicity, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,12 +123,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries():
     import corpus_pipeline
 
     made = {f.__name__: f for f in (
         op1_cross_entropy_difference, op2_sample_segmentations, op3_quality, op4_url_filter, op5_decontaminate,
-        op6_quartile_digest, op7_chat_format, op8_main_text, op9_toxicity, op10_simhash, op12_periodic_runs)}
+        op6_quartile_digest, op7_chat_format, op8_main_text, op9_toxicity, op10_simhash, op12_periodic_runs, op13_whitening)}
     return {**made, "pipeline": corpus_pipeline.run}
 
 
