@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, crossentropy, decontaminate, digest, html, pieces, quality, runs, simhash, toxicity, urls, whitening
+from tidemark.llm import chat, crossentropy, decontaminate, digest, html, mixture, pieces, quality, runs, simhash, toxicity, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +111,61 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_pareto_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 5, 2, 1 in turn, as many words as there are."""
+    return mixture.mix_sources(table(spark, sf_dir, "documents"), [5.0, 2.0, 1.0])
+
+
+OP11_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, text, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+drawn AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS size, CAST(len(list_distinct(w)) AS DOUBLE) / nullif(len(w), 0) AS odds,
+         CAST(CAST('0x' || substr(md5('11 ' || coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || md5(coalesce(text, ''))), 1, 13)
+              AS BIGINT) AS DOUBLE) AS x FROM worded),
+random AS (SELECT *, (x + 0.5::DOUBLE) / (4503599627370496::DOUBLE - x - 0.5::DOUBLE) AS u FROM drawn),
+rows AS (
+  SELECT row_number() OVER () AS r, doc_id, source, size, CAST(floor(u / (odds + u) * 281474976710656::DOUBLE) AS BIGINT) AS rank,
+         8 * length(bin(size)) + (size >> greatest(length(bin(size)) - 3, 0)) AS class FROM random),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY source),
+rated AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM sources),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER fuller, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER fuller, 0))::DOUBLE AS if_last FROM rated
+  WINDOW fuller AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT (any_value(total) - coalesce(sum(3 * source_size) FILTER (full_), 0))::DOUBLE
+         / coalesce(nullif(sum(weight) FILTER (NOT full_), 0), 1)::DOUBLE AS t
+  FROM (SELECT *, sum(source_size) OVER () AS total, 3 * source_size < weight * if_last AS full_ FROM levels)),
+targets AS (
+  SELECT source, source_size, CASE WHEN 3 * source_size < weight * t THEN CAST(3 * source_size AS DOUBLE) ELSE weight * t END AS target
+  FROM rated, level),
+strata AS (
+  SELECT source, class, count(*) AS docs, sum(size) AS words FROM rows WHERE size > 0 GROUP BY source, class),
+planned AS (
+  SELECT s.source, class, docs, words::DOUBLE / docs::DOUBLE AS mean,
+         (target - floor(target / source_size) * source_size) * CAST(sum(words) OVER longer AS DOUBLE) / source_size AS share,
+         row_number() OVER longer AS k
+  FROM strata s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  WINDOW longer AS (PARTITION BY s.source ORDER BY class DESC)),
+quotas AS (
+  SELECT source, class, k, mean, least(docs, greatest(0, CAST(floor((share - 0::DOUBLE) / mean + 0.5::DOUBLE) AS BIGINT))) AS n, 0::DOUBLE AS before
+  FROM planned WHERE k = 1
+  UNION ALL
+  SELECT p.source, p.class, p.k, p.mean,
+         least(p.docs, greatest(0, CAST(floor((p.share - (q.before + q.n * q.mean)) / p.mean + 0.5::DOUBLE) AS BIGINT))), q.before + q.n * q.mean
+  FROM quotas q JOIN planned p ON p.source IS NOT DISTINCT FROM q.source AND p.k = q.k + 1),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY source, class ORDER BY rank, r) AS number FROM rows)
+SELECT doc_id, o.source, size, source_size, target,
+       CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) + CAST(size > 0 AND number <= coalesce(n, 0) AS BIGINT) AS copies,
+       size * (CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT)
+               + CAST(size > 0 AND number <= coalesce(n, 0) AS BIGINT)) AS taken
+FROM ordered o JOIN targets t ON o.source IS NOT DISTINCT FROM t.source
+LEFT JOIN quotas q ON o.source IS NOT DISTINCT FROM q.source AND o.class = q.class"""
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every document, a tenth of them with planted repeats: their number, the highest power, digests of runs and rest."""
     found = runs.find_runs(runs.with_planted_repeats(table(spark, sf_dir, "documents")))
@@ -132,12 +187,12 @@ def all_queries():
 
     made = {f.__name__: f for f in (
         op1_cross_entropy_difference, op2_sample_segmentations, op3_quality, op4_url_filter, op5_decontaminate,
-        op6_quartile_digest, op7_chat_format, op8_main_text, op9_toxicity, op10_simhash, op12_periodic_runs, op13_whitening)}
+        op6_quartile_digest, op7_chat_format, op8_main_text, op9_toxicity, op10_simhash, op11_pareto_mixture, op12_periodic_runs, op13_whitening)}
     return {**made, "pipeline": corpus_pipeline.run}
 
 
 def all_oracles():
     import corpus_pipeline
 
-    made = {"op5_decontaminate": OP5_SQL, "op7_chat_format": OP7_SQL}
+    made = {"op5_decontaminate": OP5_SQL, "op7_chat_format": OP7_SQL, "op11_pareto_mixture": OP11_SQL}
     return made if corpus_pipeline.ORACLE_SQL is None else {**made, "pipeline": corpus_pipeline.ORACLE_SQL}
