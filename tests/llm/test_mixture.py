@@ -91,7 +91,9 @@ def test_inclusion_follows_the_odds(frame):
 def test_query_against_sql_and_targets(spark):
     found = queries.op11_pareto_mixture(spark, SF)
     assert compare(found, connect(SF), queries.OP11_SQL) is None
-    taken = found.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size"))
+    taken = found.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size"),
+                                        F.count(F.lit(1)).alias("docs"))
     rows = taken.collect()
     assert {r["source"]: r["target"] for r in rows} == pytest.approx(brute_targets({r["source"]: r["size"] for r in rows}, [5, 2, 1]))
-    assert all(abs(r["taken"] - r["target"]) <= max(0.02 * r["target"], 30) for r in rows), [tuple(r) for r in rows]
+    # whole documents come within about one document of a target
+    assert all(abs(r["taken"] - r["target"]) <= r["size"] / r["docs"] for r in rows), [tuple(r) for r in rows]
