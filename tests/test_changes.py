@@ -105,18 +105,18 @@ def test_untouched_days_are_not_rewritten(spark, frame):
     path = scratch_path(spark, "fact")
     data = [("a", t(5, 1), 1.0, 1), ("b", t(5, 2), 1.0, 1)]
     U.incremental_merge(spark, path, frame(data, FACT), ["k"], "ts", newest())
-    files = lambda: {f for f in spark.read.parquet(path).inputFiles() if "load_day=2024-01-01" in f}
+    files = lambda: {f for f in U.read_committed(spark, path).inputFiles() if "load_day=2024-01-01" in f}
     before = files()
     U.incremental_merge(spark, path, frame([("c", t(9, 2), 1.0, 1)], FACT), ["k"], "ts", newest())
     assert files() == before
-    assert spark.read.parquet(path).count() == 3
+    assert U.read_committed(spark, path).count() == 3
 
 
 def test_replacing_partitions_keeps_the_rest(spark, frame):
     path = scratch_path(spark, "part")
     U.replace_partitions(frame([(1, 1), (2, 2)], "v int, p int"), path, ["p"])
     U.replace_partitions(frame([(9, 2)], "v int, p int"), path, ["p"])
-    assert rows(spark.read.parquet(path), "v", "p") == [(1, 1), (9, 2)]
+    assert rows(U.read_committed(spark, path), "v", "p") == [(1, 1), (9, 2)]
 
 
 def test_insert_missing_twice(frame):

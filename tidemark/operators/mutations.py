@@ -1,7 +1,8 @@
 """Changes to stored tables: upserts, soft deletes, history, incremental merges.
 
 The functions named for a change return the resulting table as a frame. The
-ones that take a path rewrite only the day partitions a batch touches.
+ones that take a path keep a committed table there (see ``committed``): they
+rewrite only the partitions a batch touches, all of them or none.
 """
 
 from __future__ import annotations
@@ -9,11 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_of_or_now, day_of
+from tidemark.operators.committed import CommittedTable, few_files, read_committed
 from tidemark.operators.groups import written
 from tidemark.operators.joins import rows_absent
 from tidemark.operators.windows import latest_per_key
@@ -144,7 +145,7 @@ def scd2_snapshot(history: DataFrame, source: DataFrame, key: Sequence[str], che
 
 def rows_above_watermark(target: DataFrame, source: DataFrame, ts: str, lookback: str | None = None,
                          day: str | None = None) -> DataFrame:
-    """Source rows later than the target's highest timestamp.
+    """Source rows later than the target's highest timestamp, and those without a time.
 
     ``lookback`` (an interval such as ``'2 hours'``) lowers the watermark so that
     late rows still enter. An empty target lets everything in. When the target
@@ -157,9 +158,32 @@ def rows_above_watermark(target: DataFrame, source: DataFrame, ts: str, lookback
     if highest is None:
         return source
     mark = F.lit(highest).cast(target.schema[ts].dataType)
-    if lookback:
-        mark = mark - F.expr(f"interval {lookback}")
-    return source.where(F.col(ts) > mark)
+    return source.where(F.col(ts).isNull() | (F.col(ts) > _lowered(mark, lookback)))
+
+
+def _lowered(mark: Column, lookback: str | None) -> Column:
+    return mark - F.expr(f"interval {lookback}") if lookback else mark
+
+
+MARKS = "marks"
+
+
+def newest_times(rows: DataFrame, entity: Sequence[str], ts: str, former: DataFrame | None = None) -> DataFrame:
+    """The newest time of each entity, from its ``rows`` and from the times stored before."""
+    marks = rows.select(*entity, F.col(ts).alias("newest"))
+    return (marks if former is None else marks.unionByName(former)).groupBy(*entity).agg(F.max("newest").alias("newest"))
+
+
+def rows_above_own_watermark(marks: DataFrame, source: DataFrame, entity: Sequence[str], ts: str,
+                             lookback: str | None = None) -> DataFrame:
+    """Source rows later than the newest time of their own entity, those of new entities and those without a time."""
+    named = marks.select(*[F.col(c).alias(f"__e_{c}") for c in entity], F.col("newest").alias("__newest"))
+    condition = F.lit(True)
+    for c in entity:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"__e_{c}"))
+    beside = source.join(named, condition, "left")
+    above = F.col(ts).isNull() | F.col("__newest").isNull() | (F.col(ts) > _lowered(F.col("__newest"), lookback))
+    return beside.where(above).select(*source.columns)
 
 
 def last_partition(table: DataFrame, day: str) -> str | None:
@@ -169,69 +193,59 @@ def last_partition(table: DataFrame, day: str) -> str | None:
 
 
 def merged(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The target with the batch's rows replacing rows of the same key."""
-    kept = rows_absent(target, batch, {k: k for k in key})
-    return kept.unionByName(batch)
+    """The target with the batch's rows replacing rows of the same key; NULL keys are the same key."""
+    arriving = batch.select(*[F.col(k).alias(f"__b_{k}") for k in key])
+    condition = F.lit(True)
+    for k in key:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__b_{k}"))
+    return target.join(arriving, condition, "left_anti").unionByName(batch.select(*target.columns))
 
 
 def incremental_merge(spark: SparkSession, path: str, source: DataFrame, key: Sequence[str], ts: str,
                       order: Sequence[str | Column], lookback: str | None = None,
-                      full_refresh: bool = False, day: str = "load_day") -> DataFrame:
-    """Bring a table partitioned by day up to date and return it.
+                      full_refresh: bool = False, day: str = "load_day",
+                      entity: Sequence[str] | None = None, keys_move: bool = True) -> DataFrame:
+    """Bring a committed table partitioned by day up to date and return it.
 
     Each run takes the source rows above the watermark (all of them on a full
-    refresh), keeps the first by ``order`` per key, merges them with the days
-    they fall on and replaces just those days. The key must determine the day.
-    """
-    staged_days = source.withColumn(day, day_of(ts))
-    if full_refresh or not table_exists(spark, path):
-        fresh = latest_per_key(staged_days, key, order)
-        few_files(fresh, [day]).write.mode("overwrite").partitionBy(day).parquet(path)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
-    batch = latest_per_key(rows_above_watermark(target, staged_days, ts, lookback, day), key, order)
-    batch = written(batch, "merge-batch")
-    # a handful of days, as literals, so that the scan skips all other partitions
-    days = [row[0] for row in batch.select(day).distinct().collect()]
-    if not days:
-        return target
-    same_days = target.where(F.col(day).isin(days))
-    replace_partitions(merged(same_days, batch.select(*target.columns), key), path, [day])
-    return spark.read.parquet(path)
-
-
-def few_files(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Rows gathered by partition value for writing, a large partition over several tasks.
-
-    Without this every task would write a file into every partition.
+    refresh) and those without a time, keeps the first by ``order`` per key,
+    merges them with the days they fall on and commits just those days, all at
+    once. With ``entity`` every entity has a watermark of its own, kept beside
+    the table, so that one which lags behind the others is not skipped. A key
+    whose new row falls on another day leaves its former day: an index of key
+    hashes and days, stored with the table, says which days to rewrite too.
+    ``keys_move=False`` saves the index where the key determines the day.
     """
-    return df.hint("rebalance", *[F.col(p) for p in partitions])
+    table = CommittedTable(spark, path, [day])
+    staged = source.withColumn(day, day_of(ts))
+    commit = table.commit()
+    if full_refresh or not commit.number:
+        sides = {MARKS: lambda rows: newest_times(rows, entity, ts)} if entity else None
+        table.replace(latest_per_key(staged, key, order), full=True, keys=key if keys_move else (), sides=sides)
+        return table.read()
+    marks = table.side(MARKS) if entity else None
+    if marks is not None:
+        news = rows_above_own_watermark(marks, staged, entity, ts, lookback)
+    else:
+        days = [s for s in commit.live if not s.endswith("__HIVE_DEFAULT_PARTITION__")]
+        news = rows_above_watermark(table.read([max(days, default="")]), staged, ts, lookback)
+    batch = written(latest_per_key(news, key, order), "merge-batch")
+    touched = table.slots(batch)
+    if not touched:
+        return table.read()
+    if commit.keys:
+        touched |= table.former_slots(batch)
+    sides = {MARKS: lambda rows: newest_times(batch if marks is not None else rows, entity, ts, marks)} if entity else None
+    table.replace(merged(table.read(touched), batch, key), clear=touched, sides=sides)
+    return table.read()
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Replace only the partitions the frame has rows for.
+    """Replace only the partitions the frame has rows for, all of them or none.
 
-    The frame may read the path it replaces, so it is staged in the shared
-    folder first; until the replacement is complete the staged rows remain.
+    The table is a committed one; the frame may read what it replaces.
     """
-    staged = written(df, "staged-partitions")
-    (
-        few_files(staged, partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table is stored at ``path``; anything but its absence is an error."""
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    CommittedTable(df.sparkSession, path, partitions).replace(df)
 
 
 def refresh_summary(path: str, summary: DataFrame, refreshed_at: str | None = None, mode: str = "append",
@@ -241,6 +255,9 @@ def refresh_summary(path: str, summary: DataFrame, refreshed_at: str | None = No
     ``append`` keeps every refresh, ``replace`` only the latest one of each day.
     A ``marker`` row is written first, with its missing columns NULL.
     """
+    if mode not in ("append", "replace"):
+        raise ValueError(f"unknown mode {mode!r}")
+    table = CommittedTable(summary.sparkSession, path, [day])
     stamp = as_of_or_now(refreshed_at)
     stamped = summary.withColumn("refreshed_at", stamp)
     if marker is not None:
@@ -249,13 +266,8 @@ def refresh_summary(path: str, summary: DataFrame, refreshed_at: str | None = No
             F.col(f.name) if f.name in marked.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in stamped.schema.fields
         ]
-        marked.select(*columns).write.mode("append").partitionBy(day).parquet(path)
-    if mode == "append":
-        few_files(stamped, [day]).write.mode("append").partitionBy(day).parquet(path)
-    elif mode == "replace":
-        replace_partitions(stamped, path, [day])
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
+        table.replace(marked.select(*columns), append=True)
+    table.replace(stamped, append=mode == "append")
 
 
 def newest_refresh(table: DataFrame, keys: Sequence[str]) -> DataFrame:

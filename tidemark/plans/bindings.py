@@ -7,6 +7,8 @@ are ``region`` and ``nation``.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_state(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Length, number of files and time of a stored table: another value after any change of its files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = files.getContentSummary(path)
+    return f"{whole.getLength()}-{whole.getFileCount()}-{files.getFileStatus(path).getModificationTime()}-{zlib.crc32(path.toString().encode())}"
+
+
 def newest_first() -> list[Column]:
     return [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()]
 

@@ -9,14 +9,16 @@ from tidemark.operators import modeling as M
 from tidemark.operators import mutations as U
 from tidemark.operators import vault as V
 from tidemark.operators.aggregates import daily_summary
+from tidemark.operators.committed import CommittedTable
 from tidemark.operators.groups import written
+from tidemark.operators.marts import keep_mart
 from tidemark.plans.bindings import (
     LOCATED, READINGS, SITE_FACTS, SITE_HISTORY, located, mean_sql, newest_first, readings, site_history,
-    site_readings, sites, table,
+    site_readings, sites, table, table_state,
 )
 from tidemark.plans.matched import CODES, codes
 from tidemark.plans.registry import Family
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shared_dir
 from tidemark.sources.files import date_spine, days_covered, inline, load_seed
 
 FAMILY = Family()
@@ -26,7 +28,7 @@ query = FAMILY.query
 # --- serving mart -------------------------------------------------------------------
 
 
-@query("serving_mart", f"""WITH {SITE_FACTS}, daily AS (
+SERVING_MART = f"""WITH {SITE_FACTS}, daily AS (
   SELECT r_name AS site_name, CAST(w.recorded_at AS DATE) AS reading_date,
     {mean_sql('w.value')} AS avg_value, {mean_sql('w.code')} AS avg_code, max(w.value) AS max_value,
     min(w.value) AS min_value, {mean_sql('a.value')} AS avg_second, {mean_sql('a.code')} AS avg_second_code,
@@ -36,11 +38,16 @@ query = FAMILY.query
     AND hour(w.recorded_at) = hour(a.recorded_at)
   GROUP BY ALL)
 SELECT *, CASE WHEN avg_second > 75 THEN 'Unhealthy' WHEN avg_second > 35 THEN 'Moderate' ELSE 'Good' END AS category
-FROM daily""")
+FROM daily"""
+
+
+@query("serving_mart", SERVING_MART)
 def serving_mart(spark, sf_dir):
-    first = site_readings(spark, sf_dir, "view")
-    second = site_readings(spark, sf_dir, "purchase").select(
-        "site", "recorded_at", F.col("value").alias("second_value"), F.col("code").alias("second_code"))
+    return _mart(spark, sf_dir, site_readings(spark, sf_dir, "view"), site_readings(spark, sf_dir, "purchase"))
+
+
+def _mart(spark, sf_dir, first, second):
+    second = second.select("site", "recorded_at", F.col("value").alias("second_value"), F.col("code").alias("second_code"))
     return M.serving_mart(
         first, second, sites(spark, sf_dir), key="site", name="site_name", ts="recorded_at",
         reading_key="reading_sk", means={"avg_value": "value", "avg_code": "code"}, peak="value",
@@ -48,6 +55,45 @@ def serving_mart(spark, sf_dir):
         count_name="reading_cnt", label_name="category", scale=2)
 
 
+def store_mart(spark, sf_dir, path, upto):
+    """Both facts loaded up to a time, and the mart brought up to date with them; returns the mart's table."""
+    facts = {name: CommittedTable(spark, f"{path}/{name}", ["load_day"]) for name in ("view", "purchase")}
+    for sensor, fact in facts.items():
+        arrived = site_readings(spark, sf_dir, sensor).where(F.col("recorded_at") < F.lit(upto).cast("timestamp_ntz"))
+        # the key is a hash of the site and the hour, so it never moves
+        U.incremental_merge(spark, fact.path, arrived, ["reading_sk"], "recorded_at", ["recorded_at"], keys_move=False)
+    mart = CommittedTable(spark, f"{path}/mart", ["reading_date"])
+    keep_mart(mart, facts, lambda days: _mart(spark, sf_dir, days["view"], days["purchase"]), ["site_name"])
+    return mart
+
+
+BATCHES = ("2024-01-11", "2024-01-21", "9999-01-01")
+
+
+@query("mart_kept_up", SERVING_MART)
+def mart_kept_up(spark, sf_dir):
+    """A mart stored by three incremental runs holds what one rebuild gives."""
+    path = scratch_path(spark, "marts")
+    for upto in BATCHES:
+        mart = store_mart(spark, sf_dir, path, upto)
+    return mart.read()
+
+
+def stored_mart(spark, sf_dir):
+    """The mart of these tables as stored by three incremental runs, which only the first call of an application makes.
+
+    It is known by the size and time of the tables it is built from, so new
+    files are a new mart.
+    """
+    state = "_".join(table_state(spark, sf_dir, name) for name in ("events", "region"))
+    path = f"{shared_dir(spark).rstrip('/')}/marts_{spark.sparkContext.applicationId}_{state}"
+    mart = CommittedTable(spark, f"{path}/mart", ["reading_date"])
+    if mart.commit().number < len(BATCHES):
+        for upto in BATCHES:
+            mart = store_mart(spark, sf_dir, path, upto)
+    return mart
+
+
 # --- dimensions and facts ---------------------------------------------------------------
 
 
@@ -289,6 +335,46 @@ def full_refresh(spark, sf_dir):
     return result.select("reading_sk", "sensor", "recorded_at", "event_id", "value")
 
 
+@query("incremental_moved_keys", """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 15 DAY ELSE ts END AS ts,
+  CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END AS value FROM events WHERE ts < TIMESTAMP '2024-01-16'""")
+def incremental_moved_keys(spark, sf_dir):
+    """A seventh of the keys comes again fifteen days later: each leaves its former day, as in a full refresh."""
+    first = table(spark, sf_dir, "events").where("ts < timestamp_ntz'2024-01-16'").select("event_id", "ts", "value")
+    again = first.where("event_id % 7 = 0").select(
+        "event_id", (F.col("ts") + F.expr("interval 15 days")).alias("ts"), (F.col("value") + 1).alias("value"))
+    path = scratch_path(spark, "fact")
+    for source in (first, first.unionByName(again)):
+        result = U.incremental_merge(spark, path, source, ["event_id"], "ts", [F.col("ts").desc()])
+    return result.drop("load_day")
+
+
+@query("incremental_own_watermark", """WITH early AS (SELECT * FROM events WHERE CASE WHEN event_type = 'view'
+  THEN ts < TIMESTAMP '2024-01-09' ELSE ts < TIMESTAMP '2024-01-16' AND event_id % 10 <> 0 END),
+marks AS (SELECT event_type, max(ts) AS newest FROM early GROUP BY event_type)
+SELECT event_id, event_type, ts, value FROM early UNION ALL
+SELECT event_id, event_type, ts, value FROM events LEFT JOIN marks USING (event_type) WHERE newest IS NULL OR ts > newest""")
+def incremental_own_watermark(spark, sf_dir):
+    """One type is a week behind the others: its rows still enter, while late rows of the others do not."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    early = events.where("CASE WHEN event_type = 'view' THEN ts < timestamp_ntz'2024-01-09' "
+                         "ELSE ts < timestamp_ntz'2024-01-16' AND event_id % 10 <> 0 END")
+    path = scratch_path(spark, "fact")
+    for source in (early, events, events):
+        result = U.incremental_merge(spark, path, source, ["event_id"], "ts", ["value"], entity=["event_type"])
+    return result.drop("load_day")
+
+
+@query("incremental_without_times", """SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS ts, value,
+  CASE WHEN event_id % 50 <> 0 THEN CAST(ts AS DATE) END AS load_day FROM events""")
+def incremental_without_times(spark, sf_dir):
+    """Rows without a time enter with every run, and once, as in a full refresh."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 50 != 0, F.col("ts")).alias("ts"), "value")
+    path = scratch_path(spark, "fact")
+    for source in (rows.where("ts < timestamp_ntz'2024-01-16' OR event_id % 100 = 0"), rows):
+        result = U.incremental_merge(spark, path, source, ["event_id"], "ts", ["value"])
+    return result
+
+
 @query("replace_partitions", """SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN value + 1
   ELSE value END AS value FROM events WHERE ts < TIMESTAMP '2024-01-20' OR value > 50""")
 def replace_partitions(spark, sf_dir):
@@ -296,9 +382,9 @@ def replace_partitions(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "value", day_of("ts").alias("day"))
     path = scratch_path(spark, "readings")
     U.replace_partitions(rows, path, ["day"])
-    again = spark.read.parquet(path).where("day >= date'2024-01-20' and value > 50")
+    again = U.read_committed(spark, path).where("day >= date'2024-01-20' and value > 50")
     U.replace_partitions(again.withColumn("value", F.col("value") + 1), path, ["day"])
-    return spark.read.parquet(path)
+    return U.read_committed(spark, path)
 
 
 def _summary(spark, sf_dir):
@@ -320,7 +406,7 @@ def refresh_summary_append(spark, sf_dir):
         "summary_date", F.col("summary_date").cast("date"))
     U.refresh_summary(path, _summary(spark, sf_dir), "2024-02-01", marker=marker)
     U.refresh_summary(path, _summary(spark, sf_dir), "2024-02-02")
-    return spark.read.parquet(path)
+    return U.read_committed(spark, path)
 
 
 @query("refresh_summary_newest", f"WITH {READINGS} {_SUMMARY.format(at='2024-02-02')}")
@@ -328,7 +414,7 @@ def refresh_summary_newest(spark, sf_dir):
     path = scratch_path(spark, "summary")
     U.refresh_summary(path, _summary(spark, sf_dir), "2024-02-01")
     U.refresh_summary(path, _summary(spark, sf_dir), "2024-02-02")
-    return U.newest_refresh(spark.read.parquet(path), ["sensor", "summary_date"])
+    return U.newest_refresh(U.read_committed(spark, path), ["sensor", "summary_date"])
 
 
 @query("refresh_summary_replace", f"WITH {READINGS} {_SUMMARY.format(at='2024-02-02')}")
@@ -336,7 +422,7 @@ def refresh_summary_replace(spark, sf_dir):
     path = scratch_path(spark, "summary")
     for at in ("2024-02-01", "2024-02-02"):
         U.refresh_summary(path, _summary(spark, sf_dir), at, mode="replace")
-    return spark.read.parquet(path)
+    return U.read_committed(spark, path)
 
 
 # --- insert-only history -------------------------------------------------------------------

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import report as R
-from tidemark.operators.windows import latest_per_key
+from tidemark.operators.marts import newest_rows
 from tidemark.plans.bindings import READINGS, readings, table
 from tidemark.plans.modelled import FAMILY as MODELLED
-from tidemark.plans.modelled import serving_mart
+from tidemark.plans.modelled import serving_mart, stored_mart
 from tidemark.plans.registry import Family
 
 FAMILY = Family()
@@ -18,7 +18,8 @@ _MART = MODELLED.oracles["serving_mart"]
 
 
 def _latest(spark, sf_dir):
-    return latest_per_key(serving_mart(spark, sf_dir), ["site_name"], [F.col("reading_date").desc()])
+    """The report's read: the stored mart, of which only the days some member was last seen on are opened."""
+    return newest_rows(stored_mart(spark, sf_dir), ["site_name"])
 
 
 _LATEST = f"""latest AS (SELECT * EXCLUDE (rn) FROM (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import day_of
+from tidemark.operators.committed import read_committed
 from tidemark.plans.bindings import SITE_HISTORY, mean_sql, site_history, table
 from tidemark.plans.registry import Family
 from tidemark.session import scratch_path
@@ -92,7 +93,7 @@ def stream_keep_latest(spark, sf_dir):
             _changes(spark, sf_dir).select("user_id", "event_type", "event_id", "value", "ts"),
             ["user_id", "event_type", "load_day"], [F.col("ts").desc(), F.col("event_id").desc()], day_of("ts"), out,
             scratch_path(spark, "offsets"))
-    return spark.read.parquet(out).select("user_id", "event_type", "load_day", "event_id", "value")
+    return read_committed(spark, out).select("user_id", "event_type", "load_day", "event_id", "value")
 
 
 @query("stream_first_with_late_rows", f"""WITH seen AS (SELECT *, date_trunc('hour', ts) AS slot FROM events WHERE NOT {_LATE})
@@ -127,4 +128,4 @@ def stream_latest_with_late_rows(spark, sf_dir):
     for feed in _arrivals(spark, sf_dir):
         L.stream_keep_latest(feed, ["user_id", "event_type", "load_day"],
                              [F.col("ts").desc(), F.col("event_id").desc()], day_of("ts"), out, checkpoint)
-    return spark.read.parquet(out).select("user_id", "event_type", "load_day", "event_id", "value")
+    return read_committed(spark, out).select("user_id", "event_type", "load_day", "event_id", "value")

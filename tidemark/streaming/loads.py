@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import date_key, fixed_sum, rounded_ratio
-from tidemark.operators.mutations import few_files, replace_partitions, table_exists
+from tidemark.operators.committed import CommittedTable
+from tidemark.operators.groups import written
 from tidemark.operators.windows import latest_per_key
 
 
@@ -132,28 +133,21 @@ def stream_drop_copies(changes: DataFrame, keys: Sequence[str], ts: str, delay:
 
 def stream_keep_latest(changes: DataFrame, keys: Sequence[str], order: Sequence[Column], day: Column,
                        out: str, checkpoint: str) -> StreamingQuery:
-    """A table partitioned by day holding the latest row per key, updated batch by batch.
+    """A committed table by day holding the latest row per key, updated batch by batch.
 
     Within a batch copies are reduced first; then only the days the batch falls
-    on are rewritten. The newer of stored and arriving row wins, so running a
+    on are rewritten, all of them or none. The newer of stored and arriving row wins, so running a
     batch again changes nothing.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        table = CommittedTable(batch.sparkSession, out, ["load_day"])
         fresh = latest_per_key(batch.withColumn("load_day", day), keys, order)
-        if table_exists(spark, out):
-            fresh.persist()
-            days = [row[0] for row in fresh.select("load_day").distinct().collect()]
-            touched = F.col("load_day").isin([d for d in days if d is not None])
-            if None in days:  # rows without a time share a partition
-                touched = F.coalesce(touched, F.lit(False)) | F.col("load_day").isNull()
-            stored = spark.read.parquet(out).where(touched)
-            both = stored.unionByName(fresh)
-            replace_partitions(latest_per_key(both, keys, order), out, ["load_day"])
-            fresh.unpersist()
-        else:
-            few_files(fresh, ["load_day"]).write.partitionBy("load_day").parquet(out)
+        if table.exists():
+            fresh = written(fresh, "keep-latest")
+            touched = table.slots(fresh)
+            fresh = latest_per_key(table.read(touched).unionByName(fresh), keys, order)
+        table.replace(fresh)
 
     writer = changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return run_available(writer)
