@@ -101,6 +101,15 @@ def serving_mart(fact: DataFrame, second: DataFrame, dim: DataFrame, *, key: str
 _UNIT_SECONDS = {"week": 604_800, "day": 86_400, "hour": 3_600, "minute": 60, "second": 1}
 
 
+def step_seconds(step: str) -> int:
+    """Seconds of a step such as ``'2 hours'``: a whole number of weeks, days, hours, minutes or seconds."""
+    count, unit = step.split()
+    seconds = int(count) * _UNIT_SECONDS.get(unit.lower().rstrip("s"), 0)
+    if seconds <= 0:
+        raise ValueError(f"a step is a positive number of weeks, days, hours, minutes or seconds, not {step!r}")
+    return seconds
+
+
 def gap_report(df: DataFrame, key: str, ts: str, start: str, end: str, step: str = "1 day",
                slot_name: str = "slot", status_name: str = "status") -> DataFrame:
     """Every expected slot of every key, marked OK or MISSING.
@@ -111,11 +120,8 @@ def gap_report(df: DataFrame, key: str, ts: str, start: str, end: str, step: str
     are dates. The slots of a key are generated from its own row and matched by
     equality, so the calendar is never crossed with a table.
     """
-    count, unit = step.split()
-    seconds = int(count) * _UNIT_SECONDS.get(unit.lower().rstrip("s"), 0)
-    if seconds <= 0:
-        raise ValueError(f"a step is a positive number of weeks, days, hours, minutes or seconds, not {step!r}")
-    slot_type = "date" if unit.lower().startswith("day") else "timestamp_ntz"
+    seconds = step_seconds(step)
+    slot_type = "date" if step.split()[1].lower().startswith("day") else "timestamp_ntz"
     at = F.col(ts).cast("timestamp_ntz")
     first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     behind = (at - first).cast("interval second").cast("bigint")

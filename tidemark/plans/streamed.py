@@ -58,7 +58,7 @@ def stream_daily_summary(spark, sf_dir):
     out = scratch_path(spark, "summary")
     L.stream_daily_summary(_changes(spark, sf_dir), ["event_type"], "ts", "value", "1 hour", out,
                            scratch_path(spark, "offsets"), scale=2)
-    return L.latest_batches(spark, out, ["event_type", "summary_date"])
+    return L.stored_summary(spark, out)
 
 
 @query("stream_keep_first", """SELECT event_type, slot, event_id, value FROM (
@@ -116,7 +116,7 @@ def stream_summary_with_late_rows(spark, sf_dir):
     out, checkpoint = scratch_path(spark, "summary"), scratch_path(spark, "offsets")
     for feed in _arrivals(spark, sf_dir):
         L.stream_daily_summary(feed, ["event_type"], "ts", "value", "1 hour", out, checkpoint, scale=2)
-    return L.latest_batches(spark, out, ["event_type", "summary_date"])
+    return L.stored_summary(spark, out)
 
 
 @query("stream_latest_with_late_rows", """SELECT user_id, event_type, load_day, event_id, value FROM (
@@ -129,3 +129,16 @@ def stream_latest_with_late_rows(spark, sf_dir):
         L.stream_keep_latest(feed, ["user_id", "event_type", "load_day"],
                              [F.col("ts").desc(), F.col("event_id").desc()], day_of("ts"), out, checkpoint)
     return read_committed(spark, out).select("user_id", "event_type", "load_day", "event_id", "value")
+
+
+@query("stream_late_rows", f"""WITH arrivals AS (SELECT *, CASE WHEN {_LATE} THEN 3 WHEN ts < TIMESTAMP '{_MIDDLE}' THEN 1 ELSE 2 END AS step FROM events),
+marked AS (SELECT *, (SELECT max(ts) FROM arrivals e WHERE e.step < a.step) - INTERVAL 2 HOUR AS mark FROM arrivals a),
+judged AS (SELECT *, coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark, FALSE) AS late FROM marked)
+SELECT event_id, user_id, event_type, value, ts, late, CAST(ts AS DATE) AS load_day,
+  CASE WHEN late THEN CAST(floor((epoch_us(mark) - epoch_us(ts)) / 1000000) AS BIGINT) END AS lag_seconds FROM judged""")
+def stream_late_rows(spark, sf_dir):
+    """Rows on time and rows too late, all stored: what a watermark would drop is set aside with its lag."""
+    out, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "offsets")
+    for feed in _arrivals(spark, sf_dir):
+        L.stream_set_aside_late(feed, "ts", "2 hours", out, checkpoint)
+    return read_committed(spark, out)

@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import date_key, fixed_sum, rounded_ratio
-from tidemark.operators.committed import CommittedTable
+from tidemark.operators.committed import CommittedTable, read_committed
 from tidemark.operators.groups import written
+from tidemark.operators.modeling import step_seconds
+from tidemark.operators.mutations import merged
 from tidemark.operators.windows import latest_per_key
 
 
@@ -66,8 +68,9 @@ def stream_daily_summary(changes: DataFrame, keys: Sequence[str], ts: str, value
     """Daily mean and count per key, refreshed as readings arrive.
 
     ``scale`` is the number of decimals of the measure, if it is known; its sum
-    is then exact. Every batch stores the days it changed under its batch number; a batch that
-    runs again after a failure replaces its own rows.
+    is then exact. The summary is a committed table by day: a batch replaces
+    its rows in the days it changed, all at once, so a batch that runs again
+    after a failure changes nothing and no former versions pile up.
     """
     daily = (
         changes.withColumn("__at", event_time(ts))
@@ -85,16 +88,55 @@ def stream_daily_summary(changes: DataFrame, keys: Sequence[str], ts: str, value
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        table = CommittedTable(batch.sparkSession, out, ["summary_date"])
+        if table.exists():
+            batch = written(batch, "summary-batch")
+            touched = table.slots(batch)
+            if not touched:  # the watermark moved, no day did
+                return
+            batch = merged(table.read(touched), batch, [*keys, "summary_date"])
+        table.replace(batch)
 
     writer = daily.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
     return run_available(writer)
 
 
-def latest_batches(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
-    """The stored summary, each key in its newest batch's version."""
-    stored = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
-    return latest_per_key(stored, keys, [F.col("batch").desc()]).drop("batch")
+def stored_summary(spark: SparkSession, out: str) -> DataFrame:
+    """The stored summary as of the newest batch."""
+    return read_committed(spark, out)
+
+
+def stream_set_aside_late(changes: DataFrame, ts: str, delay: str, out: str, checkpoint: str,
+                          slot: str = "1 hour") -> StreamingQuery:
+    """Every arriving row, marked whether it came too late, in one committed table by ``late`` and ``load_day``.
+
+    A row is late if its time slot had closed before its batch began: the slot
+    ends at or before the newest time of all earlier batches, less ``delay``.
+    ``lag_seconds`` says by how much; it is NULL for rows on time, to which rows
+    without a time belong. A batch is committed with its number, so a batch that
+    runs again is not stored twice; on time and late together are all rows.
+    """
+    micros = 1_000_000
+    width, allowed = step_seconds(slot) * micros, step_seconds(delay) * micros
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        table = CommittedTable(batch.sparkSession, out, ["late", "load_day"])
+        notes = table.commit().notes
+        if notes.get("batches", {}).get(checkpoint, -1) >= batch_id:
+            return
+        at = F.unix_micros(event_time(ts))
+        newest, seen = notes.get("newest"), batch.agg(F.max(at)).first()[0]
+        behind = F.lit(None).cast("bigint") if newest is None else F.lit(newest - allowed) - at
+        closes = (F.floor(at / width) + 1) * width
+        late = F.lit(False) if newest is None else F.coalesce(closes <= newest - allowed, F.lit(False))
+        marked = batch.withColumns({"late": late, "load_day": F.to_date(ts)})
+        lag = F.when(F.col("late"), F.floor(behind / micros).cast("bigint"))
+        known = [n for n in (newest, seen) if n is not None]
+        table.replace(marked.withColumn("lag_seconds", lag), append=True, notes={
+            "newest": max(known, default=None), "batches": {**notes.get("batches", {}), checkpoint: batch_id}})
+
+    writer = changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return run_available(writer)
 
 
 def stream_keep_first(changes: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
