@@ -186,8 +186,25 @@ def test_snapshot_carries_columns_and_matches_null_keys(spark):
 
 def test_repeated_source_keys_are_refused(spark):
     twice = spark.createDataFrame([(1, "b"), (1, "c"), (None, "d"), (None, "e")], "k int, state string")
-    with pytest.raises(ValueError):
-        U.upsert(twice.limit(1), twice, ["k"], ["state"], ["state"])
+    # the keys are counted in the plan, so the error comes with the result
+    with pytest.raises(Exception, match="several source rows share a key"):
+        U.upsert(twice.limit(1), twice, ["k"], ["state"], ["state"]).collect()
+    nulls = twice.where("k IS NULL")
+    assert rows(U.upsert(twice.limit(1), nulls, ["k"], ["state"], ["state"]), "state") == [("b",), ("d",), ("e",)]
+
+
+def test_repeated_null_keys_do_not_fork_a_history(spark, frame):
+    history = frame([(None, "x", datetime(2024, 1, 1), None, True)], HISTORY)
+    with pytest.raises(Exception, match="several source rows share a key"):
+        U.scd2_snapshot(history, frame([(None, "y"), (None, "z")], "k int, state string"), ["k"], ["state"], "2024-01-02").collect()
+    after = U.scd2_snapshot(history, frame([(None, "y")], "k int, state string"), ["k"], ["state"], "2024-01-02")
+    assert rows(after, "state", "is_current") == [("x", False), ("y", True)]
+
+
+def test_an_upsert_joins_once(frame, dim):
+    source = frame([(1, "a", "y")], "k int, name string, state string")
+    plan = U.upsert(dim, source, ["k"], ["state"], ["state"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
 
 
 def test_a_null_in_the_keep_list_closes_nothing(spark):

@@ -200,3 +200,11 @@ def test_profile_counts_nulls(frame):
     profile = {r["column_name"]: r for r in A.profile(frame([(1, None), (None, "x")], "a int, b string"), ["a"]).collect()}
     assert profile["a"]["null_count"] == 1 and profile["a"]["max_value"] == 1.0
     assert profile["b"]["row_count"] == 2 and profile["b"]["min_value"] is None
+
+
+def test_nan_is_missing_where_a_scale_is_given(frame):
+    df = frame([("a", at(1), float("nan"), 1), ("a", at(2), 1.0, 2), ("a", at(3), None, 3), ("a", at(4), 2.0, 4)],
+               "key string, ts timestamp_ntz, value double, id int")
+    assert rows(W.running_mean(df, ["key"], ["id"], "value", "m", scale=2), "id", "m") == [(1, None), (2, 1.0), (3, 1.0), (4, 1.5)]
+    assert rows(W.moving_mean(df, ["key"], ["id"], "value", 2, "m", scale=2), "id", "m") == sorted([(1, None), (2, 1.0), (3, 1.0), (4, 2.0)], key=repr)
+    assert df.groupBy("key").agg(C.rounded_mean("value", scale=2).alias("m")).first()["m"] == 1.5

@@ -28,6 +28,11 @@ def skewed(spark):
 BY_TIME = ["ts", "id"]
 
 
+def days(df):
+    """Rows spread over days with gaps, several a day, some without one."""
+    return df.withColumn("day", F.when(F.col("id") % 17 != 0, F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int") * 5 % 300)))
+
+
 def both(spark, build):
     spark.conf.unset("spark.tidemark.maxGroupRows")
     plain = rows(build())
@@ -55,6 +60,11 @@ def both(spark, build):
     lambda df: W.rank_within(df, ["key"], "value", ascending=True, dense_name="dense"),
     lambda df: W.rank_groups(df, ["ts"], F.count("value"), "n"),
     lambda df: W.number_rows(df, ["key"], [F.col("value").desc_nulls_last(), F.col("id").desc()], "n"),
+    lambda df: W.rolling_periods(days(df), ["key"], "id", "value", 5, "m"),
+    lambda df: W.rolling_periods(days(df), ["key"], "day", "value", 7, "m", mode="days", scale=2),
+    lambda df: W.rolling_periods(days(df), ["key"], "day", "value", 30, "m", mode="days", digits=6),
+    lambda df: W.period_over_period(days(df), ["key"], "id", "value"),
+    lambda df: W.trend_report(days(df), ["key"], "id", "value"),
 ])
 def test_split_equals_plain(spark, skewed, build):
     plain, split = both(spark, lambda: build(skewed))

@@ -228,3 +228,9 @@ def test_a_table_without_a_path_is_managed_by_the_warehouse(spark, frame):
     assert rows(stored) == [(1,)]
     assert not stored.inputFiles()[0].removeprefix("file:").startswith(shared_dir(spark).removeprefix("file:"))
     spark.sql("DROP TABLE kept_v")
+
+
+def test_no_checks_give_no_rows(frame):
+    results = Q.run_checks(frame([(1,)], "k int"), [])
+    assert results.columns == ["check", "severity", "failures", "status"] and results.count() == 0
+    Q.gate(results)

@@ -122,11 +122,16 @@ def round_half_up(c: str | Column, digits: int = 2) -> Column:
     return F.round(as_column(c) + F.lit(TIE_SHIFT), digits)
 
 
+def fixed(c: str | Column, scale: int) -> Column:
+    """A measure as a decimal of ``scale`` decimals; NaN becomes NULL, a value of more than 18 digits is an error."""
+    return as_column(c).cast(T.DecimalType(18, scale))
+
+
 def fixed_sum(c: str | Column, scale: int | None = None) -> Column:
     """Order-independent sum of a measure stored with ``scale`` decimals; the plain sum of doubles for ``None``."""
     if scale is None:
         return F.sum(as_column(c).cast("double"))
-    return F.sum(as_column(c).cast(T.DecimalType(18, scale)))
+    return F.sum(fixed(c, scale))
 
 
 def rounded_ratio(total: Column, count: Column, digits: int = 2) -> Column:
@@ -136,7 +141,7 @@ def rounded_ratio(total: Column, count: Column, digits: int = 2) -> Column:
 
 def exact_mean(c: str | Column, scale: int | None = None) -> Column:
     """Unrounded mean, over an exact sum if the measure's ``scale`` is known."""
-    return F.try_divide(fixed_sum(c, scale).cast("double"), F.count(as_column(c)))
+    return F.try_divide(fixed_sum(c, scale).cast("double"), F.count(as_column(c) if scale is None else fixed(c, scale)))
 
 
 def rounded_mean(c: str | Column, digits: int = 2, scale: int | None = None) -> Column:
@@ -149,7 +154,7 @@ def rounded_mean(c: str | Column, digits: int = 2, scale: int | None = None) ->
     c = as_column(c)
     if scale is None:
         return F.round(F.avg(c), digits)
-    return rounded_ratio(fixed_sum(c, scale), F.count(c), digits)
+    return rounded_ratio(fixed_sum(c, scale), F.count(fixed(c, scale)), digits)
 
 
 def bucket(c: str | Column, cuts: Sequence[tuple[float, str]], default: str,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_of_or_now, day_of
@@ -20,26 +20,19 @@ from tidemark.operators.joins import rows_absent
 from tidemark.operators.windows import latest_per_key
 
 
-def _touched(target: DataFrame, source: DataFrame, on: Sequence[str], only: Column | None) -> DataFrame:
-    right = source.withColumnsRenamed({c: f"__s_{c}" for c in source.columns}).withColumn("__in_source", F.lit(True))
-    condition = None
-    for k in on:
-        match = F.col(k) == F.col(f"__s_{k}")
-        condition = match if condition is None else condition & match
-    if only is not None:
-        condition = condition & only
-    return target.join(right, condition, "left")
-
+def one_per_key(source: DataFrame, key: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """``source``, where running it is an error if a key occurs more than once; NULL keys count with ``null_safe`` only.
 
-def one_per_key(source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``source``, or an error if a key without NULL occurs more than once."""
+    The rows of a key are counted in the plan itself, by the shuffle on the key
+    that the join after it needs anyway.
+    """
     known = F.lit(True)
-    for k in key:
+    for k in key if not null_safe else ():
         known = known & F.col(k).isNotNull()
-    twice = source.where(known).groupBy(*key).count().where(F.col("count") > 1)
-    if not twice.isEmpty():
-        raise ValueError(f"several source rows share a key of {list(key)}; pass an order to choose one")
-    return source
+    message = F.lit(f"several source rows share a key of {list(key)}; pass an order to choose one")
+    counted = source.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    once = F.when((F.col("__n") > 1) & known, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.where(once).drop("__n")
 
 
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[str], changed: Sequence[str],
@@ -49,32 +42,33 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[str], changed: Seq
     """Update matched rows when a ``changed`` column differs, insert unmatched ones.
 
     ``source`` holds one row per key, or several of which the first by
-    ``order`` counts; without ``order`` a repeated key is an error, as in MERGE.
-    ``only`` limits which target rows can match. A plain
-    comparison with a NULL is not a change; ``null_safe`` makes it one.
+    ``order`` counts; without ``order`` a repeated key is an error when the
+    result is computed, as in MERGE. ``only`` limits which target rows can
+    match. A plain comparison with a NULL is not a change; ``null_safe`` makes
+    it one. Both sides meet once, in one outer join.
     """
     source = latest_per_key(source, on, order) if order is not None else one_per_key(source, on)
+    left = target.withColumn("__in_target", F.lit(True))
+    right = source.withColumnsRenamed({c: f"__s_{c}" for c in source.columns}).withColumn("__in_source", F.lit(True))
+    condition = F.lit(True) if only is None else only
+    for k in on:
+        condition = condition & (F.col(k) == F.col(f"__s_{k}"))
+    joined = left.join(right, condition, "full" if insert else "left")
     differs = F.lit(False)
     for c in changed:
         s = F.col(f"__s_{c}")
         differs = differs | (~F.col(c).eqNullSafe(s) if null_safe else F.coalesce(F.col(c) != s, F.lit(False)))
-    apply = F.coalesce(F.col("__in_source"), F.lit(False)) & differs
-    updated = _touched(target, source, on, only).select(*[
-        F.when(apply, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
-        for c in target.columns
-    ])
-    if not insert:
-        return updated
-    eligible = target if only is None else target.where(only)
-    fresh = rows_absent(source, eligible, {k: k for k in on})
+    held, found = F.col("__in_target").isNotNull(), F.col("__in_source").isNotNull()
     defaults = insert_defaults or {}
-    inserted = fresh.select(*[
-        defaults[c].alias(c) if c in defaults
-        else F.col(c) if c in source.columns
-        else F.lit(None).cast(target.schema[c].dataType).alias(c)
-        for c in target.columns
-    ])
-    return updated.unionByName(inserted)
+
+    def value(c: str) -> Column:
+        kept = F.when(found & differs, F.col(f"__s_{c}")).otherwise(F.col(c)) if c in set_cols else F.col(c)
+        if not insert:
+            return kept
+        new = defaults[c] if c in defaults else F.col(f"__s_{c}") if c in source.columns else F.lit(None)
+        return F.when(held, kept).otherwise(new.cast(target.schema[c].dataType))
+
+    return joined.select(*[value(c).alias(c) for c in target.columns])
 
 
 def soft_delete(target: DataFrame, keep: DataFrame, key: str, as_of: str | None = None,
@@ -101,13 +95,14 @@ def scd2_snapshot(history: DataFrame, source: DataFrame, key: Sequence[str], che
     """History after one snapshot of ``source`` at ``as_of``.
 
     ``source`` holds one row per key, or several of which the first by
-    ``order`` is the snapshot; without ``order`` a repeated key is an error.
+    ``order`` is the snapshot; without ``order`` a repeated key, NULL included, is
+    an error when the result is computed.
     ``history`` has the source's columns plus ``valid_from``, ``valid_to`` and
     ``is_current``; columns that are not checked are carried along, and a NULL
     ``is_current`` is a closed version. NULL keys match each other. Running the
     same source again changes nothing.
     """
-    source = latest_per_key(source, key, order) if order is not None else one_per_key(source, key)
+    source = latest_per_key(source, key, order) if order is not None else one_per_key(source, key, null_safe=True)
     instant = F.lit(as_of).cast("timestamp_ntz")
     is_open = F.coalesce(F.col("is_current"), F.lit(False))
     closed = history.where(~is_open)

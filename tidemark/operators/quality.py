@@ -203,7 +203,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     Reads the table once for all row, count and age checks and once per set of
     keys that lies within no other; checks on the same groups use one shuffle.
-    Two checks of one name are refused.
+    Two checks of one name are refused; no checks give no rows.
     """
     names = [c.name for c in checks]
     repeated = sorted({n for n in names if names.count(n) > 1})
@@ -228,6 +228,8 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         else:
             continue
         parts.append(counted.select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "check string, severity string, failures bigint, status string")
     results = reduce(DataFrame.unionByName, parts)
     return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "warn", "warn").otherwise("fail")

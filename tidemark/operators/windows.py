@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_column, exact_mean, round_half_up, rounded_ratio
+from tidemark.functions.columns import as_column, exact_mean, fixed, fixed_sum, round_half_up, rounded_ratio
 from tidemark.operators.groups import PART, before_part, group_sizes, join_back, split_by_range, written
 from tidemark.session import max_group_rows
 
@@ -124,10 +124,10 @@ def running_mean(df: DataFrame, keys: Sequence[str], order: Order, value: str, n
     """Mean from the first row of the key to the current one.
 
     ``scale`` is the number of decimals that count: sums are exact decimals, so
-    they are the same however a key is split over tasks.
+    they are the same however a key is split over tasks. NaN counts as missing.
     """
-    measure = F.col(value).cast(f"decimal(18,{scale})")
-    summed = running(df, keys, order, {"__sum": ("sum", measure), "__cnt": ("count", F.col(value))}, fits)
+    measure = fixed(value, scale)
+    summed = running(df, keys, order, {"__sum": ("sum", measure), "__cnt": ("count", measure)}, fits)
     return summed.withColumn(
         name, rounded_ratio(F.col("__sum"), F.col("__cnt"), digits)
     ).drop("__sum", "__cnt")
@@ -137,8 +137,8 @@ def _frame_mean(value: str, frame: WindowSpec, digits: int, scale: int | None) -
     """Rounded mean over a short frame, whose rows are added in order."""
     if scale is None:
         return F.round(F.avg(value).over(frame), digits)
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(frame)
-    return rounded_ratio(total, F.count(value).over(frame), digits)
+    measure = fixed(value, scale)
+    return rounded_ratio(F.sum(measure).over(frame), F.count(measure).over(frame), digits)
 
 
 def framed(df: DataFrame, keys: Sequence[str], order: Order, before: int,
@@ -274,32 +274,48 @@ def rank_groups(df: DataFrame, keys: Sequence[str], value: Column, value_name: s
     return rank_within(totals, [], value_name, rank_name=None, dense_name=rank_name)
 
 
-# --- per-day series: one row per key and day, so a key's series stays small ------
+# --- series of periods ---------------------------------------------------------
 
 
 def period_over_period(df: DataFrame, keys: Sequence[str], period: str, value: str,
                        name: str = "change", digits: int = 2) -> DataFrame:
     """Change of a per-period value since the key's previous period."""
-    previous = F.lag(value).over(Window.partitionBy(*keys).orderBy(period))
-    return df.withColumn(name, round_half_up(F.col(value) - previous, digits))
+
+    def build(spec: WindowSpec) -> dict[str, Column]:
+        return {name: round_half_up(F.col(value) - F.lag(value).over(spec), digits)}
+
+    return framed(df, keys, [period], 1, build)
 
 
 def rolling_periods(df: DataFrame, keys: Sequence[str], day: str, value: str, n: int, name: str,
                     mode: str = "rows", digits: int = 2, scale: int | None = None) -> DataFrame:
-    """Mean over the last n periods: n rows, or n calendar days with ``mode='days'``; ``scale`` as in ``moving_mean``."""
+    """Mean over the last n periods: n rows, or n calendar days with ``mode='days'``; ``scale`` as in ``moving_mean``.
+
+    A mean over days is the same for all rows of a day. Where a key has too
+    many rows for a task, sums and counts are taken per day first, the frame
+    runs over the days, of which a calendar has few, and its means are joined back.
+    """
     if mode == "rows":
-        frame = Window.partitionBy(*keys).orderBy(day).rowsBetween(-(n - 1), 0)
-    elif mode == "days":
-        frame = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-(n - 1), 0)
-    else:
+        return moving_mean(df, keys, [day], value, n, name, digits, scale)
+    if mode != "days":
         raise ValueError(f"unknown mode {mode!r}")
-    return df.withColumn(name, _frame_mean(value, frame, digits, scale))
+    frame = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-(n - 1), 0)
+    if group_sizes(df, keys)[0] <= max_group_rows(df.sparkSession):
+        return df.withColumn(name, _frame_mean(value, frame, digits, scale))
+    counted = F.col(value) if scale is None else fixed(value, scale)
+    daily = df.groupBy(*keys, day).agg(fixed_sum(value, scale).alias("__sum"), F.count(counted).alias("__cnt"))
+    total, count = F.sum("__sum").over(frame), F.sum("__cnt").over(frame)
+    mean = F.round(F.try_divide(total, count), digits) if scale is None else rounded_ratio(total, count, digits)
+    return join_back(df, daily.select(*keys, day, mean.alias(name)), [*keys, day])
 
 
 def trend_report(df: DataFrame, keys: Sequence[str], period: str, value: str,
                  rank_name: str = "value_rank", peak_name: str = "running_max",
                  change_name: str = "change") -> DataFrame:
-    """Rank, running maximum and change of a per-period series, in one shuffle."""
+    """Rank, running maximum and change of a per-period series, in one shuffle while every series fits a task."""
+    if group_sizes(df, keys)[0] > max_group_rows(df.sparkSession):
+        ranked = rank_within(df, keys, value, rank_name=rank_name)
+        return period_over_period(running(ranked, keys, [period], {peak_name: ("max", value)}), keys, period, value, change_name)
     by_key = Window.partitionBy(*keys)
     in_time = by_key.orderBy(period)
     return df.withColumns({
