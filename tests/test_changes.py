@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark.operators import mutations as U
 from tidemark.operators import vault as V
+from tidemark.operators.committed import CommittedTable
 from tidemark.operators.modeling import insert_missing
 from tidemark.session import scratch_path
 
@@ -244,3 +245,22 @@ def test_a_satellite_load_windows_only_its_own_keys(spark, frame):
     plan = fresh._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
     assert rows(fresh, "hk", "value") == [("x", 2.0), ("y", 1.0)]
+
+
+def test_a_stored_satellite_keeps_its_current_rows(spark, frame):
+    table = CommittedTable(spark, scratch_path(spark, "satellite"), ["load_date"])
+
+    def load(data, at):
+        return rows(V.store_satellite(table, frame(data, "k string, v double, seq int"), F.col("k"), key="hk", attributes=["v"], order=newest(),
+                                      required=None, load_date=at, record_source="s"), "hk", "v")
+
+    assert load([("a", 1.0, 1), ("b", 2.0, 1), ("b", 3.0, 2)], "2024-01-01") == [("a", 1.0), ("b", 3.0)]
+    assert load([("a", 1.0, 1), ("b", None, 1), ("c", 5.0, 1)], "2024-01-02") == sorted([("a", 1.0), ("b", None), ("c", 5.0)], key=repr)
+    again = load([("a", 9.0, 1)], "2024-01-02")  # this load is stored already
+    assert again == sorted([("a", 1.0), ("b", None), ("c", 5.0)], key=repr)
+    assert rows(table.read(), "hk", "v", "load_date") == sorted([
+        ("a", 1.0, t(0)), ("b", 3.0, t(0)), ("b", None, t(0, 2)), ("c", 5.0, t(0, 2))], key=repr)
+    link = frame([("a", 1), ("b", 2)], "hk string, n int")
+    view = V.current_view(link, [], table.side(V.CURRENT), "hk")
+    assert rows(view, "hk", "n", "v") == sorted([("a", 1, 1.0), ("b", 2, None)], key=repr)
+    assert "Window" not in view._jdf.queryExecution().optimizedPlan().toString()

@@ -1,7 +1,7 @@
 """Insert-only history tables: hubs of keys, links between them, satellites of attributes.
 
 ``new_*`` gives just the rows to append to a stored table; ``load_*`` gives the
-table with them.
+table with them; ``store_satellite`` keeps a satellite stored with its current rows.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import DATE_FORMAT, SECOND_FORMAT, hash_of, normalised
+from tidemark.operators.committed import CommittedTable
+from tidemark.operators.groups import written
 from tidemark.operators.joins import rows_absent
 from tidemark.operators.windows import latest_per_key
 
@@ -83,7 +85,7 @@ def new_satellite_rows(satellite: DataFrame, source: DataFrame, hash_key: Column
         latest = latest_per_key(keyed, [key], order).select(key, *attributes)
         # only the keys of this load are looked up: stored versions of others are neither shuffled nor sorted
         touched = satellite.join(latest.select(key), key, "left_semi")
-        newest = latest_per_key(touched, [key], [F.col("load_date").desc()])
+        newest = latest_per_key(touched, [key], [F.col("load_date").desc(), _row_hash(touched, key).desc()])
         known = newest.select(F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in attributes])
         same = F.lit(True)
         for a in attributes:
@@ -98,12 +100,17 @@ def end_dated(satellite: DataFrame, key: str) -> DataFrame:
     """Every version ended by the load of the next one.
 
     Derived on reading, so that a load only ever appends. A key has one version
-    per load that changed it.
+    per load that changed it; of several with one load time the one of the
+    highest hash of its attributes counts as the last, as for loads.
     """
-    following = F.lead("load_date").over(Window.partitionBy(key).orderBy("load_date"))
+    following = F.lead("load_date").over(Window.partitionBy(key).orderBy("load_date", _row_hash(satellite, key)))
     return satellite.withColumn("load_end_date", following)
 
 
+def _row_hash(satellite: DataFrame, key: str) -> Column:
+    return F.xxhash64(*[F.col(c) for c in satellite.columns if c != key and c not in BOOKKEEPING])
+
+
 def load_satellite(satellite: DataFrame, source: DataFrame, hash_key: Column, *, key: str, mode: str = "changed",
                    **how) -> DataFrame:
     """The satellite after a load; with ``mode='changed'`` replaced versions are ended."""
@@ -114,11 +121,55 @@ def load_satellite(satellite: DataFrame, source: DataFrame, hash_key: Column, *,
 
 def vault_view(link: DataFrame, hubs: Sequence[tuple[DataFrame, str]], satellite: DataFrame, key: str) -> DataFrame:
     """Links with their hubs and current satellite rows, the newest of each key."""
+    return current_view(link, hubs, end_dated(satellite, key).where(F.col("load_end_date").isNull()), key)
+
+
+# --- a satellite stored with its current rows ------------------------------------------
+
+
+CURRENT = "current"
+
+
+def store_satellite(table: CommittedTable, source: DataFrame, hash_key: Column, *, key: str, attributes: Sequence[str],
+                    order: Sequence[str | Column], required: str | None, load_date: str, record_source: str) -> DataFrame:
+    """Append what changed to a satellite stored by ``load_date``, and keep a table of current rows beside it.
+
+    The changes come from one join with the current rows, never from the
+    history. History and current rows are committed together; a load whose time
+    is stored already is left out, so a repeated load changes nothing. Returns
+    the current rows: key, load time and attributes.
+    """
+    current = table.side(CURRENT)
+    rows = source if required is None else source.where(F.col(required).isNotNull())
+    latest = latest_per_key(rows.withColumn(key, hash_key), [key], order).select(key, *attributes)
+    stamp = F.lit(load_date).cast("timestamp_ntz")
+    if current is not None and table.slots(table.spark.range(1).select(stamp.alias("load_date"))) & set(table.commit().live):
+        return current
+    if current is not None:
+        known = current.select(F.col(key).alias("__key"), F.lit(True).alias("__known"), *[F.col(a).alias(f"__{a}") for a in attributes])
+        same = F.coalesce(F.col("__known"), F.lit(False))
+        for a in attributes:
+            same = same & F.col(a).eqNullSafe(F.col(f"__{a}"))
+        latest = latest.join(known, F.col(key).eqNullSafe(F.col("__key")), "left").where(~same).select(key, *attributes)
+    fresh = written(_stamped(latest, load_date, record_source), "satellite-load")
+
+    def renewed(_: DataFrame) -> DataFrame:
+        made = fresh.select(key, "load_date", *attributes)
+        if current is None:
+            return made
+        replaced = fresh.select(F.col(key).alias("__key"))
+        return current.join(replaced, F.col(key).eqNullSafe(F.col("__key")), "left_anti").unionByName(made)
+
+    table.replace(fresh, append=True, sides={CURRENT: renewed})
+    return table.side(CURRENT)
+
+
+def current_view(link: DataFrame, hubs: Sequence[tuple[DataFrame, str]], current: DataFrame, key: str) -> DataFrame:
+    """Links with their hubs and the stored current rows: no history is read and nothing is windowed."""
     view = link.drop(*BOOKKEEPING)
     for hub, hub_key in hubs:
         view = view.join(hub.drop(*BOOKKEEPING), hub_key)
-    current = end_dated(satellite, key).where(F.col("load_end_date").isNull()).drop(*BOOKKEEPING)
-    return view.join(current, key)
+    return view.join(current.drop(*BOOKKEEPING), key)
 
 
 def _stamped(rows: DataFrame, load_date: str, record_source: str) -> DataFrame:

@@ -562,3 +562,20 @@ def vault_view(spark, sf_dir):
         _link(spark, rows), [(_sensor_hub(spark, rows), "sensor_hk"), (_date_hub(spark, rows), "date_hk")],
         _satellite(spark, rows), "reading_hk")
     return view.select("sensor_nk", "full_date", "slot", "value", "code")
+
+
+@query("vault_current_view", f"""WITH {_SPELT}, hashed AS (SELECT *, {_HASHES} FROM spelt), latest AS ({_LATEST.format(source='hashed')})
+SELECT h.sensor_nk, CAST(l.slot AS DATE) AS full_date, l.slot, s.value, s.code
+FROM (SELECT DISTINCT reading_hk, sensor_hk, slot FROM hashed) l JOIN latest s USING (reading_hk)
+JOIN (SELECT sensor_hk, min(sensor) AS sensor_nk FROM hashed GROUP BY 1) h USING (sensor_hk)""")
+def vault_current_view(spark, sf_dir):
+    """The same view from a satellite stored in two loads, read from its current rows."""
+    rows = _spelt(spark, sf_dir)
+    table = CommittedTable(spark, scratch_path(spark, "satellite"), ["load_date"])
+    for source, at in ((rows.where("minute(ts) < 40"), FIRST_LOAD), (rows, SECOND_LOAD), (rows, SECOND_LOAD)):
+        current = V.store_satellite(
+            table, source, V.reading_hash("sensor", "slot"), key="reading_hk", attributes=["value", "code"],
+            order=newest_first(), required="value", load_date=at, record_source=SOURCE)
+    view = V.current_view(
+        _link(spark, rows), [(_sensor_hub(spark, rows), "sensor_hk"), (_date_hub(spark, rows), "date_hk")], current, "reading_hk")
+    return view.select("sensor_nk", "full_date", "slot", "value", "code")
