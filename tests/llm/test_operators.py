@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import re
 from collections import Counter
 
 import pytest
@@ -217,8 +218,36 @@ def test_contaminated(docs, frame):
     assert rows[1]["items"] == ["1"] and not rows[4]["contaminated"] and rows[4]["n_words"] == 0
     kept = decontaminate.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 4, 5, 6, 8, 9]
-    with pytest.raises(ValueError):
-        decontaminate.benchmark_items(bench, max_bytes=3)
+
+
+def brute_contamination(text, items, width=13):
+    """Words, hit words and named items by comparing every window with every place."""
+    def split(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+
+    words, hit, named = split(text), set(), set()
+    for ident, item in items:
+        known = split(item)
+        for k in range(max(1, len(known) - width + 1) if known else 0):
+            window = known[k:k + width]
+            for at in range(len(words) - len(window) + 1):
+                if words[at:at + len(window)] == window:
+                    hit |= set(range(at, at + len(window)))
+                    named |= {str(ident)} - {"None"}
+    return len(words), len(hit), sorted(named)
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 200, 3])
+def test_contamination_by_parts_and_without_ids(docs, frame, max_bytes):
+    items = [(1, BASE[:80]), (2, None), (None, "one two"), (3, "quite other words"), (4, BASE[60:200]), (None, "no ID"), (5, ""), (4, "x" * 40)]
+    bench = frame(items, "item_id bigint, text string")
+    got = decontaminate.contaminated_documents(docs, bench, max_bytes=max_bytes).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got), key=repr) == sorted(
+        ((i, *brute_contamination(t, items)) for i, t in TEXTS), key=repr)
+    whole = decontaminate.contaminated_documents(docs, bench).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, whole))
+    kept = decontaminate.drop_contaminated(docs, bench, max_bytes=max_bytes)
+    assert kept.columns == docs.columns and kept.count() == sum(not r["contaminated"] for r in whole)
 
 
 def test_pages_and_chat(frame):

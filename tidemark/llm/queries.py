@@ -49,7 +49,7 @@ WITH item_words AS (
   SELECT DISTINCT CAST(item_id AS VARCHAR) AS item,
          regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+  FROM benchmark WHERE text IS NOT NULL),
 starts AS (
   SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM item_words WHERE len(w) > 0),
 windows AS (
@@ -65,7 +65,7 @@ found AS (
   SELECT r, k, p.size, item FROM (SELECT r, k, size, list_aggregate(w[k:k + size - 1], 'string_agg', ' ') AS win FROM places) p
   JOIN windows v ON v.win = p.win AND v.size = p.size),
 hits AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(k, k + size)) AS place FROM found) GROUP BY r),
-items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS named FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+items AS (SELECT r, count(item) AS n, string_agg(item, ',' ORDER BY item) AS named FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(named, '')) AS items_sha256,
        coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated
