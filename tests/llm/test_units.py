@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import re
 import random
 
 import numpy as np
@@ -90,7 +91,7 @@ def test_main_text():
             '<div class="ad">Buy</div><ul><li>x <b>y</b></ul></article><aside>Side</aside><div id="comments"><p>'
             + "reader " * 40 + "</div><footer>Foot</footer></body>")
     assert html.main_text(page) == "Head & line\nOne two é\nShort.\nx y"
-    assert [html.main_text(x) for x in ("", "<", "<p>", "<nav>only menu</nav>")] == ["", "", "", ""] or html.main_text("<") == "<"
+    assert [html.main_text(x) for x in ("", "<p>", "<nav>only menu</nav>", "<!-- c -->")] == ["", "", "", ""]
     assert html.main_text("<div><h2>A title</h2><p>" + "word " * 80 + "</p></div><footer>f</footer>").startswith("A title\nword")
 
 
@@ -106,6 +107,26 @@ def test_main_text_of_several_regions():
     assert html.main_text(body(f"<article class='post no-sidebar'><p>{long}<article>Inner</article></article>")) == f"{long}\nInner"
 
 
+def test_names_alone_do_not_decide(monkeypatch):
+    long = " ".join(f"word{k} of a sentence," for k in range(25))
+    page = f"<nav><a href=x>Home</a></nav><article><h1>Title</h1><p>{long}</p>{{}}<p>{long} last</p></article><footer>f</footer>".format
+    for opened, tag in (("section class='related-work'", "section"), ("div id='notice-period'", "div"), ("div class='social-history'", "div"),
+                        ("div class='widget-theory'", "div"), ("figure class='banner'", "figure")):
+        kept = html.main_text(page(f"<{opened}><h2>Head</h2><p>{long} inner</p></{tag}>"))
+        assert kept == f"Title\n{long}\nHead\n{long} inner\n{long} last", opened
+    plain = f"Title\n{long}\n{long} last"
+    links = "".join(f"<a href='/{w}'>{w}</a> " for w in ("Home", "About", "Shop", "Jobs"))
+    for sparse in (f"<p>{links}</p>", f"<div class='share-row'>{links}</div>", "<div class='newsletter-box'><p>Join<p>us<p>now</div>",
+                   "<div class='ad'>" + long + "</div>", "<div class='user-comment'><p>" + long + "</div>"):
+        assert html.main_text(page(sparse)) == plain, sparse
+    # a line with a few links is text, and so is one link alone
+    for text in ("See <a href=a>one</a>, <a href=b>two</a> and <a href=c>three</a> for the rest of it.", "<a href=a>The whole report</a>"):
+        assert re.sub("<.*?>", "", text) in html.main_text(page(f"<p>{text}</p>")).split("\n")
+    # without ratios the sparse blocks would stay
+    monkeypatch.setattr(html, "SHARE", 0.0)
+    assert "Join" in html.main_text(page("<div class='newsletter-box'><p>Join<p>us<p>now</div>"))
+
+
 def test_digest():
     assert digest.digest("same text " * 9) == digest.digest("same text " * 9)
     a, b = digest.digest("the quick brown fox " * 20), digest.digest("0123456789 " * 50)

@@ -4,7 +4,9 @@ Parser events are cut into lines, one per block of the page. Each line has the
 ratio of its characters to its tags; ratios are smoothed with a Gaussian and
 lines above a threshold form clusters. The regions (article, main) with
 clustered text are the content, with those around and in them; their lines
-outside menus, adverts, forms and the like are kept.
+outside menus, adverts, forms and the like are kept. Inside a region a class
+or id that merely contains such a word decides nothing by itself: its block
+stays if it is as dense in text as the threshold asks and mostly no link text.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ MARKS = frozenset(
     "notice notices notification alert sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs footer comment "
     "comments commentlist disqus reply replies reader-comments share sharing social related recommended newsletter subscribe "
     "subscription signup login popup modal overlay widget toolbar pagination pager skip".split())
+COMMENTS = frozenset("comment comments commentlist disqus reply replies".split())
+# elements that hold content whatever they are named
+SHOWN = frozenset("figure figcaption blockquote table pre".split())
 TEASERS = frozenset("teaser teasers".split())  # the same, of an article beside others
 HEADS = frozenset("header masthead topbar head".split())
 SPLIT = re.compile(r"[\s_-]+")
@@ -56,6 +61,8 @@ class Line:
     region: int
     parent: int
     chrome: bool
+    links: int
+    suspect: int
 
 
 @dataclass(slots=True)
@@ -65,6 +72,7 @@ class Element:
     chrome: bool
     silent: bool
     region: int
+    suspect: int
 
 
 class Events(HTMLParser):
@@ -76,7 +84,7 @@ class Events(HTMLParser):
         self.lines: list[Line] = []
         self.regions: dict[int, tuple[int, bool]] = {}  # the region around, and whether marked as comment, teaser or the like
         self.pieces: list[str] = []
-        self.tags = self.linked = self.links = self.made = 0
+        self.tags = self.linked = self.links = self.made = self.anchors = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -94,6 +102,7 @@ class Events(HTMLParser):
         if tag in VOID:
             return
         self.links += tag == "a"
+        self.anchors += tag == "a"
         self.made += 1
         above = self.stack[-1] if self.stack else None
         region = self.made if tag in ("article", "main") else above.region if above else 0
@@ -103,7 +112,10 @@ class Events(HTMLParser):
         chrome = inherits or self.is_chrome(tag, attrs, region)
         # chrome inside a line is left out of it
         silent = (above is not None and above.silent) or tag in SILENT or chrome and not inherits and tag not in BLOCKS
-        self.stack.append(Element(tag, self.made, chrome, silent, region))
+        suspect = above.suspect if above else 0
+        if not suspect and region and not chrome and tag not in ("article", "main") and self.words(attrs) & MARKS:
+            suspect = self.made
+        self.stack.append(Element(tag, self.made, chrome, silent, region, suspect))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -155,9 +167,10 @@ class Events(HTMLParser):
             block = next((e for e in reversed(self.stack) if e.tag in BLOCKS), None)
             outer = next((e for e in reversed(self.stack) if e.tag in SCOPES), None)
             chrome = block is not None and self.stack[-1].chrome
-            self.lines.append(Line(text, self.tags, self.linked, block.region if block else 0, outer.number if outer else 0, chrome))
+            self.lines.append(Line(text, self.tags, self.linked, block.region if block else 0, outer.number if outer else 0, chrome,
+                                   self.anchors, self.stack[-1].suspect if self.stack else 0))
             self.tags = 0
-        self.pieces, self.linked = [], 0
+        self.pieces, self.linked, self.anchors = [], 0, self.links
 
     @staticmethod
     def words(attrs: list[tuple[str, str | None]]) -> set[str]:
@@ -175,7 +188,10 @@ class Events(HTMLParser):
                 return True
             if name in ("class", "id") and value and tag not in ("article", "main", "body", "html"):
                 words = set(SPLIT.split(value.lower()))
-                if words & MARKS or words & HEADS and not region:
+                if not region and words & (MARKS | HEADS) or words & COMMENTS:
+                    return True
+                # inside a region only a whole name says so
+                if not MARKS.isdisjoint(value.lower().split()) and tag not in SHOWN:
                     return True
         return False
 
@@ -207,6 +223,22 @@ def content_regions(weight: dict[int, int], regions: dict[int, tuple[int, bool]]
     return kept
 
 
+def is_link_row(line: Line, threshold: float) -> bool:
+    """Whether a line is a menu without a mark: three links or more, nearly all of its text, and a ratio below the threshold."""
+    return line.links >= 3 and 5 * line.linked >= 4 * len(line.text) and (len(line.text) - line.linked) / max(1, line.tags) < threshold
+
+
+def sparse_blocks(lines: list[Line], threshold: float) -> set[int]:
+    """The suspect blocks below the threshold or mostly of link text."""
+    sums: dict[int, list[int]] = {}
+    for line in lines:
+        if line.suspect:
+            found = sums.setdefault(line.suspect, [0, 0, 0])
+            for k, value in enumerate((len(line.text), line.linked, line.tags)):
+                found[k] += value
+    return {block for block, (size, linked, tags) in sums.items() if 2 * linked > size or (size - linked) / max(1, tags) < threshold}
+
+
 def content_lines(lines: list[Line], regions: dict[int, tuple[int, bool]]) -> list[Line]:
     """The lines of the content regions, in page order."""
     own = [line for line in lines if not line.chrome]
@@ -214,7 +246,8 @@ def content_lines(lines: list[Line], regions: dict[int, tuple[int, bool]]) -> li
         return []
     ratios = np.array([0.0 if line.chrome else (len(line.text) - line.linked) / max(1, line.tags) for line in lines])
     smooth = smoothed(ratios)
-    dense = smooth >= max(SHARE * float(smooth.std()), 1e-9)
+    threshold = max(SHARE * float(smooth.std()), 1e-9)
+    dense = smooth >= threshold
     weight: dict[int, int] = {}
     for line, chosen in zip(lines, dense):
         if chosen and not line.chrome:
@@ -222,7 +255,8 @@ def content_lines(lines: list[Line], regions: dict[int, tuple[int, bool]]) -> li
     named = {region: w for region, w in weight.items() if region}
     if named:
         content = content_regions(named, regions)
-        return [line for line in own if line.region in content]
+        sparse = sparse_blocks(own, threshold)
+        return [line for line in own if line.region in content and line.suspect not in sparse and not is_link_row(line, threshold)]
     # without article or main: clustered lines, and their neighbours in the same container that are not link lists
     parents = {line.parent for line, chosen in zip(lines, dense) if chosen and not line.chrome}
     return [line for line, chosen in zip(lines, dense) if not line.chrome and (
