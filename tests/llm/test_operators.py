@@ -77,6 +77,18 @@ def test_keep_one_of_components_that_share_an_id(frame):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted({(None, BASE), (None, other), (7, BASE[:60]), (7, third)}, key=repr)
 
 
+def test_keep_one_with_maps_and_named_documents(frame):
+    rows = [("a", BASE, {"k": 1}), ("b", BASE, {"k": 2}), ("c", "quite other words stand here and say nothing at all", None),
+            ("c", "quite other words stand here and say nothing at all", {"k": 3}), (None, BASE + "omega", {})]
+    docs = frame(rows, "doc_id string, text string, tags map<string, int>")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    named = sorted((r["doc_id"], r["text"]) for r in kept.collect() if r["doc_id"])
+    assert named == [("a", BASE), ("c", rows[2][1])]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert found["a"] == found["b"] == "a" and found["c"] == "c"
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
 def test_simhash_on_the_test_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import bound_batches, stored, strings
 
@@ -262,8 +263,9 @@ def components(links: DataFrame) -> DataFrame:
 def _rooted(docs: DataFrame, doc_id: str, text: str, budget: int, leaf_rows: int) -> DataFrame:
     """Per document ``doc_id, fp, root, component_id``; the root is a fingerprint, another for each component."""
     bound_batches(docs.sparkSession)
-    marked = stored(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), fingerprint(F.col(text)).alias("fp")),
-                    "fingerprints")
+    numeric = isinstance(docs.schema[doc_id].dataType, T.NumericType)
+    ident = F.col(doc_id).cast("bigint") if numeric else F.col(doc_id)
+    marked = stored(docs.select(ident.alias("doc_id"), fingerprint(F.col(text)).alias("fp")), "fingerprints")
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprint_classes")
     roots = components(fingerprint_links(classes.select("fp"), budget, leaf_rows))
     rooted = classes.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left").select(
@@ -289,7 +291,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component, the one of the smallest ``doc_id`` (null ids last); all its columns.
 
-    Of repeated rows with that id one stays. The rows kept are joined back by
+    Of repeated rows with that id one stays, the first by a hash of its columns
+    (maps apart). Ids may be of any ordered type. The rows kept are joined back by
     id, so only ids and fingerprints are grouped, never texts, except for rows
     that share an id.
     """
@@ -310,5 +313,7 @@ def keep_one(docs: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     packed = ambiguous.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
     packed = packed.select("row", F.col("row.doc_id").alias("id"), fingerprint(F.col("row.text")).alias("fp"))
     exact = packed.join(keepers, packed["id"].eqNullSafe(keepers["keeper_id"]) & (packed["fp"] == keepers["keeper_fp"]))
-    one = exact.groupBy("id", "fp").agg(F.min("row").alias("row")).select("row.*")
+    # rows of one id and fingerprint: the first by a hash of all columns that have one
+    hashed = F.xxhash64(*[F.col(f"row.`{c}`") for c, kind in ambiguous.dtypes if "map<" not in kind and kind != "variant"])
+    one = exact.groupBy("id", "fp").agg(F.min_by("row", hashed).alias("row")).select("row.*")
     return alone.unionByName(one.select(*[F.col(f"`{c}`") for c in columns]))
