@@ -208,3 +208,13 @@ def test_nan_is_missing_where_a_scale_is_given(frame):
     assert rows(W.running_mean(df, ["key"], ["id"], "value", "m", scale=2), "id", "m") == [(1, None), (2, 1.0), (3, 1.0), (4, 1.5)]
     assert rows(W.moving_mean(df, ["key"], ["id"], "value", 2, "m", scale=2), "id", "m") == sorted([(1, None), (2, 1.0), (3, 1.0), (4, 2.0)], key=repr)
     assert df.groupBy("key").agg(C.rounded_mean("value", scale=2).alias("m")).first()["m"] == 1.5
+
+
+def test_sketches_of_days_unite_to_distinct_counts(frame):
+    data = [("a", at(1), k % 700) for k in range(1400)] + [("b", at(2), None), ("c", at(3), 7), ("c", at(3), 7)]
+    data += [("a", datetime(2024, 1, 2), 500 + k) for k in range(700)]
+    daily = A.daily_sketches(frame(data, "key string, ts timestamp_ntz, v int"), ["key"], "ts", "v")
+    assert daily.count() == 3
+    found = {r["key"]: r["n"] for r in A.united_distinct(daily, ["key"], "n").collect()}
+    assert found["c"] == 1 and abs(found["a"] - 1200) <= 0.03 * 1200 and set(found) == {"a", "c"}
+    assert A.united_distinct(daily.limit(0), ["key"]).count() == 0

@@ -144,3 +144,22 @@ def _labelled(grouped, keys: Sequence[str], mean_name: str, count_name: str,
         for k in keys
     ]
     return summary.select(*columns, mean_name, count_name)
+
+
+# --- distinct counts that can be united -------------------------------------------
+
+
+def daily_sketches(df: DataFrame, keys: Sequence[str], ts: str, value: str, precision: int = 14) -> DataFrame:
+    """One sketch of the distinct values per key and day: ``keys, day, sketch``.
+
+    Sketches have a fixed size and can be united over any days later, where
+    distinct counts cannot be added up. ``precision`` is the logarithm of the
+    number of registers: 14 has a standard error below 1 %.
+    """
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, day_of(ts).alias("day")).agg(
+        F.hll_sketch_agg(value, precision).alias("sketch"))
+
+
+def united_distinct(sketches: DataFrame, keys: Sequence[str], name: str = "approx_distinct") -> DataFrame:
+    """The number of distinct values over all days of the sketches, per key."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))

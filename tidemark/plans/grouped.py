@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import bucket, day_of, rounded_mean, short_day_name
 from tidemark.operators import aggregates as A
+from tidemark.operators.committed import CommittedTable
 from tidemark.operators.joins import drill_across, join_current
 from tidemark.operators.modeling import AIR_QUALITY_CUTS, AIR_QUALITY_DEFAULT
 from tidemark.plans.bindings import (
@@ -13,6 +14,7 @@ from tidemark.plans.bindings import (
     site_readings, sites, table,
 )
 from tidemark.plans.registry import Family
+from tidemark.session import scratch_path
 
 FAMILY = Family()
 query = FAMILY.query
@@ -248,3 +250,17 @@ def drill_across_daily(spark, sf_dir):
         "day_of_week": short_day_name("full_date"),
         "category": bucket("mean_second", AIR_QUALITY_CUTS, AIR_QUALITY_DEFAULT),
     })
+
+
+@query("approx_distinct_readings", """SELECT event_type, count(DISTINCT user_id) AS exact, TRUE AS within_five_percent
+FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY event_type""")
+def approx_distinct_readings(spark, sf_dir):
+    """Sketches stored by day in two loads, those of some days united, beside the exact count of the same days."""
+    events = table(spark, sf_dir, "events")
+    stored = CommittedTable(spark, scratch_path(spark, "sketches"), ["day"])
+    for arrived in (events.where("ts < timestamp_ntz'2024-01-16'"), events.where("ts >= timestamp_ntz'2024-01-16'")):
+        stored.replace(A.daily_sketches(arrived, ["event_type"], "ts", "user_id"))
+    wanted = A.united_distinct(stored.read().where("day >= date'2024-01-05'"), ["event_type"])
+    exact = events.where("ts >= timestamp_ntz'2024-01-05'").groupBy("event_type").agg(F.countDistinct("user_id").alias("exact"))
+    near = F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return exact.join(wanted, "event_type").select("event_type", "exact", near.alias("within_five_percent"))
