@@ -176,12 +176,42 @@ def test_segmentation_round_trip(text):
     assert [s[0].tolist() for s in alone[0]] == [s[0].tolist() for s in beside[1]]
 
 
-def test_segmentation_of_a_long_unbroken_text():
-    v, text = pieces.Vocabulary.load(), "x" * 20_000
+@pytest.mark.parametrize("text", ["x" * 200_000, "这是一个没有空格的中文文本" * 8_000])
+def test_segmentation_of_a_long_unbroken_text(text):
+    v = pieces.Vocabulary.load()
     ids = [tuple(i.tolist()) for i, *_ in pieces.sample_batch([text], [7], v, 2, 1)[0]]
     assert len(set(ids)) == 2 and all(pieces.decode(list(i), v.pieces) == text for i in ids)
 
 
+def test_long_chunks_are_sampled_as_short_ones(monkeypatch):
+    v = pieces.Vocabulary.load()
+    texts = ["hello there general", " " * 50 + "abc", "x" * 700, "这是一个没有空格的中文文本" * 9 + " und " + "ab" * 60, "", "a b c internationalization"]
+    drawn = []
+    for long, window in ((max(map(len, v.texts)), 64), (1 << 20, 1 << 15)):
+        monkeypatch.setattr(pieces, "_LONG", long)
+        monkeypatch.setattr(pieces, "_WINDOW", window)
+        drawn.append(pieces.sample_batch(texts, list(range(len(texts))), v, 3, 1))
+    for one, other in zip(*drawn):
+        assert [s[0].tolist() for s in one] == [s[0].tolist() for s in other]
+        assert all(a[1:] == pytest.approx(b[1:], abs=1e-8) for a, b in zip(one, other))
+
+
+def test_inclusion_scores_weigh_samples_without_bias():
+    v = pieces.Vocabulary.load()
+    every = list(segmentations(" hello", dict(zip(v.texts, v.scores))))
+    total = sum(math.exp(s) for _, s in every)
+    truth = {tuple(a): math.exp(s) / total for a, s in every}
+    n, weighed = 3000, dict.fromkeys(truth, 0.0)
+    for key in range(n):
+        for ids, log_prob, _, log_inclusion in pieces.sample_batch(["hello"], [key], v, 3, 11)[0]:
+            assert log_prob - 1e-9 <= log_inclusion <= 0
+            weighed[tuple(v.pieces[i].decode() for i in ids)] += math.exp(log_prob - log_inclusion) / n
+    # probability over inclusion adds up to every segmentation's probability, and so to 1
+    assert sum(weighed.values()) == pytest.approx(1.0, abs=0.05)
+    for a, p in sorted(truth.items(), key=lambda x: -x[1])[:4]:
+        assert weighed[a] == pytest.approx(p, abs=0.03)
+
+
 def test_language_models_prefer_their_text():
     word, pair = crossentropy.slots("One two ONE two")
     assert word[0] == word[2] and pair[1] == pair[3] and len(word) == 4

@@ -11,12 +11,16 @@ queue's next score is the threshold their inclusion scores need.
 Pieces never cross from a non-space to a space, so a lattice is a chain of
 short lattices of chunks (spaces and the word after them). Lattices of the
 distinct chunks of a batch are built at once as arrays, and all chunks of a
-text draw their paths side by side.
+text draw their paths side by side, one step each at a time. A long chunk, such
+as a text in a script without spaces, draws all its nodes at once instead and
+then only follows the winners. Draws are keyed by position, so both ways give
+the same path.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -41,6 +45,8 @@ RESULT = f"array<{SAMPLE}>"
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 19
 _PART_CHUNKS = 40_000  # chunks whose descents run side by side
+_LONG = 256  # characters from which a chunk is drawn by itself, all its nodes at once
+_WINDOW = 1 << 15  # nodes of a long chunk drawn together
 
 
 @dataclass
@@ -71,6 +77,8 @@ class Vocabulary:
         crossing = [t for t in texts if "\n" in t or " " in t.lstrip(" ")]
         if crossing or not all(model.is_byte(int(b)) for b in bytes_):
             raise ValueError("the model needs byte pieces and no piece with a space or newline inside")
+        if max(map(len, texts), default=0) > _LONG:
+            raise ValueError(f"the model has a piece of more than {_LONG} characters")
         ranks = np.array([max(0.0, -model.get_score(i)) for i in ids])
         if len(ids) and ranks.max() < 100:  # a file with log-probabilities
             scores = -sharpness * ranks
@@ -151,7 +159,7 @@ class Lattices:
 
     def __init__(self, codes: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary):
         ends = np.cumsum(lengths)
-        self.start = ends - lengths
+        self.start, self.length = ends - lengths, lengths
         n = len(codes)
         left = np.repeat(ends, lengths) - np.arange(n)  # characters to the end of the chunk
         levels = []  # per length of a piece: the nodes it leaves, and its index (-1: the character's bytes)
@@ -187,7 +195,7 @@ class Lattices:
                 score[cell] = vocabulary.byte_score * n_bytes
         # log-sums of all paths from a node to the end of its chunk, nearest nodes first
         sums = np.zeros(n + 1)  # the last stands for the end
-        by_level = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
+        by_level = np.searchsorted(left[order], np.arange(1, min(int(left.max(initial=0)), _LONG) + 2))
         for a, b in zip(by_level[:-1], by_level[1:]):
             nodes = order[a:b]
             runs = self.first[nodes]
@@ -198,9 +206,69 @@ class Lattices:
             share = np.log(np.add.reduceat(np.exp(below), runs - low))
             sums[nodes] = top + share
             score[low:high] = below - np.repeat(share, self.count[nodes])
+        for chunk in np.flatnonzero(lengths > _LONG).tolist():
+            self._sum_long(score, sums, int(self.start[chunk]), int(ends[chunk]) - _LONG)
         self.log_p = score
         self.race = np.exp(-score.astype(np.float32))
 
+    def _sum_long(self, score: np.ndarray, sums: np.ndarray, start: int, stop: int) -> None:
+        """The log-sums of a long chunk's nodes from ``stop`` back to ``start``, one after the other, window by window."""
+        while stop > start:
+            low = max(start, stop - _WINDOW)
+            arcs = self.arcs_of(np.arange(low, stop))
+            scores, ahead = score[arcs].tolist(), (self.target[arcs] - low).tolist()
+            # sums of the window's nodes, then of those its last nodes reach
+            known = sums[low:stop + _LONG].tolist()
+            at = len(arcs)
+            for node, count in zip(range(stop - low - 1, -1, -1), self.count[low:stop][::-1].tolist()):
+                at -= count
+                reached = [scores[k] + known[ahead[k]] for k in range(at, at + count)]
+                top = max(reached)
+                total = top + math.log(sum([math.exp(x - top) for x in reached]))
+                known[node] = total
+                scores[at:at + count] = [x - total for x in reached]
+            score[arcs], sums[low:stop] = scores, known[:stop - low]
+            stop = low
+
+    def arcs_of(self, nodes: np.ndarray) -> np.ndarray:
+        """The arcs of the nodes, one node's after the other's."""
+        count = self.count[nodes]
+        offset = np.cumsum(count) - count
+        return np.repeat(self.first[nodes] - offset, count) + np.arange(int(count.sum()))
+
+    def draw(self, key: np.ndarray, place: np.ndarray, position: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per node the arc with the least time over probability, and by how much it leads.
+
+        Draws depend on the text's key, the chunk's place and the node's position in it alone.
+        """
+        count = self.count[nodes]
+        offset = np.cumsum(count) - count
+        line = np.arange(int(count.sum()))
+        arcs = np.repeat(self.first[nodes] - offset, count) + line
+        base = counter_base(key, place, position) - offset.astype(np.uint32) * np.uint32(0x9E3779B9)
+        times = exponential_times(np.repeat(base, count), line)
+        times *= self.race[arcs]
+        best = np.minimum.reduceat(times, offset)
+        winner = np.flatnonzero(times == np.repeat(best, count))
+        if len(winner) > len(nodes):  # a tie, of which the first arc counts
+            winner = winner[np.unique(np.repeat(np.arange(len(nodes)), count)[winner], return_index=True)[1]]
+        times[winner] = np.inf
+        return arcs[winner], np.minimum.reduceat(times, offset) - best
+
+    def follow(self, key: np.uint64, place: int, origin: int, node: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The visited nodes of a long chunk from ``node`` on, their arcs and leads: windows are drawn whole, then walked."""
+        parts = []
+        while node >= 0:
+            nodes = np.arange(node, min(node + _WINDOW, end))
+            chosen, lead = self.draw(np.full(len(nodes), key), np.full(len(nodes), place), nodes - origin, nodes)
+            target = self.target[chosen].tolist()
+            low, walked = node, []
+            while low <= node < low + len(target):
+                walked.append(node - low)
+                node = target[node - low]
+            parts.append((nodes[walked], chosen[walked], lead[walked]))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
 
 @dataclass
 class Path:
@@ -241,9 +309,9 @@ def exponential_times(base: np.ndarray, number: np.ndarray) -> np.ndarray:
     return np.negative(uniform, out=uniform)
 
 
-def counter_base(key: np.ndarray, place: np.ndarray, step: int | np.ndarray) -> np.ndarray:
-    """Counter bases of nodes: from the text's key, the chunk's place and the step within the chunk."""
-    x = key + place.astype(np.uint64) * _MIX + np.asarray(step, np.uint64) * np.uint64(0xD1342543DE82EF95)
+def counter_base(key: np.ndarray, place: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """Counter bases of nodes: from the text's key, the chunk's place and the node's position within the chunk."""
+    x = key + place.astype(np.uint64) * _MIX + position.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     return (x >> np.uint64(32)).astype(np.uint32)
@@ -264,37 +332,37 @@ def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Pa
     item = np.repeat(np.arange(len(searches)), size)
     lane_at = np.cumsum(size) - size
     place = np.arange(len(item)) - np.repeat(lane_at - begin, size)
-    start = lat.start[np.concatenate([s.chunks[b:] for s, b in zip(searches, begin)])] if len(item) else np.zeros(0, np.int64)
+    chunk = np.concatenate([s.chunks[b:] for s, b in zip(searches, begin)]) if len(item) else np.zeros(0, np.int64)
+    origin = lat.start[chunk]
+    end = origin + lat.length[chunk]
+    start = origin.copy()
     start[lane_at[inside]] = [s.node for s in searches if s.node >= 0]
     key = np.array([s.key for s in searches], np.uint64)[item]
-    lane, nodes, steps = np.arange(len(item)), start, []
+    long = end - start > _LONG
+    lane = np.flatnonzero(~long)
+    nodes, steps = start[lane], []
     while len(nodes):
-        count = lat.count[nodes]
-        offset = np.cumsum(count) - count
-        line = np.arange(int(offset[-1] + count[-1]))
-        arcs = np.repeat(lat.first[nodes] - offset, count) + line
-        base = counter_base(key[lane], place[lane], len(steps)) - offset.astype(np.uint32) * np.uint32(0x9E3779B9)
-        times = exponential_times(np.repeat(base, count), line)
-        times *= lat.race[arcs]
-        best = np.minimum.reduceat(times, offset)
-        winner = np.flatnonzero(times == np.repeat(best, count))
-        if len(winner) > len(nodes):  # a tie, of which the first arc counts
-            winner = winner[np.unique(np.repeat(np.arange(len(nodes)), count)[winner], return_index=True)[1]]
-        times[winner] = np.inf
-        chosen = arcs[winner]
-        steps.append((lane, nodes, chosen, np.minimum.reduceat(times, offset) - best))  # behind the winner
+        chosen, lead = lat.draw(key[lane], place[lane], nodes - origin[lane], nodes)
+        steps.append((lane, nodes, chosen, lead))
         target = lat.target[chosen]
         going = target >= 0
         nodes, lane = target[going], lane[going]
+    walks = [(at, *lat.follow(key[at], int(place[at]), int(origin[at]), int(start[at]), int(end[at])))
+             for at in np.flatnonzero(long).tolist()]
     visits = np.zeros(len(item), np.int64)
     for at, *_ in steps:
         visits[at] += 1
+    for at, walked, *_ in walks:
+        visits[at] = len(walked)
     first_visit = np.cumsum(visits) - visits
     total = int(visits.sum())
-    arc, node, lead, step_of = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total), np.empty(total, np.int64)
-    for number, (at, nodes, chosen, behind) in enumerate(steps):
+    arc, node, lead = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total)
+    for number, (at, *step) in enumerate(steps):
         cell = first_visit[at] + number
-        arc[cell], node[cell], lead[cell], step_of[cell] = chosen, nodes, behind, number
+        node[cell], arc[cell], lead[cell] = step
+    for at, *walk in walks:
+        cell = slice(first_visit[at], first_visit[at] + visits[at])
+        node[cell], arc[cell], lead[cell] = walk
     lane = np.repeat(np.arange(len(item)), visits)
     gained = lat.log_p[arc]
     reached = np.cumsum(gained)
@@ -320,7 +388,7 @@ def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Pa
     number = np.arange(int(count.sum())) - np.repeat(offset, count)
     arcs, visit = np.repeat(lat.first[node[near]], count) + number, np.repeat(near, count)
     at = lane[visit]
-    times = exponential_times(counter_base(key[at], place[at], step_of[visit]), number) * lat.race[arcs]
+    times = exponential_times(counter_base(key[at], place[at], node[visit] - origin[at]), number) * lat.race[arcs]
     least = np.repeat(np.minimum.reduceat(times, offset), count) if len(near) else times
     rival = np.flatnonzero(arcs != arc[visit])
     value = before[visit[rival]] - np.log(np.maximum(times[rival] - least[rival], 1e-300))
