@@ -95,17 +95,68 @@ def test_simhash_on_the_test_table(spark):
     assert sorted(map(tuple, queries.op10_simhash(spark, SF).collect()), key=repr) == brute_components(rows)
 
 
-def test_digests_follow_the_order_of_ids(docs):
-    got = {(r["doc_id"], r["edited_sha256"]): r for r in digest.compare_with_edited(docs, bucket_bytes=200).collect()}
-    ordered = [(None, "no id"), *[(i, t or "") for i, t in TEXTS if i is not None]]
-    ordered.sort(key=lambda r: (r[0] is not None, r[0] or 0))
-    assert digest.compare_with_edited(docs).count() == len(TEXTS)
-    for (ident, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1]):
-        other = digest.edited(text, following)
-        row = got[ident, hashlib.sha256(other.encode()).hexdigest()]
-        assert row["n_chars"] == len(text)
-        assert (row["fingerprint"], row["edited_fingerprint"]) == (digest.digest(text), digest.digest(other))
-        assert row["near_next"] == digest.likeness(digest.digest(text), digest.digest(following))
+def brute_digest(text):
+    """The digest by counting triplets one by one."""
+    raw = text.encode()
+    counts = Counter((int.from_bytes(raw[k:k + 3], "big") * 2654435761 & 0xFFFFFFFF) >> 24 for k in range(len(raw) - 2))
+    held = [counts[k] for k in range(256)]
+    limits = [sorted(held)[k] for k in (63, 127, 191)]
+    ratios = "".join(f"{15 * q // limits[2] if limits[2] else 0:x}" for q in limits[:2])
+    bits = "".join(f"{sum(c > q for q in limits):02b}" for c in held)
+    return f"{min(255, round(math.log(len(raw) + 1) / math.log(1.1))):02x}{ratios}{int(bits, 2):0128x}"
+
+
+def brute_likeness(a, b):
+    codes = [[int(c, 16) >> s & 3 for c in d[4:] for s in (2, 0)] for d in (a, b)]
+    bits = sum((0, 1, 3, 6)[abs(x - y)] for x, y in zip(*codes))
+    apart = min(abs(int(a[:2], 16) - int(b[:2], 16)), 32) + sum(abs(int(a[k], 16) - int(b[k], 16)) for k in (2, 3))
+    return 1 - (bits + apart) / (256 * 6 + 32 + 2 * 16)
+
+
+def brute_edits(rows):
+    """The results for rows in order of id (null first) and text hash."""
+    texts = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()))
+    found = []
+    for (ident, text), (_, following) in zip(texts, texts[1:] + texts[:1]):
+        half = len(text) // 2
+        other = text[:len(text) - half] + following[:half]
+        prints = [brute_digest(t) for t in (text, other, following)]
+        found.append((ident, len(text), hashlib.sha256(other.encode()).hexdigest(), prints[0], prints[1],
+                      pytest.approx(brute_likeness(*prints[:2])), pytest.approx(brute_likeness(prints[0], prints[2]))))
+    return found
+
+
+def edits_of(frame_, **kwargs):
+    rows = [tuple(r) for r in digest.compare_with_edited(frame_, **kwargs).collect()]
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+
+
+@pytest.mark.parametrize("part_bytes", [1, 200, 16 << 20])
+def test_digests_equal_brute_force(docs, part_bytes):
+    wanted = sorted(brute_edits([(i, t) for i, t in TEXTS]), key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
+    assert edits_of(docs, part_bytes=part_bytes) == wanted
+
+
+def test_digests_of_a_table_equal_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    wanted = sorted(brute_edits([tuple(r) for r in rows.collect()]), key=lambda r: (r[0], r[2]))
+    assert edits_of(rows) == wanted
+
+
+def test_digests_of_one_document_and_of_one_id(spark, frame):
+    assert edits_of(frame([(3, "abcdef")], "doc_id bigint, text string")) == brute_edits([(3, "abcdef")])
+    rows = [(7, f"text number {k} of one id " * 9) for k in range(400)]
+    hot = frame(rows, "doc_id bigint, text string")
+    assert edits_of(hot) == sorted(brute_edits(rows), key=lambda r: r[2])
+    assert digest.in_order(hot, 1 << 20).select(F.spark_partition_id().alias("part")).distinct().count() > 1
+    equal = spark.range(0, 4000, 1, 8).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("one text").alias("text"))
+    assert digest.in_order(equal, 1 << 20).select(F.spark_partition_id().alias("part")).distinct().count() > 1
+
+
+def test_successors_over_runs(spark):
+    numbers = [0, 1, 5, 6, 7, 20, 21, 40]
+    found = digest.successors(spark.createDataFrame([(n,) for n in numbers], "part int"), run=4).collect()
+    assert dict(map(tuple, found)) == dict(zip(numbers, numbers[1:] + numbers[:1]))
 
 
 def test_classifiers_take_every_row(docs, labels):

@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches
+from tidemark.llm.common import bound_batches, stored
 
 BUCKETS = 256
 # steps of the length code: one step is a factor of 1.1
@@ -81,88 +82,102 @@ def edited(text: str, following: str) -> str:
 
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
+ROW = f"part int, {RESULT}, head string, tail string"
+_NAMES = [field.split()[0] for field in RESULT.split(", ")]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+RUN = 4096  # parts whose successors are found together
 
 
-def _next_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of rows that lie in order by bucket: each row beside the row that follows it in its bucket.
+def _compared(ident: int | None, text: str, print_: str, following: str, print_next: str) -> tuple:
+    other = edited(text, following)
+    print_other = digest(other)
+    return (ident, len(text), hashlib.sha256(other.encode()).hexdigest(), print_, print_other,
+            likeness(print_, print_other), likeness(print_, print_next))
 
-    A row marked ``borrowed`` only follows; the first row of the whole order
-    is borrowed by the last bucket, so every owned row has a follower.
+
+def _within_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of a part's rows in order, each beside the one that follows; last a row with the part's first and last text.
+
+    Rows stream: two texts and the part's first are held.
     """
-    names = [part.split()[0] for part in RESULT.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    held = None  # bucket, id, text, fingerprint
+    part = TaskContext.get().partitionId()
+    held = head = None
     for batch in batches:
         made = []
-        columns = [batch.column(k).to_pylist() for k in range(4)]
-        for bucket, borrowed, ident, text in zip(*columns):
+        for ident, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             print_ = digest(text)
-            if held is not None and held[0] == bucket:
-                other = edited(held[2], text)
-                print_other = digest(other)
-                made.append((held[1], len(held[2]), hashlib.sha256(other.encode()).hexdigest(), held[3], print_other,
-                             likeness(held[3], print_other), likeness(held[3], print_)))
-            held = None if borrowed else (bucket, ident, text, print_)
+            if held is None:
+                head = text
+            else:
+                made.append(_compared(*held, text, print_))
+            held = (ident, text, print_)
         if made:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names=names)
-
-
-def order_limits(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Ascending ids that cut ``docs`` into about equal ranges; at most ``buckets - 1``."""
-    if buckets < 2:
-        return np.zeros(0, np.int64)
-    shares = [k / buckets for k in range(1, buckets)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 20 * buckets)).first()[0]
-    return np.array(sorted(set(found or [])), np.int64)
-
+            columns = [pa.array([None] * len(made), pa.int32()), *(pa.array(c, k) for c, k in zip(zip(*made), _KINDS))]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(made), pa.string())] * 2], names=["part", *_NAMES, "head", "tail"])
+    if held is not None:
+        columns = [pa.array([part], pa.int32()), pa.array([held[0]], pa.int64()), *(pa.nulls(1, k) for k in _KINDS[1:])]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([head], pa.string()), pa.array([held[1]], pa.string())],
+                                         names=["part", *_NAMES, "head", "tail"])
 
-def range_of(doc_id: Column, limits: np.ndarray) -> Column:
-    """The number of the range an id lies in; a null id lies in the first."""
 
-    @F.arrow_udf("int")
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            ids = batch.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-            yield pa.array(np.searchsorted(limits, ids, side="right").astype(np.int32))
+def _between_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of the last rows of parts, each beside the first text of the part that follows."""
+    for batch in batches:
+        made = [_compared(ident, tail, digest(tail), head, digest(head))
+                for ident, tail, head in zip(*(batch.column(k).to_pylist() for k in range(3)))]
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), _KINDS)], names=_NAMES)
 
-    return of(doc_id)
 
+def successors(parts: DataFrame, run: int = RUN) -> DataFrame:
+    """Per number in ``part`` the next larger one as ``following``; the smallest for the largest.
 
-def compare_with_edited(docs: DataFrame, bucket_bytes: int = 16 << 20) -> DataFrame:
+    Numbers are looked at in runs of ``run``; a run's last one is followed by
+    the first of the next run that has any, so a window holds ``run`` numbers or
+    one number of each run.
+    """
+    placed = parts.select("part", F.floor(F.col("part") / run).alias("run"))
+    over_runs = Window.orderBy("run")
+    firsts = placed.groupBy("run").agg(F.min("part").alias("first")).select(
+        "run", F.lead("first").over(over_runs).alias("next_run"),
+        F.min("first").over(Window.partitionBy()).alias("smallest"))
+    inner = F.lead("part").over(Window.partitionBy("run").orderBy("part"))
+    return placed.select("run", "part", inner.alias("inner")).join(firsts, "run").select(
+        "part", F.coalesce("inner", "next_run", "smallest").alias("following"))
+
+
+def in_order(docs: DataFrame, part_bytes: int) -> DataFrame:
+    """``doc_id, text`` in partitions of about ``part_bytes``: ordered in each and from one to the next."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(math.ceil(size / part_bytes), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    text = F.coalesce("text", F.lit(""))
+    # among equal rows the order does not matter, so the split they came from may spread them
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"),
+                       F.md5(text.cast("binary")).alias("mark"), F.spark_partition_id().alias("split"))
+    order = [F.col("doc_id").asc_nulls_first(), "mark", "split"]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
+
+
+def compare_with_edited(docs: DataFrame, part_bytes: int = 16 << 20) -> DataFrame:
     """Each document's digest beside those of its edited text and of the next document.
 
     The next document is the one of the following ``doc_id``; the first
     follows the last, and a single document follows itself. The edited text
     replaces the last half of the characters by the first as many (or all) of
     the next document. Null texts count as empty. Null ids come first and
-    repeated ids stand in the order of their texts, so equal rows follow each
-    other. No rows give no rows; further columns are ignored.
-
-    Rows are shuffled once, by ranges of ids of about ``bucket_bytes`` of text,
-    and only the first row of each range travels twice. Rows of a range stream
-    through a task two at a time.
+    repeated ids stand in the order of their texts' MD5, so equal rows
+    follow each other. No rows give no rows; further columns are ignored.
+
+    Rows are shuffled once, by Spark's ranges over id, text hash and input
+    split, so that neither a repeated id nor a repeated row binds its rows to
+    one task. Parts stream. Their first and last rows, one pair per part of
+    about ``part_bytes`` of text, meet in a join on the part's number. Results
+    are a written table below the checkpoint folder.
     """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
-    if not total[1]:
-        return spark.createDataFrame([], RESULT)
-    ranges = max(math.ceil((total[0] or 0) / bucket_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    limits = order_limits(rows, min(ranges, total[1]))
-    placed = rows.select(range_of(F.col("doc_id"), limits).alias("bucket"), "doc_id", "text")
-    marks = [F.xxhash64("text").alias("mark"), F.md5(F.col("text").cast("binary")).alias("sum")]
-    # the first row of each range, as id and hashes: one row per range, so their number is bounded by the limits
-    known = F.col("doc_id").isNotNull().alias("known")
-    heads = placed.groupBy("bucket").agg(F.min(F.struct(known, "doc_id", *marks)).alias("head")).collect()
-    heads.sort(key=lambda r: r["bucket"])
-    lenders = spark.createDataFrame(
-        [(h["bucket"], heads[k - 1]["bucket"], h["head"]["doc_id"], h["head"]["mark"], h["head"]["sum"]) for k, h in enumerate(heads)],
-        "own int, lend int, head_id bigint, head_mark bigint, head_sum string")
-    is_head = (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
-    is_head &= (F.xxhash64("text") == F.col("head_mark")) & (F.md5(F.col("text").cast("binary")) == F.col("head_sum"))
-    lent = placed.join(F.broadcast(lenders), is_head).select(F.col("lend").alias("bucket"), F.lit(True).alias("borrowed"), "doc_id", "text")
-    both = placed.select("bucket", F.lit(False).alias("borrowed"), "doc_id", "text").unionByName(lent)
-    ordered = both.repartition("bucket").sortWithinPartitions(
-        "bucket", "borrowed", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.md5(F.col("text").cast("binary")))
-    return ordered.mapInArrow(_next_rows, RESULT)
+    bound_batches(docs.sparkSession)
+    found = stored(in_order(docs, part_bytes).mapInArrow(_within_part, ROW), "digests")
+    edges = found.where("part IS NOT NULL")
+    heads = edges.select(F.col("part").alias("following"), "head")
+    last = edges.select("part", "doc_id", "tail").join(successors(edges.select("part")), "part").join(heads, "following")
+    return found.where("part IS NULL").select(*_NAMES).unionByName(
+        last.select("doc_id", "tail", "head").mapInArrow(_between_parts, RESULT))
