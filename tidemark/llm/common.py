@@ -47,7 +47,8 @@ def training_sample(
     Rows whose fold is ``left_out`` are never taken. Rows are taken in the
     order of a hash of their id while their texts sum to at most ``max_bytes``;
     a text that does not fit is passed over whole, never cut. Rows without id,
-    label or with contradictory labels are not used. The bounds apply to
+    label or with contradictory labels are not used; of a repeated id one text
+    is taken, the same in every run. The bounds apply to
     learning only; they keep what reaches the driver independent of the input.
     """
     named = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
@@ -60,14 +61,19 @@ def training_sample(
     # max_rows pairs of an id and a label: a proven bound
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     held = texts.join(F.broadcast(chosen), "id")
-    sizes = held.groupBy("id").agg(F.max(F.octet_length("text")).alias("size")).collect()
+    mark = F.md5(F.col("text").cast("binary")).alias("mark")
+    # of the rows of a repeated id the text of the smallest hash stands for all
+    firsts = held.groupBy("id").agg(F.min(F.struct(mark, F.octet_length("text").alias("size"))).alias("first"))
+    sizes = firsts.select("id", F.xxhash64("id").alias("place"), "first.mark", "first.size").collect()
     fitting, total = [], 0
-    for ident, size in sorted(((r["id"], r["size"]) for r in sizes), key=lambda x: _mixed(x[0])):
-        if total + size <= max_bytes:
-            fitting.append((ident,))
-            total += size
-    picked = docs.sparkSession.createDataFrame(fitting, "id bigint")
-    return held.join(F.broadcast(picked), "id").dropDuplicates(["id"]).select("id", "text", "label")
+    for row in sorted(sizes, key=lambda r: (r["place"], str(r["id"]))):
+        if total + row["size"] <= max_bytes:
+            fitting.append((row["id"], row["mark"]))
+            total += row["size"]
+    ident = docs.schema["doc_id"].dataType.simpleString()
+    picked = docs.sparkSession.createDataFrame(fitting, f"id {ident}, mark string")
+    found = held.withColumn("mark", mark).join(F.broadcast(picked), ["id", "mark"])
+    return found.dropDuplicates(["id"]).select("id", "text", "label")
 
 
 def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -79,11 +85,6 @@ def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return made
 
 
-def _mixed(value: int) -> int:
-    """A fixed scrambling of an id, so that the order does not follow the ids."""
-    return (value * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
-
-
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 

@@ -135,7 +135,8 @@ def fit_quality(
     bound_batches(docs.sparkSession)
     sample = training_sample(docs, labels, "quality", *LEFT_OUT, max_rows, max_bytes)
     taken = sample.select("id", "label", indicator_column(F.col("text")).alias("slots")).toArrow()
-    order = sorted(range(taken.num_rows), key=lambda n: zlib.crc32(str(taken["id"][n].as_py()).encode()))
+    names = [str(i).encode() for i in taken["id"].to_pylist()]
+    order = sorted(range(taken.num_rows), key=lambda n: (zlib.crc32(names[n]), names[n]))
     slots = lists(taken["slots"])
     rows = [slots[n] for n in order]
     positive = taken["label"].to_numpy()[order] == 1

@@ -139,16 +139,23 @@ def telling_slots(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray)
     return statistic >= MIN_EVIDENCE
 
 
-def train_bags(
-    bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, epochs: int = 10, rate: float = 0.25,
-    decay: float = 1e-3, batch: int = 64, seed: int = 11,
-) -> tuple[np.ndarray, float]:
-    """Weights and bias by adaptive gradient descent on the document log loss of the noisy-or.
+def logit_slopes(score: np.ndarray, document: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Derivatives of the documents' log losses by their sentences' logits.
 
     For a document with probability p, the loss falls with a sentence's logit
     by its score times (1 - p) / p if the label is 1, and rises by its score
     if it is 0.
     """
+    calm = np.bincount(document, np.log1p(-np.minimum(score, 1 - 1e-12)), minlength=len(toxic))
+    p = np.maximum(-np.expm1(calm), 1e-9)
+    return score * np.where(toxic, -(1 - p) / p, 1.0)[document]
+
+
+def train_bags(
+    bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, epochs: int = 10, rate: float = 0.25,
+    decay: float = 1e-3, batch: int = 64, seed: int = 11,
+) -> tuple[np.ndarray, float]:
+    """Weights and bias by adaptive gradient descent on the document log loss of the noisy-or."""
     weights, bias, used = np.zeros(SLOTS), -4.0, telling_slots(bags, toxic)
     # a sentence without telling words still counts as an instance
     counts_of = [len(np.unique(sentence)) for _, sentence in bags]
@@ -170,10 +177,7 @@ def train_bags(
                 continue
             document = np.repeat(np.arange(len(part)), counts)
             score = sigmoid(bias + np.bincount(of, weights[slots], minlength=total))
-            calm = np.bincount(document, np.log1p(-np.minimum(score, 1 - 1e-12)), minlength=len(part))
-            p = np.maximum(-np.expm1(calm), 1e-9)
-            pull = np.where(toxic[part], -(1 - p) / p, 1.0) * balance[part]
-            slope = score * pull[document]
+            slope = logit_slopes(score, document, toxic[part]) * balance[part][document]
             gradient = np.bincount(slots, slope[of], minlength=SLOTS)
             touched = np.flatnonzero(gradient)
             step = gradient[touched] + decay * weights[touched]
@@ -208,7 +212,8 @@ def fit_toxicity(
     bound_batches(docs.sparkSession)
     sample = training_sample(docs, labels, "toxic", *LEFT_OUT, max_rows, max_bytes)
     taken = sample.select("id", "label", bag_column(F.col("text")).alias("bag")).select("id", "label", "bag.*").toArrow()
-    order = sorted(range(taken.num_rows), key=lambda n: zlib.crc32(str(taken["id"][n].as_py()).encode()))
+    names = [str(i).encode() for i in taken["id"].to_pylist()]
+    order = sorted(range(taken.num_rows), key=lambda n: (zlib.crc32(names[n]), names[n]))
     slots, sentences = lists(taken["slots"]), lists(taken["sentence"])
     bags = [(slots[n], sentences[n]) for n in order]
     toxic = taken["label"].to_numpy()[order] == 1
