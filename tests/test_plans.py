@@ -80,3 +80,15 @@ def test_all_checks_have_sql():
     from tidemark.plans import all_oracles, all_queries
 
     assert set(all_queries()) == set(all_oracles())
+
+
+@pytest.mark.parametrize("name, most", [("serving_mart_stored", 2), ("drill_across_stored", 1)])
+def test_facts_stored_by_slot_join_where_they_lie(spark, name, most):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tree = text[:text.index("(1) Scan")]
+    assert "SortMergeJoin" in tree and tree.count("Exchange") <= most

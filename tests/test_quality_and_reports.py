@@ -234,3 +234,25 @@ def test_no_checks_give_no_rows(frame):
     results = Q.run_checks(frame([(1,)], "k int"), [])
     assert results.columns == ["check", "severity", "failures", "status"] and results.count() == 0
     Q.gate(results)
+
+
+def test_checks_observed_while_writing_equal_checks_of_the_table(spark, frame):
+    at = datetime(2024, 1, 30)
+    data = [(1, "a", at), (2, None, datetime(2024, 1, 31)), (3, "b", None)] * 7
+    checks = [Q.not_null("v"), Q.accepted_values("v", ["a"]), Q.row_count_between(22, None), Q.unique("k"),
+              Q.is_fresh("t", "2024-02-01 00:00:00", 12, 48, severity="warn")]
+    for df in (frame(data, "k int, v string, t timestamp_ntz").repartition(3), frame([], "k int, v string, t timestamp_ntz")):
+        path = scratch_path(spark, "observed")
+        measured = Q.write_measured(df, path, checks)
+        stored = spark.read.schema(df.schema).parquet(path)
+        results = Q.run_checks(stored, checks, measured)
+        assert rows(results) == rows(Q.run_checks(stored, checks))
+    measured = Q.write_measured(frame(data, "k int, v string, t timestamp_ntz"), path + "b", checks)
+    assert measured["not_null_v"] == 7 and measured["row_count_between_22_None"] == 21
+    stored = spark.read.parquet(path + "b")
+    scans = [Q.run_checks(stored, checks, m)._jdf.queryExecution().sparkPlan().toString().count("FileScan") for m in (measured, None)]
+    assert scans == [1, 2]
+    # a check that was not observed is read from the table
+    more = [*checks, Q.not_null("k")]
+    assert rows(Q.run_checks(stored, more, measured)) == rows(Q.run_checks(stored, more))
+    assert Q.write_measured(stored, path + "c", [Q.unique("k")]) == {}

@@ -65,16 +65,44 @@ def coverage_count(dim: DataFrame, fact: DataFrame, on: dict[str, str], name: st
     )
 
 
+# the day and hour of a row's time, where a table is stored by them
+SLOT = ("slot_day", "slot_hour")
+
+
+def with_slot(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumns({SLOT[0]: F.to_date(ts), SLOT[1]: F.hour(ts)})
+
+
+def stored_by_slot(df: DataFrame, table: str, keys: Sequence[str], ts: str, buckets: int, path: str | None = None) -> DataFrame:
+    """``df`` stored as a table bucketed by keys, day and hour of ``ts``, one file per bucket.
+
+    Tables of equal buckets join on keys and time bucket without a shuffle. The
+    table lies at ``path``, or in the warehouse.
+    """
+    by = [*keys, *SLOT]
+    laid = with_slot(df, ts).repartition(buckets, *by)
+    writer = laid.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def join_on_time_bucket(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
                         how: str = "inner") -> DataFrame:
-    """Join on keys and on the day and hour of two timestamps, an equi-join."""
-    right_renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    condition = (F.to_date(left[left_ts]) == F.to_date(right_renamed[right_ts])) & (
-        F.hour(left[left_ts]) == F.hour(right_renamed[right_ts])
-    )
-    for k in keys:
-        condition = condition & (left[k] == right_renamed[f"__r_{k}"])
-    return left.join(right_renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
+    """Join on keys and on the day and hour of two timestamps, an equi-join.
+
+    Sides that both have the columns of ``stored_by_slot`` are joined on those;
+    the left one's stay.
+    """
+    slots = [c for c in SLOT if c in left.columns and c in right.columns]
+    if len(slots) < len(SLOT):
+        slots = []
+    right_renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in [*keys, *slots]})
+    if slots:
+        conditions = [left[c] == right_renamed[f"__r_{c}"] for c in slots]
+    else:
+        conditions = [of(left[left_ts]) == of(right_renamed[right_ts]) for of in (F.to_date, F.hour)]
+    conditions += [left[k] == right_renamed[f"__r_{k}"] for k in keys]
+    return left.join(right_renamed, conditions, how).drop(*[f"__r_{k}" for k in [*keys, *slots]])
 
 
 def drill_across(first: DataFrame, second: DataFrame, keys: Sequence[str], ts: tuple[str, str],

@@ -11,7 +11,7 @@ from tidemark.functions.columns import (
     bucket, date_key, day_of, is_weekend, iso_week, rounded_mean, short_day_name, short_month_name,
     surrogate_key, weekday_number,
 )
-from tidemark.operators.joins import join_current, join_dim, join_on_time_bucket, lookup_key, rows_absent
+from tidemark.operators.joins import SLOT, join_current, join_dim, join_on_time_bucket, lookup_key, rows_absent
 from tidemark.operators.windows import number_rows
 
 # Air quality limits (strictly above) and labels.
@@ -76,7 +76,7 @@ def insert_missing(target: DataFrame, source: DataFrame, on: Sequence[str], null
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
-def serving_mart(fact: DataFrame, second: DataFrame, dim: DataFrame, *, key: str, name: str, ts: str,
+def serving_mart(fact: DataFrame, second: DataFrame, dim: DataFrame | None, *, key: str, name: str, ts: str,
                  reading_key: str, means: dict[str, str], peak: str, second_means: dict[str, str],
                  graded: str, count_name: str, label_name: str, scale: int | None = None) -> DataFrame:
     """One wide row per member and day from two hourly facts.
@@ -84,9 +84,12 @@ def serving_mart(fact: DataFrame, second: DataFrame, dim: DataFrame, *, key: str
     Driven from the first fact: a member that only the second one has does not
     appear, and a day without second readings falls into the default label.
     ``scale`` is the number of decimals of the averaged measures, if it is known.
+    Facts of ``stored_by_slot`` join without a shuffle; without ``dim`` the
+    first one has the member's ``name`` itself.
     """
-    readings = join_dim(fact, dim.select(key, name), {key: key})
-    right = second.select(key, F.col(ts).alias("__ts2"), *second_means.values())
+    readings = fact if dim is None else join_dim(fact, dim.select(key, name), {key: key})
+    slots = [c for c in SLOT if c in second.columns]
+    right = second.select(key, F.col(ts).alias("__ts2"), *slots, *second_means.values())
     matched = join_on_time_bucket(readings, right, [key], ts, "__ts2", how="left")
     daily = matched.groupBy(name, day_of(ts).alias("reading_date")).agg(
         *[rounded_mean(c, scale=scale).alias(n) for n, c in means.items()],

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import blank_to_null
@@ -198,12 +198,32 @@ def _failures(check: Check, measured: Column) -> Column:
     return F.when(fails, 1).otherwise(0).cast("long")
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def write_measured(df: DataFrame, path: str, checks: Sequence[Check]) -> dict[str, object]:
+    """Write ``df`` as Parquet; what its row, count and age checks measured meanwhile, by name.
+
+    The rows are observed in the stage that writes them, so each is counted
+    once, whichever tasks are run again. Where Spark leaves the observation out,
+    as it may for a frame known to be empty, nothing is measured.
+    """
+    measures = {c.name: m for c in checks if (m := _measure(c)) is not None}
+    if not measures:
+        df.write.parquet(path)
+        return {}
+    seen = Observation()
+    names = [f"m{i}" for i in range(len(measures))]
+    df.observe(seen, *[m.alias(n) for n, m in zip(names, measures.values())]).write.parquet(path)
+    found = seen.get
+    return {name: found[n] for n, name in zip(names, measures) if n in found}
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], measured: dict[str, object] | None = None) -> DataFrame:
     """One row per check: ``check, severity, failures, status``.
 
     Reads the table once for all row, count and age checks and once per set of
     keys that lies within no other; checks on the same groups use one shuffle.
-    Two checks of one name are refused; no checks give no rows.
+    ``measured`` has what ``write_measured`` saw of this very table; if it holds
+    all those checks, they need no read. Two checks of one name are refused; no
+    checks give no rows.
     """
     names = [c.name for c in checks]
     repeated = sorted({n for n in names if names.count(n) > 1})
@@ -217,7 +237,11 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                      _failures(c, F.col(f"__m{i}")).alias("failures"))
             for i, c in enumerate(checks) if f"__m{i}" in measures
         ]
-        parts.append(df.agg(*[m.alias(n) for n, m in measures.items()]).select(F.inline(F.array(*entries))))
+        totals = df.agg(*[m.alias(n) for n, m in measures.items()])
+        wanted = [checks[int(n[3:])].name for n in measures]
+        if measured and measured.keys() >= set(wanted):
+            totals = df.sparkSession.createDataFrame([tuple(measured[n] for n in wanted)], totals.schema)
+        parts.append(totals.select(F.inline(F.array(*entries))))
     for c in checks:
         if c.group_failures is not None:
             # the most keys that hold this check's own; the shuffle of equal groups is planned once

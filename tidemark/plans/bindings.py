@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hour_floor, surrogate_key
+from tidemark.operators.joins import stored_by_slot
 from tidemark.operators.windows import latest_per_key
+from tidemark.session import scratch_path, unique_name
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -77,6 +79,19 @@ def site_readings(spark: SparkSession, sf_dir: str, sensor: str) -> DataFrame:
     )
 
 
+def stored_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both site facts stored by site and hour, the first with its sites' names."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    named = site_readings(spark, sf_dir, "view").join(sites(spark, sf_dir), "site")
+    second = site_readings(spark, sf_dir, "purchase").select("site", "recorded_at", "value", "code")
+    laid = []
+    for fact in (named, second):
+        name = unique_name("fact")
+        laid.append(stored_by_slot(fact, name, ["site"], "recorded_at", buckets, scratch_path(spark, name)))
+        spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    return laid[0], laid[1]
+
+
 def _site_sql(alias: str, sensor: str) -> str:
     return f"""{alias} AS (
   SELECT md5(CAST(site AS VARCHAR) || '-' || strftime(slot, '%Y-%m-%d %H:%M:%S.%g')) AS reading_sk,

@@ -11,7 +11,7 @@ from tidemark.operators.joins import drill_across, join_current
 from tidemark.operators.modeling import AIR_QUALITY_CUTS, AIR_QUALITY_DEFAULT
 from tidemark.plans.bindings import (
     HOURLY, LOCATED, READINGS, SITE_FACTS, SITE_HISTORY, hourly, located, mean_sql, readings, site_history,
-    site_readings, sites, table,
+    site_readings, sites, stored_facts, table,
 )
 from tidemark.plans.registry import Family
 from tidemark.session import scratch_path
@@ -230,18 +230,31 @@ def profile_orders(spark, sf_dir):
     return A.profile(table(spark, sf_dir, "orders"), ["o_custkey", "o_totalprice"], scale=2)
 
 
-@query("drill_across_daily", f"""WITH {SITE_FACTS}, daily AS (
+DRILL_ACROSS = f"""WITH {SITE_FACTS}, daily AS (
   SELECT r_name AS site_name, CAST(w.recorded_at AS DATE) AS full_date, {mean_sql('w.value')} AS mean_first,
     {mean_sql('w.code')} AS mean_code, {mean_sql('a.value')} AS mean_second, {mean_sql('a.code')} AS mean_second_code
   FROM first_fact w JOIN second_fact a ON w.site = a.site AND w.recorded_at = a.recorded_at
   JOIN region ON w.site = r_regionkey GROUP BY ALL)
 SELECT *, strftime(full_date, '%a') AS day_of_week,
   CASE WHEN mean_second > 75 THEN 'Unhealthy' WHEN mean_second > 35 THEN 'Moderate' ELSE 'Good' END AS category
-FROM daily""")
+FROM daily"""
+
+
+@query("drill_across_daily", DRILL_ACROSS)
 def drill_across_daily(spark, sf_dir):
     first = site_readings(spark, sf_dir, "view").join(sites(spark, sf_dir), "site")
-    second = site_readings(spark, sf_dir, "purchase").select(
-        "site", F.col("recorded_at").alias("at"), F.col("value").alias("v2"), F.col("code").alias("c2"))
+    second = site_readings(spark, sf_dir, "purchase").select("site", "recorded_at", "value", "code")
+    return _drilled(first, second)
+
+
+@query("drill_across_stored", DRILL_ACROSS)
+def drill_across_stored(spark, sf_dir):
+    """The same over facts stored by site and hour, so that they join where they lie."""
+    return _drilled(*stored_facts(spark, sf_dir))
+
+
+def _drilled(first, second):
+    second = second.withColumnsRenamed({"recorded_at": "at", "value": "v2", "code": "c2"})
     daily = drill_across(
         first, second, ["site"], ("recorded_at", "at"), ["site_name", day_of("recorded_at").alias("full_date")],
         [rounded_mean("value", scale=2).alias("mean_first"), rounded_mean("code", scale=2).alias("mean_code"),

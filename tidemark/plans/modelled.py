@@ -14,7 +14,7 @@ from tidemark.operators.groups import written
 from tidemark.operators.marts import keep_mart
 from tidemark.plans.bindings import (
     LOCATED, READINGS, SITE_FACTS, SITE_HISTORY, located, mean_sql, newest_first, readings, site_history,
-    site_readings, sites, table, table_state,
+    site_readings, sites, stored_facts, table, table_state,
 )
 from tidemark.plans.matched import CODES, codes
 from tidemark.plans.registry import Family
@@ -46,10 +46,20 @@ def serving_mart(spark, sf_dir):
     return _mart(spark, sf_dir, site_readings(spark, sf_dir, "view"), site_readings(spark, sf_dir, "purchase"))
 
 
+@query("serving_mart_stored", SERVING_MART)
+def serving_mart_stored(spark, sf_dir):
+    """The mart over facts stored by site and hour, the first with the sites' names."""
+    return _mart_of(*stored_facts(spark, sf_dir), None)
+
+
 def _mart(spark, sf_dir, first, second):
-    second = second.select("site", "recorded_at", F.col("value").alias("second_value"), F.col("code").alias("second_code"))
+    return _mart_of(first, second, sites(spark, sf_dir))
+
+
+def _mart_of(first, second, members):
+    second = second.withColumnsRenamed({"value": "second_value", "code": "second_code"})
     return M.serving_mart(
-        first, second, sites(spark, sf_dir), key="site", name="site_name", ts="recorded_at",
+        first, second, members, key="site", name="site_name", ts="recorded_at",
         reading_key="reading_sk", means={"avg_value": "value", "avg_code": "code"}, peak="value",
         second_means={"avg_second": "second_value", "avg_second_code": "second_code"}, graded="avg_second",
         count_name="reading_cnt", label_name="category", scale=2)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import as_of_or_now
-from tidemark.operators.quality import Check, gate, run_checks
+from tidemark.operators.quality import Check, gate, run_checks, write_measured
 from tidemark.session import unique_name
 
 
@@ -92,14 +92,16 @@ def write_report(df: DataFrame, path: str, kind: str = "json", column: str | Non
 def publish(df: DataFrame, checks: Callable[[DataFrame], Sequence[Check]], table: str, root: str) -> DataFrame:
     """Write, audit, then publish: the table moves to the new files only if no check fails.
 
-    ``checks`` gets the written frame and returns its checks. Readers of
-    ``table`` keep the former files until the move, and after a failure.
+    ``checks`` gets the frame and returns its checks: once before the write,
+    for those on rows, counts and ages, which are observed while writing, and
+    once with the written frame for the others. Readers of ``table`` keep the
+    former files until the move, and after a failure.
     """
     spark: SparkSession = df.sparkSession
     path = f"{root.rstrip('/')}/{unique_name(table)}"
-    df.write.parquet(path)
+    measured = write_measured(df, path, checks(df))
     candidate = spark.read.schema(df.schema).parquet(path)
-    results = run_checks(candidate, checks(candidate))
+    results = run_checks(candidate, checks(candidate), measured)
     gate(results)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
