@@ -218,6 +218,35 @@ def test_cross_entropy_counts_every_word_and_pair(frame):
         assert row[:2] == (ident, n) and row[2:] == pytest.approx((target, background, target - background), abs=1e-9)
 
 
+def test_cross_entropy_moves_no_block(spark, frame, monkeypatch):
+    plans, keep = {}, crossentropy.stored
+
+    def plan(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(crossentropy, "stored", plan)
+    before = spark.catalog.listTables()
+    texts = [(k, f"the end w{k} w{k + 1}") for k in range(40)]
+    got = crossentropy.score_documents(frame(texts, "doc_id bigint, text string"), frame([(3,)], "doc_id bigint"), block_bytes=64)
+    # the marks and the requests move, then the answers; the words of the blocks in neither
+    assert "hashpartitioning(of#" in plans["answers"] and "hashpartitioning(block#" not in plans["answers"]
+    assert got._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(") == 1
+    assert got.count() == 40 and spark.catalog.listTables() == before
+
+
+def test_cross_entropy_asks_a_range_once():
+    words = [crossentropy.numbered(t, known) for known in [{}] for t in ("a b a c", "b a")]
+    hashes = crossentropy.np.arange(1, 4, dtype="u8") << crossentropy.np.uint64(62)
+    rows = crossentropy.pa.table({"block": [5] * 3, "place": [crossentropy.HEAD, 0, 1], "doc_id": [None, 1, 2], "n_tokens": [0, 4, 2],
+                                  "words": [hashes.tobytes(), *(crossentropy._packed(w, "<i4") for w in words)]})
+    asked = crossentropy._requests_of(2)(rows, crossentropy.pa.table({"of": [5], "at": crossentropy.pa.array([1], "int32")})).to_pylist()
+    assert len({r["part"] for r in asked}) == len(asked) and sum(r["n_words"] for r in asked) == 3
+    counts = crossentropy.np.hstack([crossentropy._unpacked(r["counts"]).reshape(2, -1) for r in asked])
+    # words 6 and pairs 4 of all documents, 2 and 1 of the target
+    assert counts.sum(axis=1).tolist() == [10, 3] and counts.shape[1] == 3 + 3
+
+
 def test_urls(frame):
     pages = frame([(1, "http://A.Example.NET/en/x?q#f"), (2, "https://b.example.net/fr/"), (3, "x://a.example.com/de/1"),
                    (4, "http://c.org/fr/a"), (5, None), (6, "no scheme"), (7, "http://net"), (8, "http://bnet/x"), (8, "http://bnet/x"),

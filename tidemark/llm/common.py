@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, unique_name
 
 BATCH_ROWS = 400
 BATCH_BYTES = 32 << 20
@@ -28,6 +28,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``stored`` in as many buckets of ``by`` as shuffles have partitions: grouping by it moves no row.
+
+    The catalog knows the table only until it is read; the files stay.
+    """
+    spark, table = df.sparkSession, unique_name(name)
+    most = (spark.conf.get(f"spark.sql.{c}") for c in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
+    df.write.format("parquet").bucketBy(min(map(int, most)), by).option("path", scratch_path(spark, name)).saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def strings(array: pa.Array) -> list[str]:
     """The values of a string array, null as the empty text."""
     return [value or "" for value in array.to_pylist()]

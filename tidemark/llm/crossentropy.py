@@ -11,7 +11,8 @@ are never in one place. Documents are cut into blocks, which number their own
 words. Each block asks once for each of its distinct words and pairs, with its
 own counts; the requests are dealt by ranges of the hashes, each range adds
 them up and answers every block with the sums. A frequent pair is thus one
-request per block, however many documents have it.
+request per block, however many documents have it. Only requests and answers
+move: the blocks are written in buckets, and are asked and scored where they lie.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, stored, strings
+from tidemark.llm.common import bound_batches, stored, stored_by, strings
 
 WORDS = 1 << 18  # vocabulary of a model that is given none
 PAIRS = 1 << 20
@@ -36,8 +37,8 @@ MIN_BITS = 6
 PRIOR = 4.0  # words' weight of the unigram estimate in a pair's
 HEAD = -1  # place of a block's word hashes among its documents
 RESULT = "n_tokens bigint, target_loss double, background_loss double, score double"
-REQUEST = "kind int, part bigint, block bigint, hashes binary, background binary, target binary"
-ANSWER = "kind int, part bigint, block bigint, background binary, target binary, n_kinds bigint, n_background bigint, n_target bigint"
+REQUEST = "part bigint, block bigint, n_words bigint, hashes binary, counts binary"
+ANSWER = "part bigint, block bigint, n_words bigint, counts binary, n_kinds bigint, n_background bigint, n_target bigint"
 
 
 def numbered(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -143,44 +144,50 @@ def _requests_of(bits: int):
             block = _Block(rows)
             number = rows.column("block")[0].as_py()
             marked = np.repeat(np.isin(block.places, marks.column("at").to_numpy()), block.sizes)
-            for kind, of in enumerate((block.word, block.pair)):
-                hashes = block.hashes[kind]
+            sides, parts = [], []
+            for of, hashes in zip((block.word, block.pair), block.hashes):
                 order = np.argsort(hashes)
                 # pairs have one number more, that of first words
                 both = [np.bincount(x, minlength=len(hashes) + 1)[:len(hashes)][order] for x in (of, of[marked])]
-                hashes = hashes[order]
-                part = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-                edges = np.searchsorted(part, np.arange((1 << bits) + 1))
-                for p in np.unique(part).tolist():
-                    a, b = edges[p], edges[p + 1]
-                    steps = np.diff(hashes[a:b], prepend=np.uint64(0))
-                    made.append((kind, p, number, _packed(steps), _packed(both[0][a:b]), _packed(both[1][a:b])))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        columns = list(zip(*made)) or [()] * 6
+                sides.append((hashes[order], *both))
+                parts.append((hashes[order] >> np.uint64(64 - bits)).astype(np.int64))
+            asked = np.union1d(*parts)
+            edges = [(np.searchsorted(p, asked), np.searchsorted(p, asked, "right")) for p in parts]
+            for at, p in enumerate(asked.tolist()):
+                # words, then pairs; the step from one to the other wraps around
+                hashes, *both = (np.concatenate([x[a[at]:z[at]] for x, (a, z) in zip(side, edges)]) for side in zip(*sides))
+                steps = np.diff(hashes, prepend=np.uint64(0))
+                made.append((p, number, int(edges[0][1][at] - edges[0][0][at]), _packed(steps), _packed(np.concatenate(both))))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        columns = list(zip(*made)) or [()] * 5
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in REQUEST.split(", ")])
 
     return requests
 
 
 def _answers(asked: pa.Table) -> pa.Table:
-    """The sums of one range of hashes, for each block in the order it asked, and the number of distinct ones and of all."""
+    """The sums of one range of hashes, for each block in the order it asked, and the number of distinct words and of all."""
     hashes = [np.cumsum(_unpacked(raw), dtype=np.uint64) for raw in asked.column("hashes").to_pylist()]
-    distinct, number = np.unique(np.concatenate(hashes), return_inverse=True)
-    edges = np.cumsum([len(h) for h in hashes])[:-1]
-    sums = []
-    for name in ("background", "target"):
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, number, np.concatenate([_unpacked(raw) for raw in asked.column(name).to_pylist()]).astype(np.int64))
-        sums.append(total)
-    told = [[_packed(s[part]) for part in np.split(number, edges)] + [None] for s in sums]
-    n, kind, part = len(hashes), asked.column("kind")[0].as_py(), asked.column("part")[0].as_py()
-    none = [None] * n
+    counts = [_unpacked(raw).astype(np.int64).reshape(2, -1) for raw in asked.column("counts").to_pylist()]
+    n_words = asked.column("n_words").to_pylist()
+    sums = [np.empty_like(c) for c in counts]
+    totals = []
+    for mine in ([slice(0, n) for n in n_words], [slice(n, None) for n in n_words]):  # words, then pairs
+        distinct, number = np.unique(np.concatenate([h[m] for h, m in zip(hashes, mine)]), return_inverse=True)
+        edges = np.cumsum([len(h[m]) for h, m in zip(hashes, mine)])[:-1]
+        total = np.zeros((2, len(distinct)), np.int64)
+        for side in (0, 1):  # of all documents, of the target
+            np.add.at(total[side], number, np.concatenate([c[side, m] for c, m in zip(counts, mine)]))
+            for told, m, part in zip(sums, mine, np.split(number, edges)):
+                told[side, m] = total[side, part]
+        totals.append([total.shape[1], *total.sum(axis=1).tolist()])
+    n, none = len(hashes), [None] * len(hashes)
     return pa.table({
-        "kind": pa.array([kind] * (n + 1), pa.int32()), "part": pa.array([part] * (n + 1), pa.int64()),
+        "part": pa.array([asked.column("part")[0].as_py()] * (n + 1), pa.int64()),
         "block": pa.array(asked.column("block").to_pylist() + [None], pa.int64()),
-        "background": pa.array(told[0], pa.binary()), "target": pa.array(told[1], pa.binary()),
-        "n_kinds": pa.array(none + [len(distinct)], pa.int64()),
-        "n_background": pa.array(none + [int(sums[0].sum())], pa.int64()), "n_target": pa.array(none + [int(sums[1].sum())], pa.int64())})
+        "n_words": pa.array(n_words + [None], pa.int64()),
+        "counts": pa.array([_packed(s.ravel()) for s in sums] + [None], pa.binary()),
+        **{name: pa.array(none + [x], pa.int64()) for name, x in zip(("n_kinds", "n_background", "n_target"), totals[0])}})
 
 
 @dataclass
@@ -204,13 +211,13 @@ def _scores_of(vocabulary: int, totals: dict[str, int]):
     def scores(rows: pa.Table, told: pa.Table) -> pa.Table:
         block = _Block(rows)
         told = told.sort_by("part")
-        kind = told.column("kind").to_numpy()
+        n_words = told.column("n_words").to_pylist()
+        sums = [_unpacked(raw).reshape(2, -1) for raw in told.column("counts").to_pylist()]
         losses = {}
-        for name, total in totals.items():
-            raw = told.column(name).to_pylist()
+        for side, (name, total) in enumerate(totals.items()):
             counts = []
             for k, hashes in enumerate(block.hashes):
-                own = [_unpacked(raw[at]) for at in np.flatnonzero(kind == k).tolist()]
+                own = [s[side, n:] if k else s[side, :n] for s, n in zip(sums, n_words)]
                 mine = np.zeros(len(hashes) + 1)
                 mine[np.argsort(hashes)] = np.concatenate(own) if own else 0
                 counts.append(mine)
@@ -240,8 +247,8 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, block_bytes: int = B
     """
     bound_batches(docs.sparkSession)
     ident = docs.schema["doc_id"].dataType.simpleString()
-    rows = stored(docs.select("doc_id", "text").mapInArrow(
-        _encoder(block_bytes), f"block bigint, place int, doc_id {ident}, n_tokens bigint, words binary"), "blocks")
+    rows = stored_by(docs.select("doc_id", "text").mapInArrow(
+        _encoder(block_bytes), f"block bigint, place int, doc_id {ident}, n_tokens bigint, words binary"), "blocks", "block")
     bits, n = MIN_BITS, rows.agg(F.sum("n_tokens")).first()[0] or 0
     while n >> bits > range_tokens:
         bits += 1
@@ -250,8 +257,8 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, block_bytes: int = B
     placed = rows.where(F.col("place") != HEAD).select(F.col("block").alias("of"), F.col("place").alias("at"), F.col("doc_id").alias("id"))
     marks = placed.join(wanted.hint("merge"), "id", "left_semi")
     asked = rows.groupBy("block").cogroup(marks.groupBy("of")).applyInArrow(_requests_of(bits), REQUEST)
-    answers = stored(asked.groupBy("kind", "part").applyInArrow(_answers, ANSWER), "answers")
-    sums = answers.where("block IS NULL AND kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_kinds", "n_background", "n_target")]).first()
-    told = answers.where("block IS NOT NULL").select("block", "kind", "part", "background", "target")
+    answers = stored(asked.groupBy("part").applyInArrow(_answers, ANSWER), "answers")
+    sums = answers.where("block IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_kinds", "n_background", "n_target")]).first()
+    told = answers.where("block IS NOT NULL").select("block", "part", "n_words", "counts")
     return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         _scores_of(sums[0], {"background": sums[1], "target": sums[2]}), f"doc_id {ident}, {RESULT}")
