@@ -212,6 +212,59 @@ def test_inclusion_scores_weigh_samples_without_bias():
         assert weighed[a] == pytest.approx(p, abs=0.03)
 
 
+class Counting:
+    """numpy, counting the numbers whose logarithm is taken."""
+
+    def __init__(self):
+        self.logs = 0
+
+    def __getattr__(self, name):
+        return getattr(np, name)
+
+    def log(self, x, *args, **named):
+        self.logs += np.size(x)
+        return np.log(x, *args, **named)
+
+
+def test_segmentation_times_only_what_can_still_be_popped(monkeypatch):
+    v = pieces.Vocabulary.load()
+    counting = Counting()
+    monkeypatch.setattr(pieces, "np", counting)
+    texts = ["the cat sat on the mat and looked at international readers " * 100] * 4
+    drawn = pieces.sample_batch(texts, [1, 2, 3, 4], v, 2, 1)
+    # one race per arc and node took several logarithms a piece
+    assert counting.logs < sum(len(ids) for row in drawn for ids, *_ in row)
+
+
+def test_segmentation_bound_loses_no_sibling(monkeypatch):
+    v = pieces.Vocabulary.load()
+    texts = ["hello there general " * 40, "x" * 300, "这是一个没有空格的中文文本" * 30, "a", "to be or not to be"]
+    bounded = pieces.sample_batch(texts, list(range(5)), v, 5, 1)
+    monkeypatch.setattr(pieces, "_LEAST", math.inf)
+    whole = pieces.sample_batch(texts, list(range(5)), v, 5, 1)
+    for one, other in zip(bounded, whole, strict=True):
+        assert [(s[0].tolist(), *s[1:]) for s in one] == [(s[0].tolist(), *s[1:]) for s in other]
+
+
+def test_exponential_variates_are_positive_and_finite(monkeypatch):
+    # a time of 0 would let any arc win, however improbable
+    monkeypatch.setattr(pieces, "mixed", lambda x: x)
+    ends = pieces.exponential(np.array([0, (1 << 64) - 1], np.uint64))
+    assert (ends > 0).all() and np.isfinite(ends).all() and -math.log(ends[1]) < pieces._LEAST
+
+
+def test_round_trip_is_told_by_bytes():
+    v = pieces.Vocabulary.load()
+    texts = ["a b", "", "\ufffd"]
+    rows = pieces.sample_batch(texts, [1, 2, 3], v, 1, 1)
+    flags = [[s["round_trip"] for s in row] for row in pieces.samples_array(rows, texts, v.spelt).to_pylist()]
+    assert flags == [[True], [True], [True]]
+    space = v.pieces.index(b" ")
+    wrong = np.array([space, v.bytes_[0xFF]], np.int32)  # no text, shown as the replacement character
+    found = pieces.samples_array([[(wrong, 0.0, 0.0, 0.0)], rows[0]], ["\ufffd", "a c"], v.spelt).to_pylist()
+    assert [[s["round_trip"] for s in row] for row in found] == [[False], [False]]
+
+
 def test_language_models_prefer_their_text():
     word, pair = crossentropy.slots("One two ONE two")
     assert word[0] == word[2] and pair[1] == pair[3] and len(word) == 4

@@ -27,6 +27,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -43,10 +44,13 @@ SAMPLE = "struct<ids: array<int>, log_prob: double, perturbed: double, log_inclu
 RESULT = f"array<{SAMPLE}>"
 
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+_STRIDE = np.uint64(0xD1342543DE82EF95)
 _TABLE_BITS = 19
 _PART_CHUNKS = 40_000  # chunks whose descents run side by side
 _LONG = 256  # characters from which a chunk is drawn by itself, all its nodes at once
 _WINDOW = 1 << 15  # nodes of a long chunk drawn together
+_HEAD = 16  # visited nodes whose siblings say how far a descent can have better ones
+_LEAST = 38.0  # above minus the log of the least value of ``exponential``
 
 
 @dataclass
@@ -94,36 +98,57 @@ class Vocabulary:
     @cached_property
     def prefixes(self) -> tuple[np.ndarray, np.ndarray]:
         """Open-addressed table of all beginnings of pieces: keys, and the piece's index or -1."""
-        known: dict[int, int] = {}
-        for index, text in enumerate(self.texts):
-            key = 0
-            for n, character in enumerate(text):
-                key = (key * int(_STEP) + ord(character) + 1) & 0xFFFFFFFFFFFFFFFF
-                if n + 1 == len(text):
-                    known[key] = index
-                else:
-                    known.setdefault(key, -1)
+        sizes = np.array([len(t) for t in self.texts], np.int64)
+        codes = np.frombuffer("".join(self.texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        first, key = np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.uint64)
+        parts = []
+        for width in range(1, int(sizes.max(initial=0)) + 1):
+            some = np.flatnonzero(sizes >= width)
+            key[some] = key[some] * _STEP + codes[first[some] + width - 1] + np.uint64(1)
+            parts.append((key[some], np.where(sizes[some] == width, some, -1)))
+        known, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)]), return_inverse=True)
+        index = np.full(len(known), -1, np.int64)
+        np.maximum.at(index, number, np.concatenate([np.zeros(0, np.int64), *(i for _, i in parts)]))
         size = 1 << _TABLE_BITS
         keys, values = np.zeros(size, np.uint64), np.full(size, -1, np.int64)
-        for key, value in known.items():
-            slot = (key * int(_MIX) & 0xFFFFFFFFFFFFFFFF) >> (64 - _TABLE_BITS)
-            while keys[slot]:
-                slot = (slot + 1) % size
-            keys[slot], values[slot] = key, value
+        slot = (known * _MIX >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        waiting = np.arange(len(known))
+        while len(waiting):  # the first of each free slot takes it, the others go on to the next slot
+            free = waiting[keys[slot[waiting]] == 0]
+            taken = free[np.unique(slot[free], return_index=True)[1]]
+            keys[slot[taken]], values[slot[taken]] = known[taken], index[taken]
+            waiting = waiting[keys[slot[waiting]] != known[waiting]]
+            slot[waiting] = (slot[waiting] + 1) % size
         return keys, values
 
+    @cached_property
+    def spelt(self) -> pa.Array:
+        """The bytes of every piece by id."""
+        return pa.array(self.pieces, pa.large_binary())
+
+    @cached_property
+    def singles(self) -> np.ndarray:
+        """Per code point the index of its piece, -1 where it only begins pieces, -2 where it begins none."""
+        made = np.full(0x110000, -2, np.int64)
+        made[[ord(t[0]) for t in self.texts]] = -1
+        alone = [(ord(t), index) for index, t in enumerate(self.texts) if len(t) == 1]
+        made[[code for code, _ in alone]] = [index for _, index in alone]
+        return made
+
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per key whether it begins a piece, and the index of the piece that it is, or -1."""
+        """The numbers of the keys that begin a piece, and for each the index of the piece that it is, or -1."""
         keys, values = self.prefixes
         slot = (wanted * _MIX >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
         found = keys[slot]
-        astray = np.flatnonzero((found != wanted) & (found != 0))
+        begins = found == wanted
+        astray = np.flatnonzero(~begins & (found != 0))
         while len(astray):
             slot[astray] = (slot[astray] + 1) % len(keys)
-            found[astray] = keys[slot[astray]]
-            astray = astray[(found[astray] != wanted[astray]) & (found[astray] != 0)]
-        begins = found == wanted
-        return begins, np.where(begins, values[slot], -1)
+            found = keys[slot[astray]]
+            begins[astray] = found == wanted[astray]
+            astray = astray[(found != wanted[astray]) & (found != 0)]
+        known = np.flatnonzero(begins)
+        return known, values[slot[known]]
 
 
 def distinct_chunks(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -153,8 +178,9 @@ def distinct_chunks(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.
 class Lattices:
     """Lattices of distinct chunks: one node per character, arcs grouped by the node they leave.
 
-    ``race`` is the inverse of an arc's probability given its node; ``ids`` its
-    piece, or -1 - code point for a character written as several bytes.
+    ``log_p`` is an arc's log-probability given its node, ``limit`` the sum of the
+    node's probabilities up to it in parts of 2^53 (without end for the last);
+    ``ids`` its piece, or -1 - code point for a character written as several bytes.
     """
 
     def __init__(self, codes: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary):
@@ -162,29 +188,37 @@ class Lattices:
         self.start, self.length = ends - lengths, lengths
         n = len(codes)
         left = np.repeat(ends, lengths) - np.arange(n)  # characters to the end of the chunk
-        levels = []  # per length of a piece: the nodes it leaves, and its index (-1: the character's bytes)
-        alive, key, width = np.arange(n), np.zeros(n, np.uint64), 0
+        index = vocabulary.singles[codes.astype(np.int64)]
+        # per length of a piece: the nodes it leaves, and its index (-1: the character's bytes)
+        levels = [(np.arange(n), np.maximum(index, -1))]
+        next_code = codes + np.uint64(1)
+        alive, width = np.flatnonzero((index > -2) & (left > 1)), 1
+        key = next_code[alive]
         while len(alive):
-            key = key * _STEP + codes[alive + width] + np.uint64(1)
+            key *= _STEP
+            key += next_code[alive + width]
             width += 1
-            begins, index = vocabulary.find(key)
-            whole = (index >= 0) | (width == 1)
+            known, index = vocabulary.find(key)
+            alive, key = alive[known], key[known]
+            whole = np.flatnonzero(index >= 0)
             levels.append((alive[whole], index[whole]))
-            further = begins & (left[alive] > width)
+            further = np.flatnonzero(left[alive] > width)
             alive, key = alive[further], key[further]
         # arcs lie by distance from the end, then by node, then by length
         order = np.argsort(left.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else left, kind="stable")
-        self.count = np.zeros(n, np.int32)
-        for source, _ in levels:
+        self.count = np.ones(n, np.int32)
+        for source, _ in levels[1:]:
             self.count[source] += 1
+        count = self.count[order]
+        runs = np.cumsum(count) - count
         self.first = np.empty(n, np.int64)
-        self.first[order] = np.cumsum(self.count[order]) - self.count[order]
-        total = int(self.count.sum())
+        self.first[order] = runs
+        total = int(count.sum())
         self.ids, self.target, score = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total)
         filled = self.first.copy()
         for width, (source, index) in enumerate(levels, 1):
             at = filled[source]
-            filled[source] += 1
+            filled[source] = at + 1
             score[at], self.ids[at] = vocabulary.scores[index], vocabulary.ids[index]
             self.target[at] = np.where(left[source] == width, -1, source + width)
             if width == 1 and (index < 0).any():
@@ -193,23 +227,31 @@ class Lattices:
                 n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
                 self.ids[cell] = np.where(n_bytes == 1, vocabulary.bytes_[np.minimum(code, 127)], -1 - code)
                 score[cell] = vocabulary.byte_score * n_bytes
+        del levels, filled
         # log-sums of all paths from a node to the end of its chunk, nearest nodes first
         sums = np.zeros(n + 1)  # the last stands for the end
-        by_level = np.searchsorted(left[order], np.arange(1, min(int(left.max(initial=0)), _LONG) + 2))
+        ends_at = np.append(runs, total)
+        by_level = np.searchsorted(left[order], np.arange(1, min(int(left.max(initial=0)), _LONG) + 2)).tolist()
         for a, b in zip(by_level[:-1], by_level[1:]):
-            nodes = order[a:b]
-            runs = self.first[nodes]
-            low, high = int(runs[0]), int(runs[-1] + self.count[nodes[-1]])
-            score[low:high] += sums[self.target[low:high]]
-            top = np.maximum.reduceat(score[low:high], runs - low)
-            below = score[low:high] - np.repeat(top, self.count[nodes])
-            share = np.log(np.add.reduceat(np.exp(below), runs - low))
-            sums[nodes] = top + share
-            score[low:high] = below - np.repeat(share, self.count[nodes])
+            low, high = int(ends_at[a]), int(ends_at[b])
+            begin, some = runs[a:b] - low, count[a:b]
+            below = score[low:high]
+            below += sums[self.target[low:high]]
+            top = np.maximum.reduceat(below, begin)
+            below -= np.repeat(top, some)
+            share = np.log(np.add.reduceat(np.exp(below), begin))
+            sums[order[a:b]] = top + share
+            below -= np.repeat(share, some)
         for chunk in np.flatnonzero(lengths > _LONG).tolist():
             self._sum_long(score, sums, int(self.start[chunk]), int(ends[chunk]) - _LONG)
         self.log_p = score
-        self.race = np.exp(-score.astype(np.float32))
+        # shares of 2^53 summed within each node; whole numbers, so that no other chunk has a say in their rounding
+        share = np.exp(score)
+        share *= 2.0**53
+        self.limit = np.cumsum(share.astype(np.uint64))
+        last = runs + count - 1
+        self.limit -= np.repeat(np.append(np.zeros(1, np.uint64), self.limit[last[:-1]]), count)
+        self.limit[last] = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def _sum_long(self, score: np.ndarray, sums: np.ndarray, start: int, stop: int) -> None:
         """The log-sums of a long chunk's nodes from ``stop`` back to ``start``, one after the other, window by window."""
@@ -236,38 +278,39 @@ class Lattices:
         offset = np.cumsum(count) - count
         return np.repeat(self.first[nodes] - offset, count) + np.arange(int(count.sum()))
 
-    def draw(self, key: np.ndarray, place: np.ndarray, position: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per node the arc with the least time over probability, and by how much it leads.
-
-        Draws depend on the text's key, the chunk's place and the node's position in it alone.
-        """
-        count = self.count[nodes]
-        offset = np.cumsum(count) - count
-        line = np.arange(int(count.sum()))
-        arcs = np.repeat(self.first[nodes] - offset, count) + line
-        base = counter_base(key, place, position) - offset.astype(np.uint32) * np.uint32(0x9E3779B9)
-        times = exponential_times(np.repeat(base, count), line)
-        times *= self.race[arcs]
-        best = np.minimum.reduceat(times, offset)
-        winner = np.flatnonzero(times == np.repeat(best, count))
-        if len(winner) > len(nodes):  # a tie, of which the first arc counts
-            winner = winner[np.unique(np.repeat(np.arange(len(nodes)), count)[winner], return_index=True)[1]]
-        times[winner] = np.inf
-        return arcs[winner], np.minimum.reduceat(times, offset) - best
-
-    def follow(self, key: np.uint64, place: int, origin: int, node: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The visited nodes of a long chunk from ``node`` on, their arcs and leads: windows are drawn whole, then walked."""
+    def draw(self, salt: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Per node an arc drawn by the probabilities."""
+        level = mixed(counters(salt, nodes)) >> np.uint64(11)
+        arc = self.first[nodes]
+        beyond = np.flatnonzero(level >= self.limit[arc])
+        while len(beyond):
+            arc[beyond] += 1
+            beyond = beyond[level[beyond] >= self.limit[arc[beyond]]]
+        return arc
+
+    def rest(self, arc: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Per arc the probability of the other arcs of its node."""
+        rest = 0.0 - np.expm1(self.log_p[arc])
+        near = np.flatnonzero((rest < 1e-9) & (self.count[node] > 1))  # lost in rounding: summed
+        if len(near):
+            others, count = self.arcs_of(node[near]), self.count[node[near]]
+            p = np.where(others == np.repeat(arc[near], count), 0.0, np.exp(self.log_p[others]))
+            rest[near] = np.maximum(np.add.reduceat(p, np.cumsum(count) - count), 1e-300)
+        return rest
+
+    def follow(self, salt: np.uint64, node: int, end: int) -> np.ndarray:
+        """The arcs of a long chunk's segmentation from ``node`` on: windows are drawn whole, then walked."""
         parts = []
         while node >= 0:
             nodes = np.arange(node, min(node + _WINDOW, end))
-            chosen, lead = self.draw(np.full(len(nodes), key), np.full(len(nodes), place), nodes - origin, nodes)
+            chosen = self.draw(np.full(len(nodes), salt), nodes)
             target = self.target[chosen].tolist()
             low, walked = node, []
             while low <= node < low + len(target):
                 walked.append(node - low)
                 node = target[node - low]
-            parts.append((nodes[walked], chosen[walked], lead[walked]))
-        return tuple(np.concatenate(x) for x in zip(*parts))
+            parts.append(chosen[walked])
+        return np.concatenate(parts)
 
 
 @dataclass
@@ -294,37 +337,38 @@ class Search:
     perturbed: float
 
 
-def exponential_times(base: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Exponential variates of counters: the ``number``-th of each base, whatever the order of the calls."""
-    x = base + number.astype(np.uint32) * np.uint32(0x9E3779B9)
-    x ^= x >> np.uint32(16)
-    x *= np.uint32(0x85EBCA6B)
-    x ^= x >> np.uint32(13)
-    x *= np.uint32(0xC2B2AE35)
-    x ^= x >> np.uint32(16)
-    uniform = x.astype(np.float32)
-    uniform += np.float32(0.5)
-    uniform *= np.float32(2.0**-32)
-    np.log(uniform, out=uniform)
-    return np.negative(uniform, out=uniform)
-
-
-def counter_base(key: np.ndarray, place: np.ndarray, position: np.ndarray) -> np.ndarray:
-    """Counter bases of nodes: from the text's key, the chunk's place and the node's position within the chunk."""
-    x = key + place.astype(np.uint64) * _MIX + position.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
-    x ^= x >> np.uint64(30)
+def counters(salt: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Counters of nodes, given the salts of their chunks (which count from the chunk's start)."""
+    return salt + nodes.astype(np.uint64) * _STRIDE
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Counters as random 64-bit numbers."""
+    x = x ^ (x >> np.uint64(30))
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(32)).astype(np.uint32)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def exponential(counter: np.ndarray) -> np.ndarray:
+    """Exponential variates of counters, whatever the order of the calls; never 0."""
+    return -np.log(((mixed(counter) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52)
 
 
 def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Path, list[tuple[float, int, int]]]]:
     """Follow inherited maxima from every search's node to a segmentation; its siblings worth keeping.
 
-    Each arc draws an exponential time; the arc with the least time over
-    probability inherits the maximum. A sibling's perturbed score is
+    Arcs race by exponential times over probabilities, and the first inherits the
+    maximum. That is an arc drawn by the probabilities; by memorylessness its lead
+    over the next is an exponential time over the probability of all others, and
+    the others race on from there. A sibling's perturbed score is
     ``-log(exp(-perturbed) + x)`` with x the lead it lost by, over the
     probability of the prefix; only the ``wanted`` best of a descent can ever be
-    popped. Siblings are (score, number of the visited node, arc).
+    popped, and no lead makes up for a prefix ``exp(_LEAST)`` times less probable.
+    Siblings are (score, number of the visited node, arc). Draws depend on the
+    text's key, the chunk's place and the node's position in it alone.
     """
     inside = np.array([s.node >= 0 for s in searches])
     begin = np.array([s.next_place for s in searches]) - inside
@@ -338,63 +382,82 @@ def descend(searches: list[Search], lat: Lattices, wanted: int) -> list[tuple[Pa
     start = origin.copy()
     start[lane_at[inside]] = [s.node for s in searches if s.node >= 0]
     key = np.array([s.key for s in searches], np.uint64)[item]
+    salt = key + place.astype(np.uint64) * _MIX - origin.astype(np.uint64) * _STRIDE
     long = end - start > _LONG
     lane = np.flatnonzero(~long)
-    nodes, steps = start[lane], []
+    nodes, own, steps = start[lane], salt[lane], []
+    visits = np.zeros(len(item), np.int64)
     while len(nodes):
-        chosen, lead = lat.draw(key[lane], place[lane], nodes - origin[lane], nodes)
-        steps.append((lane, nodes, chosen, lead))
+        chosen = lat.draw(own, nodes)
+        steps.append((lane, chosen))
         target = lat.target[chosen]
-        going = target >= 0
-        nodes, lane = target[going], lane[going]
-    walks = [(at, *lat.follow(key[at], int(place[at]), int(origin[at]), int(start[at]), int(end[at])))
-             for at in np.flatnonzero(long).tolist()]
-    visits = np.zeros(len(item), np.int64)
-    for at, *_ in steps:
-        visits[at] += 1
-    for at, walked, *_ in walks:
+        visits[lane[target < 0]] = len(steps)
+        going = np.flatnonzero(target >= 0)
+        nodes, lane, own = target[going], lane[going], own[going]
+    walks = [(at, lat.follow(salt[at], int(start[at]), int(end[at]))) for at in np.flatnonzero(long).tolist()]
+    for at, walked in walks:
         visits[at] = len(walked)
     first_visit = np.cumsum(visits) - visits
     total = int(visits.sum())
-    arc, node, lead = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total)
-    for number, (at, *step) in enumerate(steps):
-        cell = first_visit[at] + number
-        node[cell], arc[cell], lead[cell] = step
-    for at, *walk in walks:
-        cell = slice(first_visit[at], first_visit[at] + visits[at])
-        node[cell], arc[cell], lead[cell] = walk
-    lane = np.repeat(np.arange(len(item)), visits)
+    arc = np.empty(total, np.int64)
+    for number, (at, chosen) in enumerate(steps):
+        arc[first_visit[at] + number] = chosen
+    for at, walked in walks:
+        arc[first_visit[at]:first_visit[at] + visits[at]] = walked
+    visited = np.repeat(place, visits)
     gained = lat.log_p[arc]
     reached = np.cumsum(gained)
     of_item = np.append(first_visit, total)[np.append(lane_at, len(item))]
     done = np.concatenate([[0.0], reached])
     before = reached - gained + np.repeat(np.array([s.log_prob for s in searches]) - done[of_item[:-1]], np.diff(of_item))
-    with np.errstate(divide="ignore"):
-        worth = before - np.log(np.maximum(lead, 1e-300))
+
+    def leads(visit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of visits the nodes, their counters and the leads of the arcs drawn."""
+        at = np.searchsorted(first_visit, visit, side="right") - 1
+        node = np.where(visit == first_visit[at], start[at], lat.target[arc[visit - 1]])
+        counter = counters(salt[at], node)
+        with np.errstate(divide="ignore"):
+            return node, counter, exponential(counter + np.uint64(1)) / lat.rest(arc[visit], node)
+
+    def ranges(stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The visits of every search up to its stop, and where each search's begin among them."""
+        size = stops - of_item[:-1]
+        begins = np.cumsum(size) - size
+        return np.arange(int(size.sum())) + np.repeat(of_item[:-1] - begins, size), np.append(begins, int(size.sum()))
+
+    visit, begins = ranges(np.minimum(of_item[:-1] + max(_HEAD, wanted), of_item[1:]))
+    worth = before[visit] - np.log(leads(visit)[2])
+    stops = of_item[1:].copy()
+    for n, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist())):
+        if b - a >= wanted:
+            enough = np.partition(worth[a:b], b - a - wanted)[b - a - wanted]
+            stops[n] = of_item[n] + np.searchsorted(-before[of_item[n]:of_item[n + 1]], _LEAST - enough, side="right")
+    visit, begins = ranges(stops)
+    node, counter, lead = leads(visit)
+    worth = before[visit] - np.log(lead)
     picked, results = [], []
     for n, search in enumerate(searches):
+        a, b = int(begins[n]), int(begins[n + 1])
+        picked.append(np.argpartition(-worth[a:b], wanted - 1)[:wanted] + a if b - a > wanted else np.arange(a, b))
         a, b = int(of_item[n]), int(of_item[n + 1])
-        near = np.argpartition(-worth[a:b], wanted - 1)[:wanted] + a if b - a > wanted else np.arange(a, b)
-        picked.append(near)
-        own = [place[lane[a:b]], arc[a:b], before[a:b]]
+        parts = [visited[a:b], arc[a:b], before[a:b]]
         if search.prefix is not None:
-            own = [np.concatenate(x) for x in zip((search.prefix.place, search.prefix.arc, search.prefix.before), own)]
-        results.append((Path(*own, search.log_prob + float(done[b] - done[a]), search.perturbed), []))
-    # the arcs of the nodes that hold the best siblings, drawn again from their counters
+            parts = [np.concatenate(x) for x in zip((search.prefix.place, search.prefix.arc, search.prefix.before), parts)]
+        results.append((Path(*parts, search.log_prob + float(done[b] - done[a]), search.perturbed), []))
+    # the races of the other arcs at the nodes that hold the best siblings
     near = np.concatenate(picked) if picked else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(searches)), [len(p) for p in picked])
     count = lat.count[node[near]]
-    offset = np.cumsum(count) - count
-    number = np.arange(int(count.sum())) - np.repeat(offset, count)
-    arcs, visit = np.repeat(lat.first[node[near]], count) + number, np.repeat(near, count)
-    at = lane[visit]
-    times = exponential_times(counter_base(key[at], place[at], node[visit] - origin[at]), number) * lat.race[arcs]
-    least = np.repeat(np.minimum.reduceat(times, offset), count) if len(near) else times
-    rival = np.flatnonzero(arcs != arc[visit])
-    value = before[visit[rival]] - np.log(np.maximum(times[rival] - least[rival], 1e-300))
-    who = np.repeat(owner, count)[rival]
+    arcs, of, who = lat.arcs_of(node[near]), np.repeat(near, count), np.repeat(owner, count)
+    number = np.arange(len(arcs)) - np.repeat(np.cumsum(count) - count, count)
+    rival = np.flatnonzero(arcs != arc[visit[of]])
+    arcs, of, who, number = arcs[rival], of[rival], who[rival], number[rival]
+    times = exponential(counter[of] + (number + 2).astype(np.uint64) * _MIX) * np.exp(np.minimum(-lat.log_p[arcs], 700.0))
+    count = count[count > 1] - 1
+    least = np.minimum.reduceat(times, np.cumsum(count) - count) if len(times) else times
+    value = before[visit[of]] - np.log(lead[of] + times - np.repeat(least, count))
     score = -np.logaddexp(-np.array([s.perturbed for s in searches])[who], -value)
-    for n, points, at, one in zip(who.tolist(), score.tolist(), visit[rival].tolist(), arcs[rival].tolist()):
+    for n, points, at, one in zip(who.tolist(), score.tolist(), visit[of].tolist(), arcs.tolist()):
         held = 0 if searches[n].prefix is None else len(searches[n].prefix.arc)
         results[n][1].append((points, held + at - int(of_item[n]), one))
     for _, siblings in results:
@@ -409,7 +472,7 @@ def sample_paths(chunks: list[np.ndarray], keys: list[int], lat: Lattices, k: in
     All texts go side by side: one descent each from the root, then one from
     the best node of each queue, and so on.
     """
-    roots = -np.log(exponential_times((np.array(keys, np.uint64) >> np.uint64(32)).astype(np.uint32), np.zeros(len(keys), np.int64)))
+    roots = -np.log(exponential(np.array(keys, np.uint64)))
     searches = [Search(c, key ^ 0x5851F42D4C957F2D, None, 0, -1, 0.0, float(root)) for c, key, root in zip(chunks, keys, roots)]
     found: list[list[Path]] = [[] for _ in chunks]
     queues: list[list] = [[] for _ in chunks]
@@ -495,20 +558,22 @@ def sample_segmentations(text: str | Column, key: str | Column, vocabulary: Voca
     def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, keys in batches:
             whole = strings(texts)
-            yield samples_array(sample_batch(whole, keys.to_pylist(), vocabulary, k, seed), whole, vocabulary.pieces)
+            yield samples_array(sample_batch(whole, keys.to_pylist(), vocabulary, k, seed), whole, vocabulary.spelt)
 
     return of(text, key)
 
 
-def samples_array(rows: list[list[tuple]], texts: list[str], pieces: list[bytes]) -> pa.Array:
-    """The samples of every text as ``SAMPLE`` structs, each decoded and held against its text."""
-    fits = [decode(sample[0].tolist(), pieces) == text for text, row in zip(texts, rows) for sample in row]
+def samples_array(rows: list[list[tuple]], texts: list[str], pieces: pa.Array) -> pa.Array:
+    """The samples of every text as ``SAMPLE`` structs, each decoded and held against its text byte by byte."""
     flat = [sample for row in rows for sample in row]
     ids = np.concatenate([s[0] for s in flat]) if flat else np.zeros(0, np.int32)
-    offsets = np.concatenate([[0], np.cumsum([len(s[0]) for s in flat])]).astype(np.int32)
-    parts = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(s[0]) for s in flat])]).astype(np.int32))
+    made = pc.binary_join(pa.ListArray.from_arrays(offsets, pieces.take(pa.array(ids))), pa.scalar(b"", pa.large_binary()))
+    # a text without pieces is empty, any other has a space before it
+    whole = [b" " + text.encode() if text else b"" for text, row in zip(texts, rows) for _ in row]
+    parts = [pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))]
     parts += [pa.array(np.array([s[n] for s in flat], np.float64)) for n in (1, 2, 3)]
-    parts.append(pa.array(fits, pa.bool_()))
+    parts.append(pc.equal(made, pa.array(whole, pa.large_binary())))
     inner = pa.StructArray.from_arrays(parts, names=["ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)), inner)
 
